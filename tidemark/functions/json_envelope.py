@@ -31,23 +31,27 @@ def spans_whole_text(document: Column, text: Column) -> Column:
     return F.coalesce(F.try_variant_get(document, "$[1]", "bigint") == F.xxhash64(text), F.lit(False))
 
 
-def field(document: Column, name: str) -> Column:
-    return F.try_variant_get(document, f"$[0].{name}", "variant")
+# A known field that occurs twice in the JSON list of an object's keys.
+REPEATED_FIELD = '"(' + "|".join(KNOWN_FIELDS) + r')",(?:.*,)?"\1"'
+
+# One cast takes all fields apart, first as they are, so that their types can be judged,
+# then as the types of the contract.
+UNTYPED = "struct<" + ", ".join(f"{name}: variant" for name in KNOWN_FIELDS) + ">"
+TYPED = (
+    "struct<event_id: string, gateway_id: string, received_at: string, retry_count: int,"
+    " stream_name: string, event_header: variant, payload: variant>"
+)
 
 
-def has_type(value: Column, name: str) -> Column:
-    return F.schema_of_variant(value) == F.lit(name)
+def envelope_as(document: Column, struct_type: str) -> Column:
+    return F.try_variant_get(document, "$[0]", struct_type)
 
 
-def _first_repeated(keys: Column) -> Column:
-    known = F.array(*[F.lit(k) for k in KNOWN_FIELDS])
-    repeated = F.filter(known, lambda k: F.size(keys) - F.size(F.array_remove(keys, k)) > 1)
-    return F.when(F.size(keys) > F.size(F.array_distinct(keys)), F.get(repeated, F.lit(0)))
+def has_type(value: Column, name: str) -> Column:
+    return F.schema_of_variant(value) == F.lit(name)
 
 
-def malformed_reason_of(
-    value: Column, text: Column, document: Column, keys: Column, fields: dict[str, Column]
-) -> Column:
+def malformed_reason_of(value: Column, text: Column, document: Column, keys: Column, untyped: Column) -> Column:
     """Why the record is unreadable, or NULL when it is a valid envelope.
 
     Earlier rules win. `retry_count` may be absent but not null; `stream_name` and
@@ -59,20 +63,19 @@ def malformed_reason_of(
         ~spans_whole_text(document, text) | (text.contains("\\u") & text.rlike(LONE_SURROGATE)),
         F.lit("invalid JSON"),
     )
-    reason = reason.when(~F.ltrim(text, F.lit(" \t\r\n")).startswith("{"), F.lit("not an object"))
-    repeated = _first_repeated(keys)
-    reason = reason.when(repeated.isNotNull(), F.concat(F.lit("duplicate field `"), repeated, F.lit("`")))
+    reason = reason.when(untyped.isNull(), F.lit("not an object"))
+    repeated = (F.size(keys) > F.size(F.array_distinct(keys))) & F.to_json(keys).rlike(REPEATED_FIELD)
+    reason = reason.when(repeated, F.lit("duplicate field"))
     for name in (*REQUIRED_TEXT, "payload"):
-        reason = reason.when(fields[name].isNull(), F.lit(f"missing field `{name}`"))
+        reason = reason.when(untyped[name].isNull(), F.lit(f"missing field `{name}`"))
     for name in REQUIRED_TEXT:
-        reason = reason.when(~has_type(fields[name], "STRING"), F.lit(f"invalid type for `{name}`"))
-    retry = fields["retry_count"]
+        reason = reason.when(~has_type(untyped[name], "STRING"), F.lit(f"invalid type for `{name}`"))
+    retry = untyped["retry_count"]
     reason = reason.when(
-        retry.isNotNull() & ~(has_type(retry, "BIGINT") & F.try_variant_get(retry, "$", "int").isNotNull()),
+        ~(has_type(retry, "BIGINT") & F.try_variant_get(retry, "$", "int").isNotNull()),
         F.lit("invalid type for `retry_count`"),
     )
-    stream = fields["stream_name"]
     return reason.when(
-        stream.isNotNull() & ~has_type(stream, "STRING") & ~F.is_variant_null(stream),
+        ~has_type(untyped["stream_name"], "STRING") & ~F.is_variant_null(untyped["stream_name"]),
         F.lit("invalid type for `stream_name`"),
     )

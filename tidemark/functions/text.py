@@ -19,13 +19,11 @@ def rfc3339(text: Column) -> Column:
 
 def truncate_reason(reason: Column) -> Column:
     """At most `REASON_LIMIT` bytes of text, cut between characters, then an ellipsis."""
-    # A UTF-8 character has at most 4 bytes. The longest prefix that fits is found among
-    # the prefixes between limit/4 and limit characters.
-    lengths = F.sequence(F.lit(REASON_LIMIT // 4), F.lit(REASON_LIMIT))
-    fitting = F.filter(lengths, lambda n: F.octet_length(F.substring(reason, F.lit(1), n)) <= REASON_LIMIT)
-    return F.when(F.octet_length(reason) <= REASON_LIMIT, reason).otherwise(
-        F.concat(F.substring(reason, F.lit(1), F.array_max(fitting)), F.lit("…"))
-    )
+    raw = reason.cast("binary")
+    # A character has at most four bytes, so one of four cuts falls between characters.
+    cuts = [F.substring(raw, F.lit(1), F.lit(REASON_LIMIT - n)).cast("string") for n in range(4)]
+    whole = F.coalesce(*[F.try_validate_utf8(cut) for cut in cuts])
+    return F.when(F.octet_length(reason) <= REASON_LIMIT, reason).otherwise(F.concat(whole, F.lit("…")))
 
 
 def utc_date(instant: Column) -> Column:

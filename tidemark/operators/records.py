@@ -6,8 +6,8 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions import malformed_reason_of, required, rfc3339, strict_document, truncate_reason
-from tidemark.functions.json_envelope import KNOWN_FIELDS, field
+from tidemark.functions import malformed_reason_of, required, rfc3339, strict_document
+from tidemark.functions.json_envelope import TYPED, UNTYPED, envelope_as
 from tidemark.schema import ENVELOPE_COLUMNS, PROVENANCE, STAGING
 
 
@@ -43,37 +43,33 @@ def parse_envelope(records: DataFrame) -> DataFrame:
         "*",
         F.when(F.is_valid_utf8("__text"), strict_document(F.col("__text"))).alias("__doc"),
     )
-    fields = documents.select(
+    taken = documents.select(
         *rest,
         "value",
         "__text",
         "__doc",
         F.when(F.col("__doc").isNotNull(), F.json_object_keys("__text")).alias("__keys"),
-        *[field(F.col("__doc"), name).alias(f"__{name}") for name in KNOWN_FIELDS],
+        envelope_as(F.col("__doc"), UNTYPED).alias("__raw"),
     )
-    found = {name: F.col(f"__{name}") for name in KNOWN_FIELDS}
-    reason = malformed_reason_of(F.col("value"), F.col("__text"), F.col("__doc"), F.col("__keys"), found)
+    reason = malformed_reason_of(F.col("value"), F.col("__text"), F.col("__doc"), F.col("__keys"), F.col("__raw"))
     # A filter on `malformed` would be pushed below these projections with the whole parse
     # copied into it, once per use. It cannot pass a generator, so the reason is the one
     # element of an exploded array.
-    judged = fields.select(*rest, *found.values(), F.explode(F.array(reason)).alias("__reason"))
+    judged = taken.select(*rest, "__doc", F.explode(F.array(reason)).alias("__reason"))
     good = F.col("__reason").isNull()
-
-    def text_of(name: str) -> Column:
-        return F.when(good, F.try_variant_get(found[name], "$", "string"))
-
-    header = found["event_header"]
-    return judged.select(
-        text_of("event_id").alias("event_id"),
-        text_of("gateway_id").alias("gateway_id"),
-        rfc3339(text_of("received_at")).alias("received_at"),
-        F.when(good, F.coalesce(F.try_variant_get(found["retry_count"], "$", "int"), F.lit(0))).alias("retry_count"),
-        text_of("stream_name").alias("stream_name"),
-        F.when(good & ~F.is_variant_null(header), F.to_json(header)).alias("event_header"),
-        F.when(good, F.to_json(found["payload"])).alias("payload"),
+    typed = judged.select(*rest, "__reason", F.when(good, envelope_as(F.col("__doc"), TYPED)).alias("__env"))
+    header = F.col("__env.event_header")
+    return typed.select(
+        "__env.event_id",
+        "__env.gateway_id",
+        rfc3339(F.col("__env.received_at")).alias("received_at"),
+        F.when(good, F.coalesce("__env.retry_count", F.lit(0))).alias("retry_count"),
+        "__env.stream_name",
+        F.when(~F.is_variant_null(header), F.to_json(header)).alias("event_header"),
+        F.to_json("__env.payload").alias("payload"),
         *rest,
-        F.col("__reason").isNotNull().alias("malformed"),
-        truncate_reason(F.col("__reason")).alias("malformed_reason"),
+        (~good).alias("malformed"),
+        F.col("__reason").alias("malformed_reason"),
     )
 
 

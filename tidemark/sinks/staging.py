@@ -146,7 +146,9 @@ def _merged(incoming: DataFrame, carried: DataFrame | None, ranges: int) -> Data
     if carried is not None:
         rows = rows.unionByName(carried.select(*STAGED.fieldNames(), F.lit(0).alias("__rank")))
     one_offset = W.partitionBy(*LAYOUT_COLUMNS, "kafka_offset").orderBy("__rank")
-    together = rows.repartition(tasks, *LAYOUT_COLUMNS)
+    # Not by `dt`, which the range decides: as a constant it would be folded out of the
+    # window's keys, and the shuffle would no longer match them.
+    together = rows.repartition(tasks, "topic", "part", "range_start")
     chosen = together.withColumn("__nth", F.row_number().over(one_offset)).where("__nth = 1")
     if carried is not None:
         # A range whose new rows were all redelivered ones is not written again.
