@@ -258,6 +258,13 @@ ORACLE = {
         AS object_name, TRUE AS is_sorted FROM summary""",
         SUMMARY,
     ),
+    "published_objects": _sql(
+        """SELECT concat(kafka_topic, '/dt=2026-09-14/', kafka_partition, '-', rs, '-', re, '.parquet')
+        AS object_name, records FROM summary""",
+        SUMMARY,
+    ),
+    "staged_frontier": _sql("SELECT * FROM frontier WHERE commit_offset IS NOT NULL", SUMMARY),
+    "settled_rows": _sql(f"SELECT {RANGE}, records FROM status WHERE outcome <> 'open'", SUMMARY),
     "dirty_ranges": _sql(f"SELECT DISTINCT {RANGE} FROM wire WHERE src_event_id % 2 = 1"),
     "contract_violations": """
         SELECT check_name, CAST(0 AS BIGINT) AS violations FROM (VALUES

@@ -1,16 +1,18 @@
 """Queries over a staging area written from the log."""
 
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import audit
 from tidemark.plans.log_queries import OBJECT_DATE, WIDTH, contract_columns, log_records
-from tidemark.schema import PROVENANCE, RANGE_KEYS, WIRE
+from tidemark.schema import IDLE_MS, PROVENANCE, RANGE_KEYS, WIRE
 from tidemark.session import scratch_dir
 from tidemark.sinks.area import StagingArea
-from tidemark.sinks.staging import read_object, read_staging, stage_batch, stage_log
+from tidemark.sinks.ledger import frontier
+from tidemark.sinks.objects import publish_objects, read_objects
+from tidemark.sinks.staging import read_object, read_settled, read_staging, stage_batch, stage_log
 from tidemark.sources.event_log import event_log
 from tidemark.streaming.ingest import start
 
@@ -100,6 +102,24 @@ def staged_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _range_counts(spark, area)
 
 
+def published_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each object published under its exact name."""
+    root = scratch_dir(spark, "objects")
+    publish_objects(read_staging(spark, staged_log(spark, sf_dir)), root, WIDTH)
+    return read_objects(spark, root).groupBy("object_name").agg(F.count(F.lit(1)).alias("records"))
+
+
+def staged_frontier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The committed offsets as the ledger of the staged log has them."""
+    return frontier(spark, staged_log(spark, sf_dir))
+
+
+def settled_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per range that readers see when open ranges are held back."""
+    rows = read_settled(spark, staged_log(spark, sf_dir), NOW - timedelta(milliseconds=IDLE_MS))
+    return rows.groupBy(*RANGE_KEYS).agg(F.count(F.lit(1)).alias("records"))
+
+
 def dirty_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left to stage when half of the log was."""
     area = _new_area(spark, "half")
@@ -118,4 +138,7 @@ QUERIES = {
     "overwrite_converges": overwrite_converges,
     "staged_stream": staged_stream,
     "dirty_ranges": dirty_ranges,
+    "published_objects": published_objects,
+    "staged_frontier": staged_frontier,
+    "settled_rows": settled_rows,
 }

@@ -14,7 +14,14 @@ from tidemark.operators.ranges import with_outcome
 from tidemark.schema import LEDGER, PARTITION_KEYS
 from tidemark.sinks.area import StagingArea, children, delete, is_written
 
-LEDGER_FILE = T.StructType([*LEDGER.fields, T.StructField("malformed", T.LongType())])
+LEDGER_FILE = T.StructType(
+    [
+        *LEDGER.fields,
+        T.StructField("malformed", T.LongType()),
+        # When the newest row of the range was staged.
+        T.StructField("written_at", T.TimestampType()),
+    ]
+)
 COMPACT_AFTER = 100
 
 
@@ -39,6 +46,7 @@ def _latest(rows: DataFrame) -> DataFrame:
         F.max("last_offset").alias("last_offset"),
         F.max("malformed").alias("malformed"),
         F.max("batch_id").alias("batch_id"),
+        F.max("written_at").alias("written_at"),
     )
 
 
@@ -80,6 +88,11 @@ def record_batch(rows: DataFrame, area: StagingArea, name: str) -> None:
     rows.select(*LEDGER_FILE.fieldNames()).write.mode("overwrite").parquet(f"{area.batches}/{name}")
 
 
+def last_batch_id(spark: SparkSession, area: StagingArea) -> int:
+    row = ledger_rows(spark, area).select(F.max("batch_id").alias("latest")).first()
+    return -1 if row is None or row["latest"] is None else row["latest"]
+
+
 def check_same_width(spark: SparkSession, area: StagingArea, width: int) -> None:
     """Refuse a width other than the one the area was staged with: ranges would overlap."""
     span = F.col("range_end") - F.col("range_start") + 1

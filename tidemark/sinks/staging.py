@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import check_width, range_end, range_start, utc_date
 from tidemark.operators.records import now_utc, parse_envelope, records_of, staging_rows
-from tidemark.schema import LAYOUT_COLUMNS, STAGED, STAGING
+from tidemark.schema import LAYOUT_COLUMNS, STAGED
 from tidemark.session import configure
 from tidemark.sinks import ledger
 from tidemark.sinks.area import StagingArea, children, delete, exists, is_written
@@ -64,9 +64,12 @@ def read_object(spark: SparkSession, area: StagingArea, object_name: str) -> Dat
     return read_staging(spark, area, folder)
 
 
-def _read_ranges(spark: SparkSession, area: StagingArea, ranges: DataFrame) -> DataFrame:
-    """Staged rows of the given ranges, listing only the folders that can hold them."""
+def read_ranges(spark: SparkSession, area: StagingArea, ranges: DataFrame) -> DataFrame:
+    """Staged rows of the given ranges (`topic`, `dt`, `part`, `range_start`), listing only
+    the folders that can hold them."""
     named: list[Row] = ranges.select(*LAYOUT_COLUMNS).limit(NAMED_FOLDERS + 1).collect()
+    if not named:
+        return spark.createDataFrame([], STAGED)
     if len(named) <= NAMED_FOLDERS:
         return read_staging(spark, area, *[area.range_dir(*row) for row in named])
     days = ranges.select("topic", "dt").distinct().collect()
@@ -74,6 +77,17 @@ def _read_ranges(spark: SparkSession, area: StagingArea, ranges: DataFrame) -> D
     return read_staging(spark, area, *folders).join(ranges.select(*LAYOUT_COLUMNS), LAYOUT_COLUMNS, "left_semi")
 
 
+def read_settled(spark: SparkSession, area: StagingArea, quiet_since: datetime) -> DataFrame:
+    """Staged rows without fresh partial ranges.
+
+    A range is settled once it is complete, or was passed by, or has gained nothing since
+    `quiet_since`. The ledger answers that, so no folder of an unsettled range is read.
+    """
+    settled = (F.col("outcome") != "open") | (F.col("written_at") <= F.lit(quiet_since))
+    ranges = ledger.ledger_state(spark, area).where(settled).withColumnRenamed("partition", "part")
+    return read_ranges(spark, area, ranges)
+
+
 def _intent(wire: DataFrame, area: StagingArea, name: str, width: int, now: datetime | None) -> DataFrame:
     spark = wire.sparkSession
     path = f"{area.intents}/{name}"
@@ -113,7 +127,7 @@ def _carried(intent: DataFrame, area: StagingArea, name: str) -> DataFrame:
     staged = intent.where("was_staged")
     path = f"{area.carried}/{name}"
     if not is_written(spark, path):
-        _read_ranges(spark, area, staged).write.mode("overwrite").parquet(path)
+        read_ranges(spark, area, staged).write.mode("overwrite").parquet(path)
     return spark.read.schema(STAGED).parquet(path)
 
 
@@ -158,11 +172,12 @@ def _merged(incoming: DataFrame, carried: DataFrame | None, ranges: int) -> Data
 
 
 def _ledger_rows(intent: DataFrame, area: StagingArea, width: int, batch_id: int) -> DataFrame:
-    staged = _read_ranges(intent.sparkSession, area, intent)
+    staged = read_ranges(intent.sparkSession, area, intent)
     held = staged.groupBy("topic", F.col("part").alias("partition"), "range_start", "dt").agg(
         F.count(F.lit(1)).alias("records"),
         F.max("kafka_offset").alias("last_offset"),
         F.count_if("malformed").alias("malformed"),
+        F.max("ingested_at").alias("written_at"),
     )
     end = range_end(F.col("range_start"), width)
     return ledger.with_ledger_outcome(
@@ -220,24 +235,19 @@ def stage_log(
     wire: DataFrame, area: StagingArea, width: int, now: datetime | None = None, batch_id: int | None = None
 ) -> None:
     """Stage a bounded log. Run it again and nothing changes."""
-    spark = wire.sparkSession
+    spark = configure(wire.sparkSession)
     ledger.check_same_width(spark, area, width)
     if batch_id is None:
-        latest = ledger_rows_max(spark, area)
-        batch_id = latest + 1
+        batch_id = ledger.last_batch_id(spark, area) + 1
     stage_batch(wire, batch_id, area, width, now=now)
 
 
-def ledger_rows_max(spark: SparkSession, area: StagingArea) -> int:
-    row = ledger.ledger_rows(spark, area).select(F.max("batch_id").alias("latest")).first()
-    return -1 if row is None or row["latest"] is None else row["latest"]
-
-
 __all__ = [
-    "STAGING",
     "Publish",
     "publish_ranges",
     "read_object",
+    "read_ranges",
+    "read_settled",
     "read_staging",
     "stage_batch",
     "stage_log",
