@@ -5,11 +5,12 @@ from datetime import datetime, timedelta, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions import object_name
 from tidemark.operators import audit
 from tidemark.plans.log_queries import OBJECT_DATE, WIDTH, contract_columns, log_records
 from tidemark.schema import IDLE_MS, PROVENANCE, RANGE_KEYS, WIRE
 from tidemark.session import scratch_dir
-from tidemark.sinks.area import StagingArea
+from tidemark.sinks.area import ObjectArea, StagingArea
 from tidemark.sinks.ledger import frontier
 from tidemark.sinks.objects import publish_objects, read_objects
 from tidemark.sinks.staging import read_object, read_settled, read_staging, stage_batch, stage_log
@@ -106,7 +107,19 @@ def published_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of each object published under its exact name."""
     root = scratch_dir(spark, "objects")
     publish_objects(read_staging(spark, staged_log(spark, sf_dir)), root, WIDTH)
-    return read_objects(spark, root).groupBy("object_name").agg(F.count(F.lit(1)).alias("records"))
+    name = object_name(
+        F.col("topic"), F.col("part"), F.col("dt"), F.col("range_start"), F.col("range_start") + WIDTH - 1
+    )
+    return read_objects(spark, root).groupBy(name.alias("object_name")).agg(F.count(F.lit(1)).alias("records"))
+
+
+def staged_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log staged under exact names in two deliveries, and read back."""
+    area = ObjectArea(scratch_dir(spark, "object-area"))
+    log = event_log(spark, sf_dir)
+    for half in (0, 1):
+        stage_log(log.where(F.col("src_event_id") % 2 == half), area, WIDTH, now=NOW)
+    return contract_columns(read_staging(spark, area))
 
 
 def staged_frontier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -139,6 +152,7 @@ QUERIES = {
     "staged_stream": staged_stream,
     "dirty_ranges": dirty_ranges,
     "published_objects": published_objects,
+    "staged_objects": staged_objects,
     "staged_frontier": staged_frontier,
     "settled_rows": settled_rows,
 }

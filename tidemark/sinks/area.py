@@ -8,7 +8,9 @@ from pyspark.sql import SparkSession
 
 @dataclass(frozen=True)
 class StagingArea:
-    """`data` is what readers see. `ledger` says what is committed. `intents` and `carried`
+    """A staging area of one folder per range, written and pruned by Spark alone.
+
+    `data` is what readers see. `ledger` says what is committed. `intents` and `carried`
     belong to the batch in flight and make its replay repeat the same writes."""
 
     root: str
@@ -33,9 +35,24 @@ class StagingArea:
     def carried(self) -> str:
         return f"{self.root}/carried"
 
-    def range_dir(self, topic: str, dt: str, part: int, range_start: int) -> str:
+    def range_path(self, topic: str, dt: str, part: int, range_start: int, range_end: int) -> str:
         return f"{self.data}/topic={topic}/dt={dt}/part={part}/range_start={range_start}"
 
+    def day_path(self, topic: str, dt: str) -> str:
+        return f"{self.data}/topic={topic}/dt={dt}"
+
+
+class ObjectArea(StagingArea):
+    """An area of one file per range under its contract name, for readers outside Spark and
+    for backfills of very many ranges: each task puts its objects in place itself, whereas
+    folders are put in place one after another when the job commits."""
+
+    def range_path(self, topic: str, dt: str, part: int, range_start: int, range_end: int) -> str:
+        return f"{self.data}/{topic}/dt={dt}/{part}-{range_start}-{range_end}.parquet"
+
+    def day_path(self, topic: str, dt: str) -> str:
+        return f"{self.data}/{topic}/dt={dt}"
+
 
 def _file_system(spark: SparkSession, path: str) -> tuple[JavaObject, JavaObject]:
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)

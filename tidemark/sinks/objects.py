@@ -17,7 +17,8 @@ from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterComm
 from pyspark.sql.types import StructType
 
 from tidemark.functions import object_name, range_end
-from tidemark.schema import STAGING
+from tidemark.schema import LAYOUT, LAYOUT_COLUMNS, STAGED, STAGING
+from tidemark.sinks.area import children
 
 if TYPE_CHECKING:
     import pyarrow as pa
@@ -97,28 +98,45 @@ class ObjectSource(DataSource):
         return ObjectWriter(self.options["path"])
 
 
+def put_objects(rows: DataFrame, root: str) -> None:
+    """Put each range of `rows` as one object below `root`, replacing its former version.
+
+    A range must lie in one partition of the frame, in offset order.
+    """
+    rows.sparkSession.dataSource.register(ObjectSource)
+    name = object_name(F.col("topic"), F.col("part"), F.col("dt"), F.col("range_start"), F.col("range_end"))
+    named = rows.select(*STAGING.fieldNames(), name.alias("object_name"))
+    named.write.format(FORMAT).mode("overwrite").save(root)
+
+
 def publish_objects(rows: DataFrame, root: str, width: int) -> None:
-    """Put each range of the staged `rows` as one object below `root`, replacing its former
-    version. `rows` must hold ranges whole."""
-    spark = rows.sparkSession
-    spark.dataSource.register(ObjectSource)
-    end = range_end(F.col("range_start"), width)
-    named = rows.select(
-        *STAGING.fieldNames(),
-        object_name(F.col("topic"), F.col("part"), F.col("dt"), F.col("range_start"), end).alias("object_name"),
-    )
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    (
-        named.repartition(tasks, "object_name")
-        .sortWithinPartitions("object_name", "kafka_offset")
-        .write.format(FORMAT)
-        .mode("overwrite")
-        .save(root)
-    )
-
-
-def read_objects(spark: SparkSession, root: str) -> DataFrame:
-    """Rows of all objects below `root`, with the name of the object each is in."""
-    rows = spark.read.schema(STAGING).option("recursiveFileLookup", "true").parquet(root)
-    path = F.col("_metadata.file_path")
-    return rows.select("*", F.regexp_extract(path, r"([^/]+/dt=[^/]+/[^/]+\.parquet)$", 1).alias("object_name"))
+    """Export staged `rows`, which must hold ranges whole, as objects below `root`."""
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    whole = rows.repartition(tasks, "topic", "part", "range_start", "dt")
+    ordered = whole.sortWithinPartitions(*LAYOUT_COLUMNS, "kafka_offset")
+    put_objects(ordered.withColumn("range_end", range_end(F.col("range_start"), width)), root)
+
+
+def read_objects(spark: SparkSession, root: str, *paths: str) -> DataFrame:
+    """Rows of the objects below `root`, or of those named, with their layout columns.
+
+    Each topic is read by itself, so that a filter on `dt` prunes its folders.
+    """
+    stored = StructType([*STAGING.fields, LAYOUT["dt"]])
+    by_topic: dict[str, list[str]] = {}
+    for path in paths or [f"{root}/{topic}" for topic in children(spark, root)]:
+        by_topic.setdefault(path.removeprefix(f"{root}/").split("/")[0], []).append(path)
+    rows = spark.createDataFrame([], STAGED)
+    start = F.split_part(F.col("_metadata.file_name"), F.lit("-"), F.lit(2))
+    for topic, found in by_topic.items():
+        of_topic = spark.read.schema(stored).option("basePath", f"{root}/{topic}").parquet(*found)
+        rows = rows.unionByName(
+            of_topic.select(
+                *STAGING.fieldNames(),
+                F.col("kafka_topic").alias("topic"),
+                "dt",
+                F.col("kafka_partition").alias("part"),
+                start.cast("bigint").alias("range_start"),
+            )
+        )
+    return rows

@@ -14,11 +14,12 @@ A batch goes through four durable steps, in this order:
 A failure before step 4 leaves the ledger as it was.
 """
 
+import time
 from collections.abc import Callable
 from datetime import datetime
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -27,19 +28,24 @@ from tidemark.operators.records import now_utc, parse_envelope, records_of, stag
 from tidemark.schema import LAYOUT_COLUMNS, STAGED
 from tidemark.session import configure
 from tidemark.sinks import ledger
-from tidemark.sinks.area import StagingArea, children, delete, exists, is_written
+from tidemark.sinks.area import ObjectArea, StagingArea, children, delete, exists, is_written
+from tidemark.sinks.objects import put_objects, read_objects
 
-# Up to this many range folders are named one by one; beyond it their topic and date
-# folders are listed and the ranges joined.
-NAMED_FOLDERS = 10_000
+# Up to this many ranges are read by their own paths; beyond it their topic and date folders
+# are listed and the ranges joined.
+NAMED_RANGES = 10_000
 
 Publish = Callable[[DataFrame, StagingArea], None]
 
 
 def publish_ranges(rows: DataFrame, area: StagingArea) -> None:
-    """Replace the folders of the ranges in `rows`, and no others."""
+    """Replace the ranges in `rows`, and no others."""
+    if isinstance(area, ObjectArea):
+        put_objects(rows, area.data)
+        return
     (
-        rows.write.mode("overwrite")
+        rows.select(*STAGED.fieldNames())
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "zstd")
         .partitionBy(*LAYOUT_COLUMNS)
@@ -47,34 +53,47 @@ def publish_ranges(rows: DataFrame, area: StagingArea) -> None:
     )
 
 
-def read_staging(spark: SparkSession, area: StagingArea, *folders: str) -> DataFrame:
+def read_staging(spark: SparkSession, area: StagingArea, *paths: str) -> DataFrame:
     """Staged rows with their layout columns. Filters on those prune folders."""
     configure(spark)
-    reader = spark.read.schema(STAGED).option("basePath", area.data)
-    return reader.parquet(*(folders or (area.data,)))
+    if isinstance(area, ObjectArea):
+        return read_objects(spark, area.data, *paths)
+    return spark.read.schema(STAGED).option("basePath", area.data).parquet(*(paths or (area.data,)))
+
+
+def _path_of(area: StagingArea, object_name: str) -> str:
+    topic, date, file_name = object_name.split("/")
+    part, start, end = file_name.removesuffix(".parquet").split("-")
+    return area.range_path(topic, date.removeprefix("dt="), int(part), int(start), int(end))
 
 
 def read_object(spark: SparkSession, area: StagingArea, object_name: str) -> DataFrame:
     """The rows of one object, found by its name without listing anything else."""
-    topic, date, file_name = object_name.split("/")
-    part, start, _ = file_name.removesuffix(".parquet").split("-")
-    folder = area.range_dir(topic, date.removeprefix("dt="), int(part), int(start))
-    if not exists(spark, folder):
-        return spark.createDataFrame([], STAGED)
-    return read_staging(spark, area, folder)
+    path = _path_of(area, object_name)
+    return read_staging(spark, area, path) if exists(spark, path) else spark.createDataFrame([], STAGED)
+
+
+def wait_for_object(spark: SparkSession, area: StagingArea, object_name: str, seconds: float) -> bool:
+    """Whether the object is there, within `seconds`."""
+    deadline = time.monotonic() + seconds
+    while not exists(spark, _path_of(area, object_name)):
+        if time.monotonic() >= deadline:
+            return False
+        time.sleep(0.2)
+    return True
 
 
 def read_ranges(spark: SparkSession, area: StagingArea, ranges: DataFrame) -> DataFrame:
-    """Staged rows of the given ranges (`topic`, `dt`, `part`, `range_start`), listing only
-    the folders that can hold them."""
-    named: list[Row] = ranges.select(*LAYOUT_COLUMNS).limit(NAMED_FOLDERS + 1).collect()
+    """Staged rows of the given ranges (layout columns and `range_end`), listing only the
+    folders that can hold them."""
+    named: list[Row] = ranges.select(*LAYOUT_COLUMNS, "range_end").limit(NAMED_RANGES + 1).collect()
     if not named:
         return spark.createDataFrame([], STAGED)
-    if len(named) <= NAMED_FOLDERS:
-        return read_staging(spark, area, *[area.range_dir(*row) for row in named])
+    if len(named) <= NAMED_RANGES:
+        return read_staging(spark, area, *[area.range_path(*row) for row in named])
     days = ranges.select("topic", "dt").distinct().collect()
-    folders = [f"{area.data}/topic={row.topic}/dt={row.dt}" for row in days]
-    return read_staging(spark, area, *folders).join(ranges.select(*LAYOUT_COLUMNS), LAYOUT_COLUMNS, "left_semi")
+    rows = read_staging(spark, area, *[area.day_path(row["topic"], row["dt"]) for row in days])
+    return rows.join(ranges.select(*LAYOUT_COLUMNS), LAYOUT_COLUMNS, "left_semi")
 
 
 def read_settled(spark: SparkSession, area: StagingArea, quiet_since: datetime) -> DataFrame:
@@ -113,6 +132,7 @@ def _intent(wire: DataFrame, area: StagingArea, name: str, width: int, now: date
                 F.coalesce("dt", utc_date(written_at)).alias("dt"),
                 F.col("partition").alias("part"),
                 "range_start",
+                range_end(F.col("range_start"), width).alias("range_end"),
                 F.col("dt").isNotNull().alias("was_staged"),
                 written_at.alias("written_at"),
             )
@@ -147,7 +167,7 @@ def _placed(rows: DataFrame, intent: DataFrame, carried: DataFrame | None, width
     return dated.drop("pinned")
 
 
-def _merged(incoming: DataFrame, carried: DataFrame | None, ranges: int) -> DataFrame:
+def _merged(incoming: DataFrame, carried: DataFrame | None, width: int, ranges: int) -> DataFrame:
     """One row per offset, carried rows first, in offset order within each range.
 
     One shuffle brings a range together; its sort serves the choice of rows, the order
@@ -159,6 +179,7 @@ def _merged(incoming: DataFrame, carried: DataFrame | None, ranges: int) -> Data
     rows = incoming.select(*STAGED.fieldNames(), F.lit(1).alias("__rank"))
     if carried is not None:
         rows = rows.unionByName(carried.select(*STAGED.fieldNames(), F.lit(0).alias("__rank")))
+    rows = rows.withColumn("range_end", range_end(F.col("range_start"), width))
     one_offset = W.partitionBy(*LAYOUT_COLUMNS, "kafka_offset").orderBy("__rank")
     # Not by `dt`, which the range decides: as a constant it would be folded out of the
     # window's keys, and the shuffle would no longer match them.
@@ -168,7 +189,7 @@ def _merged(incoming: DataFrame, carried: DataFrame | None, ranges: int) -> Data
         # A range whose new rows were all redelivered ones is not written again.
         chosen = chosen.withColumn("__gained", F.max("__rank").over(W.partitionBy(*LAYOUT_COLUMNS)))
         chosen = chosen.where("__gained = 1")
-    return chosen.select(*STAGED.fieldNames()).sortWithinPartitions(*LAYOUT_COLUMNS, "kafka_offset")
+    return chosen.select(*STAGED.fieldNames(), "range_end").sortWithinPartitions(*LAYOUT_COLUMNS, "kafka_offset")
 
 
 def _ledger_rows(intent: DataFrame, area: StagingArea, width: int, batch_id: int) -> DataFrame:
@@ -194,9 +215,12 @@ def stage_batch(
     now: datetime | None = None,
     publish: Publish = publish_ranges,
     keep: bool = False,
+    counters: Observation | None = None,
 ) -> None:
     """Stage the messages of `wire` as batch `batch_id` of `writer`.
 
+    `counters` receives the batch's `records` and `malformed` as they are written.
+
     `keep` holds the raw messages on the executors while the batch runs, for a source that
     is costly to read twice. One writer at a time may stage into an area.
     """
@@ -222,8 +246,12 @@ def stage_batch(
             return
         carried = _carried(intent, area, name) if plan["staged"] else None
         rows = staging_rows(parse_envelope(records_of(wire)), F.lit(plan["written_at"]))
+        if counters is not None:
+            rows = rows.observe(
+                counters, F.count(F.lit(1)).alias("records"), F.count_if("malformed").alias("malformed")
+            )
         incoming = _placed(rows, intent, carried, width, plan["date"])
-        publish(_merged(incoming, carried, plan["ranges"]), area)
+        publish(_merged(incoming, carried, width, plan["ranges"]), area)
         ledger.record_batch(_ledger_rows(intent, area, width, batch_id), area, name)
         ledger.compact_if_long(spark, area)
     finally:
@@ -251,4 +279,5 @@ __all__ = [
     "read_staging",
     "stage_batch",
     "stage_log",
+    "wait_for_object",
 ]
