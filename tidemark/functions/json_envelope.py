@@ -58,10 +58,9 @@ def malformed_reason_of(value: Column, text: Column, document: Column, keys: Col
     `event_header` may be either.
     """
     reason = F.when(value.isNull(), F.lit(TOMBSTONE_REASON))
-    reason = reason.when(~F.is_valid_utf8(text), F.lit("invalid UTF-8"))
     reason = reason.when(
         ~spans_whole_text(document, text) | (text.contains("\\u") & text.rlike(LONE_SURROGATE)),
-        F.lit("invalid JSON"),
+        F.when(F.is_valid_utf8(text), F.lit("invalid JSON")).otherwise(F.lit("invalid UTF-8")),
     )
     reason = reason.when(untyped.isNull(), F.lit("not an object"))
     repeated = (F.size(keys) > F.size(F.array_distinct(keys))) & F.to_json(keys).rlike(REPEATED_FIELD)

@@ -7,10 +7,12 @@ cuts its Arrow batches where the name changes.
 """
 
 import posixpath
+import sys
 import uuid
 from collections.abc import Iterator
 from typing import TYPE_CHECKING
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
@@ -103,6 +105,8 @@ def put_objects(rows: DataFrame, root: str) -> None:
 
     A range must lie in one partition of the frame, in offset order.
     """
+    # The writer travels with the job, so that executors need no copy of this package.
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     rows.sparkSession.dataSource.register(ObjectSource)
     name = object_name(F.col("topic"), F.col("part"), F.col("dt"), F.col("range_start"), F.col("range_end"))
     named = rows.select(*STAGING.fieldNames(), name.alias("object_name"))
