@@ -29,3 +29,11 @@ def test_position_is_a_plain_row_number(spark, block):
     df = spark.createDataFrame(rows, "k string, o bigint")
     got = {(r.k, r.o): r.n for r in with_position(df, ["k"], "o", "n", block).collect()}
     assert got == {(k, o): n for k, offsets in keyed.items() for n, o in enumerate(offsets)}
+
+
+def test_blocks_at_the_top_of_the_offset_space(spark):
+    top = 2**63 - 1
+    offsets = [0, 2**53, 2**53 + 1, top - 200, top - 1, top]
+    df = spark.createDataFrame([("k", o) for o in offsets], "k string, o bigint")
+    found = with_previous(df, ["k"], "o", ["o"], 3).orderBy("o").collect()
+    assert [None if r.previous is None else r.previous.o for r in found] == [None, *offsets[:-1]]

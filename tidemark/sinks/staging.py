@@ -83,19 +83,28 @@ def wait_for_object(spark: SparkSession, area: StagingArea, object_name: str, se
     return True
 
 
-def read_ranges(spark: SparkSession, area: StagingArea, ranges: DataFrame) -> DataFrame:
-    """Staged rows of the given ranges (layout columns and `range_end`), listing only the
-    folders that can hold them."""
-    named: list[Row] = ranges.select(*LAYOUT_COLUMNS, "range_end").limit(NAMED_RANGES + 1).collect()
+def _named(ranges: DataFrame) -> list[Row]:
+    """The ranges themselves if they are few, else one more than `NAMED_RANGES` of them."""
+    return ranges.limit(NAMED_RANGES + 1).collect()
+
+
+def _read_named(spark: SparkSession, area: StagingArea, ranges: DataFrame, named: list[Row]) -> DataFrame:
     if not named:
         return spark.createDataFrame([], STAGED)
     if len(named) <= NAMED_RANGES:
-        return read_staging(spark, area, *[area.range_path(*row) for row in named])
+        return read_staging(spark, area, *[area.range_path(*(row[c] for c in (*LAYOUT_COLUMNS, "range_end"))) for row in named])
     days = ranges.select("topic", "dt").distinct().collect()
     rows = read_staging(spark, area, *[area.day_path(row["topic"], row["dt"]) for row in days])
     return rows.join(ranges.select(*LAYOUT_COLUMNS), LAYOUT_COLUMNS, "left_semi")
 
 
+def read_ranges(spark: SparkSession, area: StagingArea, ranges: DataFrame) -> DataFrame:
+    """Staged rows of the given ranges (layout columns and `range_end`), listing only the
+    folders that can hold them."""
+    wanted = ranges.select(*LAYOUT_COLUMNS, "range_end")
+    return _read_named(spark, area, wanted, _named(wanted))
+
+
 def read_settled(spark: SparkSession, area: StagingArea, quiet_since: datetime) -> DataFrame:
     """Staged rows without fresh partial ranges.
 
@@ -134,6 +143,7 @@ def _intent(wire: DataFrame, area: StagingArea, name: str, width: int, now: date
                 "range_start",
                 range_end(F.col("range_start"), width).alias("range_end"),
                 F.col("dt").isNotNull().alias("was_staged"),
+                utc_date(written_at).alias("write_date"),
                 written_at.alias("written_at"),
             )
             .write.mode("overwrite")
@@ -142,12 +152,19 @@ def _intent(wire: DataFrame, area: StagingArea, name: str, width: int, now: date
     return spark.read.parquet(path)
 
 
-def _carried(intent: DataFrame, area: StagingArea, name: str) -> DataFrame:
+def _carried(intent: DataFrame, named: list[Row], area: StagingArea, name: str) -> DataFrame | None:
+    """A copy of what re-touched ranges hold, or nothing if there are none."""
     spark = intent.sparkSession
     staged = intent.where("was_staged")
+    if len(named) <= NAMED_RANGES:
+        named = [row for row in named if row["was_staged"]]
+    else:
+        named = _named(staged)
+    if not named:
+        return None
     path = f"{area.carried}/{name}"
     if not is_written(spark, path):
-        read_ranges(spark, area, staged).write.mode("overwrite").parquet(path)
+        _read_named(spark, area, staged, named).write.mode("overwrite").parquet(path)
     return spark.read.schema(STAGED).parquet(path)
 
 
@@ -167,15 +184,16 @@ def _placed(rows: DataFrame, intent: DataFrame, carried: DataFrame | None, width
     return dated.drop("pinned")
 
 
-def _merged(incoming: DataFrame, carried: DataFrame | None, width: int, ranges: int) -> DataFrame:
+def _merged(incoming: DataFrame, carried: DataFrame | None, width: int, ranges: int | None) -> DataFrame:
     """One row per offset, carried rows first, in offset order within each range.
 
     One shuffle brings a range together; its sort serves the choice of rows, the order
-    inside the file and the writer, which keeps one file open at a time. Few ranges get a
-    task each; many share the session's shuffle partitions. Coalescing by size would leave
-    a batch of many small files to one task.
+    inside the file and the writer, which keeps one file open at a time. A few `ranges` get
+    a task each; many (None) share the session's shuffle partitions. Coalescing by size
+    would leave a batch of many small files to one task.
     """
-    tasks = min(ranges, int(incoming.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    tasks = int(incoming.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = min(tasks, ranges) if ranges is not None else tasks
     rows = incoming.select(*STAGED.fieldNames(), F.lit(1).alias("__rank"))
     if carried is not None:
         rows = rows.unionByName(carried.select(*STAGED.fieldNames(), F.lit(0).alias("__rank")))
@@ -192,8 +210,8 @@ def _merged(incoming: DataFrame, carried: DataFrame | None, width: int, ranges:
     return chosen.select(*STAGED.fieldNames(), "range_end").sortWithinPartitions(*LAYOUT_COLUMNS, "kafka_offset")
 
 
-def _ledger_rows(intent: DataFrame, area: StagingArea, width: int, batch_id: int) -> DataFrame:
-    staged = read_ranges(intent.sparkSession, area, intent)
+def _ledger_rows(intent: DataFrame, named: list[Row], area: StagingArea, width: int, batch_id: int) -> DataFrame:
+    staged = _read_named(intent.sparkSession, area, intent, named)
     held = staged.groupBy("topic", F.col("part").alias("partition"), "range_start", "dt").agg(
         F.count(F.lit(1)).alias("records"),
         F.max("kafka_offset").alias("last_offset"),
@@ -236,23 +254,19 @@ def stage_batch(
         wire = wire.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         intent = _intent(wire, area, name, width, now)
-        plan = intent.agg(
-            F.count(F.lit(1)).alias("ranges"),
-            F.count_if("was_staged").alias("staged"),
-            F.max("written_at").alias("written_at"),
-            F.max(utc_date(F.col("written_at"))).alias("date"),
-        ).first()
-        if plan is None or plan["ranges"] == 0:
+        named = _named(intent)
+        if not named:
             return
-        carried = _carried(intent, area, name) if plan["staged"] else None
-        rows = staging_rows(parse_envelope(records_of(wire)), F.lit(plan["written_at"]))
+        written_at, few = named[0]["written_at"], len(named) <= NAMED_RANGES
+        carried = _carried(intent, named, area, name)
+        rows = staging_rows(parse_envelope(records_of(wire)), F.lit(written_at))
         if counters is not None:
             rows = rows.observe(
                 counters, F.count(F.lit(1)).alias("records"), F.count_if("malformed").alias("malformed")
             )
-        incoming = _placed(rows, intent, carried, width, plan["date"])
-        publish(_merged(incoming, carried, width, plan["ranges"]), area)
-        ledger.record_batch(_ledger_rows(intent, area, width, batch_id), area, name)
+        incoming = _placed(rows, intent, carried, width, named[0]["write_date"])
+        publish(_merged(incoming, carried, width, len(named) if few else None), area)
+        ledger.record_batch(_ledger_rows(intent, named, area, width, batch_id), area, name)
         ledger.compact_if_long(spark, area)
     finally:
         if keep:
