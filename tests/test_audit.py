@@ -14,9 +14,10 @@ def rows(spark, offsets, partition=0):
     return spark.createDataFrame([("t", partition, o) for o in offsets], KEYS)
 
 
-def test_gaps_across_blocks_and_duplicates(spark):
+@pytest.mark.parametrize("copies", [False, True])
+def test_gaps_across_blocks_and_duplicates(spark, copies):
     offsets = [0, 1, 1, 4, 65_535, 65_536, 200_000, 200_002]
-    found = audit.offset_gaps(rows(spark, offsets)).orderBy("gap_start").collect()
+    found = audit.offset_gaps(rows(spark, offsets), copies).orderBy("gap_start").collect()
     assert [(r.gap_start, r.gap_end, r.missing) for r in found] == [
         (2, 3, 2),
         (5, 65_534, 65_530),

@@ -13,7 +13,7 @@ from tidemark.schema import STAGING
 from tidemark.session import scratch_dir
 from tidemark.sinks import ledger, staging
 from tidemark.sinks.area import ObjectArea, StagingArea, children
-from tidemark.sinks.staging import read_object, read_settled, read_staging, stage_batch, stage_log, wait_for_object
+from tidemark.sinks.staging import read_day, read_object, read_settled, read_staging, stage_batch, stage_log, wait_for_object
 
 
 @pytest.fixture(params=[StagingArea, ObjectArea])
@@ -100,6 +100,22 @@ def test_redelivered_rows_do_not_double_and_the_staged_row_wins(spark, area):
     assert rows[1].ingested_at == rows[0].ingested_at != rows[2].ingested_at
 
 
+def test_many_copies_of_one_offset(spark, area, monkeypatch):
+    rows = wire(spark, *[message(1)] * 50, message(0), message(2))
+    stage_log(rows, area, 4, now=NOW)
+    assert offsets(spark, area) == [0, 1, 2]
+    monkeypatch.setattr(staging, "NAMED_RANGES", 0)
+    stage_log(wire(spark, *[message(3)] * 50, message(1)), area, 4, now=NOW)
+    assert offsets(spark, area) == [0, 1, 2, 3]
+    assert committed(spark, area) == [4]
+
+
+def test_one_day(spark, area):
+    stage_log(log(spark, range(3)), area, 4, now=NOW)
+    assert read_day(spark, area, "ingestion-events", "2026-09-14").count() == 3
+    assert read_day(spark, area, "ingestion-events", "2026-09-15").count() == 0
+
+
 def test_nothing_new_writes_nothing(spark, area):
     stage_log(log(spark, range(6)), area, 4, now=NOW)
     before = stored(area)

@@ -51,7 +51,9 @@ def test_a_partial_range_is_published_and_completed_after_a_restart(inbox):
 def test_many_micro_batches(inbox):
     for n in range(6):
         inbox.arrive(message(2 * n), message(2 * n + 1), message(n, partition=1, value="{not json"))
-    inbox.drain()
+    told = []
+    inbox.drain(on_batch=lambda batch, counts: told.append((batch, counts)))
+    assert told == [(n, {"records": 3, "malformed": 1}) for n in range(6)]
     assert inbox.offsets() == sorted([*range(12), *range(6)])
     assert inbox.committed() == [5, 10]
     assert ledger.ledger_stats(inbox.spark, inbox.area).first().malformed == 6

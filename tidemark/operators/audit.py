@@ -9,9 +9,15 @@ from tidemark.operators.ordered import with_previous
 from tidemark.schema import ENVELOPE_COLUMNS, PARTITION_KEYS, PROVENANCE, RANGE_KEYS, STAGING
 
 
-def offset_gaps(rows: DataFrame) -> DataFrame:
-    """Runs of offsets missing between two present ones of a partition."""
+def offset_gaps(rows: DataFrame, copies: bool = False) -> DataFrame:
+    """Runs of offsets missing between two present ones of a partition.
+
+    With `copies`, rows of one offset are merged before they are brought together. A log
+    has none; a staging area may.
+    """
     keys = rows.select(*PROVENANCE)
+    if copies:
+        keys = keys.distinct()
     previous = F.col("previous.kafka_offset")
     return (
         with_previous(keys, PARTITION_KEYS, "kafka_offset", ["kafka_offset"])

@@ -61,6 +61,12 @@ def read_staging(spark: SparkSession, area: StagingArea, *paths: str) -> DataFra
     return spark.read.schema(STAGED).option("basePath", area.data).parquet(*(paths or (area.data,)))
 
 
+def read_day(spark: SparkSession, area: StagingArea, topic: str, date: str) -> DataFrame:
+    """Staged rows of one topic and write date, listing only its folder."""
+    path = area.day_path(topic, date)
+    return read_staging(spark, area, path) if exists(spark, path) else spark.createDataFrame([], STAGED)
+
+
 def _path_of(area: StagingArea, object_name: str) -> str:
     topic, date, file_name = object_name.split("/")
     part, start, end = file_name.removesuffix(".parquet").split("-")
@@ -122,12 +128,12 @@ def _intent(wire: DataFrame, area: StagingArea, name: str, width: int, now: date
     if not is_written(spark, path):
         touched = (
             records_of(wire)
-            .select(
+            .groupBy(
                 F.col("kafka_topic").alias("topic"),
                 F.col("kafka_partition").alias("partition"),
                 range_start(F.col("kafka_offset"), width).alias("range_start"),
             )
-            .distinct()
+            .agg(F.count(F.lit(1)).alias("arrived"))
         )
         written_at = F.lit(now or now_utc()).cast("timestamp")
         keys = ["topic", "partition", "range_start"]
@@ -142,6 +148,7 @@ def _intent(wire: DataFrame, area: StagingArea, name: str, width: int, now: date
                 F.col("partition").alias("part"),
                 "range_start",
                 range_end(F.col("range_start"), width).alias("range_end"),
+                "arrived",
                 F.col("dt").isNotNull().alias("was_staged"),
                 utc_date(written_at).alias("write_date"),
                 written_at.alias("written_at"),
@@ -168,6 +175,23 @@ def _carried(intent: DataFrame, named: list[Row], area: StagingArea, name: str)
     return spark.read.schema(STAGED).parquet(path)
 
 
+def _one_copy(wire: DataFrame, intent: DataFrame, named: list[Row], width: int) -> DataFrame:
+    """The messages, without copies if some range received more rows than it has offsets.
+
+    A range is brought into one task, which its width bounds as long as offsets are unique,
+    as they are in a log. Where they are not, copies go first: each task keeps one of its
+    own, and what is left is shuffled by offset.
+    """
+    if len(named) <= NAMED_RANGES:
+        crowded = any(row["arrived"] > width for row in named)
+    else:
+        crowded = not intent.where(F.col("arrived") > width).isEmpty()
+    if not crowded:
+        return wire
+    copies = W.partitionBy("topic", "partition", "offset").orderBy("timestamp")
+    return wire.withColumn("__copy", F.row_number().over(copies)).where("__copy = 1").drop("__copy")
+
+
 def _placed(rows: DataFrame, intent: DataFrame, carried: DataFrame | None, width: int, write_date: str) -> DataFrame:
     """Rows with their layout columns. A range staged before keeps its date."""
     placed = rows.select(
@@ -234,8 +258,8 @@ def stage_batch(
     publish: Publish = publish_ranges,
     keep: bool = False,
     counters: Observation | None = None,
-) -> None:
-    """Stage the messages of `wire` as batch `batch_id` of `writer`.
+) -> bool:
+    """Stage the messages of `wire` as batch `batch_id` of `writer`, if there are any.
 
     `counters` receives the batch's `records` and `malformed` as they are written.
 
@@ -256,10 +280,11 @@ def stage_batch(
         intent = _intent(wire, area, name, width, now)
         named = _named(intent)
         if not named:
-            return
+            return False
         written_at, few = named[0]["written_at"], len(named) <= NAMED_RANGES
         carried = _carried(intent, named, area, name)
-        rows = staging_rows(parse_envelope(records_of(wire)), F.lit(written_at))
+        messages = _one_copy(wire, intent, named, width)
+        rows = staging_rows(parse_envelope(records_of(messages)), F.lit(written_at))
         if counters is not None:
             rows = rows.observe(
                 counters, F.count(F.lit(1)).alias("records"), F.count_if("malformed").alias("malformed")
@@ -268,6 +293,7 @@ def stage_batch(
         publish(_merged(incoming, carried, width, len(named) if few else None), area)
         ledger.record_batch(_ledger_rows(intent, named, area, width, batch_id), area, name)
         ledger.compact_if_long(spark, area)
+        return True
     finally:
         if keep:
             wire.unpersist()
@@ -287,6 +313,7 @@ def stage_log(
 __all__ = [
     "Publish",
     "publish_ranges",
+    "read_day",
     "read_object",
     "read_ranges",
     "read_settled",

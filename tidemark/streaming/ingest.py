@@ -1,9 +1,10 @@
 """Continuous staging: micro-batches of a log stream through `stage_batch`."""
 
 import hashlib
+from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql.streaming.query import StreamingQuery
 
 from tidemark.schema import IDLE_MS, RANGE_WIDTH
@@ -22,12 +23,14 @@ def start(
     drain: bool = False,
     now: datetime | None = None,
     publish: Publish = publish_ranges,
+    on_batch: Callable[[int, dict[str, int]], None] | None = None,
 ) -> StreamingQuery:
     """Stage a stream until stopped, or until it is drained.
 
     Every trigger publishes the ranges it touched, so nothing is held back longer than
     `idle_ms` and nothing is buffered at shutdown. There is no watermark and no lateness
-    cut: a late message is filed under the date it is written.
+    cut: a late message is filed under the date it is written. `on_batch` is told the
+    `records` and `malformed` of each batch once it is in the ledger.
     """
     spark = configure(wire.sparkSession)
     ledger.check_same_width(spark, area, width)
@@ -35,7 +38,12 @@ def start(
     writer = "stream" + hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
 
     def stage(batch: DataFrame, batch_id: int) -> None:
-        stage_batch(batch, batch_id, area, width, writer=writer, now=now, publish=publish, keep=True)
+        counters = Observation(f"{writer}-{batch_id}")
+        staged = stage_batch(
+            batch, batch_id, area, width, writer=writer, now=now, publish=publish, keep=True, counters=counters
+        )
+        if staged and on_batch is not None:
+            on_batch(batch_id, counters.get)
 
     stream = wire.writeStream.foreachBatch(stage).option("checkpointLocation", checkpoint)
     if drain:
