@@ -13,6 +13,7 @@ from tidemark.schema import STAGING
 from tidemark.session import scratch_dir
 from tidemark.sinks import ledger, staging
 from tidemark.sinks.area import ObjectArea, StagingArea, children
+from tidemark.sinks.settled import publish_settled
 from tidemark.sinks.staging import read_day, read_object, read_settled, read_staging, stage_batch, stage_log, wait_for_object
 
 
@@ -302,6 +303,26 @@ def test_settled_rows_leave_out_fresh_partial_ranges(spark, area):
     assert quiet.count() == 6
 
 
+@pytest.mark.parametrize("kind", [StagingArea, ObjectArea])
+def test_only_settled_ranges_are_published(spark, area, kind):
+    shown = kind(scratch_dir(spark, "shown"))
+    fresh = NOW - timedelta(seconds=30)
+    stage_log(log(spark, range(6)), area, 4, now=NOW)
+    assert publish_settled(spark, area, shown, 4, fresh)
+    assert offsets(spark, shown) == [0, 1, 2, 3]
+    assert committed(spark, shown) == [4]
+    # Nothing settled since; then the open range goes quiet, and later it is completed.
+    assert not publish_settled(spark, area, shown, 4, fresh)
+    assert publish_settled(spark, area, shown, 4, NOW)
+    assert offsets(spark, shown) == [0, 1, 2, 3, 4, 5]
+    assert committed(spark, shown) == [4]
+    stage_log(log(spark, [6, 7]), area, 4, now=NOW)
+    assert publish_settled(spark, area, shown, 4, fresh)
+    assert offsets(spark, shown) == list(range(8))
+    assert committed(spark, shown) == [8]
+    assert len(files(shown)) == 2
+
+
 def test_contract_violations_are_found(spark, area):
     stage_log(wire(spark, message(0), message(1, value="x")), area, 4, now=NOW)
     rows = read_staging(spark, area)

@@ -266,6 +266,7 @@ ORACLE = {
     "staged_objects": _sql(CONTRACT, JUDGED),
     "staged_frontier": _sql("SELECT * FROM frontier WHERE commit_offset IS NOT NULL", SUMMARY),
     "settled_rows": _sql(f"SELECT {RANGE}, records FROM status WHERE outcome <> 'open'", SUMMARY),
+    "settled_ranges": _sql(f"SELECT {RANGE}, records FROM status WHERE outcome <> 'open'", SUMMARY),
     "dirty_ranges": _sql(f"SELECT DISTINCT {RANGE} FROM wire WHERE src_event_id % 2 = 1"),
     "contract_violations": """
         SELECT check_name, CAST(0 AS BIGINT) AS violations FROM (VALUES

@@ -13,6 +13,7 @@ from tidemark.session import scratch_dir
 from tidemark.sinks.area import ObjectArea, StagingArea
 from tidemark.sinks.ledger import frontier
 from tidemark.sinks.objects import publish_objects, read_objects
+from tidemark.sinks.settled import publish_settled
 from tidemark.sinks.staging import read_object, read_settled, read_staging, stage_batch, stage_log
 from tidemark.sources.event_log import event_log
 from tidemark.streaming.ingest import start
@@ -133,6 +134,13 @@ def settled_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy(*RANGE_KEYS).agg(F.count(F.lit(1)).alias("records"))
 
 
+def settled_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per range in an area that receives settled ranges only."""
+    published = _new_area(spark, "settled")
+    publish_settled(spark, staged_log(spark, sf_dir), published, WIDTH, NOW - timedelta(milliseconds=IDLE_MS))
+    return _range_counts(spark, published)
+
+
 def dirty_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left to stage when half of the log was."""
     area = _new_area(spark, "half")
@@ -155,4 +163,5 @@ QUERIES = {
     "staged_objects": staged_objects,
     "staged_frontier": staged_frontier,
     "settled_rows": settled_rows,
+    "settled_ranges": settled_ranges,
 }
