@@ -32,7 +32,8 @@ def test_log_and_staging_differ_both_ways(spark):
 
 
 def test_unsafe_commits(spark):
-    position = spark.createDataFrame([("t", 0, 3), ("t", 1, None)], "kafka_topic string, kafka_partition int, commit_offset bigint")
+    schema = "kafka_topic string, kafka_partition int, commit_offset bigint"
+    position = spark.createDataFrame([("t", 0, 3), ("t", 1, None)], schema)
     log = rows(spark, range(6)).union(rows(spark, range(3), partition=1))
     found = audit.unsafe_commits(log, rows(spark, [0, 2]), position).collect()
     assert [(r.kafka_partition, r.kafka_offset) for r in found] == [(0, 1)]

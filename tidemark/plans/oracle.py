@@ -108,7 +108,8 @@ ORACLE = {
     "range_assign": _sql(f"SELECT {KEY}, rs AS range_start, re AS range_end FROM wire"),
     "range_summary": _sql(f"SELECT {RANGE}, re AS range_end, records, last_offset FROM summary", SUMMARY),
     "range_status": _sql(
-        f"SELECT {RANGE}, re AS range_end, re - rs + 1 AS width, records, last_offset, is_complete, outcome FROM status",
+        f"""SELECT {RANGE}, re AS range_end, re - rs + 1 AS width, records, last_offset, is_complete, outcome
+        FROM status""",
         SUMMARY,
     ),
     "range_scan": _sql(f"SELECT {KEY} FROM wire WHERE kafka_offset BETWEEN 100 AND 149"),

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions import commit_offset, is_complete
 from tidemark.operators.ranges import with_outcome
-from tidemark.schema import LEDGER, PARTITION_KEYS
+from tidemark.schema import LEDGER, PARTITION_KEYS, RANGE_KEYS
 from tidemark.sinks.area import StagingArea, children, delete, is_written
 
 LEDGER_FILE = T.StructType(
@@ -73,6 +73,12 @@ def staged_dates(spark: SparkSession, area: StagingArea, touched: DataFrame) ->
     return rows.join(touched.select(*keys), keys, "left_semi").groupBy(*keys).agg(F.min("dt").alias("dt"))
 
 
+def staged_ranges(spark: SparkSession, area: StagingArea) -> DataFrame:
+    """The ranges of the area and their dates, for audits that need no rows."""
+    names = {"topic": "kafka_topic", "partition": "kafka_partition"}
+    return ledger_rows(spark, area).withColumnsRenamed(names).select(*RANGE_KEYS, "range_end", "dt").distinct()
+
+
 def frontier(spark: SparkSession, area: StagingArea) -> DataFrame:
     """The committed offset of each partition: the next offset to read."""
     return (

@@ -53,7 +53,8 @@ class ObjectWriter(DataSourceArrowWriter):
         from pyarrow import fs
 
         if "://" in self.root or self.root.startswith("file:"):
-            target, base = fs.FileSystem.from_uri(self.root)
+            # Arrow knows Hadoop's `s3a` as `s3`.
+            target, base = fs.FileSystem.from_uri(self.root.replace("s3a://", "s3://", 1))
         else:
             target, base = fs.LocalFileSystem(), self.root
         name, pieces = None, []

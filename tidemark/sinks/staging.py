@@ -98,7 +98,8 @@ def _read_named(spark: SparkSession, area: StagingArea, ranges: DataFrame, named
     if not named:
         return spark.createDataFrame([], STAGED)
     if len(named) <= NAMED_RANGES:
-        return read_staging(spark, area, *[area.range_path(*(row[c] for c in (*LAYOUT_COLUMNS, "range_end"))) for row in named])
+        places = [tuple(row[c] for c in (*LAYOUT_COLUMNS, "range_end")) for row in named]
+        return read_staging(spark, area, *[area.range_path(*place) for place in places])
     days = ranges.select("topic", "dt").distinct().collect()
     rows = read_staging(spark, area, *[area.day_path(row["topic"], row["dt"]) for row in days])
     return rows.join(ranges.select(*LAYOUT_COLUMNS), LAYOUT_COLUMNS, "left_semi")
@@ -137,7 +138,7 @@ def _intent(wire: DataFrame, area: StagingArea, name: str, width: int, now: date
         )
         written_at = F.lit(now or now_utc()).cast("timestamp")
         keys = ["topic", "partition", "range_start"]
-        if any(is_written(spark, f"{place}/{n}") for place in (area.snapshots, area.batches) for n in children(spark, place)):
+        if children(spark, area.snapshots) or children(spark, area.batches):
             touched = touched.join(ledger.staged_dates(spark, area, touched), keys, "left")
         else:
             touched = touched.withColumn("dt", F.lit(None).cast("string"))
