@@ -35,6 +35,8 @@ from tidemark.sinks.objects import put_objects, read_objects
 # are listed and the ranges joined.
 NAMED_RANGES = 10_000
 
+RANGE = ["topic", "part", "range_start"]
+
 Publish = Callable[[DataFrame, StagingArea], None]
 
 
@@ -203,12 +205,25 @@ def _placed(rows: DataFrame, intent: DataFrame, carried: DataFrame | None, width
     )
     if carried is None:
         return placed.withColumn("dt", F.lit(write_date))
-    keys = ["topic", "part", "range_start"]
-    pinned = intent.where("was_staged").select(*keys, F.col("dt").alias("pinned"))
-    dated = placed.join(pinned, keys, "left").withColumn("dt", F.coalesce("pinned", F.lit(write_date)))
+    pinned = intent.where("was_staged").select(*RANGE, F.col("dt").alias("pinned"))
+    dated = placed.join(pinned, RANGE, "left").withColumn("dt", F.coalesce("pinned", F.lit(write_date)))
     return dated.drop("pinned")
 
 
+def _without_gain(wire: DataFrame, intent: DataFrame, carried: DataFrame, width: int) -> DataFrame:
+    """Ranges staged before that only get rows they hold already. Reads keys, no values."""
+    staged = intent.where("was_staged").select(*RANGE)
+    arrived = records_of(wire).select(
+        F.col("kafka_topic").alias("topic"),
+        F.col("kafka_partition").alias("part"),
+        "kafka_offset",
+        range_start(F.col("kafka_offset"), width).alias("range_start"),
+    )
+    held = carried.select("topic", "part", "kafka_offset")
+    new = arrived.join(staged, RANGE, "left_semi").join(held, held.columns, "left_anti")
+    return staged.join(new, RANGE, "left_anti")
+
+
 def _merged(incoming: DataFrame, carried: DataFrame | None, width: int, ranges: int | None) -> DataFrame:
     """One row per offset, carried rows first, in offset order within each range.
 
@@ -226,12 +241,8 @@ def _merged(incoming: DataFrame, carried: DataFrame | None, width: int, ranges:
     one_offset = W.partitionBy(*LAYOUT_COLUMNS, "kafka_offset").orderBy("__rank")
     # Not by `dt`, which the range decides: as a constant it would be folded out of the
     # window's keys, and the shuffle would no longer match them.
-    together = rows.repartition(tasks, "topic", "part", "range_start")
+    together = rows.repartition(tasks, *RANGE)
     chosen = together.withColumn("__nth", F.row_number().over(one_offset)).where("__nth = 1")
-    if carried is not None:
-        # A range whose new rows were all redelivered ones is not written again.
-        chosen = chosen.withColumn("__gained", F.max("__rank").over(W.partitionBy(*LAYOUT_COLUMNS)))
-        chosen = chosen.where("__gained = 1")
     return chosen.select(*STAGED.fieldNames(), "range_end").sortWithinPartitions(*LAYOUT_COLUMNS, "kafka_offset")
 
 
@@ -291,6 +302,11 @@ def stage_batch(
                 counters, F.count(F.lit(1)).alias("records"), F.count_if("malformed").alias("malformed")
             )
         incoming = _placed(rows, intent, carried, width, named[0]["write_date"])
+        if carried is not None:
+            idle = _without_gain(wire, intent, carried, width)
+            if not idle.isEmpty():
+                incoming = incoming.join(idle, RANGE, "left_anti")
+                carried = carried.join(idle, RANGE, "left_anti")
         publish(_merged(incoming, carried, width, len(named) if few else None), area)
         ledger.record_batch(_ledger_rows(intent, named, area, width, batch_id), area, name)
         ledger.compact_if_long(spark, area)
