@@ -143,6 +143,12 @@ def test_missing_broker_timestamp(spark):
     assert one(spark, envelope(1)).kafka_timestamp is not None
 
 
+def test_broker_timestamp_without_a_type(spark):
+    topic, partition, offset, stamp, _, value = message(7)
+    row = records_of(wire(spark, (topic, partition, offset, stamp, None, value))).first()
+    assert row.kafka_timestamp is not None
+
+
 def test_broker_timestamp_is_kept_in_milliseconds(spark):
     stamp = STAMP.replace(microsecond=123456)
     micros = parse_envelope(records_of(wire(spark, message(7, stamp=stamp)))).select(F.unix_micros("kafka_timestamp"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import malformed_reason_of, required, rfc3339, strict_document
 from tidemark.functions.json_envelope import TYPED, UNTYPED, envelope_as
 from tidemark.schema import STAGING
+from tidemark.session import configure
 
 
 def records_of(wire: DataFrame) -> DataFrame:
@@ -19,7 +20,7 @@ def records_of(wire: DataFrame) -> DataFrame:
     """
     rest = [c for c in wire.columns if c not in {"topic", "partition", "offset", "timestamp", "timestampType", "value"}]
     offset = F.when(F.col("offset") < 0, F.raise_error(F.lit("negative log offset"))).otherwise(F.col("offset"))
-    stamp = F.when(F.col("timestampType") != -1, F.date_trunc("millisecond", "timestamp"))
+    stamp = F.when(~F.col("timestampType").eqNullSafe(-1), F.date_trunc("millisecond", "timestamp"))
     return wire.select(
         F.col("topic").alias("kafka_topic"),
         F.col("partition").alias("kafka_partition"),
@@ -36,6 +37,7 @@ def parse_envelope(records: DataFrame) -> DataFrame:
     Never fails on a message: an unreadable one keeps its provenance, carries a reason
     and has NULL in every envelope column.
     """
+    configure(records.sparkSession)
     rest = [F.col(c) for c in records.columns if c != "value"]
     # Separate projections, so that the document is parsed once per row and not once per use.
     texts = records.select(*rest, "value", F.col("value").cast("string").alias("__text"))
