@@ -67,10 +67,15 @@ def ledger_state(spark: SparkSession, area: StagingArea) -> DataFrame:
 
 
 def staged_dates(spark: SparkSession, area: StagingArea, touched: DataFrame) -> DataFrame:
-    """The pinned date of those touched ranges that were staged before."""
+    """The pinned date and the last staged offset of those touched ranges that were staged
+    before."""
     keys = ["topic", "partition", "range_start"]
-    rows = ledger_rows(spark, area).select(*keys, "dt")
-    return rows.join(touched.select(*keys), keys, "left_semi").groupBy(*keys).agg(F.min("dt").alias("dt"))
+    rows = ledger_rows(spark, area).select(*keys, "dt", "last_offset")
+    return (
+        rows.join(touched.select(*keys), keys, "left_semi")
+        .groupBy(*keys)
+        .agg(F.min("dt").alias("dt"), F.max("last_offset").alias("staged_through"))
+    )
 
 
 def staged_ranges(spark: SparkSession, area: StagingArea) -> DataFrame:

@@ -136,14 +136,16 @@ def _intent(wire: DataFrame, area: StagingArea, name: str, width: int, now: date
                 F.col("kafka_partition").alias("partition"),
                 range_start(F.col("kafka_offset"), width).alias("range_start"),
             )
-            .agg(F.count(F.lit(1)).alias("arrived"))
+            .agg(F.count(F.lit(1)).alias("arrived"), F.min("kafka_offset").alias("first_offset"))
         )
         written_at = F.lit(now or now_utc()).cast("timestamp")
         keys = ["topic", "partition", "range_start"]
         if children(spark, area.snapshots) or children(spark, area.batches):
             touched = touched.join(ledger.staged_dates(spark, area, touched), keys, "left")
         else:
-            touched = touched.withColumn("dt", F.lit(None).cast("string"))
+            touched = touched.select(
+                "*", F.lit(None).cast("string").alias("dt"), F.lit(None).cast("bigint").alias("staged_through")
+            )
         (
             touched.select(
                 "topic",
@@ -153,6 +155,8 @@ def _intent(wire: DataFrame, area: StagingArea, name: str, width: int, now: date
                 range_end(F.col("range_start"), width).alias("range_end"),
                 "arrived",
                 F.col("dt").isNotNull().alias("was_staged"),
+                # Rows that all lie beyond what is staged are new without looking.
+                F.coalesce(F.col("first_offset") <= F.col("staged_through"), F.lit(False)).alias("may_repeat"),
                 utc_date(written_at).alias("write_date"),
                 written_at.alias("written_at"),
             )
@@ -212,7 +216,7 @@ def _placed(rows: DataFrame, intent: DataFrame, carried: DataFrame | None, width
 
 def _without_gain(wire: DataFrame, intent: DataFrame, carried: DataFrame, width: int) -> DataFrame:
     """Ranges staged before that only get rows they hold already. Reads keys, no values."""
-    staged = intent.where("was_staged").select(*RANGE)
+    staged = intent.where("may_repeat").select(*RANGE)
     arrived = records_of(wire).select(
         F.col("kafka_topic").alias("topic"),
         F.col("kafka_partition").alias("part"),
@@ -302,7 +306,7 @@ def stage_batch(
                 counters, F.count(F.lit(1)).alias("records"), F.count_if("malformed").alias("malformed")
             )
         incoming = _placed(rows, intent, carried, width, named[0]["write_date"])
-        if carried is not None:
+        if carried is not None and (not few or any(row["may_repeat"] for row in named)):
             idle = _without_gain(wire, intent, carried, width)
             if not idle.isEmpty():
                 incoming = incoming.join(idle, RANGE, "left_anti")
