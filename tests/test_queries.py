@@ -6,7 +6,9 @@ from comparison import TESTDATA, compare, duckdb_on
 import __spark_entry__ as entry_points
 
 SF = f"{TESTDATA}/sf0.001"
-QUERIES, ORACLE = entry_points.queries(), entry_points.oracle_sql()
+# The queries of the subpackage `llm` have tests of their own.
+QUERIES = {name: query for name, query in entry_points.queries().items() if name not in entry_points.LLM_QUERIES}
+ORACLE = {name: sql for name, sql in entry_points.oracle_sql().items() if name not in entry_points.LLM_ORACLE}
 
 
 @pytest.fixture(scope="module")
