@@ -95,8 +95,21 @@ SELECT doc_id, len(words) AS n_words, coalesce(n_base, 0) AS n_base, first_word,
 FROM split LEFT JOIN base USING (r) LEFT JOIN found USING (r)
 """
 
+WARC_INDEX = """
+WITH hashed AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+typed AS (
+  SELECT *, CASE WHEN payload_bytes >= 100 AND count(*) OVER w > 1 THEN min(page_id) OVER w END AS first
+  FROM hashed WINDOW w AS (PARTITION BY payload_digest))
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN first IS NOT NULL AND first IS DISTINCT FROM page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN first IS DISTINCT FROM page_id THEN first END AS refers_to
+FROM typed
+"""
+
 ORACLE = {
     "op2_quality_rules": QUALITY_RULES,
     "op4_url_filters": URL_FILTERS,
+    "op5_warc_index": WARC_INDEX,
     "op10_license_scan": LICENSE_SCAN,
 }

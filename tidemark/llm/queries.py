@@ -2,7 +2,19 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import backoff_model, licenses, quality_rules, simhash, url_filters
+import corpus_pipeline
+from tidemark.llm import (
+    backoff_model,
+    decontaminate,
+    licenses,
+    mixing,
+    pii,
+    quality_rules,
+    simhash,
+    url_filters,
+    warc,
+    weak_labels,
+)
 from tidemark.llm.common import read
 
 
@@ -22,6 +34,28 @@ def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge(read(spark, sf_dir, "pages", "page_id", "url"))
 
 
+def op5_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive(read(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = weak_labels.judge(read(spark, sf_dir, "documents", "doc_id", "text"))
+    return judged.select("doc_id", "quality", "kept")
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    return decontaminate.judge(docs, read(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read(spark, sf_dir, "documents", "doc_id", "text", "source"))
+
+
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(read(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -31,5 +65,11 @@ QUERIES = {
     "op2_quality_rules": op2_quality_rules,
     "op3_simhash": op3_simhash,
     "op4_url_filters": op4_url_filters,
+    "op5_warc_index": op5_warc_index,
+    "op6_quality_classifier": op6_quality_classifier,
+    "op7_decontamination": op7_decontamination,
+    "op8_pii": op8_pii,
+    "op9_mixing": op9_mixing,
     "op10_license_scan": op10_license_scan,
+    "pipeline": corpus_pipeline.run,
 }
