@@ -34,6 +34,7 @@ DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 DIGITS = re.compile(r"[0-9](?:[ -]?[0-9])*")
 PLUS = re.compile(r"\+[0-9][ ().0-9-]+")
 WORD = re.compile(r"[^ \t-\r]+")
+NEAR = re.compile(r"[^ \t-\r]{1,40}")
 SPACES = " \t\n\x0b\x0c\r"
 
 SPAN = "struct<kind: int, start: int, end: int>"
@@ -105,9 +106,8 @@ def _context(text: str, start: int, end: int) -> tuple[str, str]:
     # A word much longer than words are is cut; it is no pattern.
     while begin > 0 and stop - begin < 40 and text[begin - 1] not in SPACES:
         begin -= 1
-    after = WORD.search(text, end)
-    right = text[after.start() : min(after.end(), after.start() + 40)] if after else ""
-    return tuple(re.sub("[0-9]", "0", word.lower()) for word in (text[begin:stop], right))
+    after = NEAR.search(text, end)
+    return tuple(re.sub("[0-9]", "0", word.lower()) for word in (text[begin:stop], after.group() if after else ""))
 
 
 def mentions(text: str, spans: list[tuple[int, int, int]]) -> list[tuple]:
