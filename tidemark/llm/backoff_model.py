@@ -18,6 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -113,6 +114,25 @@ class Grams:
         return total(count > 0).astype(np.int64), total(base), total(weight)
 
 
+def packed_hashes(ordered: np.ndarray) -> bytes:
+    """Steps between sorted hashes, byte by byte of all: the upper bytes are zeros and compress away."""
+    steps = np.diff(ordered, prepend=np.uint64(0))
+    return steps.view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def unpacked_hashes(value: bytes) -> np.ndarray:
+    steps = np.frombuffer(value, np.uint8).reshape(8, -1).T.copy().view(np.uint64).ravel()
+    return np.cumsum(steps, dtype=np.uint64)
+
+
+def packed_counts(counts: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(counts.astype(np.int64).tobytes())
+
+
+def unpacked_counts(value: bytes) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(value), np.int64)
+
+
 def _shard_bounds(distinct: np.ndarray, bits: int) -> np.ndarray:
     edges = np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits) if bits else np.zeros(0, np.uint64)
     return np.concatenate(([0], np.searchsorted(distinct, edges), [len(distinct)]))
@@ -123,7 +143,7 @@ def _requests(order: int, bits: int):
 
     def run(table: pa.Table) -> pa.Table:
         grams = Grams(table.column("text").to_pylist(), order)
-        counts = grams.counts(~table.column("held_out").to_numpy(zero_copy_only=False)).astype(np.uint32)
+        counts = grams.counts(~table.column("held_out").to_numpy(zero_copy_only=False))
         bounds = _shard_bounds(grams.distinct, bits)
         chunk = table.column("chunk")[0].as_py()
         shards = [(s, a, b) for s, (a, b) in enumerate(zip(bounds, bounds[1:], strict=False)) if b > a]
@@ -131,8 +151,8 @@ def _requests(order: int, bits: int):
             [
                 [chunk] * len(shards),
                 [s for s, _, _ in shards],
-                [grams.distinct[a:b].tobytes() for _, a, b in shards],
-                [counts[a:b].tobytes() for _, a, b in shards],
+                [packed_hashes(grams.distinct[a:b]) for _, a, b in shards],
+                [packed_counts(counts[a:b]) for _, a, b in shards],
             ],
             schema=schema,
         )
@@ -142,12 +162,12 @@ def _requests(order: int, bits: int):
 
 def _sums(table: pa.Table) -> pa.Table:
     """Replaces each chunk's counts in a shard with the sums over all chunks."""
-    grams = [np.frombuffer(value.as_buffer(), np.uint64) for value in table.column("grams")]
-    counts = [np.frombuffer(value.as_buffer(), np.uint32) for value in table.column("counts")]
+    grams = [unpacked_hashes(value) for value in table.column("grams").to_pylist()]
+    counts = [unpacked_counts(value) for value in table.column("counts").to_pylist()]
     _, number = np.unique(np.concatenate(grams), return_inverse=True)
     total = np.bincount(number, np.concatenate(counts)).astype(np.int64)
     sizes = np.cumsum([len(gram) for gram in grams])[:-1]
-    answers = [total[part].astype(np.uint64).tobytes() for part in np.split(number, sizes)]
+    answers = [packed_counts(total[part]) for part in np.split(number, sizes)]
     return pa.table({"chunk": table.column("chunk"), "shard": table.column("shard"), "counts": pa.array(answers, pa.binary())})
 
 
@@ -155,9 +175,8 @@ def _scores(order: int, prior: float, n_tokens: int, n_types: int):
     def run(texts: pa.Table, answers: pa.Table) -> pa.Table:
         held_out = texts.column("held_out")
         grams = Grams(texts.column("text").to_pylist(), order)
-        by_shard = sorted(zip(answers.column("shard").to_pylist(), answers.column("counts"), strict=True), key=lambda x: x[0])
-        counts = [np.frombuffer(value.as_buffer(), np.uint64) for _, value in by_shard]
-        counts = np.concatenate(counts).astype(np.int64) if counts else np.zeros(0, np.int64)
+        by_shard = sorted(zip(answers.column("shard").to_pylist(), answers.column("counts").to_pylist(), strict=True))
+        counts = np.concatenate([unpacked_counts(value) for _, value in by_shard])
         known, base, score = grams.score(counts, n_tokens, n_types, prior)
         return pa.table(
             {
