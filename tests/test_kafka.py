@@ -23,3 +23,10 @@ def test_restart_position(spark):
     )
     position = json.loads(starting_offsets(frontier, {"a": 2, "b": 1}))
     assert position == {"a": {"0": 50, "1": -2}, "b": {"0": -2}}
+
+
+def test_topics_and_partitions_that_are_not_subscribed_get_no_position(spark):
+    frontier = spark.createDataFrame(
+        [("gone", 0, 7), ("a", 9, 8), ("a", 0, 3)], "kafka_topic string, kafka_partition int, commit_offset bigint"
+    )
+    assert json.loads(starting_offsets(frontier, {"a": 1})) == {"a": {"0": 3}}

@@ -83,7 +83,7 @@ def test_end_to_end_ranges(spark, area):
     assert state(spark, area) == [(0, 5, "committed", 5), (5, 5, "committed", 10)]
     assert committed(spark, area) == [10]
     second = read_object(spark, area, "ingestion-events/dt=2026-09-14/0-5-9.parquet")
-    assert [r.event_id for r in second.collect()] == [f"evt-{n}" for n in range(5, 10)]
+    assert [r.event_id for r in second.collect()] == [f"item-{n}" for n in range(5, 10)]
 
 
 def test_an_abandoned_range_is_staged_and_passed_over(spark, area):
@@ -106,7 +106,7 @@ def test_redelivered_rows_do_not_double_and_the_staged_row_wins(spark, area):
     stage_log(again, area, 10, now=NOW + timedelta(hours=1))
     assert offsets(spark, area) == [0, 1, 2]
     rows = {r.kafka_offset: r for r in read_staging(spark, area).collect()}
-    assert rows[1].event_id == "evt-1"
+    assert rows[1].event_id == "item-1"
     assert rows[1].ingested_at == rows[0].ingested_at != rows[2].ingested_at
 
 
@@ -204,7 +204,8 @@ def test_a_replayed_batch_converges(spark, area):
 def test_leftovers_of_settled_batches_are_removed(spark, area):
     for batch in range(3):
         stage_batch(log(spark, [batch]), batch, area, 10, now=NOW)
-    assert children(spark, area.intents) == children(spark, area.carried) == [ledger.batch_name("batch", 2)]
+    assert [name[:-16] for name in children(spark, area.intents)] == [ledger.batch_name("batch", 2, "")]
+    assert children(spark, area.carried) == []
 
 
 def test_each_range_is_one_file_in_offset_order(spark):
@@ -378,3 +379,53 @@ def test_any_delivery_with_losses_ends_the_same(spark, area, seed):
     ends = {p: [o + 1 for o in present[p] if o % width == width - 1] for p in present}
     found = {r.kafka_partition: r.commit_offset for r in ledger.frontier(spark, area).collect()}
     assert found == {p: max(e) for p, e in ends.items() if e}
+
+
+def test_another_batch_under_an_old_number_keeps_the_first(spark, area):
+    """A checkpoint was lost, and the new one counts from the beginning."""
+    stage_batch(log(spark, range(20, 24)), 0, area, 7, writer="w", now=NOW)
+    stage_batch(log(spark, range(24, 28)), 0, area, 7, writer="w", now=NOW)
+    assert offsets(spark, area) == list(range(20, 28))
+    assert state(spark, area) == [(14, 1, "committed", 21), (21, 7, "committed", 28)]
+
+
+def test_a_retry_on_a_grown_log_records_all_it_staged(spark, area):
+    def half(rows, where):
+        staging.publish_ranges(rows, where)
+        raise RuntimeError("lost after the write")
+
+    with pytest.raises(RuntimeError):
+        stage_batch(log(spark, range(4)), 0, area, 6, now=NOW, publish=half)
+    stage_log(log(spark, range(9)), area, 6, now=NOW)
+    stage_log(log(spark, range(9, 12)), area, 6, now=NOW)
+    assert offsets(spark, area) == list(range(12))
+    assert state(spark, area) == [(0, 6, "committed", 6), (6, 6, "committed", 12)]
+
+
+def test_rows_of_an_unfinished_batch_are_put_back_before_another(spark, area):
+    """A batch replaced a range and never finished; the next batch has other content."""
+    stage_log(log(spark, range(2)), area, 6, now=NOW)
+
+    def lose(rows, where):
+        shutil.rmtree(where.data)
+        raise RuntimeError("lost in mid replacement")
+
+    with pytest.raises(RuntimeError):
+        stage_batch(log(spark, [2]), 7, area, 6, writer="w", now=NOW, publish=lose)
+    stage_batch(log(spark, [13]), 7, area, 6, writer="w", now=NOW)
+    assert offsets(spark, area) == [0, 1, 13]
+
+
+def test_another_width_is_refused_in_a_batch(spark, area):
+    stage_batch(log(spark, range(3)), 0, area, 3, now=NOW)
+    with pytest.raises(ValueError, match="ranges of 3"):
+        stage_batch(log(spark, range(3, 6)), 1, area, 6, now=NOW)
+
+
+def test_copies_are_chosen_by_time_in_any_order(spark, area):
+    early, late = NOW - timedelta(hours=2), NOW - timedelta(hours=1)
+    for offset, (first, second) in enumerate(((early, late), (late, early))):
+        a = message(offset, value=envelope("a"), stamp=first)
+        b = message(offset, value=envelope("b"), stamp=second)
+        stage_log(wire(spark, a, b), area, 9, now=NOW)
+    assert [r.event_id for r in read_staging(spark, area).orderBy("kafka_offset").collect()] == ["item-a", "item-b"]

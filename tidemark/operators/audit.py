@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import object_name, width_of
 from tidemark.operators.ordered import with_previous
-from tidemark.operators.ranges import with_range
+from tidemark.operators.ranges import positions, with_range
 from tidemark.schema import ENVELOPE_COLUMNS, PARTITION_KEYS, PROVENANCE, RANGE_KEYS, STAGING
 
 
@@ -127,7 +127,7 @@ def log_vs_staging(log: DataFrame, staged: DataFrame) -> DataFrame:
 
 def unsafe_commits(log: DataFrame, staged: DataFrame, frontier: DataFrame) -> DataFrame:
     """Offsets of the log below the committed offset that were never staged."""
-    committed = frontier.where("commit_offset IS NOT NULL").select(*PARTITION_KEYS, "commit_offset")
+    committed = positions(frontier.where("commit_offset IS NOT NULL"))
     missing = presence(log, staged).where("in_log AND NOT in_staging").select(*PROVENANCE)
     return missing.join(committed, PARTITION_KEYS).where("kafka_offset < commit_offset").select(*PROVENANCE)
 

@@ -92,11 +92,24 @@ def open_ranges(summary: DataFrame) -> DataFrame:
     return commit_frontier(summary).groupBy("kafka_topic").agg(F.sum("open_ranges").alias("open_partitions"))
 
 
+# Rows of a frontier that are sent to every task, about 40 bytes each.
+FRONTIER_ROWS = 200_000
+
+
+def positions(frontier: DataFrame) -> DataFrame:
+    """The frontier, sent to every task if it was counted and is as small as brokers make it.
+
+    A join that deals rows by (topic, partition) would put a hot partition into one task.
+    """
+    position = frontier.select(*PARTITION_KEYS, "commit_offset")
+    few = position.limit(FRONTIER_ROWS + 1).count() <= FRONTIER_ROWS
+    return F.broadcast(position) if few else position
+
+
 def replay_from_frontier(records: DataFrame, frontier: DataFrame) -> DataFrame:
     """Records a restart reads again: from the committed offset, or all where there is none."""
-    position = frontier.select(*PARTITION_KEYS, "commit_offset")
     return (
-        records.join(position, PARTITION_KEYS, "left")
+        records.join(positions(frontier), PARTITION_KEYS, "left")
         .where(F.col("kafka_offset") >= F.coalesce("commit_offset", F.lit(0)))
         .drop("commit_offset")
     )

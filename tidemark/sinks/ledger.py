@@ -25,8 +25,8 @@ LEDGER_FILE = T.StructType(
 COMPACT_AFTER = 100
 
 
-def batch_name(writer: str, batch_id: int) -> str:
-    return f"{writer}-{batch_id:015d}"
+def batch_name(writer: str, batch_id: int, fingerprint: str) -> str:
+    return f"{writer}-{batch_id:015d}-{fingerprint}"
 
 
 def ledger_rows(spark: SparkSession, area: StagingArea) -> DataFrame:

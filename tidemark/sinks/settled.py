@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import range_end
 from tidemark.schema import LAYOUT_COLUMNS, STAGED
 from tidemark.sinks import ledger
-from tidemark.sinks.area import StagingArea
+from tidemark.sinks.area import StagingArea, children, delete
 from tidemark.sinks.staging import publish_ranges, read_ranges
 
 
@@ -41,12 +41,17 @@ def publish_settled(
     `published` name it.
     """
     ledger.check_same_width(spark, staged, width)
+    ledger.check_same_width(spark, published, width)
     batch_id = ledger.last_batch_id(spark, published) + 1
     ranges = unpublished_ranges(spark, staged, published, quiet_since).withColumn(
         "batch_id", F.lit(batch_id).cast("bigint")
     )
     # The list of ranges is written down: the copy and the ledger must speak of the same.
-    path = f"{published.intents}/{ledger.batch_name('settled', batch_id)}"
+    name = f"settled-{batch_id:015d}"
+    for old in children(spark, published.intents):
+        if old.startswith("settled-"):
+            delete(spark, f"{published.intents}/{old}")
+    path = f"{published.intents}/{name}"
     ranges.write.mode("overwrite").parquet(path)
     chosen = spark.read.schema(ledger.LEDGER_FILE).parquet(path)
     if chosen.isEmpty():
@@ -60,6 +65,6 @@ def publish_settled(
         .sortWithinPartitions(*LAYOUT_COLUMNS, "kafka_offset")
     )
     publish_ranges(rows.select(*STAGED.fieldNames(), "range_end"), published)
-    ledger.record_batch(chosen, published, ledger.batch_name("settled", batch_id))
+    ledger.record_batch(chosen, published, name)
     ledger.compact_if_long(spark, published)
     return True

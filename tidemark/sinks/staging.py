@@ -12,6 +12,11 @@ A batch goes through four durable steps, in this order:
    commit offset.
 
 A failure before step 4 leaves the ledger as it was.
+
+A batch is known by its content as well as by its writer and number: its name ends in a
+fingerprint of the offsets that arrived. Only a batch of the same content is a replay. Another one
+under an old number, after a lost checkpoint or on a log that has grown, is a batch of its
+own; what an unfinished batch had carried is put back before it begins.
 """
 
 import time
@@ -25,7 +30,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import check_width, range_end, range_start, utc_date
 from tidemark.operators.records import now_utc, parse_envelope, records_of, staging_rows
-from tidemark.schema import LAYOUT_COLUMNS, STAGED
+from tidemark.schema import LAYOUT_COLUMNS, PROVENANCE, STAGED, STAGING
 from tidemark.session import configure
 from tidemark.sinks import ledger
 from tidemark.sinks.area import ObjectArea, StagingArea, children, delete, exists, is_written
@@ -125,21 +130,54 @@ def read_settled(spark: SparkSession, area: StagingArea, quiet_since: datetime)
     return read_ranges(spark, area, ranges)
 
 
-def _intent(wire: DataFrame, area: StagingArea, name: str, width: int, now: datetime | None) -> DataFrame:
-    spark = wire.sparkSession
+def _touched(wire: DataFrame, width: int) -> DataFrame:
+    """A row per range with what of it arrived."""
+    return (
+        records_of(wire)
+        .groupBy(
+            F.col("kafka_topic").alias("topic"),
+            F.col("kafka_partition").alias("partition"),
+            range_start(F.col("kafka_offset"), width).alias("range_start"),
+        )
+        .agg(
+            F.count(F.lit(1)).alias("arrived"),
+            F.min("kafka_offset").alias("first_offset"),
+            F.max("kafka_offset").alias("last_offset"),
+            F.bit_xor(F.xxhash64("kafka_offset")).alias("offsets"),
+        )
+    )
+
+
+def _fingerprint(touched: DataFrame) -> str | None:
+    """What tells batches of other offsets apart; nothing for an empty batch."""
+    row = F.xxhash64(*touched.columns).cast("decimal(38,0)")
+    total = touched.agg(F.sum(row).alias("total"), F.count(F.lit(1)).alias("ranges")).first()
+    return f"{int(total['total']) % (1 << 64):016x}" if total["ranges"] else None
+
+
+def _restore(spark: SparkSession, area: StagingArea, name: str, width: int, publish: Publish) -> None:
+    """Put back what other batches, which never reached the ledger, carried aside.
+
+    The carried rows are all that the ledger knows of their ranges. New rows of such a batch
+    were never committed, so the log still has them.
+    """
+    for other in children(spark, area.carried):
+        path = f"{area.carried}/{other}"
+        if other == name or not is_written(spark, path):
+            continue
+        carried = spark.read.schema(STAGED).parquet(path)
+        if not carried.isEmpty():
+            publish(_merged(carried, None, width, None), area)
+        delete(spark, path)
+
+
+def _intent(touched: DataFrame, area: StagingArea, name: str, width: int, now: datetime | None) -> DataFrame:
+    spark = touched.sparkSession
     path = f"{area.intents}/{name}"
     if not is_written(spark, path):
-        touched = (
-            records_of(wire)
-            .groupBy(
-                F.col("kafka_topic").alias("topic"),
-                F.col("kafka_partition").alias("partition"),
-                range_start(F.col("kafka_offset"), width).alias("range_start"),
-            )
-            .agg(F.count(F.lit(1)).alias("arrived"), F.min("kafka_offset").alias("first_offset"))
-        )
         written_at = F.lit(now or now_utc()).cast("timestamp")
         keys = ["topic", "partition", "range_start"]
+        touched = touched.drop("last_offset", "offsets")
         if children(spark, area.snapshots) or children(spark, area.batches):
             touched = touched.join(ledger.staged_dates(spark, area, touched), keys, "left")
         else:
@@ -182,23 +220,6 @@ def _carried(intent: DataFrame, named: list[Row], area: StagingArea, name: str)
     return spark.read.schema(STAGED).parquet(path)
 
 
-def _one_copy(wire: DataFrame, intent: DataFrame, named: list[Row], width: int) -> DataFrame:
-    """The messages, without copies if some range received more rows than it has offsets.
-
-    A range is brought into one task, which its width bounds as long as offsets are unique,
-    as they are in a log. Where they are not, copies go first: each task keeps one of its
-    own, and what is left is shuffled by offset.
-    """
-    if len(named) <= NAMED_RANGES:
-        crowded = any(row["arrived"] > width for row in named)
-    else:
-        crowded = not intent.where(F.col("arrived") > width).isEmpty()
-    if not crowded:
-        return wire
-    copies = W.partitionBy("topic", "partition", "offset").orderBy("timestamp")
-    return wire.withColumn("__copy", F.row_number().over(copies)).where("__copy = 1").drop("__copy")
-
-
 def _placed(rows: DataFrame, intent: DataFrame, carried: DataFrame | None, width: int, write_date: str) -> DataFrame:
     """Rows with their layout columns. A range staged before keeps its date."""
     placed = rows.select(
@@ -242,7 +263,9 @@ def _merged(incoming: DataFrame, carried: DataFrame | None, width: int, ranges:
     if carried is not None:
         rows = rows.unionByName(carried.select(*STAGED.fieldNames(), F.lit(0).alias("__rank")))
     rows = rows.withColumn("range_end", range_end(F.col("range_start"), width))
-    one_offset = W.partitionBy(*LAYOUT_COLUMNS, "kafka_offset").orderBy("__rank")
+    # Of copies that arrive together the earliest stays; content decides between equal times.
+    content = [c for c in STAGING.fieldNames() if c not in (*PROVENANCE, "kafka_timestamp", "ingested_at")]
+    one_offset = W.partitionBy(*LAYOUT_COLUMNS, "kafka_offset").orderBy("__rank", "kafka_timestamp", *content)
     # Not by `dt`, which the range decides: as a constant it would be folded out of the
     # window's keys, and the shuffle would no longer match them.
     together = rows.repartition(tasks, *RANGE)
@@ -284,23 +307,25 @@ def stage_batch(
     """
     check_width(width)
     spark = configure(wire.sparkSession)
-    name = ledger.batch_name(writer, batch_id)
-    # The batch before is settled once this one is asked for.
-    for place in (area.intents, area.carried):
-        for old in children(spark, place):
-            if old.startswith(f"{writer}-") and old < name:
-                delete(spark, f"{place}/{old}")
+    ledger.check_same_width(spark, area, width)
     if keep:
         wire = wire.persist(StorageLevel.MEMORY_AND_DISK)
+    touched = _touched(wire, width).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        intent = _intent(wire, area, name, width, now)
-        named = _named(intent)
-        if not named:
+        fingerprint = _fingerprint(touched)
+        if fingerprint is None:
             return False
+        name = ledger.batch_name(writer, batch_id, fingerprint)
+        _restore(spark, area, name, width, publish)
+        # The batch before is settled once this one is asked for.
+        for old in children(spark, area.intents):
+            if old != name:
+                delete(spark, f"{area.intents}/{old}")
+        intent = _intent(touched, area, name, width, now)
+        named = _named(intent)
         written_at, few = named[0]["written_at"], len(named) <= NAMED_RANGES
         carried = _carried(intent, named, area, name)
-        messages = _one_copy(wire, intent, named, width)
-        rows = staging_rows(parse_envelope(records_of(messages)), F.lit(written_at))
+        rows = staging_rows(parse_envelope(records_of(wire)), F.lit(written_at))
         if counters is not None:
             rows = rows.observe(
                 counters, F.count(F.lit(1)).alias("records"), F.count_if("malformed").alias("malformed")
@@ -313,9 +338,11 @@ def stage_batch(
                 carried = carried.join(idle, RANGE, "left_anti")
         publish(_merged(incoming, carried, width, len(named) if few else None), area)
         ledger.record_batch(_ledger_rows(intent, named, area, width, batch_id), area, name)
+        delete(spark, f"{area.carried}/{name}")
         ledger.compact_if_long(spark, area)
         return True
     finally:
+        touched.unpersist()
         if keep:
             wire.unpersist()
 
@@ -325,7 +352,6 @@ def stage_log(
 ) -> None:
     """Stage a bounded log. Run it again and nothing changes."""
     spark = configure(wire.sparkSession)
-    ledger.check_same_width(spark, area, width)
     if batch_id is None:
         batch_id = ledger.last_batch_id(spark, area) + 1
     stage_batch(wire, batch_id, area, width, now=now)

@@ -39,11 +39,14 @@ def log_options(
 def starting_offsets(frontier: DataFrame, partitions: Mapping[str, int]) -> str:
     """Where to resume: the committed offset, or the beginning where nothing is committed.
 
-    One entry per log partition, which the broker bounds.
+    One entry per log partition, which the broker bounds. A topic or partition that is not
+    in `partitions` is not subscribed and gets no position.
     """
     position = {topic: {str(p): EARLIEST for p in range(count)} for topic, count in partitions.items()}
     for row in frontier.where("commit_offset IS NOT NULL").collect():
-        position[row["kafka_topic"]][str(row["kafka_partition"])] = row["commit_offset"]
+        offsets = position.get(row["kafka_topic"], {})
+        if str(row["kafka_partition"]) in offsets:
+            offsets[str(row["kafka_partition"])] = row["commit_offset"]
     return json.dumps(position)
 
 
