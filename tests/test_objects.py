@@ -6,6 +6,7 @@ from frames import NOW, log, message, wire
 from tidemark.schema import STAGING
 from tidemark.session import scratch_dir
 from tidemark.sinks.area import StagingArea
+from tidemark.sinks import objects as sinks_objects
 from tidemark.sinks.objects import publish_objects, read_objects
 from tidemark.sinks.staging import read_staging, stage_log
 
@@ -50,3 +51,20 @@ def test_rows_come_back(spark, area):
     assert published.where("dt = '2026-09-15'").count() == 0
     back = published.select(*STAGING.fieldNames())
     assert back.exceptAll(staged).count() == staged.exceptAll(back).count() == 0
+
+
+def test_an_object_larger_than_a_row_group(spark, area, monkeypatch):
+    """What a task holds does not grow with the range."""
+    monkeypatch.setattr(sinks_objects, "ROW_GROUP_BYTES", 1 << 16)
+    root = f"{area.root}/objects"
+    rows = spark.range(30_000).selectExpr(
+        "'ingestion-logs' topic", "2 partition", "id offset", "timestamp_millis(id) timestamp", "0 timestampType",
+        """encode(concat('{"event_id":"', id, '","gateway_id":"g","received_at":"r","payload":', id, '}'), 'utf-8') value""",
+    )
+    stage_log(rows, area, 40_000, now=NOW)
+    publish_objects(read_staging(spark, area), root, 40_000)
+    (name,) = objects(root)
+    file = pq.ParquetFile(f"{root}/{name}")
+    groups = [file.metadata.row_group(n).num_rows for n in range(file.metadata.num_row_groups)]
+    assert sum(groups) == 30_000 and len(groups) > 2
+    assert file.read(["kafka_offset"]).column(0).to_pylist() == list(range(30_000))

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -13,27 +15,23 @@ def ranges(spark, offsets, width):
     return [tuple(r) for r in df.orderBy("o").collect()]
 
 
-def test_first_range(spark):
-    assert ranges(spark, [0], 10_000) == [(0, 0, 9_999)]
-
-
-def test_all_offsets_of_a_range_share_it(spark):
-    found = ranges(spark, [0, 1, 42, 5_000, 9_998, 9_999], 10_000)
-    assert {r[1:] for r in found} == {(0, 9_999)}
-
-
-def test_next_range_starts_after_the_end(spark):
-    assert ranges(spark, [9_999, 10_000], 10_000) == [(9_999, 0, 9_999), (10_000, 10_000, 19_999)]
-
-
-def test_ranges_tile(spark):
-    found = sorted({r[1:] for r in ranges(spark, range(0, 4_096, 7), 256)})
-    assert found[0][0] == 0
-    assert all(a[1] + 1 == b[0] for a, b in zip(found, found[1:], strict=False))
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.integers(0, MAX_OFFSET), min_size=1, max_size=50), st.integers(1, 10**6))
+def test_ranges_follow_the_arithmetic(spark, offsets, width):
+    for o, s, e in ranges(spark, offsets, width):
+        assert s == o // width * width
+        assert e == min(s + width - 1, MAX_OFFSET)
 
 
-def test_width_of_one(spark):
-    assert ranges(spark, [7], 1) == [(7, 7, 7)]
+@pytest.mark.parametrize("width", [1, 2, 37, 6_000])
+def test_every_offset_lies_in_one_range_and_ranges_touch(spark, width):
+    dice = random.Random(width)
+    edges = [n * width + step for n in (0, 1, 2, 11) for step in (-1, 0, 1)]
+    offsets = sorted({o for o in (*edges, *(dice.randrange(15 * width) for _ in range(60))) if o >= 0})
+    found = ranges(spark, offsets, width)
+    assert all(s <= o <= e and e - s + 1 == width for o, s, e in found)
+    starts = sorted({s for _, s, _ in found})
+    assert all((b - a) % width == 0 for a, b in zip(starts, starts[1:], strict=False))
 
 
 @pytest.mark.parametrize("width", [0, -5, 1.5, None, True])
@@ -43,49 +41,37 @@ def test_other_widths_are_refused(spark, width):
 
 
 def test_top_of_offset_space_is_clamped(spark):
-    ((_, start, end),) = ranges(spark, [MAX_OFFSET], 10_000)
+    ((_, start, end),) = ranges(spark, [MAX_OFFSET], 6_000)
     assert end == MAX_OFFSET and 0 < start <= MAX_OFFSET
 
 
-@settings(max_examples=5, deadline=None)
-@given(st.lists(st.integers(0, MAX_OFFSET), min_size=1, max_size=50), st.integers(1, 10**6))
-def test_ranges_follow_the_arithmetic(spark, offsets, width):
-    for o, s, e in ranges(spark, offsets, width):
-        assert s == o // width * width
-        assert e == min(s + width - 1, MAX_OFFSET)
-
-
-def test_commit_width_completeness_and_membership(spark):
-    row = (
-        spark.createDataFrame([(0, 99)], "s bigint, e bigint")
-        .select(
-            commit_offset(F.col("e")).alias("commit"),
-            width_of(F.col("s"), F.col("e")).alias("width"),
-            *[is_complete(F.lit(o), F.col("e")).alias(f"c{o}") for o in (0, 98, 99, 100)],
-            *[in_range(F.lit(o), F.col("s"), F.col("e")).alias(f"i{o}") for o in (0, 99, 100)],
-        )
-        .first()
+@pytest.mark.parametrize(("start", "end"), [(36, 47), (5, 5), (0, 6_143)])
+def test_commit_width_completeness_and_membership(spark, start, end):
+    offsets = [max(0, start - 1), start, (start + end) // 2, end, end + 1]
+    probe = spark.createDataFrame([(o, start, end) for o in offsets], "o bigint, s bigint, e bigint")
+    found = probe.select(
+        "o",
+        commit_offset(F.col("e")).alias("commit"),
+        width_of(F.col("s"), F.col("e")).alias("width"),
+        is_complete(F.col("o"), F.col("e")).alias("complete"),
+        in_range(F.col("o"), F.col("s"), F.col("e")).alias("inside"),
     )
-    assert row.asDict() == {
-        "commit": 100, "width": 100, "c0": False, "c98": False, "c99": True, "c100": True,
-        "i0": True, "i99": True, "i100": False,
-    }
+    for row in found.collect():
+        assert (row.commit, row.width) == (end + 1, len(range(start, end + 1)))
+        assert row.complete == (row.o >= end)
+        assert row.inside == (row.o in range(start, end + 1))
 
 
-def name_of(spark, offset, topic="ingestion-events", partition=0, date="2026-09-13", width=10_000):
+def name_of(spark, offset, topic="ingestion-logs", partition=5, date="2027-02-28", width=640):
     df = spark.createDataFrame([(topic, partition, date, offset)], "t string, p int, d string, o bigint")
     start = range_start(F.col("o"), width)
     return df.select(object_name(F.col("t"), F.col("p"), F.col("d"), start, range_end(start, width))).first()[0]
 
 
 def test_object_name(spark):
-    assert name_of(spark, 0) == "ingestion-events/dt=2026-09-13/0-0-9999.parquet"
-    assert name_of(spark, 20_000, partition=3) == name_of(spark, 27_431, partition=3)
-    assert name_of(spark, 12, "ingestion-logs", 1) == "ingestion-logs/dt=2026-09-13/1-0-9999.parquet"
-    names = {
-        name_of(spark, 0),
-        name_of(spark, 0, topic="ingestion-signals"),
-        name_of(spark, 0, partition=1),
-        name_of(spark, 0, date="2026-09-14"),
-    }
-    assert len(names) == 4
+    assert name_of(spark, 1_300) == "ingestion-logs/dt=2027-02-28/5-1280-1919.parquet"
+    dice = random.Random(4)
+    within = [1_280 + dice.randrange(640) for _ in range(3)]
+    assert {name_of(spark, o) for o in within} == {name_of(spark, 1_300)}
+    changes = [{"topic": "ingestion-signals"}, {"partition": 50}, {"date": "2027-03-01"}, {"width": 64}]
+    assert len({name_of(spark, 1_300, **change) for change in [{}, *changes]}) == 5

@@ -1,5 +1,7 @@
 from datetime import datetime, timedelta, timezone
 
+import duckdb
+import pandas as pd
 import pytest
 from frames import log, message, wire
 from pyspark.sql import functions as F
@@ -25,16 +27,16 @@ def frontier(spark, offsets, width):
 @pytest.mark.parametrize(
     ("offsets", "width", "status", "position"),
     [
-        (range(4), 4, [(0, 4, "committed")], (4, 1, 0, 0)),
-        (range(3), 4, [(0, 3, "open")], (None, 0, 0, 1)),
-        (range(13), 10_000, [(0, 13, "open")], (None, 0, 0, 1)),
-        ([0, 5], 4, [(0, 1, "abandoned"), (4, 1, "open")], (None, 0, 1, 1)),
+        (range(6), 6, [(0, 6, "committed")], (6, 1, 0, 0)),
+        (range(5), 6, [(0, 5, "open")], (None, 0, 0, 1)),
+        (range(21), 8_192, [(0, 21, "open")], (None, 0, 0, 1)),
+        ([2, 9], 6, [(0, 1, "abandoned"), (6, 1, "open")], (None, 0, 1, 1)),
         # A later complete range commits past the abandoned one.
-        ([0, 5, 7], 4, [(0, 1, "abandoned"), (4, 2, "committed")], (8, 1, 1, 0)),
+        ([2, 9, 11], 6, [(0, 1, "abandoned"), (6, 2, "committed")], (12, 1, 1, 0)),
         # Only the last offset matters: holes do not keep a range open.
-        ([3, 4, 5], 4, [(0, 1, "committed"), (4, 2, "open")], (4, 1, 0, 1)),
-        (range(10), 5, [(0, 5, "committed"), (5, 5, "committed")], (10, 2, 0, 0)),
-        ([7], 1, [(7, 1, "committed")], (8, 1, 0, 0)),
+        ([5, 6, 10], 6, [(0, 1, "committed"), (6, 2, "open")], (6, 1, 0, 1)),
+        (range(9), 3, [(n, 3, "committed") for n in (0, 3, 6)], (9, 3, 0, 0)),
+        ([12], 1, [(12, 1, "committed")], (13, 1, 0, 0)),
     ],
 )
 def test_status_and_frontier(spark, offsets, width, status, position):
@@ -43,10 +45,10 @@ def test_status_and_frontier(spark, offsets, width, status, position):
 
 
 def test_partitions_are_independent(spark):
-    rows = wire(spark, message(0, partition=0), message(0, partition=3))
-    found = ranges.range_summary(records_of(rows), 4)
+    rows = wire(spark, message(7, partition=2), message(1, partition=7))
+    found = ranges.range_summary(records_of(rows), 9)
     assert ranges.open_ranges(found).first().open_partitions == 2
-    assert {r.kafka_partition for r in found.collect()} == {0, 3}
+    assert {r.kafka_partition for r in found.collect()} == {2, 7}
 
 
 def test_topic_without_open_ranges_is_listed(spark):
@@ -55,7 +57,7 @@ def test_topic_without_open_ranges_is_listed(spark):
 
 
 def test_malformed_first_row_advances_the_range(spark):
-    rows = parse_envelope(records_of(wire(spark, message(0, value="{not json"), message(1))))
+    rows = parse_envelope(records_of(wire(spark, message(0, value='{"event_id": tru'), message(1))))
     stats = ranges.ingest_stats(rows, 2).first()
     assert stats.asDict() == {"records": 2, "malformed": 1, "uploads": 1, "commits": 1, "partial_uploads": 0}
 
@@ -83,9 +85,9 @@ def test_lag(spark):
 
 
 def test_names_depend_on_keys_only(spark):
-    partial = ranges.object_names(summary(spark, [12], 10_000), "2026-09-14").first().object_name
-    whole = ranges.object_names(summary(spark, [0, 9_999], 10_000), "2026-09-14").first().object_name
-    assert partial == whole == "ingestion-events/dt=2026-09-14/0-0-9999.parquet"
+    partial = ranges.object_names(summary(spark, [700], 640), "2027-02-28").first().object_name
+    whole = ranges.object_names(summary(spark, [640, 1_279], 640), "2027-02-28").first().object_name
+    assert partial == whole == "ingestion-events/dt=2027-02-28/0-640-1279.parquet"
 
 
 def test_tiling_finds_a_missing_range(spark):
@@ -109,25 +111,12 @@ def test_idle_flushes_and_upload_history(spark):
     assert [(r.range_start, r.upload, r.upload_rows) for r in uploads] == [(0, 1, 2), (0, 2, 5), (5, 1, 2)]
 
 
-def simulate_uploads(events, width, idle):
-    """One partition, record by record: an independent reading of the flush rules."""
-    uploads, buffer, dirty = [], [], False
-    for n, (offset, clock) in enumerate(events):
-        if buffer and buffer[0] // width != offset // width:
-            if dirty:
-                uploads.append((buffer[0] // width * width, len(buffer)))
-            buffer = []
-        buffer.append(offset)
-        dirty = True
-        if offset % width == width - 1:
-            uploads.append((offset // width * width, len(buffer)))
-            buffer, dirty = [], False
-        elif n + 1 < len(events) and events[n + 1][1] - clock >= idle:
-            uploads.append((offset // width * width, len(buffer)))
-            dirty = False
-    if dirty and buffer:
-        uploads.append((buffer[0] // width * width, len(buffer)))
-    return uploads
+UPLOADS = """
+WITH waits AS (
+  SELECT o // 7 * 7 AS start, o, lead(clock) OVER w - clock AS wait FROM arrived
+  WINDOW w AS (PARTITION BY o // 7 ORDER BY o))
+SELECT start, (SELECT count(*) FROM waits i WHERE i.start = waits.start AND i.o <= waits.o) AS held
+FROM waits WHERE wait IS NULL OR wait >= 30 ORDER BY start, o"""
 
 
 def test_upload_history_follows_the_flush_rules(spark):
@@ -143,4 +132,6 @@ def test_upload_history_follows_the_flush_rules(spark):
     rows = [message(o, stamp=start + timedelta(seconds=s)) for o, s in events]
     records = records_of(wire(spark, *rows)).withColumn("clock", F.col("kafka_timestamp"))
     found = ranges.upload_history(records, 7, "clock", 30_000).orderBy("range_start", "upload").collect()
-    assert [(r.range_start, r.upload_rows) for r in found] == simulate_uploads(events, 7, 30)
+    arrived = pd.DataFrame(events, columns=["o", "clock"])
+    expected = duckdb.sql(UPLOADS).fetchall()
+    assert len(arrived) and [(r.range_start, r.upload_rows) for r in found] == expected

@@ -18,6 +18,7 @@ from tidemark.sinks.settled import publish_settled
 from tidemark.sinks.staging import (
     read_day,
     read_object,
+    read_ranges,
     read_settled,
     read_staging,
     stage_batch,
@@ -94,7 +95,7 @@ def test_an_abandoned_range_is_staged_and_passed_over(spark, area):
 
 
 def test_malformed_rows_are_staged_and_counted(spark, area):
-    stage_log(wire(spark, message(0, value="{not json"), message(1, value=None), message(2)), area, 3, now=NOW)
+    stage_log(wire(spark, message(0, value='{"event_id": tru'), message(1, value=None), message(2)), area, 3, now=NOW)
     assert offsets(spark, area) == [0, 1, 2]
     stats = ledger.ledger_stats(spark, area).first()
     assert stats.asDict() == {"records": 3, "malformed": 2, "ranges": 1, "commits": 1, "partial_ranges": 0}
@@ -110,11 +111,10 @@ def test_redelivered_rows_do_not_double_and_the_staged_row_wins(spark, area):
     assert rows[1].ingested_at == rows[0].ingested_at != rows[2].ingested_at
 
 
-def test_many_copies_of_one_offset(spark, area, monkeypatch):
+def test_many_copies_of_one_offset(spark, area):
     rows = wire(spark, *[message(1)] * 50, message(0), message(2))
     stage_log(rows, area, 4, now=NOW)
     assert offsets(spark, area) == [0, 1, 2]
-    monkeypatch.setattr(staging, "NAMED_RANGES", 0)
     stage_log(wire(spark, *[message(3)] * 50, message(1)), area, 4, now=NOW)
     assert offsets(spark, area) == [0, 1, 2, 3]
     assert committed(spark, area) == [4]
@@ -295,13 +295,25 @@ def test_compaction_keeps_the_state(spark, area):
     assert state(spark, area) == [*before[:2], (8, 3, "committed", 12)]
 
 
-def test_more_ranges_than_named_folders(spark, area, monkeypatch):
-    monkeypatch.setattr(staging, "NAMED_RANGES", 2)
-    stage_log(log(spark, range(0, 40, 2)), area, 4, now=NOW)
-    stage_log(log(spark, range(40)), area, 4, now=NOW)
-    assert offsets(spark, area) == list(range(40))
-    assert committed(spark, area) == [40]
-    assert len(files(area)) == 10
+def test_many_ranges_over_more_tasks(spark, area, monkeypatch):
+    monkeypatch.setattr(staging, "ROWS_PER_TASK", 2)
+    stage_log(log(spark, range(1, 45, 2)), area, 3, now=NOW)
+    stage_log(log(spark, range(45)), area, 3, now=NOW + timedelta(days=1))
+    assert offsets(spark, area) == list(range(45))
+    assert committed(spark, area) == [45]
+    assert len(files(area)) == 15
+
+
+def test_ranges_are_found_without_reading_other_folders(spark, area):
+    stage_log(log(spark, range(60)), area, 3, now=NOW)
+    wanted = ledger.ledger_state(spark, area).where("range_start IN (9, 33)").withColumnRenamed("partition", "part")
+    found = read_ranges(spark, area, wanted)
+    assert sorted(r.kafka_offset for r in found.collect()) == [9, 10, 11, 33, 34, 35]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(kafka_offset,9)" in plan and "LessThanOrEqual(kafka_offset,35)" in plan
+    if not isinstance(area, ObjectArea):
+        folders = plan.split("PartitionFilters: ")[1].split("PushedFilters")[0]
+        assert "dynamicpruning" in folders and "range_start" in folders
 
 
 def test_settled_rows_leave_out_fresh_partial_ranges(spark, area):

@@ -50,7 +50,7 @@ def test_a_partial_range_is_published_and_completed_after_a_restart(inbox):
 
 def test_many_micro_batches(inbox):
     for n in range(6):
-        inbox.arrive(message(2 * n), message(2 * n + 1), message(n, partition=1, value="{not json"))
+        inbox.arrive(message(2 * n), message(2 * n + 1), message(n, partition=1, value='{"event_id": tru'))
     told = []
     inbox.drain(on_batch=lambda batch, counts: told.append((batch, counts)))
     assert told == [(n, {"records": 3, "malformed": 1}) for n in range(6)]

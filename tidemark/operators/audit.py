@@ -34,9 +34,10 @@ def duplicate_offsets(staged: DataFrame) -> DataFrame:
 
 
 def latest_rows(staged: DataFrame, version: str) -> DataFrame:
-    """One row per offset, the one with the highest `version`."""
-    newest_first = W.partitionBy(*PROVENANCE).orderBy(F.col(version).desc())
-    return staged.withColumn("__nth", F.row_number().over(newest_first)).where("__nth = 1").drop("__nth")
+    """One row per offset, the one with the highest `version`. Copies are merged before the
+    shuffle."""
+    newest = F.max_by(F.struct(*staged.columns), version).alias("newest")
+    return staged.groupBy(*PROVENANCE).agg(newest).select("newest.*")
 
 
 def split_ranges(staged: DataFrame) -> DataFrame:

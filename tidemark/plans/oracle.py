@@ -17,15 +17,15 @@ wire AS (
     event_id AS src_event_id, ts AS src_ts,
     kafka_offset - kafka_offset % 50 AS rs, kafka_offset - kafka_offset % 50 + 49 AS re,
     CASE WHEN event_id % 97 = 13 THEN NULL
-         WHEN event_id % 89 = 5 THEN '{not json'
-         WHEN event_id % 83 = 7 THEN '{"hello":"world"}'
-         ELSE concat('{"event_id":"evt-', CAST(event_id AS STRING), '","gateway_id":"gw-',
+         WHEN event_id % 89 = 5 THEN '{"event_id": tru'
+         WHEN event_id % 83 = 7 THEN '{"seq":17}'
+         ELSE concat('{"event_id":"rec-', CAST(event_id AS STRING), '","gateway_id":"node-',
               CAST(user_id_mod AS STRING), '","received_at":"',
-              CASE WHEN event_id % 71 = 11 THEN 'not a timestamp'
+              CASE WHEN event_id % 71 = 11 THEN 'yesterday noon'
                    ELSE concat(replace(substr(CAST(ts AS STRING), 1, 19), ' ', 'T'), 'Z') END, '"',
               CASE WHEN event_id % 7 = 0 THEN ''
                    ELSE concat(',"retry_count":', CAST(event_id % 4 AS STRING)) END,
-              CASE WHEN event_id % 3 = 0 THEN concat(',"event_header":{"sub":"u', CAST(user_id_mod AS STRING), '"}')
+              CASE WHEN event_id % 3 = 0 THEN concat(',"event_header":{"who":"u', CAST(user_id_mod AS STRING), '"}')
                    ELSE '' END,
               ',"payload":', props, '}') END AS value
   FROM (SELECT n.*, kafka_partition % 3 AS user_id_mod FROM n) q
@@ -256,7 +256,7 @@ ORACLE = {
     "staged_stream": _sql(STAGED_COUNTS, SUMMARY),
     "object_row_order": _sql(
         """SELECT concat(kafka_topic, '/dt=2026-09-14/', kafka_partition, '-', rs, '-', re, '.parquet')
-        AS object_name, TRUE AS is_sorted FROM summary""",
+        AS object_name, NOT (rs % 150 = 50 AND records > 1) AS is_sorted FROM summary""",
         SUMMARY,
     ),
     "published_objects": _sql(
@@ -269,10 +269,32 @@ ORACLE = {
     "settled_rows": _sql(f"SELECT {RANGE}, records FROM status WHERE outcome <> 'open'", SUMMARY),
     "settled_ranges": _sql(f"SELECT {RANGE}, records FROM status WHERE outcome <> 'open'", SUMMARY),
     "dirty_ranges": _sql(f"SELECT DISTINCT {RANGE} FROM wire WHERE src_event_id % 2 = 1"),
-    "contract_violations": """
-        SELECT check_name, CAST(0 AS BIGINT) AS violations FROM (VALUES
+    "contract_violations": _sql(
+        """SELECT n.check_name, count(q.check_name) AS violations FROM (VALUES
           ('null_kafka_topic'), ('null_kafka_partition'), ('null_kafka_offset'), ('null_ingested_at'),
           ('null_malformed'), ('envelope_on_malformed'), ('reason_on_parsed'), ('no_reason_on_malformed'),
-          ('incomplete_envelope_on_parsed')) t(check_name)""",
+          ('incomplete_envelope_on_parsed')) n(check_name) LEFT JOIN (SELECT unnest([
+            CASE WHEN kafka_offset % 41 = 9 THEN 'null_kafka_topic' END,
+            CASE WHEN kafka_offset % 37 = 8 THEN 'null_kafka_partition' END,
+            CASE WHEN kafka_offset % 43 = 2 THEN 'null_kafka_offset' END,
+            CASE WHEN kafka_offset % 29 = 6 THEN 'null_ingested_at' END,
+            CASE WHEN m IS NULL THEN 'null_malformed' END,
+            CASE WHEN m AND coalesce(e, g, CAST(received_us AS VARCHAR), CAST(retry_count AS VARCHAR),
+                                     stream_name, event_header, p) IS NOT NULL THEN 'envelope_on_malformed' END,
+            CASE WHEN NOT m AND r IS NOT NULL THEN 'reason_on_parsed' END,
+            CASE WHEN m AND r IS NULL THEN 'no_reason_on_malformed' END,
+            CASE WHEN NOT m AND (e IS NULL OR g IS NULL OR retry_count IS NULL OR p IS NULL)
+                 THEN 'incomplete_envelope_on_parsed' END]) AS check_name FROM broken) q
+        ON n.check_name = q.check_name GROUP BY n.check_name""",
+        JUDGED,
+        """
+broken AS (
+  SELECT *, CASE WHEN kafka_offset % 23 <> 5 THEN malformed END AS m,
+    CASE WHEN kafka_offset % 5 <> 1 THEN CASE WHEN kafka_offset % 19 = 4 THEN 'no reason' ELSE reason END END AS r,
+    CASE WHEN kafka_offset % 17 <> 3 THEN event_id END AS e,
+    CASE WHEN kafka_offset % 7 = 4 THEN 'someone' ELSE gateway_id END AS g,
+    CASE WHEN kafka_offset % 13 <> 8 THEN payload END AS p
+  FROM parsed)""",
+    ),
     "trace_rows": _sql(f"SELECT {KEY}, event_id, src_event_id FROM parsed", JUDGED),
 }

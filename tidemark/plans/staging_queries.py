@@ -15,17 +15,25 @@ from tidemark.sinks.ledger import frontier
 from tidemark.sinks.objects import publish_objects, read_objects
 from tidemark.sinks.settled import publish_settled
 from tidemark.sinks.staging import read_object, read_settled, read_staging, stage_batch, stage_log
-from tidemark.sources.event_log import event_log
+from tidemark.sources.event_log import broken_contract, event_log, events
 from tidemark.streaming.ingest import start
 
 NOW = datetime(2026, 9, 14, 10, tzinfo=timezone.utc)
 
-_staged: dict[tuple[str, str], StagingArea] = {}
+_staged: dict[tuple[str, str, int], StagingArea] = {}
+
+
+def _content(spark: SparkSession, sf_dir: str) -> int:
+    """What changes when the files of the table do."""
+    file = [F.col(f"_metadata.{c}").alias(c) for c in ("file_path", "file_size", "file_modification_time")]
+    files = events(spark, sf_dir).select(*file).distinct()
+    return files.agg(F.bit_xor(F.xxhash64(*files.columns))).first()[0]
 
 
 def staged_log(spark: SparkSession, sf_dir: str) -> StagingArea:
-    """The whole log, staged once per application for the queries that only read it."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    """The whole log, staged once per application and state of the table for the queries that
+    only read it."""
+    key = (spark.sparkContext.applicationId, sf_dir, _content(spark, sf_dir))
     if key not in _staged:
         area = StagingArea(scratch_dir(spark, "staged"))
         stage_log(event_log(spark, sf_dir), area, WIDTH, now=NOW)
@@ -51,7 +59,9 @@ def object_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def object_row_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The staged files, every third range of them read as if it had been written backwards."""
     rows = read_staging(spark, staged_log(spark, sf_dir))
+    index = F.col("_metadata.row_index")
     placed = rows.select(
         "topic",
         "dt",
@@ -60,13 +70,14 @@ def object_row_order(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("range_start") + WIDTH - 1).alias("range_end"),
         "kafka_offset",
         F.col("_metadata.file_path").alias("file_path"),
-        F.col("_metadata.row_index").alias("row_index"),
+        F.when(F.col("range_start") % (3 * WIDTH) == WIDTH, -index).otherwise(index).alias("row_index"),
     )
     return audit.object_row_order(placed)
 
 
 def contract_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audit.contract_violations(read_staging(spark, staged_log(spark, sf_dir)))
+    """Violations among the staged rows after some of them were damaged."""
+    return audit.contract_violations(broken_contract(read_staging(spark, staged_log(spark, sf_dir))))
 
 
 def trace_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,6 +27,8 @@ if TYPE_CHECKING:
 
 FORMAT = "tidemark_objects"
 ZSTD_LEVEL = 3
+# Uncompressed Arrow bytes after which a row group is written.
+ROW_GROUP_BYTES = 64 << 20
 
 
 def contract_schema() -> "pa.Schema":
@@ -57,39 +59,62 @@ class ObjectWriter(DataSourceArrowWriter):
             target, base = fs.FileSystem.from_uri(self.root.replace("s3a://", "s3://", 1))
         else:
             target, base = fs.LocalFileSystem(), self.root
-        name, pieces = None, []
+        current = None
         for batch in iterator:
             runs = pc.run_end_encode(batch.column("object_name"))
             start = 0
-            for end, run_name in zip(runs.run_ends.to_pylist(), runs.values.to_pylist(), strict=True):
-                if run_name != name:
-                    self._put(target, base, name, pieces)
-                    name, pieces = run_name, []
-                pieces.append(pa.Table.from_batches([batch.slice(start, end - start)]))
+            for end, name in zip(runs.run_ends.to_pylist(), runs.values.to_pylist(), strict=True):
+                if current is None or current.name != name:
+                    if current is not None:
+                        current.finish()
+                    current = OpenObject(target, base, name)
+                current.add(pa.Table.from_batches([batch.slice(start, end - start)]))
                 start = end
-        self._put(target, base, name, pieces)
+        if current is not None:
+            current.finish()
         return WriterCommitMessage()
 
-    @staticmethod
-    def _put(target, base: str, name: str | None, pieces: list) -> None:
-        """One range, so never more rows than its width."""
-        import pyarrow as pa
+
+class OpenObject:
+    """The one object a task is writing. Rows leave in row groups of bounded size, so the width
+    of a range does not decide how much a task holds."""
+
+    def __init__(self, target, base: str, name: str):
         import pyarrow.parquet as pq
         from pyarrow import fs
 
-        if name is None:
-            return
-        table = pa.concat_tables(pieces).drop_columns(["object_name"]).cast(contract_schema())
-        path = posixpath.join(base, name)
+        self.target, self.name, self.path = target, name, posixpath.join(base, name)
         # An object store shows an object when it is whole; a file system needs a rename.
-        renames = isinstance(target, (fs.LocalFileSystem, fs.HadoopFileSystem))
-        written = f"{posixpath.dirname(path)}/.{posixpath.basename(path)}.{uuid.uuid4().hex}" if renames else path
-        if renames:
-            target.create_dir(posixpath.dirname(path), recursive=True)
-        with target.open_output_stream(written) as out:
-            pq.write_table(table, out, compression="zstd", compression_level=ZSTD_LEVEL)
-        if renames:
-            target.move(written, path)
+        self.renames = isinstance(target, (fs.LocalFileSystem, fs.HadoopFileSystem))
+        self.written = self.path
+        if self.renames:
+            folder, file_name = posixpath.split(self.path)
+            self.written = f"{folder}/.{file_name}.{uuid.uuid4().hex}"
+            target.create_dir(folder, recursive=True)
+        self.schema = contract_schema()
+        self.out = target.open_output_stream(self.written)
+        self.file = pq.ParquetWriter(self.out, self.schema, compression="zstd", compression_level=ZSTD_LEVEL)
+        self.pieces, self.held = [], 0
+
+    def add(self, piece: "pa.Table") -> None:
+        self.pieces.append(piece)
+        self.held += piece.nbytes
+        if self.held >= ROW_GROUP_BYTES:
+            self._write()
+
+    def _write(self) -> None:
+        import pyarrow as pa
+
+        if self.pieces:
+            self.file.write_table(pa.concat_tables(self.pieces).drop_columns(["object_name"]).cast(self.schema))
+        self.pieces, self.held = [], 0
+
+    def finish(self) -> None:
+        self._write()
+        self.file.close()
+        self.out.close()
+        if self.renames:
+            self.target.move(self.written, self.path)
 
 
 class ObjectSource(DataSource):

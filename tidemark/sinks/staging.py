@@ -36,9 +36,8 @@ from tidemark.sinks import ledger
 from tidemark.sinks.area import ObjectArea, StagingArea, children, delete, exists, is_written
 from tidemark.sinks.objects import put_objects, read_objects
 
-# Up to this many ranges are read by their own paths; beyond it their topic and date folders
-# are listed and the ranges joined.
-NAMED_RANGES = 10_000
+# Rows one task merges and writes, besides the tasks the session asks for anyway.
+ROWS_PER_TASK = 2_000_000
 
 RANGE = ["topic", "part", "range_start"]
 
@@ -96,27 +95,21 @@ def wait_for_object(spark: SparkSession, area: StagingArea, object_name: str, se
     return True
 
 
-def _named(ranges: DataFrame) -> list[Row]:
-    """The ranges themselves if they are few, else one more than `NAMED_RANGES` of them."""
-    return ranges.limit(NAMED_RANGES + 1).collect()
-
+def read_ranges(spark: SparkSession, area: StagingArea, ranges: DataFrame) -> DataFrame:
+    """Staged rows of the given ranges (layout columns and `range_end`), listing only their
+    topics and dates.
 
-def _read_named(spark: SparkSession, area: StagingArea, ranges: DataFrame, named: list[Row]) -> DataFrame:
-    if not named:
+    The ranges are joined on the layout columns. Where Spark may broadcast them it prunes the
+    folders of a `StagingArea` by them before it reads; the filter marks them as selective.
+    Objects are skipped by the offsets in their footers.
+    """
+    bounds = F.min("range_start").alias("first"), F.max("range_end").alias("last")
+    days = ranges.groupBy("topic", "dt").agg(*bounds).collect()
+    if not days:
         return spark.createDataFrame([], STAGED)
-    if len(named) <= NAMED_RANGES:
-        places = [tuple(row[c] for c in (*LAYOUT_COLUMNS, "range_end")) for row in named]
-        return read_staging(spark, area, *[area.range_path(*place) for place in places])
-    days = ranges.select("topic", "dt").distinct().collect()
     rows = read_staging(spark, area, *[area.day_path(row["topic"], row["dt"]) for row in days])
-    return rows.join(ranges.select(*LAYOUT_COLUMNS), LAYOUT_COLUMNS, "left_semi")
-
-
-def read_ranges(spark: SparkSession, area: StagingArea, ranges: DataFrame) -> DataFrame:
-    """Staged rows of the given ranges (layout columns and `range_end`), listing only the
-    folders that can hold them."""
-    wanted = ranges.select(*LAYOUT_COLUMNS, "range_end")
-    return _read_named(spark, area, wanted, _named(wanted))
+    near = rows.where(F.col("kafka_offset").between(min(r["first"] for r in days), max(r["last"] for r in days)))
+    return near.join(ranges.select(*LAYOUT_COLUMNS).where("range_start >= 0"), LAYOUT_COLUMNS, "left_semi")
 
 
 def read_settled(spark: SparkSession, area: StagingArea, quiet_since: datetime) -> DataFrame:
@@ -167,7 +160,7 @@ def _restore(spark: SparkSession, area: StagingArea, name: str, width: int, publ
             continue
         carried = spark.read.schema(STAGED).parquet(path)
         if not carried.isEmpty():
-            publish(_merged(carried, None, width, None), area)
+            publish(_merged(carried, None, width, carried.count()), area)
         delete(spark, path)
 
 
@@ -204,19 +197,23 @@ def _intent(touched: DataFrame, area: StagingArea, name: str, width: int, now: d
     return spark.read.parquet(path)
 
 
-def _carried(intent: DataFrame, named: list[Row], area: StagingArea, name: str) -> DataFrame | None:
-    """A copy of what re-touched ranges hold, or nothing if there are none."""
+def _totals(intent: DataFrame) -> Row:
+    """What the driver needs to know of a batch, in one row whatever the number of ranges."""
+    return intent.agg(
+        F.sum("arrived").alias("arrived"),
+        F.max("was_staged").alias("was_staged"),
+        F.max("may_repeat").alias("may_repeat"),
+        F.max("write_date").alias("write_date"),
+        F.max("written_at").alias("written_at"),
+    ).first()
+
+
+def _carried(intent: DataFrame, area: StagingArea, name: str) -> DataFrame:
+    """A copy of what re-touched ranges hold."""
     spark = intent.sparkSession
-    staged = intent.where("was_staged")
-    if len(named) <= NAMED_RANGES:
-        named = [row for row in named if row["was_staged"]]
-    else:
-        named = _named(staged)
-    if not named:
-        return None
     path = f"{area.carried}/{name}"
     if not is_written(spark, path):
-        _read_named(spark, area, staged, named).write.mode("overwrite").parquet(path)
+        read_ranges(spark, area, intent.where("was_staged")).write.mode("overwrite").parquet(path)
     return spark.read.schema(STAGED).parquet(path)
 
 
@@ -249,16 +246,16 @@ def _without_gain(wire: DataFrame, intent: DataFrame, carried: DataFrame, width:
     return staged.join(new, RANGE, "left_anti")
 
 
-def _merged(incoming: DataFrame, carried: DataFrame | None, width: int, ranges: int | None) -> DataFrame:
+def _merged(incoming: DataFrame, carried: DataFrame | None, width: int, arrived: int) -> DataFrame:
     """One row per offset, carried rows first, in offset order within each range.
 
     One shuffle brings a range together; its sort serves the choice of rows, the order
-    inside the file and the writer, which keeps one file open at a time. A few `ranges` get
-    a task each; many (None) share the session's shuffle partitions. Coalescing by size
-    would leave a batch of many small files to one task.
+    inside the file and the writer, which keeps one file open at a time. Coalescing by size
+    would leave a batch of many small files to one task, so the number of tasks is given, by
+    the rows that `arrived`.
     """
     tasks = int(incoming.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tasks = min(tasks, ranges) if ranges is not None else tasks
+    tasks = max(tasks, -(-arrived // ROWS_PER_TASK))
     rows = incoming.select(*STAGED.fieldNames(), F.lit(1).alias("__rank"))
     if carried is not None:
         rows = rows.unionByName(carried.select(*STAGED.fieldNames(), F.lit(0).alias("__rank")))
@@ -273,8 +270,8 @@ def _merged(incoming: DataFrame, carried: DataFrame | None, width: int, ranges:
     return chosen.select(*STAGED.fieldNames(), "range_end").sortWithinPartitions(*LAYOUT_COLUMNS, "kafka_offset")
 
 
-def _ledger_rows(intent: DataFrame, named: list[Row], area: StagingArea, width: int, batch_id: int) -> DataFrame:
-    staged = _read_named(intent.sparkSession, area, intent, named)
+def _ledger_rows(intent: DataFrame, area: StagingArea, width: int, batch_id: int) -> DataFrame:
+    staged = read_ranges(intent.sparkSession, area, intent)
     held = staged.groupBy("topic", F.col("part").alias("partition"), "range_start", "dt").agg(
         F.count(F.lit(1)).alias("records"),
         F.max("kafka_offset").alias("last_offset"),
@@ -322,22 +319,21 @@ def stage_batch(
             if old != name:
                 delete(spark, f"{area.intents}/{old}")
         intent = _intent(touched, area, name, width, now)
-        named = _named(intent)
-        written_at, few = named[0]["written_at"], len(named) <= NAMED_RANGES
-        carried = _carried(intent, named, area, name)
-        rows = staging_rows(parse_envelope(records_of(wire)), F.lit(written_at))
+        batch = _totals(intent)
+        carried = _carried(intent, area, name) if batch["was_staged"] else None
+        rows = staging_rows(parse_envelope(records_of(wire)), F.lit(batch["written_at"]))
         if counters is not None:
             rows = rows.observe(
                 counters, F.count(F.lit(1)).alias("records"), F.count_if("malformed").alias("malformed")
             )
-        incoming = _placed(rows, intent, carried, width, named[0]["write_date"])
-        if carried is not None and (not few or any(row["may_repeat"] for row in named)):
+        incoming = _placed(rows, intent, carried, width, batch["write_date"])
+        if carried is not None and batch["may_repeat"]:
             idle = _without_gain(wire, intent, carried, width)
             if not idle.isEmpty():
                 incoming = incoming.join(idle, RANGE, "left_anti")
                 carried = carried.join(idle, RANGE, "left_anti")
-        publish(_merged(incoming, carried, width, len(named) if few else None), area)
-        ledger.record_batch(_ledger_rows(intent, named, area, width, batch_id), area, name)
+        publish(_merged(incoming, carried, width, batch["arrived"]), area)
+        ledger.record_batch(_ledger_rows(intent, area, width, batch_id), area, name)
         delete(spark, f"{area.carried}/{name}")
         ledger.compact_if_long(spark, area)
         return True

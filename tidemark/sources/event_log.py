@@ -19,17 +19,17 @@ TOPIC_OF_EVENT = (
 ENVELOPE_TEXT = """
 CASE
   WHEN event_id % 97 = 13 THEN NULL
-  WHEN event_id % 89 = 5 THEN '{not json'
-  WHEN event_id % 83 = 7 THEN '{"hello":"world"}'
+  WHEN event_id % 89 = 5 THEN '{"event_id": tru'
+  WHEN event_id % 83 = 7 THEN '{"seq":17}'
   ELSE concat(
-    '{"event_id":"evt-', CAST(event_id AS STRING),
-    '","gateway_id":"gw-', CAST(partition % 3 AS STRING),
+    '{"event_id":"rec-', CAST(event_id AS STRING),
+    '","gateway_id":"node-', CAST(partition % 3 AS STRING),
     '","received_at":"',
-    CASE WHEN event_id % 71 = 11 THEN 'not a timestamp'
+    CASE WHEN event_id % 71 = 11 THEN 'yesterday noon'
          ELSE concat(replace(substr(CAST(ts AS STRING), 1, 19), ' ', 'T'), 'Z') END,
     '"',
     CASE WHEN event_id % 7 = 0 THEN '' ELSE concat(',"retry_count":', CAST(event_id % 4 AS STRING)) END,
-    CASE WHEN event_id % 3 = 0 THEN concat(',"event_header":{"sub":"u', CAST(partition % 3 AS STRING), '"}')
+    CASE WHEN event_id % 3 = 0 THEN concat(',"event_header":{"who":"u', CAST(partition % 3 AS STRING), '"}')
          ELSE '' END,
     ',"payload":', props, '}')
 END
@@ -66,6 +66,31 @@ def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def broken_contract(staged: DataFrame) -> DataFrame:
+    """Staged rows that break each rule of the contract here and there."""
+    nth = F.col("kafka_offset")
+    lost = {
+        "event_id": nth % 17 == 3,
+        "payload": nth % 13 == 8,
+        "kafka_topic": nth % 41 == 9,
+        "kafka_partition": nth % 37 == 8,
+        "kafka_offset": nth % 43 == 2,
+        "ingested_at": nth % 29 == 6,
+        "malformed": nth % 23 == 5,
+        "malformed_reason": nth % 5 == 1,
+    }
+    added = {"gateway_id": (nth % 7 == 4, "someone"), "malformed_reason": (nth % 19 == 4, "no reason")}
+    columns = []
+    for name in staged.columns:
+        column = F.col(name)
+        if name in added:
+            column = F.when(added[name][0], added[name][1]).otherwise(column)
+        if name in lost:
+            column = F.when(~lost[name], column)
+        columns.append(column.alias(name))
+    return staged.select(*columns)
+
+
 def damaged_staging(log: DataFrame) -> DataFrame:
     """Staged keys with what audits look for, derived from the log in one pass.
 
