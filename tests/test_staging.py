@@ -13,7 +13,8 @@ from tidemark.operators import audit
 from tidemark.schema import STAGING
 from tidemark.session import scratch_dir
 from tidemark.sinks import ledger, staging
-from tidemark.sinks.area import ObjectArea, StagingArea, children
+from tidemark.sinks.area import ObjectArea, StagingArea, children, make_folder
+from tidemark.sinks.ownership import release
 from tidemark.sinks.settled import publish_settled
 from tidemark.sinks.staging import (
     read_day,
@@ -441,3 +442,38 @@ def test_copies_are_chosen_by_time_in_any_order(spark, area):
         b = message(offset, value=envelope("b"), stamp=second)
         stage_log(wire(spark, a, b), area, 9, now=NOW)
     assert [r.event_id for r in read_staging(spark, area).orderBy("kafka_offset").collect()] == ["item-a", "item-b"]
+
+
+@pytest.mark.parametrize("second", ["w", "other"])
+def test_an_area_has_one_writer_at_a_time(spark, area, second):
+    def intrude(rows, where):
+        with pytest.raises(RuntimeError, match="is held by w"):
+            stage_batch(log(spark, [8]), 1, area, 3, writer=second, now=NOW)
+        staging.publish_ranges(rows, where)
+
+    stage_batch(log(spark, range(3)), 0, area, 3, writer="w", now=NOW, publish=intrude)
+    assert offsets(spark, area) == [0, 1, 2]
+    assert children(spark, area.claims) == []
+    stage_batch(log(spark, [8]), 1, area, 3, writer=second, now=NOW)
+    assert offsets(spark, area) == [0, 1, 2, 8]
+
+
+def test_the_claim_of_a_lost_driver(spark, area):
+    """The same writer takes over; another one waits for the release."""
+    make_folder(spark, f"{area.claims}/w.app-gone.1")
+    with pytest.raises(RuntimeError, match="is held by w of app-gone"):
+        stage_batch(log(spark, range(3)), 0, area, 3, writer="other", now=NOW)
+    stage_batch(log(spark, range(3)), 0, area, 3, writer="w", now=NOW)
+    make_folder(spark, f"{area.claims}/w.app-gone.2")
+    release(spark, area)
+    stage_batch(log(spark, range(3, 6)), 0, area, 3, writer="other", now=NOW)
+    assert committed(spark, area) == [6]
+
+
+def test_the_width_of_an_area_without_a_note_is_that_of_its_ledger(spark, area):
+    stage_log(log(spark, range(5)), area, 4, now=NOW)
+    shutil.rmtree(area.widths)
+    with pytest.raises(ValueError, match="ranges of 4 offsets, not 8"):
+        stage_log(log(spark, [11]), area, 8, now=NOW)
+    stage_log(log(spark, [11]), area, 4, now=NOW)
+    assert offsets(spark, area) == [0, 1, 2, 3, 4, 11]

@@ -11,7 +11,8 @@ class StagingArea:
     """A staging area of one folder per range, written and pruned by Spark alone.
 
     `data` is what readers see. `ledger` says what is committed. `intents` and `carried`
-    belong to the batch in flight and make its replay repeat the same writes."""
+    belong to the batch in flight and make its replay repeat the same writes. `claims` names
+    the writer at work and `widths` the width of all ranges."""
 
     root: str
 
@@ -35,6 +36,14 @@ class StagingArea:
     def carried(self) -> str:
         return f"{self.root}/carried"
 
+    @property
+    def claims(self) -> str:
+        return f"{self.root}/claims"
+
+    @property
+    def widths(self) -> str:
+        return f"{self.root}/widths"
+
     def range_path(self, topic: str, dt: str, part: int, range_start: int, range_end: int) -> str:
         return f"{self.data}/topic={topic}/dt={dt}/part={part}/range_start={range_start}"
 
@@ -76,6 +85,11 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in fs.listStatus(jpath))
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, jpath = _file_system(spark, path)
+    fs.mkdirs(jpath)
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, jpath = _file_system(spark, path)
     fs.delete(jpath, True)

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from tidemark.functions import commit_offset, is_complete
 from tidemark.operators.ranges import with_outcome
 from tidemark.schema import LEDGER, PARTITION_KEYS, RANGE_KEYS
-from tidemark.sinks.area import StagingArea, children, delete, is_written
+from tidemark.sinks.area import StagingArea, children, delete, is_written, make_folder
 
 LEDGER_FILE = T.StructType(
     [
@@ -68,9 +68,11 @@ def ledger_state(spark: SparkSession, area: StagingArea) -> DataFrame:
 
 def staged_dates(spark: SparkSession, area: StagingArea, touched: DataFrame) -> DataFrame:
     """The pinned date and the last staged offset of those touched ranges that were staged
-    before."""
+    before. The bounds of what is touched skip the older parts of the ledger's snapshot."""
     keys = ["topic", "partition", "range_start"]
-    rows = ledger_rows(spark, area).select(*keys, "dt", "last_offset")
+    bounds = touched.agg(F.min("range_start").alias("first"), F.max("range_start").alias("last")).first()
+    near = F.col("range_start").between(bounds["first"], bounds["last"])
+    rows = ledger_rows(spark, area).where(near).select(*keys, "dt", "last_offset")
     return (
         rows.join(touched.select(*keys), keys, "left_semi")
         .groupBy(*keys)
@@ -105,11 +107,18 @@ def last_batch_id(spark: SparkSession, area: StagingArea) -> int:
 
 
 def check_same_width(spark: SparkSession, area: StagingArea, width: int) -> None:
-    """Refuse a width other than the one the area was staged with: ranges would overlap."""
-    span = F.col("range_end") - F.col("range_start") + 1
-    other = ledger_rows(spark, area).select(F.max(span).alias("width")).first()
-    if other is not None and other["width"] not in (None, width):
-        raise ValueError(f"staging area {area.root} has ranges of {other['width']} offsets, not {width}")
+    """Refuse a width other than the one the area was first staged with: ranges would overlap.
+
+    The width is kept as the name of an empty folder; an area without one asks its ledger.
+    """
+    known = children(spark, area.widths)
+    if not known:
+        span = F.col("range_end") - F.col("range_start") + 1
+        staged = ledger_rows(spark, area).select(F.max(span).alias("width")).first()["width"]
+        make_folder(spark, f"{area.widths}/{staged or width}")
+        known = children(spark, area.widths)
+    if known != [str(width)]:
+        raise ValueError(f"staging area {area.root} has ranges of {', '.join(known)} offsets, not {width}")
 
 
 def compact(spark: SparkSession, area: StagingArea) -> None:

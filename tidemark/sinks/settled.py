@@ -14,6 +14,7 @@ from tidemark.functions import range_end
 from tidemark.schema import LAYOUT_COLUMNS, STAGED
 from tidemark.sinks import ledger
 from tidemark.sinks.area import StagingArea, children, delete
+from tidemark.sinks.ownership import held
 from tidemark.sinks.staging import publish_ranges, read_ranges
 
 
@@ -42,6 +43,13 @@ def publish_settled(
     """
     ledger.check_same_width(spark, staged, width)
     ledger.check_same_width(spark, published, width)
+    with held(spark, published, "settled"):
+        return _publish_settled(spark, staged, published, width, quiet_since)
+
+
+def _publish_settled(
+    spark: SparkSession, staged: StagingArea, published: StagingArea, width: int, quiet_since: datetime
+) -> bool:
     batch_id = ledger.last_batch_id(spark, published) + 1
     ranges = unpublished_ranges(spark, staged, published, quiet_since).withColumn(
         "batch_id", F.lit(batch_id).cast("bigint")

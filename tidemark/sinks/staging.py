@@ -35,6 +35,7 @@ from tidemark.session import configure
 from tidemark.sinks import ledger
 from tidemark.sinks.area import ObjectArea, StagingArea, children, delete, exists, is_written
 from tidemark.sinks.objects import put_objects, read_objects
+from tidemark.sinks.ownership import held
 
 # Rows one task merges and writes, besides the tasks the session asks for anyway.
 ROWS_PER_TASK = 2_000_000
@@ -300,7 +301,7 @@ def stage_batch(
     `counters` receives the batch's `records` and `malformed` as they are written.
 
     `keep` holds the raw messages on the executors while the batch runs, for a source that
-    is costly to read twice. One writer at a time may stage into an area.
+    is costly to read twice. Fails while another writer, or call, is staging into the area.
     """
     check_width(width)
     spark = configure(wire.sparkSession)
@@ -309,34 +310,35 @@ def stage_batch(
         wire = wire.persist(StorageLevel.MEMORY_AND_DISK)
     touched = _touched(wire, width).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        fingerprint = _fingerprint(touched)
-        if fingerprint is None:
-            return False
-        name = ledger.batch_name(writer, batch_id, fingerprint)
-        _restore(spark, area, name, width, publish)
-        # The batch before is settled once this one is asked for.
-        for old in children(spark, area.intents):
-            if old != name:
-                delete(spark, f"{area.intents}/{old}")
-        intent = _intent(touched, area, name, width, now)
-        batch = _totals(intent)
-        carried = _carried(intent, area, name) if batch["was_staged"] else None
-        rows = staging_rows(parse_envelope(records_of(wire)), F.lit(batch["written_at"]))
-        if counters is not None:
-            rows = rows.observe(
-                counters, F.count(F.lit(1)).alias("records"), F.count_if("malformed").alias("malformed")
-            )
-        incoming = _placed(rows, intent, carried, width, batch["write_date"])
-        if carried is not None and batch["may_repeat"]:
-            idle = _without_gain(wire, intent, carried, width)
-            if not idle.isEmpty():
-                incoming = incoming.join(idle, RANGE, "left_anti")
-                carried = carried.join(idle, RANGE, "left_anti")
-        publish(_merged(incoming, carried, width, batch["arrived"]), area)
-        ledger.record_batch(_ledger_rows(intent, area, width, batch_id), area, name)
-        delete(spark, f"{area.carried}/{name}")
-        ledger.compact_if_long(spark, area)
-        return True
+        with held(spark, area, writer):
+            fingerprint = _fingerprint(touched)
+            if fingerprint is None:
+                return False
+            name = ledger.batch_name(writer, batch_id, fingerprint)
+            _restore(spark, area, name, width, publish)
+            # The batch before is settled once this one is asked for.
+            for old in children(spark, area.intents):
+                if old != name:
+                    delete(spark, f"{area.intents}/{old}")
+            intent = _intent(touched, area, name, width, now)
+            batch = _totals(intent)
+            carried = _carried(intent, area, name) if batch["was_staged"] else None
+            rows = staging_rows(parse_envelope(records_of(wire)), F.lit(batch["written_at"]))
+            if counters is not None:
+                rows = rows.observe(
+                    counters, F.count(F.lit(1)).alias("records"), F.count_if("malformed").alias("malformed")
+                )
+            incoming = _placed(rows, intent, carried, width, batch["write_date"])
+            if carried is not None and batch["may_repeat"]:
+                idle = _without_gain(wire, intent, carried, width)
+                if not idle.isEmpty():
+                    incoming = incoming.join(idle, RANGE, "left_anti")
+                    carried = carried.join(idle, RANGE, "left_anti")
+            publish(_merged(incoming, carried, width, batch["arrived"]), area)
+            ledger.record_batch(_ledger_rows(intent, area, width, batch_id), area, name)
+            delete(spark, f"{area.carried}/{name}")
+            ledger.compact_if_long(spark, area)
+            return True
     finally:
         touched.unpersist()
         if keep:
