@@ -192,6 +192,20 @@ def test_other_numbers_and_names_are_caught_if_consistent(spark):
     assert not any(r.contaminated for r in decontaminate.judge(docs, benchmark.limit(0)).collect())
 
 
+def contaminated(spark, items, texts):
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    rows = decontaminate.judge(frame(spark, texts), benchmark).collect()
+    return [bool(r.contaminated) for r in sorted(rows, key=lambda r: r.doc_id)]
+
+
+def test_one_odd_slot_does_not_hide_a_passage(spark):
+    same = "So then " + OTHER.replace("40", "5")  # 12 and 7 are both 5 there
+    names = "Today Mary Ann paid 12 dollars for the new red book and later Mary Sue sold the same old book to her aunt."
+    other = names.replace("Mary Ann", "Eve Poe").replace("Mary Sue", "Tom Poe")
+    verbatim = QUESTION.replace("eats 7", "eats 6")
+    assert contaminated(spark, [QUESTION, names], [verbatim, same, other, MIXED]) == [True, True, True, False]
+
+
 def test_unfiltered_join_gives_the_same(spark, monkeypatch):
     def judged():
         rows = decontaminate.judge(read(spark, SF, "documents", "doc_id", "text"), read(spark, SF, "benchmark", "item_id", "text"))

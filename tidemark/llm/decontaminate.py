@@ -3,7 +3,9 @@
 Numbers, names and units become typed placeholders, so that a question with other numbers or
 names in it keeps its template. Windows of template tokens are joined with the benchmark's by
 hash. Matches that align a document with an item are checked for slot consistency: one value
-of the item must stand for one value in the document, and the other way round.
+of the item must stand for one value in the document. The check is made for the whole
+alignment, for each run of windows that follow on one another, and for each run whose slots
+are equal word for word, which is always consistent.
 
 Benchmark windows are counted. Up to FILTER_WINDOWS their hashes go to the tasks, which then
 pass on matching windows only; beyond that all windows go to the join, with the same result.
@@ -14,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -46,6 +49,7 @@ LITERAL, NUM, NAME, UNIT, GLUE = range(5)
 PLACEHOLDERS = np.array([0, 0x51ED270B, 0x2545F491, 0x9E3779B1, 0], dtype=np.uint64)
 BASE = np.uint64(0x100000001B3)
 
+PAIR = ("at", "position", "item_slots", "slots")
 WINDOWS = "window long, position long, slots array<string>"
 
 
@@ -104,6 +108,8 @@ class Template:
         # A name of several words is one slot.
         first = np.ones(len(ids), bool)
         first[1:] = ~((kind[1:] == NAME) & (kind[:-1] == NAME) & same[1:])
+        # Where each token begins in the words, which are `words`.
+        self.words, self.origin = ids, np.append(np.flatnonzero(first), len(ids))
         self.ids, self.text_of, self.kind = ids[first], text_of[first], kind[first]
         literal = np.array(lexicon.hash, np.uint64)[self.ids]
         self.code = np.where(self.kind == LITERAL, literal, PLACEHOLDERS[self.kind])
@@ -128,7 +134,11 @@ class Template:
     def slots(self, place: int, width: int) -> list[str]:
         """`offset=value` of each placeholder in a window."""
         kinds = self.kind[place : place + width]
-        return [f"{k}={self.lexicon.core[self.ids[place + k]]}" for k in np.flatnonzero(kinds != LITERAL)]
+        return [f"{k}={self.value(place + k, place + k + 1)}" for k in np.flatnonzero(kinds != LITERAL)]
+
+    def value(self, begin: int, end: int) -> str:
+        """All words of some tokens."""
+        return " ".join(self.lexicon.core[word] for word in self.words[self.origin[begin] : self.origin[end]])
 
 
 def _benchmark_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,11 +190,59 @@ def _document_windows(widths: list[int], known: np.ndarray | None):
     return run
 
 
+def _runs(pairs: list[dict]) -> Iterator[list[dict]]:
+    """Matches of which each follows on another one in both texts."""
+    runs = {}
+    for pair in sorted(pairs, key=lambda p: (p["position"], p["at"])):
+        run = runs.setdefault((pair["position"], pair["at"]), [])
+        run.append(pair)
+        runs.setdefault((pair["position"] + 1, pair["at"] + 1), run)
+    yield from {id(run): run for run in runs.values()}.values()
+
+
+def _alignments(pairs: list[dict]) -> Iterator[list[dict]]:
+    shifts = {}
+    for pair in pairs:
+        shifts.setdefault(pair["position"] - pair["at"], []).append(pair)
+    yield from shifts.values()
+    yield from _runs(pairs)
+    yield from _runs([pair for pair in pairs if pair["item_slots"] == pair["slots"]])
+
+
+def _values(pairs: list[dict]) -> set[tuple[str, str]]:
+    """(item value, document value) of the slots, without their offsets."""
+    slots = (both for pair in pairs for both in zip(pair["item_slots"], pair["slots"], strict=True))
+    return {(item.partition("=")[2], doc.partition("=")[2]) for item, doc in slots}
+
+
+def held_windows(pairs: list[dict], need: int) -> int:
+    """Windows of the largest alignment of a document with an item that is consistent and has `need`, or 0."""
+    places = lambda slots: [slot.partition("=")[0] for slot in slots]
+    pairs = [pair for pair in pairs if places(pair["item_slots"]) == places(pair["slots"])]
+    best = 0
+    for some in _alignments(pairs):
+        count = len({pair["at"] for pair in some})
+        if count >= need and count > best:
+            values = _values(some)
+            if len({item for item, _ in values}) == len(values):
+                best = count
+    return best
+
+
+def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """doc_id, text_key, item_id, need, pairs -> the rows that hold the item, with their windows."""
+    for batch in batches:
+        needs, pairs = batch.column(3).to_pylist(), batch.column(4)
+        windows = pa.array([held_windows(pairs[n].as_py(), need) for n, need in enumerate(needs)], pa.int64())
+        rows = pa.RecordBatch.from_arrays([*batch.columns[:3], windows], names=["doc_id", "text_key", "item_id", "windows"])
+        yield rows.filter(pa.compute.greater(windows, 0))
+
+
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """`doc_id, text_key, item_id, windows`: documents that hold an item's passage, stored.
 
-    A row for each document and item of which enough windows match in one alignment whose
-    slots are consistent. Items without a window of enough literal words match nothing.
+    A row for each document and item of which enough windows match in one alignment, or run
+    of windows, whose slots are consistent. Items without a window of enough literal words match nothing.
     """
     items = benchmark.select("item_id", F.coalesce("text", F.lit("")).alias("text"))
     templates = stored(
@@ -201,21 +259,11 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     texts = docs.select("doc_id", text_key(F.col("text")).alias("text_key"), "text")
     found = texts.mapInArrow(_document_windows(sorted(widths), known), f"doc_id long, text_key long, {WINDOWS}")
     joined = found.distinct().join(templates, "window")
-    value = lambda slots: F.transform(slots, lambda s: F.substring_index(s, "=", 1))
-    pairs = F.zip_with(
-        "item_slots",
-        "slots",
-        lambda a, b: F.struct(F.regexp_extract(a, "(?s)=(.*)", 1).alias("item"), F.regexp_extract(b, "(?s)=(.*)", 1).alias("doc")),
-    )
-    same_places = value("item_slots") == value("slots")
-    aligned = joined.filter(same_places).groupBy("doc_id", "text_key", "item_id", (F.col("position") - F.col("at")).alias("shift"))
-    checked = aligned.agg(
-        F.count_distinct("at").alias("windows"), F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs")
-    )
-    single = lambda side: F.size(F.array_distinct(F.transform("pairs", lambda p: p[side]))) == F.size("pairs")
-    sizes = templates.groupBy("item_id").agg(F.count_distinct("at").alias("all"))
-    kept = checked.filter(single("item") & single("doc")).join(sizes, "item_id")
-    enough = kept.filter(F.col("windows") >= F.least("all", F.lit(MIN_WINDOWS)))
+    sizes = templates.groupBy("item_id").agg(F.least(F.count_distinct("at"), F.lit(MIN_WINDOWS)).alias("need"))
+    pair = F.struct(*PAIR)
+    pairs = joined.groupBy("doc_id", "text_key", "item_id").agg(F.collect_list(pair).alias("pairs")).join(sizes, "item_id")
+    held = pairs.select("doc_id", "text_key", "item_id", "need", "pairs")
+    enough = held.mapInArrow(_judged, "doc_id long, text_key long, item_id long, windows long")
     best = enough.groupBy("doc_id", "text_key", "item_id").agg(F.max("windows").alias("windows"))
     return stored(best, "contaminated")
 
