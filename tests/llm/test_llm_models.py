@@ -206,6 +206,16 @@ def test_one_odd_slot_does_not_hide_a_passage(spark):
     assert contaminated(spark, [QUESTION, names], [verbatim, same, other, MIXED]) == [True, True, True, False]
 
 
+def test_names_at_sentence_starts_are_placeholders(spark):
+    short = "Anna has 12 apples. Bob buys 7 more. How many are left?"
+    shop = "The shop sells 12 apples. Bob buys 7 more. Carl Orr counts what is left there."
+    texts = ["Peter has 40 apples. Carl Poe buys 5 more. How many are left?", "So Peter has 40 apples. Then Carl buys 5 more. How many are left?"]
+    texts += ["Today the shop sells 40 apples. Eve buys 5 more. Tom counts what is left there.", "Peter has 40 pears. Carl buys 5 more. How many are red?"]
+    assert contaminated(spark, [short, shop], texts) == [True, True, True, False]
+    many = decontaminate.Template(["Yes. No. " * 500], decontaminate.Lexicon())
+    assert sum(len(part[0]) for part in many.windows(8)) > 500
+
+
 def test_unfiltered_join_gives_the_same(spark, monkeypatch):
     def judged():
         rows = decontaminate.judge(read(spark, SF, "documents", "doc_id", "text"), read(spark, SF, "benchmark", "item_id", "text"))

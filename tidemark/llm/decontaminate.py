@@ -1,7 +1,8 @@
 """Benchmark decontamination by template canonicalisation.
 
 Numbers, names and units become typed placeholders, so that a question with other numbers or
-names in it keeps its template. Windows of template tokens are joined with the benchmark's by
+names in it keeps its template. A capitalised word at a sentence start may be a name or not;
+windows are made for both readings, and either may match. Windows of template tokens are joined with the benchmark's by
 hash. Matches that align a document with an item are checked for slot consistency: one value
 of the item must stand for one value in the document. The check is made for the whole
 alignment, for each run of windows that follow on one another, and for each run whose slots
@@ -11,6 +12,7 @@ Benchmark windows are counted. Up to FILTER_WINDOWS their hashes go to the tasks
 pass on matching windows only; beyond that all windows go to the join, with the same result.
 """
 
+import itertools
 import re
 from collections.abc import Iterator
 
@@ -31,6 +33,8 @@ MIN_LITERALS = 4
 # 8 bytes each in every task.
 FILTER_WINDOWS = 2_000_000
 FOLD_WINDOWS = 1 << 18
+# Readings of windows that are worked out at a time.
+FOLD_READINGS = 1 << 21
 
 EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 NUMBER = re.compile(r"[0-9][0-9.,:/-]*(?:st|nd|rd|th)?\Z")
@@ -49,14 +53,21 @@ LITERAL, NUM, NAME, UNIT, GLUE = range(5)
 PLACEHOLDERS = np.array([0, 0x51ED270B, 0x2545F491, 0x9E3779B1, 0], dtype=np.uint64)
 BASE = np.uint64(0x100000001B3)
 
-PAIR = ("at", "position", "item_slots", "slots")
-WINDOWS = "window long, position long, slots array<string>"
+# `next_at` and `next` are where the window's second token is, `plain` that no word is read as a name.
+TEMPLATES = (
+    "item_id long, window long, at long, next_at long, end long, size long, item_plain boolean, width int,"
+    " item_slots array<string>"
+)
+TEMPLATE_NAMES = [column.split()[0] for column in TEMPLATES.split(", ")]
+TEMPLATE_TYPES = (*[pa.int64()] * 6, pa.bool_(), pa.int32(), pa.list_(pa.string()))
+WINDOWS = "window long, position long, next long, plain boolean, slots array<string>"
+PAIR = ("at", "next_at", "end", "size", "item_plain", "item_slots", "position", "next", "plain", "slots")
 
 
 class Lexicon(dict):
     """What each raw token is, worked out once per distinct token: its number here.
 
-    `hash`, `kind` (a capitalised word is a NAME that counts as one inside a sentence only),
+    `hash`, `kind` (a capitalised word is a NAME, which at a sentence start may be a literal too),
     `ends` (whether a sentence ends with it) and `core` (the token without its edges).
     """
 
@@ -103,7 +114,8 @@ class Template:
         same[1:] = text_of[1:] == text_of[:-1]
         before = np.full(len(ids), LITERAL, np.int8)
         before[1:] = kind[:-1]
-        kind = np.where((kind == NAME) & begins, LITERAL, kind)
+        either = (kind == NAME) & begins
+        kind = np.where(either, LITERAL, kind)
         kind = np.where((kind == UNIT) & ~(same & (before == NUM)), LITERAL, kind)
         # A name of several words is one slot.
         first = np.ones(len(ids), bool)
@@ -111,17 +123,25 @@ class Template:
         # Where each token begins in the words, which are `words`.
         self.words, self.origin = ids, np.append(np.flatnonzero(first), len(ids))
         self.ids, self.text_of, self.kind = ids[first], text_of[first], kind[first]
+        # Read as a name, a word takes in the names that follow it.
+        self.either, self.takes = either[first], np.zeros(len(self.ids), np.int64)
+        self.takes[:-1] = self.either[:-1] & (self.kind[1:] == NAME) & (self.text_of[1:] == self.text_of[:-1])
         literal = np.array(lexicon.hash, np.uint64)[self.ids]
         self.code = np.where(self.kind == LITERAL, literal, PLACEHOLDERS[self.kind])
         self.start = np.searchsorted(self.text_of, np.arange(len(texts)))
         self.size = np.bincount(self.text_of, minlength=len(texts))
+        self.stop = (self.start + self.size)[self.text_of]
         self.lexicon = lexicon
 
-    def windows(self, width: int) -> tuple[np.ndarray, np.ndarray]:
-        """Hash and place of every window of `width` tokens in one text with enough literals."""
+    def windows(self, width: int) -> Iterator[tuple[np.ndarray, ...]]:
+        """Every window of `width` tokens in one text with enough literals, in parts.
+
+        Hash, place, end, and a bit for each token that is a word at a sentence start read as
+        a name. The first part has the windows without such words.
+        """
         n = len(self.code) - width + 1
         if n <= 0:
-            return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+            return
         mixed = np.full(n, width, np.uint64)
         for step in range(width):
             mixed = (mixed ^ self.code[step : step + n]) * BASE
@@ -129,12 +149,46 @@ class Template:
         literals = np.concatenate(([0], np.cumsum(self.kind == LITERAL)))
         enough = literals[width:] - literals[:-width] >= MIN_LITERALS
         places = np.flatnonzero((self.text_of[:n] == self.text_of[width - 1 :]) & enough)
-        return mixed[places], places
-
-    def slots(self, place: int, width: int) -> list[str]:
+        yield mixed[places], places, places + width, np.zeros(len(places), np.int64)
+        # A window has at most as many readings as there are choices in it.
+        choices = np.concatenate(([0], np.cumsum(self.either)))
+        within = lambda reach: choices[np.minimum(np.arange(n) + reach, len(self.code))] - choices[:n]
+        starts = np.flatnonzero(within(width))
+        readings = np.cumsum(1 << np.minimum(within(2 * width)[starts], width))
+        cuts = np.searchsorted(readings, np.arange(FOLD_READINGS, readings[-1] if len(readings) else 0, FOLD_READINGS))
+        for some in np.split(starts, cuts):
+            yield self._readings(some, width)
+
+    def _readings(self, begin: np.ndarray, width: int) -> tuple[np.ndarray, ...]:
+        at, mixed = begin, np.full(len(begin), width, np.uint64)
+        literals, read = np.zeros(len(begin), np.int64), np.zeros(len(begin), np.int64)
+        for step in range(width):
+            # Windows that leave their text, or cannot have enough literals, end here.
+            live = np.flatnonzero((at < self.stop[begin]) & (literals + width - step >= MIN_LITERALS))
+            begin, at, mixed, literals, read = begin[live], at[live], mixed[live], literals[live], read[live]
+            name = np.flatnonzero(self.either[at])
+            mixed = np.append(mixed ^ self.code[at], mixed[name] ^ PLACEHOLDERS[NAME]) * BASE
+            mixed ^= mixed >> np.uint64(31)
+            literals = np.append(literals + (self.kind[at] == LITERAL), literals[name])
+            read = np.append(read, read[name] | 1 << step)
+            begin = np.append(begin, begin[name])
+            at = np.append(at + 1, at[name] + 1 + self.takes[at[name]])
+        kept = np.flatnonzero((read > 0) & (literals >= MIN_LITERALS))
+        return mixed[kept], begin[kept], at[kept], read[kept]
+
+    def slots(self, place: int, width: int, read: int) -> list[str]:
         """`offset=value` of each placeholder in a window."""
-        kinds = self.kind[place : place + width]
-        return [f"{k}={self.value(place + k, place + k + 1)}" for k in np.flatnonzero(kinds != LITERAL)]
+        slots = []
+        for step in range(width):
+            name = read >> step & 1
+            after = self.after(place, name)
+            if name or self.kind[place] != LITERAL:
+                slots.append(f"{step}={self.value(place, after)}")
+            place = after
+        return slots
+
+    def after(self, place: int, name: int) -> int:
+        return int(place + 1 + (self.takes[place] if name & 1 else 0))
 
     def value(self, begin: int, end: int) -> str:
         """All words of some tokens."""
@@ -147,16 +201,19 @@ def _benchmark_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
         template = Template(batch.column(1).to_pylist(), Lexicon())
         items = batch.column(0).to_pylist()
         rows = []
-        for width in sorted({min(WINDOW, int(size)) for size in template.size} - {0}):
-            for hashed, place in zip(*template.windows(width), strict=True):
-                text = template.text_of[place]
-                if min(WINDOW, template.size[text]) == width:
-                    position = int(place - template.start[text])
-                    rows.append((items[text], int(hashed.view(np.int64)), position, width, template.slots(place, width)))
+        for width in range(1, WINDOW + 1):
+            for part in template.windows(width):
+                for hashed, place, end, read in zip(*part, strict=True):
+                    text = template.text_of[place]
+                    start, size = int(template.start[text]), int(template.size[text])
+                    at, end = int(place) - start, int(end) - start
+                    if width == WINDOW or at == 0 and end == size:
+                        next_at = template.after(place, int(read)) - start
+                        slots = template.slots(int(place), width, int(read))
+                        rows.append((items[text], int(hashed.view(np.int64)), at, next_at, end, size, read == 0, width, slots))
         if rows:
-            types = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.string()))
-            arrays = [pa.array(column, kind) for column, kind in zip(zip(*rows, strict=True), types, strict=True)]
-            yield pa.RecordBatch.from_arrays(arrays, names=["item_id", "window", "at", "width", "item_slots"])
+            columns = [pa.array(column, kind) for column, kind in zip(zip(*rows, strict=True), TEMPLATE_TYPES, strict=True)]
+            yield pa.RecordBatch.from_arrays(columns, names=TEMPLATE_NAMES)
 
 
 def _document_windows(widths: list[int], known: np.ndarray | None):
@@ -168,24 +225,28 @@ def _document_windows(widths: list[int], known: np.ndarray | None):
             template = Template(batch.column(2).to_pylist(), lexicon)
             ids, keys = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for width in widths:
-                hashed, places = template.windows(width)
-                if known is not None:
-                    at = np.minimum(np.searchsorted(known, hashed), max(0, len(known) - 1))
-                    met = known[at] == hashed if len(known) else np.zeros(len(hashed), bool)
-                    hashed, places = hashed[met], places[met]
-                for begin in range(0, len(places), FOLD_WINDOWS):
-                    some, where = hashed[begin : begin + FOLD_WINDOWS], places[begin : begin + FOLD_WINDOWS]
-                    texts = template.text_of[where]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([ids[t] for t in texts], pa.int64()),
-                            pa.array([keys[t] for t in texts], pa.int64()),
-                            pa.array(some.view(np.int64)),
-                            pa.array(where - template.start[texts]),
-                            pa.array([template.slots(place, width) for place in where], pa.list_(pa.string())),
-                        ],
-                        names=["doc_id", "text_key", "window", "position", "slots"],
-                    )
+                for hashed, places, _, reads in template.windows(width):
+                    if known is not None:
+                        at = np.minimum(np.searchsorted(known, hashed), max(0, len(known) - 1))
+                        met = known[at] == hashed if len(known) else np.zeros(len(hashed), bool)
+                        hashed, places, reads = hashed[met], places[met], reads[met]
+                    for begin in range(0, len(places), FOLD_WINDOWS):
+                        fold = slice(begin, begin + FOLD_WINDOWS)
+                        some, where, read = hashed[fold], places[fold], reads[fold]
+                        texts = template.text_of[where]
+                        after = where + 1 + template.takes[where] * (read & 1)
+                        yield pa.RecordBatch.from_arrays(
+                            [
+                                pa.array([ids[t] for t in texts], pa.int64()),
+                                pa.array([keys[t] for t in texts], pa.int64()),
+                                pa.array(some.view(np.int64)),
+                                pa.array(where - template.start[texts]),
+                                pa.array(after - template.start[texts]),
+                                pa.array(read == 0),
+                                pa.array([template.slots(*w) for w in zip(where, itertools.repeat(width), read)], pa.list_(pa.string())),
+                            ],
+                            names=["doc_id", "text_key", "window", "position", "next", "plain", "slots"],
+                        )
 
     return run
 
@@ -196,17 +257,21 @@ def _runs(pairs: list[dict]) -> Iterator[list[dict]]:
     for pair in sorted(pairs, key=lambda p: (p["position"], p["at"])):
         run = runs.setdefault((pair["position"], pair["at"]), [])
         run.append(pair)
-        runs.setdefault((pair["position"] + 1, pair["at"] + 1), run)
+        runs.setdefault((pair["next"], pair["next_at"]), run)
     yield from {id(run): run for run in runs.values()}.values()
 
 
-def _alignments(pairs: list[dict]) -> Iterator[list[dict]]:
+def _alignments(pairs: list[dict], need: int) -> Iterator[list[dict]]:
+    """Matches in one alignment that are enough, if consistent: `need` windows, or a run over the whole item."""
+    windows = lambda some: len({pair["at"] for pair in some})
     shifts = {}
     for pair in pairs:
         shifts.setdefault(pair["position"] - pair["at"], []).append(pair)
-    yield from shifts.values()
-    yield from _runs(pairs)
-    yield from _runs([pair for pair in pairs if pair["item_slots"] == pair["slots"]])
+    yield from (some for some in shifts.values() if windows(some) >= need)
+    for run in (*_runs(pairs), *_runs([pair for pair in pairs if pair["item_slots"] == pair["slots"]])):
+        whole = any(pair["at"] == 0 for pair in run) and any(pair["end"] == pair["size"] for pair in run)
+        if whole or windows(run) >= need:
+            yield run
 
 
 def _values(pairs: list[dict]) -> set[tuple[str, str]]:
@@ -220,12 +285,12 @@ def held_windows(pairs: list[dict], need: int) -> int:
     places = lambda slots: [slot.partition("=")[0] for slot in slots]
     pairs = [pair for pair in pairs if places(pair["item_slots"]) == places(pair["slots"])]
     best = 0
-    for some in _alignments(pairs):
-        count = len({pair["at"] for pair in some})
-        if count >= need and count > best:
-            values = _values(some)
-            if len({item for item, _ in values}) == len(values):
-                best = count
+    # A reading adds matches; it does not take away what matches without it.
+    plain = [pair for pair in pairs if pair["item_plain"] and pair["plain"]]
+    for some in (*_alignments(plain, need), *(_alignments(pairs, need) if len(plain) < len(pairs) else ())):
+        values = _values(some)
+        if len({item for item, _ in values}) == len(values):
+            best = max(best, len({pair["at"] for pair in some}))
     return best
 
 
@@ -246,7 +311,7 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """
     items = benchmark.select("item_id", F.coalesce("text", F.lit("")).alias("text"))
     templates = stored(
-        items.mapInArrow(_benchmark_windows, "item_id long, window long, at long, width int, item_slots array<string>"),
+        items.mapInArrow(_benchmark_windows, TEMPLATES),
         "benchmark-windows",
     )
     widths = [row["width"] for row in templates.select("width").distinct().collect()]
@@ -259,7 +324,11 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     texts = docs.select("doc_id", text_key(F.col("text")).alias("text_key"), "text")
     found = texts.mapInArrow(_document_windows(sorted(widths), known), f"doc_id long, text_key long, {WINDOWS}")
     joined = found.distinct().join(templates, "window")
-    sizes = templates.groupBy("item_id").agg(F.least(F.count_distinct("at"), F.lit(MIN_WINDOWS)).alias("need"))
+    sizes = templates.groupBy("item_id").agg(
+        F.count_distinct("at").alias("all"), F.count_distinct(F.when(F.col("item_plain"), F.col("at"))).alias("plain_all")
+    )
+    need = F.least(F.coalesce(F.nullif("plain_all", F.lit(0)), "all"), F.lit(MIN_WINDOWS))
+    sizes = sizes.select("item_id", need.alias("need"))
     pair = F.struct(*PAIR)
     pairs = joined.groupBy("doc_id", "text_key", "item_id").agg(F.collect_list(pair).alias("pairs")).join(sizes, "item_id")
     held = pairs.select("doc_id", "text_key", "item_id", "need", "pairs")
