@@ -216,6 +216,13 @@ def test_names_at_sentence_starts_are_placeholders(spark):
     assert sum(len(part[0]) for part in many.windows(8)) > 500
 
 
+def test_exact_copies_are_found_whatever_is_in_them(spark):
+    items = ["What is 12 times 7?", "1 2 3 4 5 6 7 8 9 10 11 12 13 14", "we saw how Mary Ann Sue Lee sold apples and pears at home, then left the town for good"]
+    texts = ["He asked: what is 12 times 7? No answer.", "so 2 3 4 5 6 7 8 9 10 11 12 13 more", "Anna saw how Mary Ann Sue Lee sold apples and pears at home yesterday", "What is 12 times 8?", "1 2 3 4 5 6 7 8 9 10 and 11 12 13 14"]
+    title = "The Old Man And The Sea Of Green Hills And Far Away Lands"
+    assert contaminated(spark, [*items, title], [*texts, "See " + title]) == [True, True, True, False, False, True]
+
+
 def test_unfiltered_join_gives_the_same(spark, monkeypatch):
     def judged():
         rows = decontaminate.judge(read(spark, SF, "documents", "doc_id", "text"), read(spark, SF, "benchmark", "item_id", "text"))

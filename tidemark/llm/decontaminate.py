@@ -2,7 +2,9 @@
 
 Numbers, names and units become typed placeholders, so that a question with other numbers or
 names in it keeps its template. A capitalised word at a sentence start may be a name or not;
-windows are made for both readings, and either may match. Windows of template tokens are joined with the benchmark's by
+windows are made for both readings, and either may match. A window with few words of its own
+is keyed by all its words instead, and passages of PASSAGE words are matched word for word
+besides, whatever is in them; an item shorter than that is one passage. Windows of template tokens are joined with the benchmark's by
 hash. Matches that align a document with an item are checked for slot consistency: one value
 of the item must stand for one value in the document. The check is made for the whole
 alignment, for each run of windows that follow on one another, and for each run whose slots
@@ -12,7 +14,6 @@ Benchmark windows are counted. Up to FILTER_WINDOWS their hashes go to the tasks
 pass on matching windows only; beyond that all windows go to the join, with the same result.
 """
 
-import itertools
 import re
 from collections.abc import Iterator
 
@@ -28,8 +29,10 @@ from tidemark.llm.common import stored, text_key
 WINDOW = 8
 # Windows that must match in one alignment; items with fewer must match in all.
 MIN_WINDOWS = 4
-# Tokens of a window that are words of their own.
+# Tokens of a window that are words of their own; one with fewer matches word for word only.
 MIN_LITERALS = 4
+# Words that are as long as the fewest windows of a longer item.
+PASSAGE = WINDOW + MIN_WINDOWS - 1
 # 8 bytes each in every task.
 FILTER_WINDOWS = 2_000_000
 FOLD_WINDOWS = 1 << 18
@@ -52,16 +55,20 @@ UNITS = frozenset(
 LITERAL, NUM, NAME, UNIT, GLUE = range(5)
 PLACEHOLDERS = np.array([0, 0x51ED270B, 0x2545F491, 0x9E3779B1, 0], dtype=np.uint64)
 BASE = np.uint64(0x100000001B3)
+# Keeps windows keyed by words, and passages, apart from those of template tokens.
+SPELLED, VERBATIM = np.uint64(1 << 40), np.uint64(1 << 41)
 
-# `next_at` and `next` are where the window's second token is, `plain` that no word is read as a name.
+# `next_at` and `next` are where the window's second token is, `plain` that no word is read as a name,
+# `dense` that it has enough literals; a passage has no slots.
 TEMPLATES = (
-    "item_id long, window long, at long, next_at long, end long, size long, item_plain boolean, width int,"
+    "item_id long, window long, at long, next_at long, end long, size long, item_plain boolean, dense boolean, width int,"
     " item_slots array<string>"
 )
 TEMPLATE_NAMES = [column.split()[0] for column in TEMPLATES.split(", ")]
-TEMPLATE_TYPES = (*[pa.int64()] * 6, pa.bool_(), pa.int32(), pa.list_(pa.string()))
+TEMPLATE_TYPES = (*[pa.int64()] * 6, pa.bool_(), pa.bool_(), pa.int32(), pa.list_(pa.string()))
 WINDOWS = "window long, position long, next long, plain boolean, slots array<string>"
-PAIR = ("at", "next_at", "end", "size", "item_plain", "item_slots", "position", "next", "plain", "slots")
+WINDOW_NAMES = [column.split()[0] for column in WINDOWS.split(", ")]
+PAIR = ("at", "next_at", "end", "size", "item_plain", "dense", "item_slots", "position", "next", "plain", "slots")
 
 
 class Lexicon(dict):
@@ -95,6 +102,14 @@ class Lexicon(dict):
         return self[raw]
 
 
+def _mixed(codes: np.ndarray, places: np.ndarray, width: int, seed: np.uint64) -> np.ndarray:
+    mixed = np.full(len(places), seed | np.uint64(width))
+    for step in range(width):
+        mixed = (mixed ^ codes[places + step]) * BASE
+        mixed ^= mixed >> np.uint64(31)
+    return mixed
+
+
 class Template:
     """The template tokens of one text after another, in flat arrays."""
 
@@ -127,6 +142,14 @@ class Template:
         self.either, self.takes = either[first], np.zeros(len(self.ids), np.int64)
         self.takes[:-1] = self.either[:-1] & (self.kind[1:] == NAME) & (self.text_of[1:] == self.text_of[:-1])
         literal = np.array(lexicon.hash, np.uint64)[self.ids]
+        # All words of each token, and the words as they are.
+        self.word = np.array(lexicon.hash, np.uint64)[ids]
+        self.word_start = np.searchsorted(text_of, np.arange(len(texts)))
+        self.word_size = np.bincount(text_of, minlength=len(texts))
+        self.word_text = text_of
+        within = np.arange(len(ids)) - np.repeat(self.origin[:-1], np.diff(self.origin))
+        spelled = self.word * BASE ** within.astype(np.uint64)
+        self.spelled = np.add.reduceat(spelled, self.origin[:-1]) if len(ids) else spelled
         self.code = np.where(self.kind == LITERAL, literal, PLACEHOLDERS[self.kind])
         self.start = np.searchsorted(self.text_of, np.arange(len(texts)))
         self.size = np.bincount(self.text_of, minlength=len(texts))
@@ -134,10 +157,11 @@ class Template:
         self.lexicon = lexicon
 
     def windows(self, width: int) -> Iterator[tuple[np.ndarray, ...]]:
-        """Every window of `width` tokens in one text with enough literals, in parts.
+        """Every window of `width` tokens in one text, in parts.
 
         Hash, place, end, and a bit for each token that is a word at a sentence start read as
-        a name. The first part has the windows without such words.
+        a name. The first part has the windows without such words; those with too few literals
+        are hashed by their words.
         """
         n = len(self.code) - width + 1
         if n <= 0:
@@ -147,8 +171,9 @@ class Template:
             mixed = (mixed ^ self.code[step : step + n]) * BASE
             mixed ^= mixed >> np.uint64(31)
         literals = np.concatenate(([0], np.cumsum(self.kind == LITERAL)))
-        enough = literals[width:] - literals[:-width] >= MIN_LITERALS
-        places = np.flatnonzero((self.text_of[:n] == self.text_of[width - 1 :]) & enough)
+        sparse = np.flatnonzero(literals[width:] - literals[:-width] < MIN_LITERALS)
+        mixed[sparse] = _mixed(self.spelled, sparse, width, SPELLED)
+        places = np.flatnonzero(self.text_of[:n] == self.text_of[width - 1 :])
         yield mixed[places], places, places + width, np.zeros(len(places), np.int64)
         # A window has at most as many readings as there are choices in it.
         choices = np.concatenate(([0], np.cumsum(self.either)))
@@ -176,6 +201,12 @@ class Template:
         kept = np.flatnonzero((read > 0) & (literals >= MIN_LITERALS))
         return mixed[kept], begin[kept], at[kept], read[kept]
 
+    def passages(self, width: int) -> tuple[np.ndarray, np.ndarray]:
+        """Hash and place of every `width` words in one text."""
+        n = max(0, len(self.word) - width + 1)
+        places = np.flatnonzero(self.word_text[:n] == self.word_text[width - 1 :][:n])
+        return _mixed(self.word, places, width, VERBATIM), places
+
     def slots(self, place: int, width: int, read: int) -> list[str]:
         """`offset=value` of each placeholder in a window."""
         slots = []
@@ -196,7 +227,7 @@ class Template:
 
 
 def _benchmark_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """item_id, text -> each window of each item; an item shorter than a window is one window."""
+    """item_id, text -> each window and passage of each item; an item shorter than one is one."""
     for batch in batches:
         template = Template(batch.column(1).to_pylist(), Lexicon())
         items = batch.column(0).to_pylist()
@@ -210,13 +241,29 @@ def _benchmark_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
                     if width == WINDOW or at == 0 and end == size:
                         next_at = template.after(place, int(read)) - start
                         slots = template.slots(int(place), width, int(read))
-                        rows.append((items[text], int(hashed.view(np.int64)), at, next_at, end, size, read == 0, width, slots))
+                        kinds = template.kind[place : place + width]
+                        dense = bool(read) or np.count_nonzero(kinds == LITERAL) >= MIN_LITERALS
+                        hashed = int(hashed.view(np.int64))
+                        rows.append((items[text], hashed, at, next_at, end, size, read == 0, dense, width, slots))
+        for width in range(1, PASSAGE + 1):
+            for hashed, place in zip(*template.passages(width), strict=True):
+                text = template.word_text[place]
+                at, size = int(place - template.word_start[text]), int(template.word_size[text])
+                if width == min(PASSAGE, size):
+                    rows.append((items[text], int(hashed.view(np.int64)), at, at + 1, at + width, size, True, False, width, None))
         if rows:
             columns = [pa.array(column, kind) for column, kind in zip(zip(*rows, strict=True), TEMPLATE_TYPES, strict=True)]
             yield pa.RecordBatch.from_arrays(columns, names=TEMPLATE_NAMES)
 
 
-def _document_windows(widths: list[int], known: np.ndarray | None):
+def _document_windows(widths: list[int], passages: list[int], known: np.ndarray | None):
+    def met(hashed: np.ndarray) -> np.ndarray:
+        if known is None:
+            return np.arange(len(hashed))
+        if not len(known):
+            return np.zeros(0, np.int64)
+        return np.flatnonzero(known[np.minimum(np.searchsorted(known, hashed), len(known) - 1)] == hashed)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = Lexicon()
         for batch in batches:
@@ -224,29 +271,38 @@ def _document_windows(widths: list[int], known: np.ndarray | None):
                 lexicon = Lexicon()
             template = Template(batch.column(2).to_pylist(), lexicon)
             ids, keys = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+
+            def rows(texts, hashed, position, after, plain, slots):
+                columns = [
+                    pa.array([ids[t] for t in texts], pa.int64()),
+                    pa.array([keys[t] for t in texts], pa.int64()),
+                    pa.array(hashed.view(np.int64)),
+                    pa.array(position),
+                    pa.array(after),
+                    pa.array(plain),
+                    pa.array(slots, pa.list_(pa.string())),
+                ]
+                return pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_key", *WINDOW_NAMES])
+
             for width in widths:
                 for hashed, places, _, reads in template.windows(width):
-                    if known is not None:
-                        at = np.minimum(np.searchsorted(known, hashed), max(0, len(known) - 1))
-                        met = known[at] == hashed if len(known) else np.zeros(len(hashed), bool)
-                        hashed, places, reads = hashed[met], places[met], reads[met]
-                    for begin in range(0, len(places), FOLD_WINDOWS):
-                        fold = slice(begin, begin + FOLD_WINDOWS)
-                        some, where, read = hashed[fold], places[fold], reads[fold]
+                    chosen = met(hashed)
+                    for begin in range(0, len(chosen), FOLD_WINDOWS):
+                        some = chosen[begin : begin + FOLD_WINDOWS]
+                        where, read = places[some], reads[some]
                         texts = template.text_of[where]
+                        start = template.start[texts]
                         after = where + 1 + template.takes[where] * (read & 1)
-                        yield pa.RecordBatch.from_arrays(
-                            [
-                                pa.array([ids[t] for t in texts], pa.int64()),
-                                pa.array([keys[t] for t in texts], pa.int64()),
-                                pa.array(some.view(np.int64)),
-                                pa.array(where - template.start[texts]),
-                                pa.array(after - template.start[texts]),
-                                pa.array(read == 0),
-                                pa.array([template.slots(*w) for w in zip(where, itertools.repeat(width), read)], pa.list_(pa.string())),
-                            ],
-                            names=["doc_id", "text_key", "window", "position", "next", "plain", "slots"],
-                        )
+                        slots = [template.slots(place, width, names) for place, names in zip(where, read, strict=True)]
+                        yield rows(texts, hashed[some], where - start, after - start, read == 0, slots)
+            for width in passages:
+                hashed, places = template.passages(width)
+                chosen = met(hashed)
+                for begin in range(0, len(chosen), FOLD_WINDOWS):
+                    some = chosen[begin : begin + FOLD_WINDOWS]
+                    texts = template.word_text[places[some]]
+                    position = places[some] - template.word_start[texts]
+                    yield rows(texts, hashed[some], position, position + 1, position >= 0, [None] * len(some))
 
     return run
 
@@ -262,15 +318,22 @@ def _runs(pairs: list[dict]) -> Iterator[list[dict]]:
 
 
 def _alignments(pairs: list[dict], need: int) -> Iterator[list[dict]]:
-    """Matches in one alignment that are enough, if consistent: `need` windows, or a run over the whole item."""
-    windows = lambda some: len({pair["at"] for pair in some})
+    """Matches in one alignment that are enough, if consistent, or a run of them over the whole item.
+
+    Enough are `need` windows with enough literals, or MIN_WINDOWS of any.
+    """
+
+    def enough(some: list[dict]) -> bool:
+        dense = {pair["at"] for pair in some if pair["dense"]}
+        return len(dense) >= need or len({pair["at"] for pair in some}) >= MIN_WINDOWS
+
     shifts = {}
     for pair in pairs:
         shifts.setdefault(pair["position"] - pair["at"], []).append(pair)
-    yield from (some for some in shifts.values() if windows(some) >= need)
+    yield from (some for some in shifts.values() if enough(some))
     for run in (*_runs(pairs), *_runs([pair for pair in pairs if pair["item_slots"] == pair["slots"]])):
         whole = any(pair["at"] == 0 for pair in run) and any(pair["end"] == pair["size"] for pair in run)
-        if whole or windows(run) >= need:
+        if whole or enough(run):
             yield run
 
 
@@ -281,10 +344,12 @@ def _values(pairs: list[dict]) -> set[tuple[str, str]]:
 
 
 def held_windows(pairs: list[dict], need: int) -> int:
-    """Windows of the largest alignment of a document with an item that is consistent and has `need`, or 0."""
+    """Windows of the largest alignment of a document with an item that is consistent, or 0."""
+    # A passage needs no more than to be there.
+    best = len({pair["at"] for pair in pairs if pair["slots"] is None})
+    pairs = [pair for pair in pairs if pair["slots"] is not None]
     places = lambda slots: [slot.partition("=")[0] for slot in slots]
     pairs = [pair for pair in pairs if places(pair["item_slots"]) == places(pair["slots"])]
-    best = 0
     # A reading adds matches; it does not take away what matches without it.
     plain = [pair for pair in pairs if pair["item_plain"] and pair["plain"]]
     for some in (*_alignments(plain, need), *(_alignments(pairs, need) if len(plain) < len(pairs) else ())):
@@ -307,14 +372,15 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """`doc_id, text_key, item_id, windows`: documents that hold an item's passage, stored.
 
     A row for each document and item of which enough windows match in one alignment, or run
-    of windows, whose slots are consistent. Items without a window of enough literal words match nothing.
+    of windows, whose slots are consistent, or that has a passage of the item word for word.
     """
     items = benchmark.select("item_id", F.coalesce("text", F.lit("")).alias("text"))
     templates = stored(
         items.mapInArrow(_benchmark_windows, TEMPLATES),
         "benchmark-windows",
     )
-    widths = [row["width"] for row in templates.select("width").distinct().collect()]
+    kinds = templates.select("width", F.col("item_slots").isNull().alias("passage")).distinct().collect()
+    widths, passages = (sorted(row["width"] for row in kinds if row["passage"] == passage) for passage in (False, True))
     hashes = templates.select("window").distinct()
     known = None
     if hashes.count() <= FILTER_WINDOWS:
@@ -322,12 +388,14 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         known = np.sort(np.array([row["window"] for row in hashes.collect()], np.int64).view(np.uint64))
     # Rows equal in id and text are one, and a text is searched once per id.
     texts = docs.select("doc_id", text_key(F.col("text")).alias("text_key"), "text")
-    found = texts.mapInArrow(_document_windows(sorted(widths), known), f"doc_id long, text_key long, {WINDOWS}")
+    found = texts.mapInArrow(_document_windows(widths, passages, known), f"doc_id long, text_key long, {WINDOWS}")
     joined = found.distinct().join(templates, "window")
     sizes = templates.groupBy("item_id").agg(
-        F.count_distinct("at").alias("all"), F.count_distinct(F.when(F.col("item_plain"), F.col("at"))).alias("plain_all")
+        F.count_distinct(F.when(F.col("dense"), F.col("at"))).alias("all"),
+        F.count_distinct(F.when(F.expr("dense and item_plain"), F.col("at"))).alias("plain_all"),
     )
-    need = F.least(F.coalesce(F.nullif("plain_all", F.lit(0)), "all"), F.lit(MIN_WINDOWS))
+    most = F.lit(MIN_WINDOWS)
+    need = F.least(F.coalesce(F.nullif("plain_all", F.lit(0)), F.nullif("all", F.lit(0)), most), most)
     sizes = sizes.select("item_id", need.alias("need"))
     pair = F.struct(*PAIR)
     pairs = joined.groupBy("doc_id", "text_key", "item_id").agg(F.collect_list(pair).alias("pairs")).join(sizes, "item_id")
