@@ -289,6 +289,17 @@ def test_contexts_of_seeds_find_unseen_identifiers(spark):
     assert pii.find(frame(spark, [])).count() == 0
 
 
+def test_candidates_of_all_shapes_are_found(spark):
+    texts = [f"call number +1 (20{n}) 555-01{n}{n} today" for n in range(9)] + [f"mail me under a{n}@b.org soon" for n in range(9)]
+    odd = ["call number 020 7946 0018 today", "call number (212) 555-0123 today", "call number 4711 today", "mail me under jane at example dot org soon", "mail me under jane_doe soon"]
+    odd += ["in 2019 there were 4711 of them", "we met at noon (212) 555-0123"]
+    rows = {r.doc_id: r.spans for r in pii.find(frame(spark, texts + odd)).collect()}
+    assert [rows[len(texts) + n] for n in range(7)] == ["phone:12:25", "phone:12:26", "phone:12:16", "email:14:37", "email:14:22", "", ""]
+    assert pii.redact(frame(spark, texts + odd)).filter("doc_id = 19").first().text == "call number [PHONE] today"
+    for run in ("a." * 200_000, "1 (" * 200_000, "a at " * 100_000, "@a " * 200_000, "a at b dot " * 50_000, " (" * 200_000):
+        pii.mentions(run, [])
+
+
 def test_mixture_against_brute_force(spark):
     dice = random.Random(2)
     rows = [(n, " ".join(["w"] * dice.randint(0, 30)), dice.choice(["a"] * 40 + ["b"] * 8 + ["c", None])) for n in range(1500)]

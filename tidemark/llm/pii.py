@@ -3,12 +3,17 @@
 Matches of the base patterns are seeds. The words left and right of seeds and of other
 identifier-like tokens are lexical patterns. Patterns and instances form a bipartite graph
 that is scored for a few rounds: a pattern by the share of its instances that are trusted,
-an unseen instance by its best pattern. Unseen tokens in a context of high score and enough
-distinct seeds are found as well; base spans always stay.
+an unseen instance by its best pattern. Unseen candidates in a context of high score and enough
+distinct seeds are found as well; base spans always stay. Candidates are tokens with digits,
+groups of digits over several tokens, and words shaped like addresses. Each of these shapes is
+weighed by itself against the seeds, so that many short numbers beside a pattern do not speak
+against the long ones there.
 
 The base scan is linear in the text: runs are found whole instead of tried from each place.
 """
 
+import bisect
+import itertools
 import re
 from collections.abc import Iterator
 
@@ -25,8 +30,12 @@ ROUNDS = 3
 DAMPING = 0.9
 MIN_SCORE = 0.8
 MIN_SEEDS = 3
-# An unseen identifier has this many digits.
+# Shapes of candidates: a token with MIN_DIGITS digits or more, one with fewer and no letters,
+# groups of digits over several tokens, and address-like words.
+SHAPES = TOKEN, SHORT, GROUPS, ADDRESS = range(4)
 MIN_DIGITS = 6
+# No base span has more.
+MAX_DIGITS = 19
 
 LOCAL_CHARS = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -35,10 +44,18 @@ DIGITS = re.compile(r"[0-9](?:[ -]?[0-9])*")
 PLUS = re.compile(r"\+[0-9][ ().0-9-]+")
 WORD = re.compile(r"[^ \t-\r]+")
 NEAR = re.compile(r"[^ \t-\r]{1,40}")
+GROUPED = re.compile(r"[0-9]+(?:(?:\) ?| ?\(|[ .-])[0-9]+)*")
+# An address that is spelled out or has no dotted domain, and names like jane.doe, jane_doe, @jane.
+AT = re.compile(r" ?[\[({] ?(?:at|AT|@) ?[\])}] ?| at | AT | @ ")
+SPELLED = re.compile(r"[A-Za-z0-9-]{1,63}(?:(?: ?[\[({] ?(?:dot|DOT|\.) ?[\])}] ?| dot | DOT |\.)[A-Za-z0-9-]{1,63})+")
+ADDRESS_LIKE = re.compile(r"(?<=[A-Za-z])[._](?=[A-Za-z])|@(?=[A-Za-z])")
 SPACES = " \t\n\x0b\x0c\r"
 
+# Address-like words are like e-mail addresses, numbers like the other kinds; a long token may be either.
+FITS = f"shape = {TOKEN} or (shape = {ADDRESS}) = (kind = {KINDS.index('email')})"
+
 SPAN = "struct<kind: int, start: int, end: int>"
-MENTION = "struct<kind: int, start: int, end: int, instance: bigint, left: string, right: string>"
+MENTION = "struct<kind: int, start: int, end: int, shape: int, instance: bigint, left: string, right: string>"
 
 
 def emails(text: str) -> Iterator[tuple[int, int]]:
@@ -110,29 +127,77 @@ def _context(text: str, start: int, end: int) -> tuple[str, str]:
     return tuple(re.sub("[0-9]", "0", word.lower()) for word in (text[begin:stop], after.group() if after else ""))
 
 
-def mentions(text: str, spans: list[tuple[int, int, int]]) -> list[tuple]:
-    """Seeds and identifier-like tokens with their contexts."""
-    found, taken = [], sorted((start, end) for _, start, end in spans)
-    for kind, start, end in spans:
-        found.append((kind, start, end, _instance(text[start:end]), *_context(text, start, end)))
+def _token(text: str, at: int, done: int) -> tuple[int, int, int]:
+    """The token around a place, without its edges, and where it ends with them."""
+    begin = at
+    while begin > done and text[begin - 1] not in SPACES:
+        begin -= 1
+    stop = end = WORD.match(text, begin).end()
+    while begin < end and not text[begin].isalnum():
+        begin += 1
+    while end > begin and not text[end - 1].isalnum():
+        end -= 1
+    return begin, end, stop
+
+
+def _digit_groups(text: str) -> Iterator[tuple[int, int]]:
+    for run in GROUPED.finditer(text):
+        begin, end = run.span()
+        apart = (begin == 0 or not text[begin - 1].isalnum()) and (end == len(text) or not text[end].isalnum())
+        if apart and " " in run.group() and sum(c in "0123456789" for c in run.group()) <= MAX_DIGITS:
+            if ")" in run.group() and text[begin - 1 : begin] == "(":
+                begin -= 1
+            yield begin - (text[begin - 1 : begin] == "+"), end
+
+
+def _address_like(text: str) -> Iterator[tuple[int, int]]:
+    done = 0
+    for sign in AT.finditer(text):
+        domain = SPELLED.match(text, sign.end())
+        begin = sign.start()
+        while begin > max(done, sign.start() - 64) and text[begin - 1] in LOCAL_CHARS:
+            begin -= 1
+        if domain and begin < sign.start() and sign.start() >= done:
+            yield begin, domain.end()
+            done = domain.end()
+    done = 0
+    for sign in ADDRESS_LIKE.finditer(text):
+        if sign.start() >= done:
+            begin, end, done = _token(text, sign.start(), done)
+            if begin < end:
+                yield begin, end
+
+
+def candidates(text: str) -> Iterator[tuple[int, int, int]]:
+    """(shape, start, end) of what may be an identifier; some lie in others."""
+    groups = list(_digit_groups(text))
+    yield from ((GROUPS, *group) for group in groups)
+    yield from ((ADDRESS, *words) for words in _address_like(text))
     done, place = 0, 0
     for run in DOTTED.finditer(text):
         if run.start() < done:
             continue
-        begin, end = run.span()
-        while begin > done and text[begin - 1] not in SPACES:
-            begin -= 1
-        word = WORD.match(text, begin)
-        end = done = word.end()
-        while begin < end and not text[begin].isalnum():
-            begin += 1
-        while end > begin and not text[end - 1].isalnum():
-            end -= 1
-        while place < len(taken) and taken[place][1] <= begin:
+        begin, end, done = _token(text, run.start(), done)
+        value = text[begin:end]
+        if sum(c in "0123456789" for c in value) >= MIN_DIGITS:
+            yield TOKEN, begin, end
+            continue
+        while place < len(groups) and groups[place][1] <= begin:
             place += 1
-        free = place == len(taken) or taken[place][0] >= end
-        if free and sum(c in "0123456789" for c in text[begin:end]) >= MIN_DIGITS:
-            found.append((None, begin, end, _instance(text[begin:end]), *_context(text, begin, end)))
+        # A part of a longer number is none by itself.
+        if begin < end and (place == len(groups) or groups[place][0] >= end):
+            yield ADDRESS if any(c.isalpha() for c in value) else SHORT, begin, end
+
+
+def mentions(text: str, spans: list[tuple[int, int, int]]) -> list[tuple]:
+    """Seeds and candidates, which have no kind, with their contexts."""
+    found, taken = [], sorted((start, end) for _, start, end in spans)
+    for kind, start, end in spans:
+        found.append((kind, start, end, None, _instance(text[start:end]), *_context(text, start, end)))
+    starts, ends = [start for start, _ in taken], [0, *itertools.accumulate((end for _, end in taken), max)]
+    for shape, start, end in dict.fromkeys(candidates(text)):
+        if ends[bisect.bisect_left(starts, end)] <= start:
+            found.append((None, start, end, shape, _instance(text[start:end]), *_context(text, start, end)))
     return found
 
 
@@ -147,7 +212,7 @@ def _scan(texts: pd.Series) -> pd.DataFrame:
         text = text or ""
         here = base_spans(text)
         spans.append([{"kind": k, "start": a, "end": b} for k, a, b in here])
-        names = ("kind", "start", "end", "instance", "left", "right")
+        names = ("kind", "start", "end", "shape", "instance", "left", "right")
         found.append([dict(zip(names, mention, strict=True)) for mention in mentions(text, here)])
     return pd.DataFrame({"base": spans, "mentions": found})
 
@@ -160,23 +225,43 @@ def scanned(docs: DataFrame, name: str) -> DataFrame:
 
 
 def accepted_patterns(found: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """`pattern, kind, score` of the patterns that are trusted, from `pattern, instance, kind` edges."""
-    edges = stored(found.select("pattern", "instance", "kind").distinct(), "pii-edges")
-    sizes = edges.groupBy("pattern").agg(F.count("*").alias("instances"))
+    """`shape, pattern, kind, score` of the patterns that are trusted, from `pattern, instance, kind, shape` edges.
+
+    Instances of a pattern are, for each shape, its seeds and its candidates of that shape.
+    """
+    edges = stored(found.select("pattern", "instance", "kind", "shape").distinct(), "pii-edges")
+    every = F.explode(F.array(*[F.lit(shape) for shape in SHAPES]))
+    of_seeds = edges.filter("kind is not null").withColumn("shape", every)
+    edges = of_seeds.union(edges.filter("kind is null"))
+    sizes = edges.groupBy("shape", "pattern").agg(F.count("*").alias("instances"))
     seeds = edges.filter("kind is not null").select("instance", "kind").distinct().withColumn("trust", F.lit(1.0))
     trust = seeds
     scores = None
     for _ in range(rounds):
-        held = edges.select("pattern", "instance").distinct().join(trust, "instance")
-        summed = held.groupBy("pattern", "kind").agg(
+        held = edges.select("shape", "pattern", "instance").distinct().join(trust, "instance")
+        summed = held.groupBy("shape", "pattern", "kind").agg(
             F.sum("trust").alias("trusted"), F.count_if(F.col("trust") == 1.0).alias("seeds")
         )
         # One more instance in the count: a pattern of few seeds is not trusted at once.
-        scored = summed.join(sizes, "pattern").withColumn("score", F.col("trusted") / (F.col("instances") + 1))
-        scores = stored(scored.select("pattern", "kind", "score", "seeds"), "pii-scores")
-        unseen = edges.filter("kind is null").select("pattern", "instance").join(scores, "pattern")
+        scored = summed.join(sizes, ["shape", "pattern"]).withColumn("score", F.col("trusted") / (F.col("instances") + 1))
+        scores = stored(scored.filter(FITS).select("shape", "pattern", "kind", "score", "seeds"), "pii-scores")
+        unseen = edges.filter("kind is null").select("shape", "pattern", "instance").join(scores, ["shape", "pattern"])
         trust = seeds.union(unseen.groupBy("instance", "kind").agg((F.max("score") * DAMPING).alias("trust")))
-    return scores.filter((F.col("score") >= MIN_SCORE) & (F.col("seeds") >= MIN_SEEDS)).select("pattern", "kind", "score")
+    accepted = scores.filter((F.col("score") >= MIN_SCORE) & (F.col("seeds") >= MIN_SEEDS))
+    return accepted.select("shape", "pattern", "kind", "score")
+
+
+def _outer(found: pd.Series) -> pd.Series:
+    """The spans that lie in no other one, from spans by start, the longest first."""
+    kept = []
+    for spans in found:
+        here, reach = [], 0
+        for span in spans:
+            if -span["back"] > reach:
+                reach = -span["back"]
+                here.append({"kind": span["kind"], "start": span["start"], "end": reach})
+        kept.append(here)
+    return pd.Series(kept, dtype=object)
 
 
 def with_spans(docs: DataFrame, name: str) -> DataFrame:
@@ -189,11 +274,12 @@ def with_spans(docs: DataFrame, name: str) -> DataFrame:
     )
     found = mention.withColumn("pattern", F.explode(F.array_compact(sides)))
     patterns = accepted_patterns(found).withColumnRenamed("kind", "found_kind")
-    unseen = found.filter("kind is null").join(patterns, "pattern")
+    unseen = found.filter("kind is null").join(patterns, ["shape", "pattern"])
     # Of several kinds the best score wins, then the kind listed first.
     best = unseen.groupBy("_row", "start", "end").agg(F.max_by("found_kind", F.struct("score", -F.col("found_kind"))).alias("kind"))
-    added = best.groupBy("_row").agg(F.collect_list(F.struct("kind", "start", "end")).alias("added"))
-    added = stored(added, "pii-added")
+    added = best.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("start", (-F.col("end")).alias("back"), "kind"))).alias("added"))
+    outer = F.pandas_udf(_outer, f"array<{SPAN}>")
+    added = stored(added.select("_row", outer("added").alias("added")), "pii-added")
     joined = table.drop("mentions").join(added, "_row", "left")
     none = F.array().cast(f"array<{SPAN}>")
     spans = F.sort_array(F.concat("base", F.coalesce("added", none)))
