@@ -300,6 +300,14 @@ def test_candidates_of_all_shapes_are_found(spark):
         pii.mentions(run, [])
 
 
+def test_found_identifiers_support_other_contexts(spark):
+    texts = [f"number +1 (202) 555-{n:04}" for n in range(120)]
+    texts += [f"{word} 99-88-77-{n:02}" for word in ("number", "dial") for n in range(30)] + ["dial 11-22-33-44"]
+    texts += ["dial 020 7946 0018", "reach 11-22-33-55"]
+    rows = {r.doc_id: r.spans for r in pii.find(frame(spark, texts)).collect()}
+    assert rows[180] == "phone:5:16" and rows[181] == "phone:5:18" and rows[182] == ""
+
+
 def test_mixture_against_brute_force(spark):
     dice = random.Random(2)
     rows = [(n, " ".join(["w"] * dice.randint(0, 30)), dice.choice(["a"] * 40 + ["b"] * 8 + ["c", None])) for n in range(1500)]

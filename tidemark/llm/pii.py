@@ -228,27 +228,39 @@ def accepted_patterns(found: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """`shape, pattern, kind, score` of the patterns that are trusted, from `pattern, instance, kind, shape` edges.
 
     Instances of a pattern are, for each shape, its seeds and its candidates of that shape.
+    Instances that accepted patterns found support other patterns as seeds do, in all shapes,
+    by their lower trust. There are at least `rounds` rounds, and more until one accepts none.
     """
     edges = stored(found.select("pattern", "instance", "kind", "shape").distinct(), "pii-edges")
-    every = F.explode(F.array(*[F.lit(shape) for shape in SHAPES]))
-    of_seeds = edges.filter("kind is not null").withColumn("shape", every)
-    edges = of_seeds.union(edges.filter("kind is null"))
-    sizes = edges.groupBy("shape", "pattern").agg(F.count("*").alias("instances"))
-    seeds = edges.filter("kind is not null").select("instance", "kind").distinct().withColumn("trust", F.lit(1.0))
-    trust = seeds
-    scores = None
-    for _ in range(rounds):
-        held = edges.select("shape", "pattern", "instance").distinct().join(trust, "instance")
+    every = F.array(*[F.lit(shape) for shape in SHAPES])
+    unseen = edges.filter("kind is null")
+    of_seeds = edges.filter("kind is not null").withColumn("shape", F.explode(every))
+    sizes = of_seeds.union(unseen).groupBy("shape", "pattern").agg(F.count("*").alias("instances"))
+    # An instance that is a seed somewhere is one everywhere.
+    nodes = stored(edges.groupBy("pattern", "instance").agg(F.collect_set("shape").alias("shapes")), "pii-nodes")
+    seeds = edges.filter("kind is not null").select("instance", "kind").distinct()
+    seeds = seeds.select("*", F.lit(1.0).alias("trust"), F.lit(True).alias("sure"))
+    trust, accepted, done = seeds, None, 0
+    for turn in itertools.count(1):
+        held = nodes.join(trust, "instance").withColumn("shape", F.explode(F.when(F.col("sure"), every).otherwise(F.col("shapes"))))
+        # What was found in other shapes is not among the instances that are counted: it adds
+        # its trust to both sides, which lowers no share.
+        extra = F.when((F.col("trust") < 1.0) & ~F.array_contains("shapes", F.col("shape")), F.col("trust")).otherwise(0.0)
         summed = held.groupBy("shape", "pattern", "kind").agg(
-            F.sum("trust").alias("trusted"), F.count_if(F.col("trust") == 1.0).alias("seeds")
+            F.sum("trust").alias("trusted"), F.sum(extra).alias("extra"), F.count_if("sure").alias("seeds")
         )
         # One more instance in the count: a pattern of few seeds is not trusted at once.
-        scored = summed.join(sizes, ["shape", "pattern"]).withColumn("score", F.col("trusted") / (F.col("instances") + 1))
-        scores = stored(scored.filter(FITS).select("shape", "pattern", "kind", "score", "seeds"), "pii-scores")
-        unseen = edges.filter("kind is null").select("shape", "pattern", "instance").join(scores, ["shape", "pattern"])
-        trust = seeds.union(unseen.groupBy("instance", "kind").agg((F.max("score") * DAMPING).alias("trust")))
-    accepted = scores.filter((F.col("score") >= MIN_SCORE) & (F.col("seeds") >= MIN_SEEDS))
-    return accepted.select("shape", "pattern", "kind", "score")
+        share = F.col("trusted") / (F.col("instances") + 1 + F.col("extra"))
+        scored = summed.join(sizes, ["shape", "pattern"]).withColumn("score", share).filter(FITS)
+        sure = (F.col("score") >= MIN_SCORE) & (F.col("seeds") >= MIN_SEEDS)
+        scores = stored(scored.select("shape", "pattern", "kind", "score", sure.alias("sure")), "pii-scores")
+        accepted, before = scores.filter("sure"), done
+        done = accepted.count()
+        if turn >= rounds and done <= before:
+            return accepted.select("shape", "pattern", "kind", "score")
+        beside = unseen.select("shape", "pattern", "instance").join(scores, ["shape", "pattern"])
+        found_by = beside.groupBy("instance", "kind").agg((F.max("score") * DAMPING).alias("trust"), F.max("sure").alias("sure"))
+        trust = seeds.union(found_by.join(seeds, ["instance", "kind"], "left_anti"))
 
 
 def _outer(found: pd.Series) -> pd.Series:
