@@ -131,6 +131,22 @@ def test_large_payload_is_kept_whole(spark):
     assert json.loads(one(spark, envelope(1, payload=text)).payload) == text
 
 
+def test_malformed_messages_are_kept_and_parser_limits_named(spark):
+    start = "{" + BASE + ',"payload":'
+    beyond = [start + '{"' + "a" * 50_001 + '":1}}', start + "1" * 1_001 + "}", start + "[" * 1_001 + "]" * 1_001 + "}"]
+    beyond.append(start + '{"' + "a\\n" * 50_001 + '":1}}')
+    other = ["[1, tru", start + '"' + "1" * 2_000 + "[" * 2_000 + '"]}', start + "[]," * 2_000 + "}", "{" + BASE + ',"payload":1,}']
+    wired = wire(spark, *[message(n, value=text) for n, text in enumerate([*beyond, *other, envelope(1)])])
+    rows = staging_rows(parse_envelope(records_of(wired)), F.lit("2026-09-14 10:00:00")).orderBy("kafka_offset").collect()
+    assert [r.malformed_reason for r in rows] == ["beyond parser limits"] * 4 + ["invalid JSON"] * 4 + [None]
+    assert [r.raw_value and r.raw_value.decode() for r in rows] == [*beyond, *other, None]
+    large = F.concat(F.lit(start + "["), F.repeat(F.lit("1,"), F.lit(25_000_000)), F.lit("1]}"))
+    texts = spark.range(2).select(F.concat(large, F.when(F.col("id") == 0, "").otherwise("}")).cast("binary").alias("value"), "id")
+    found = parse_envelope(texts).select("id", "malformed_reason", F.octet_length("raw_value")).orderBy("id").collect()
+    size = len(start) + 50_000_004
+    assert [tuple(r) for r in found] == [(0, "beyond parser limits", size), (1, "invalid JSON", size + 1)]
+
+
 def test_unreadable_time_keeps_the_row(spark):
     row = one(spark, envelope(1, received_at="yesterday noon"))
     assert (row.malformed, row.received_at, row.payload) == (False, None, '{"n":1}')

@@ -31,6 +31,37 @@ def spans_whole_text(document: Column, text: Column) -> Column:
     return F.coalesce(F.try_variant_get(document, "$[1]", "bigint") == F.xxhash64(text), F.lit(False))
 
 
+# What the parser cannot hold, however valid: longer names, longer numbers, deeper nesting, and
+# documents that grow too large, which smaller ones than LARGE cannot.
+LONGEST_NAME, LONGEST_NUMBER, DEEPEST, LARGE = 50_000, 1_000, 1_000, 16 << 20
+BEYOND_LIMITS = "beyond parser limits"
+
+
+def beyond_limits(text: Column) -> Column:
+    """Whether a text that was not parsed goes beyond a limit of the parser.
+
+    What else is in such a text is not known, except for a large one: its syntax is read by a
+    parser that keeps nothing.
+    """
+    flat = F.regexp_replace(text, r"(?s)\\(?:u[0-9a-fA-F]{4}|.)", "_")
+    bare = F.regexp_replace(flat, '"[^"]*+"', "")
+    brackets = F.regexp_replace(bare, r"[^\[\]{}]", "")
+    step = lambda held, c: F.struct(
+        (held["depth"] + F.when(c.isin("[", "{"), 1).otherwise(-1)).alias("depth"),
+        F.greatest(held["deepest"], held["depth"] + F.when(c.isin("[", "{"), 1).otherwise(-1)).alias("deepest"),
+    )
+    start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("deepest"))
+    deepest = F.aggregate(F.split(brackets, ""), start, step, lambda held: held["deepest"])
+    whole = F.json_array_length(F.concat(F.lit("["), text, F.lit(",0]"))).eqNullSafe(2)
+    return (
+        F.when((F.octet_length(text) > LARGE) & whole, True)
+        .when(flat.rlike(r'[{,]\s*"[^"]{%d,}+"\s*:' % (LONGEST_NAME + 1)), True)
+        .when(bare.rlike("[-+.0-9eE]{%d}" % (LONGEST_NUMBER + 1)), True)
+        .when(F.length(brackets) > DEEPEST, deepest > DEEPEST - 1)
+        .otherwise(False)
+    )
+
+
 # A known field that occurs twice in the JSON list of an object's keys.
 REPEATED_FIELD = '"(' + "|".join(KNOWN_FIELDS) + r')",(?:.*,)?"\1"'
 
@@ -60,7 +91,9 @@ def malformed_reason_of(value: Column, text: Column, document: Column, keys: Col
     reason = F.when(value.isNull(), F.lit(TOMBSTONE_REASON))
     reason = reason.when(
         ~spans_whole_text(document, text) | (text.contains("\\u") & text.rlike(LONE_SURROGATE)),
-        F.when(F.is_valid_utf8(text), F.lit("invalid JSON")).otherwise(F.lit("invalid UTF-8")),
+        F.when(~F.is_valid_utf8(text), F.lit("invalid UTF-8"))
+        .when(document.isNull() & beyond_limits(text), F.lit(BEYOND_LIMITS))
+        .otherwise(F.lit("invalid JSON")),
     )
     reason = reason.when(untyped.isNull(), F.lit("not an object"))
     repeated = (F.size(keys) > F.size(F.array_distinct(keys))) & F.to_json(keys).rlike(REPEATED_FIELD)

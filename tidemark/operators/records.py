@@ -32,10 +32,10 @@ def records_of(wire: DataFrame) -> DataFrame:
 
 
 def parse_envelope(records: DataFrame) -> DataFrame:
-    """Replace `value` by the seven envelope columns, `malformed` and `malformed_reason`.
+    """Replace `value` by the seven envelope columns, `malformed`, `malformed_reason` and `raw_value`.
 
     Never fails on a message: an unreadable one keeps its provenance, carries a reason
-    and has NULL in every envelope column.
+    and has NULL in every envelope column. Its message is kept in `raw_value`.
     """
     configure(records.sparkSession)
     rest = [F.col(c) for c in records.columns if c != "value"]
@@ -57,9 +57,10 @@ def parse_envelope(records: DataFrame) -> DataFrame:
     # A filter on `malformed` would be pushed below these projections with the whole parse
     # copied into it, once per use. It cannot pass a generator, so the reason is the one
     # element of an exploded array.
-    judged = taken.select(*rest, "__doc", F.explode(F.array(reason)).alias("__reason"))
+    judged = taken.select(*rest, "value", "__doc", F.explode(F.array(reason)).alias("__reason"))
     good = F.col("__reason").isNull()
-    typed = judged.select(*rest, "__reason", F.when(good, envelope_as(F.col("__doc"), TYPED)).alias("__env"))
+    raw = F.when(~good, F.col("value").cast("binary")).alias("raw_value")
+    typed = judged.select(*rest, raw, "__reason", F.when(good, envelope_as(F.col("__doc"), TYPED)).alias("__env"))
     header = F.col("__env.event_header")
     return typed.select(
         "__env.event_id",
@@ -72,11 +73,12 @@ def parse_envelope(records: DataFrame) -> DataFrame:
         *rest,
         (~good).alias("malformed"),
         F.col("__reason").alias("malformed_reason"),
+        "raw_value",
     )
 
 
 def staging_rows(parsed: DataFrame, written_at: Column, *extra: str) -> DataFrame:
-    """The 14 contract columns in contract order and type, then `extra` columns.
+    """The 14 contract columns in contract order and type and `raw_value`, then `extra` columns.
 
     `written_at` is one instant for the whole write.
     """

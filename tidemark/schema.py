@@ -39,6 +39,8 @@ STAGING = T.StructType(
         T.StructField("ingested_at", T.TimestampType(), False),
         T.StructField("malformed", T.BooleanType(), False),
         T.StructField("malformed_reason", T.StringType()),
+        # The message as it came, for malformed rows. Not one of the 14 columns of the contract.
+        T.StructField("raw_value", T.BinaryType()),
     ]
 )
 

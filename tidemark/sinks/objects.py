@@ -37,7 +37,7 @@ def contract_schema() -> "pa.Schema":
     def arrow_type(name: str, kind: str) -> "pa.DataType":
         if kind == "timestamp":
             return pa.timestamp("ms" if name == "kafka_timestamp" else "us", "UTC")
-        return {"string": pa.string(), "integer": pa.int32(), "long": pa.int64(), "boolean": pa.bool_()}[kind]
+        return {"string": pa.string(), "integer": pa.int32(), "long": pa.int64(), "boolean": pa.bool_(), "binary": pa.binary()}[kind]
 
     return pa.schema([pa.field(f.name, arrow_type(f.name, f.dataType.typeName()), f.nullable) for f in STAGING.fields])
 
