@@ -223,6 +223,12 @@ def test_exact_copies_are_found_whatever_is_in_them(spark):
     assert contaminated(spark, [*items, title], [*texts, "See " + title]) == [True, True, True, False, False, True]
 
 
+def test_items_without_an_id_are_searched(spark):
+    benchmark = spark.createDataFrame([(None, QUESTION), (None, "two words"), (4, "one")], "item_id long, text string")
+    rows = decontaminate.judge(frame(spark, ["x " + QUESTION, "just two words", "none", None]), benchmark).orderBy("doc_id").collect()
+    assert [(r.contaminated, r.n_items, r.item_id) for r in rows] == [(True, 1, None), (True, 1, None), (False, 0, None), (False, 0, None)]
+
+
 def test_unfiltered_join_gives_the_same(spark, monkeypatch):
     def judged():
         rows = decontaminate.judge(read(spark, SF, "documents", "doc_id", "text"), read(spark, SF, "benchmark", "item_id", "text"))

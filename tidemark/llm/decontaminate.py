@@ -61,11 +61,11 @@ SPELLED, VERBATIM = np.uint64(1 << 40), np.uint64(1 << 41)
 # `next_at` and `next` are where the window's second token is, `plain` that no word is read as a name,
 # `dense` that it has enough literals; a passage has no slots.
 TEMPLATES = (
-    "item_id long, window long, at long, next_at long, end long, size long, item_plain boolean, dense boolean, width int,"
+    "item long, item_id long, window long, at long, next_at long, end long, size long, item_plain boolean, dense boolean, width int,"
     " item_slots array<string>"
 )
 TEMPLATE_NAMES = [column.split()[0] for column in TEMPLATES.split(", ")]
-TEMPLATE_TYPES = (*[pa.int64()] * 6, pa.bool_(), pa.bool_(), pa.int32(), pa.list_(pa.string()))
+TEMPLATE_TYPES = (*[pa.int64()] * 7, pa.bool_(), pa.bool_(), pa.int32(), pa.list_(pa.string()))
 WINDOWS = "window long, position long, next long, plain boolean, slots array<string>"
 WINDOW_NAMES = [column.split()[0] for column in WINDOWS.split(", ")]
 PAIR = ("at", "next_at", "end", "size", "item_plain", "dense", "item_slots", "position", "next", "plain", "slots")
@@ -227,10 +227,10 @@ class Template:
 
 
 def _benchmark_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """item_id, text -> each window and passage of each item; an item shorter than one is one."""
+    """item, item_id, text -> each window and passage of each item; an item shorter than one is one."""
     for batch in batches:
-        template = Template(batch.column(1).to_pylist(), Lexicon())
-        items = batch.column(0).to_pylist()
+        template = Template(batch.column(2).to_pylist(), Lexicon())
+        items = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True))
         rows = []
         for width in range(1, WINDOW + 1):
             for part in template.windows(width):
@@ -244,13 +244,13 @@ def _benchmark_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
                         kinds = template.kind[place : place + width]
                         dense = bool(read) or np.count_nonzero(kinds == LITERAL) >= MIN_LITERALS
                         hashed = int(hashed.view(np.int64))
-                        rows.append((items[text], hashed, at, next_at, end, size, read == 0, dense, width, slots))
+                        rows.append((*items[text], hashed, at, next_at, end, size, read == 0, dense, width, slots))
         for width in range(1, PASSAGE + 1):
             for hashed, place in zip(*template.passages(width), strict=True):
                 text = template.word_text[place]
                 at, size = int(place - template.word_start[text]), int(template.word_size[text])
                 if width == min(PASSAGE, size):
-                    rows.append((items[text], int(hashed.view(np.int64)), at, at + 1, at + width, size, True, False, width, None))
+                    rows.append((*items[text], int(hashed.view(np.int64)), at, at + 1, at + width, size, True, False, width, None))
         if rows:
             columns = [pa.array(column, kind) for column, kind in zip(zip(*rows, strict=True), TEMPLATE_TYPES, strict=True)]
             yield pa.RecordBatch.from_arrays(columns, names=TEMPLATE_NAMES)
@@ -374,7 +374,8 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     A row for each document and item of which enough windows match in one alignment, or run
     of windows, whose slots are consistent, or that has a passage of the item word for word.
     """
-    items = benchmark.select("item_id", F.coalesce("text", F.lit("")).alias("text"))
+    # A row of the benchmark is an item by itself, also without an id.
+    items = benchmark.select(F.monotonically_increasing_id().alias("item"), "item_id", F.coalesce("text", F.lit("")).alias("text"))
     templates = stored(
         items.mapInArrow(_benchmark_windows, TEMPLATES),
         "benchmark-windows",
@@ -390,15 +391,15 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     texts = docs.select("doc_id", text_key(F.col("text")).alias("text_key"), "text")
     found = texts.mapInArrow(_document_windows(widths, passages, known), f"doc_id long, text_key long, {WINDOWS}")
     joined = found.distinct().join(templates, "window")
-    sizes = templates.groupBy("item_id").agg(
+    sizes = templates.groupBy("item").agg(
         F.count_distinct(F.when(F.col("dense"), F.col("at"))).alias("all"),
         F.count_distinct(F.when(F.expr("dense and item_plain"), F.col("at"))).alias("plain_all"),
     )
     most = F.lit(MIN_WINDOWS)
     need = F.least(F.coalesce(F.nullif("plain_all", F.lit(0)), F.nullif("all", F.lit(0)), most), most)
-    sizes = sizes.select("item_id", need.alias("need"))
+    sizes = sizes.select("item", need.alias("need"))
     pair = F.struct(*PAIR)
-    pairs = joined.groupBy("doc_id", "text_key", "item_id").agg(F.collect_list(pair).alias("pairs")).join(sizes, "item_id")
+    pairs = joined.groupBy("doc_id", "text_key", "item", "item_id").agg(F.collect_list(pair).alias("pairs")).join(sizes, "item")
     held = pairs.select("doc_id", "text_key", "item_id", "need", "pairs")
     enough = held.mapInArrow(_judged, "doc_id long, text_key long, item_id long, windows long")
     best = enough.groupBy("doc_id", "text_key", "item_id").agg(F.max("windows").alias("windows"))
@@ -412,7 +413,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
 def judge(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """A row per document: `doc_id, contaminated, n_items, item_id, n_windows`.
 
-    `item_id` is the item with most matching windows, the smallest of equals. A null text
+    `item_id` is the item with most matching windows, the smallest of equals; items without an id count as one, whose `item_id` is null. A null text
     holds nothing; repeated rows are judged alike; other columns are ignored.
     """
     by_text = matches(docs, benchmark).groupBy("doc_id", "text_key").agg(
