@@ -14,6 +14,7 @@ Benchmark windows are counted. Up to FILTER_WINDOWS their hashes go to the tasks
 pass on matching windows only; beyond that all windows go to the join, with the same result.
 """
 
+import itertools
 import re
 from collections.abc import Iterator
 
@@ -37,7 +38,10 @@ PASSAGE = WINDOW + MIN_WINDOWS - 1
 FILTER_WINDOWS = 2_000_000
 FOLD_WINDOWS = 1 << 18
 # Readings of windows that are worked out at a time.
-FOLD_READINGS = 1 << 21
+FOLD_READINGS = 1 << 18
+FOLD_WORDS = 1 << 13
+# Characters of the texts that are in arrays at a time.
+FOLD_CHARS = 1 << 21
 
 EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 NUMBER = re.compile(r"[0-9][0-9.,:/-]*(?:st|nd|rd|th)?\Z")
@@ -55,6 +59,7 @@ UNITS = frozenset(
 LITERAL, NUM, NAME, UNIT, GLUE = range(5)
 PLACEHOLDERS = np.array([0, 0x51ED270B, 0x2545F491, 0x9E3779B1, 0], dtype=np.uint64)
 BASE = np.uint64(0x100000001B3)
+POWERS = BASE ** np.arange(64, dtype=np.uint64)
 # Keeps windows keyed by words, and passages, apart from those of template tokens.
 SPELLED, VERBATIM = np.uint64(1 << 40), np.uint64(1 << 41)
 
@@ -80,6 +85,15 @@ class Lexicon(dict):
 
     def __init__(self):
         self.hash, self.kind, self.ends, self.core = [], [], [], []
+        self.known = np.zeros(0, np.uint64), np.zeros(0, np.int8), np.zeros(0, bool)
+
+    def arrays(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """`hash`, `kind` and `ends`; what is new is added to those of the last call."""
+        done = len(self.known[0])
+        if done < len(self.core):
+            new = (self.hash, self.kind, self.ends)
+            self.known = tuple(np.append(old, np.array(some[done:], old.dtype)) for old, some in zip(self.known, new, strict=True))
+        return self.known
 
     def __missing__(self, raw: str) -> int:
         core = EDGES.sub("", raw)
@@ -102,12 +116,20 @@ class Lexicon(dict):
         return self[raw]
 
 
-def _mixed(codes: np.ndarray, places: np.ndarray, width: int, seed: np.uint64) -> np.ndarray:
-    mixed = np.full(len(places), seed | np.uint64(width))
-    for step in range(width):
-        mixed = (mixed ^ codes[places + step]) * BASE
-        mixed ^= mixed >> np.uint64(31)
-    return mixed
+def _rolled(codes: np.ndarray, width: int) -> np.ndarray:
+    """The sum of code k times BASE to the power k over `width` codes from each place, by halves."""
+    if width == 1:
+        return codes
+    half = width // 2
+    low = _rolled(codes, half)
+    high = low if width == 2 * half else _rolled(codes, width - half)
+    n = len(codes) - width + 1
+    return low[:n] + high[half : half + n] * POWERS[half]
+
+
+def _finished(sums: np.ndarray, width: int, seed: np.uint64 = np.uint64(0)) -> np.ndarray:
+    mixed = (sums ^ seed ^ np.uint64(width)) * PLACEHOLDERS[UNIT]
+    return mixed ^ (mixed >> np.uint64(31))
 
 
 class Template:
@@ -117,7 +139,8 @@ class Template:
         split = [(text or "").split() for text in texts]
         ids = np.fromiter((lexicon[raw] for words in split for raw in words), np.int64)
         text_of = np.repeat(np.arange(len(split)), [len(words) for words in split])
-        kind, ends = np.array(lexicon.kind, np.int8)[ids], np.array(lexicon.ends, bool)[ids]
+        hashes, kinds, sentence_ends = lexicon.arrays()
+        kind, ends = kinds[ids], sentence_ends[ids]
         # Tokens without letters or digits only tell where sentences end.
         solid = kind != GLUE
         begins = np.ones(len(ids), bool)
@@ -141,9 +164,9 @@ class Template:
         # Read as a name, a word takes in the names that follow it.
         self.either, self.takes = either[first], np.zeros(len(self.ids), np.int64)
         self.takes[:-1] = self.either[:-1] & (self.kind[1:] == NAME) & (self.text_of[1:] == self.text_of[:-1])
-        literal = np.array(lexicon.hash, np.uint64)[self.ids]
+        literal = hashes[self.ids]
         # All words of each token, and the words as they are.
-        self.word = np.array(lexicon.hash, np.uint64)[ids]
+        self.word = hashes[ids]
         self.word_start = np.searchsorted(text_of, np.arange(len(texts)))
         self.word_size = np.bincount(text_of, minlength=len(texts))
         self.word_text = text_of
@@ -166,46 +189,86 @@ class Template:
         n = len(self.code) - width + 1
         if n <= 0:
             return
-        mixed = np.full(n, width, np.uint64)
-        for step in range(width):
-            mixed = (mixed ^ self.code[step : step + n]) * BASE
-            mixed ^= mixed >> np.uint64(31)
+        sums = _rolled(self.code, width)
+        mixed = _finished(sums, width)
         literals = np.concatenate(([0], np.cumsum(self.kind == LITERAL)))
-        sparse = np.flatnonzero(literals[width:] - literals[:-width] < MIN_LITERALS)
-        mixed[sparse] = _mixed(self.spelled, sparse, width, SPELLED)
+        literals = literals[width:] - literals[:-width]
+        sparse = np.flatnonzero(literals < MIN_LITERALS)
+        spelled = sum((self.spelled[sparse + step] * POWERS[step] for step in range(width)), np.zeros(len(sparse), np.uint64))
+        mixed[sparse] = _finished(spelled, width, SPELLED)
         places = np.flatnonzero(self.text_of[:n] == self.text_of[width - 1 :])
         yield mixed[places], places, places + width, np.zeros(len(places), np.int64)
+        inside = np.zeros(len(self.code), bool)
+        inside[places] = True
+        # Windows in which no such word takes in others keep their tokens: their sums change by a term.
+        taking = np.concatenate(([0], np.cumsum(self.takes)))
+        upto = np.minimum(np.arange(len(self.code)) + width, len(self.code))
+        fixed = inside & (taking[upto] == taking[:-1])
+        words = np.flatnonzero(self.either)
+        for begin in range(0, len(words), FOLD_WORDS):
+            yield self._replaced(words, begin, width, sums, literals, fixed)
         # A window has at most as many readings as there are choices in it.
+        starts = np.flatnonzero(taking[upto] > taking[:-1])
         choices = np.concatenate(([0], np.cumsum(self.either)))
-        within = lambda reach: choices[np.minimum(np.arange(n) + reach, len(self.code))] - choices[:n]
-        starts = np.flatnonzero(within(width))
-        readings = np.cumsum(1 << np.minimum(within(2 * width)[starts], width))
+        reach = np.minimum(starts + 2 * width, len(self.code))
+        readings = np.cumsum(1 << np.minimum(choices[reach] - choices[starts], width))
         cuts = np.searchsorted(readings, np.arange(FOLD_READINGS, readings[-1] if len(readings) else 0, FOLD_READINGS))
         for some in np.split(starts, cuts):
             yield self._readings(some, width)
 
+    def _replaced(self, words, begin, width, sums, literals, fixed) -> tuple[np.ndarray, ...]:
+        """The readings whose first name is one of some words, in windows that keep their tokens."""
+        change = PLACEHOLDERS[NAME] - self.code[words]
+        numbers = np.arange(begin, min(begin + FOLD_WORDS, len(words)))
+        number, step = np.repeat(numbers, width), np.tile(np.arange(width), len(numbers))
+        place = words[number] - step
+        ok = np.flatnonzero(place >= 0)
+        ok = ok[fixed[place[ok]]]
+        number, step, place = number[ok], step[ok], place[ok]
+        state = (place, number, sums[place] + change[number] * POWERS[step], literals[place] - 1, 1 << step)
+        found = []
+        while len(state[0]):
+            state = tuple(column[state[3] >= MIN_LITERALS] for column in state)
+            found.append(state)
+            place, number, total, left, read = state
+            more = []
+            for ahead in range(1, width):
+                other = np.minimum(number + ahead, len(words) - 1)
+                step = words[other] - place
+                ok = np.flatnonzero((number + ahead < len(words)) & (step < width))
+                if not len(ok):
+                    break
+                step, other = step[ok], other[ok]
+                more.append((place[ok], other, total[ok] + change[other] * POWERS[step], left[ok] - 1, read[ok] | 1 << step))
+            if not more:
+                break
+            state = tuple(map(np.concatenate, zip(*more, strict=True)))
+        places, _, total, _, read = map(np.concatenate, zip(*(found or [state]), strict=True))
+        return _finished(total, width), places, places + width, read
+
     def _readings(self, begin: np.ndarray, width: int) -> tuple[np.ndarray, ...]:
-        at, mixed = begin, np.full(len(begin), width, np.uint64)
+        at, mixed = begin, np.zeros(len(begin), np.uint64)
         literals, read = np.zeros(len(begin), np.int64), np.zeros(len(begin), np.int64)
         for step in range(width):
             # Windows that leave their text, or cannot have enough literals, end here.
             live = np.flatnonzero((at < self.stop[begin]) & (literals + width - step >= MIN_LITERALS))
             begin, at, mixed, literals, read = begin[live], at[live], mixed[live], literals[live], read[live]
             name = np.flatnonzero(self.either[at])
-            mixed = np.append(mixed ^ self.code[at], mixed[name] ^ PLACEHOLDERS[NAME]) * BASE
-            mixed ^= mixed >> np.uint64(31)
+            mixed = np.append(mixed + self.code[at] * POWERS[step], mixed[name] + PLACEHOLDERS[[NAME]] * POWERS[step])
             literals = np.append(literals + (self.kind[at] == LITERAL), literals[name])
             read = np.append(read, read[name] | 1 << step)
             begin = np.append(begin, begin[name])
             at = np.append(at + 1, at[name] + 1 + self.takes[at[name]])
         kept = np.flatnonzero((read > 0) & (literals >= MIN_LITERALS))
-        return mixed[kept], begin[kept], at[kept], read[kept]
+        return _finished(mixed[kept], width), begin[kept], at[kept], read[kept]
 
     def passages(self, width: int) -> tuple[np.ndarray, np.ndarray]:
         """Hash and place of every `width` words in one text."""
-        n = max(0, len(self.word) - width + 1)
-        places = np.flatnonzero(self.word_text[:n] == self.word_text[width - 1 :][:n])
-        return _mixed(self.word, places, width, VERBATIM), places
+        n = len(self.word) - width + 1
+        if n <= 0:
+            return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        places = np.flatnonzero(self.word_text[:n] == self.word_text[width - 1 :])
+        return _finished(_rolled(self.word, width), width, VERBATIM)[places], places
 
     def slots(self, place: int, width: int, read: int) -> list[str]:
         """`offset=value` of each placeholder in a window."""
@@ -256,17 +319,34 @@ def _benchmark_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
             yield pa.RecordBatch.from_arrays(columns, names=TEMPLATE_NAMES)
 
 
+def _folds(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch of doc_id, text_key, text in parts of about FOLD_CHARS."""
+    sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(2)), 0).to_numpy(zero_copy_only=False)
+    fold = (np.cumsum(sizes.astype(np.int64)) - sizes) // FOLD_CHARS
+    cuts = [0, *(np.flatnonzero(np.diff(fold)) + 1).tolist(), batch.num_rows]
+    for begin, end in itertools.pairwise(cuts):
+        if end > begin:
+            yield batch.slice(begin, end - begin)
+
+
 def _document_windows(widths: list[int], passages: list[int], known: np.ndarray | None):
+    # Most windows are told apart by their last bits.
+    seen = np.zeros(1 << 20, bool)
+    if known is not None:
+        seen[(known & np.uint64(len(seen) - 1)).view(np.int64)] = True
+
     def met(hashed: np.ndarray) -> np.ndarray:
         if known is None:
             return np.arange(len(hashed))
         if not len(known):
             return np.zeros(0, np.int64)
-        return np.flatnonzero(known[np.minimum(np.searchsorted(known, hashed), len(known) - 1)] == hashed)
+        near = np.flatnonzero(seen[(hashed & np.uint64(len(seen) - 1)).view(np.int64)])
+        some = hashed[near]
+        return near[known[np.minimum(np.searchsorted(known, some), len(known) - 1)] == some]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = Lexicon()
-        for batch in batches:
+        for batch in itertools.chain.from_iterable(map(_folds, batches)):
             if len(lexicon) > 500_000:
                 lexicon = Lexicon()
             template = Template(batch.column(2).to_pylist(), lexicon)
