@@ -96,11 +96,13 @@ class Lexicon(dict):
         return self.known
 
     def __missing__(self, raw: str) -> int:
-        core = EDGES.sub("", raw)
+        # Most tokens need no pattern: both begin with a digit, and edges are no letters or digits.
+        bare = raw[-1].isalnum()
+        core = raw if bare and raw[0].isalnum() else EDGES.sub("", raw)
         folded = core.lower()
         if not core:
             kind = GLUE
-        elif NUMBER.match(folded) or MEASURE.match(folded) or folded in NUMBER_WORDS:
+        elif folded in NUMBER_WORDS or folded[0] in "0123456789" and (NUMBER.match(folded) or MEASURE.match(folded)):
             kind = NUM
         elif folded in UNITS:
             kind = UNIT
@@ -110,7 +112,7 @@ class Lexicon(dict):
             kind = LITERAL
         self.hash.append(xxhash.xxh64_intdigest(folded.encode("utf-8", "surrogatepass"), 3))
         self.kind.append(kind)
-        self.ends.append(raw.rstrip("\"')]»”")[-1:] in (".", "!", "?", ":", ";", "…"))
+        self.ends.append(not bare and raw.rstrip("\"')]»”")[-1:] in (".", "!", "?", ":", ";", "…"))
         self.core.append(folded)
         self[raw] = len(self.core) - 1
         return self[raw]
@@ -347,7 +349,7 @@ def _document_windows(widths: list[int], passages: list[int], known: np.ndarray
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = Lexicon()
         for batch in itertools.chain.from_iterable(map(_folds, batches)):
-            if len(lexicon) > 500_000:
+            if len(lexicon) > 250_000:
                 lexicon = Lexicon()
             template = Template(batch.column(2).to_pylist(), lexicon)
             ids, keys = batch.column(0).to_pylist(), batch.column(1).to_pylist()
@@ -481,6 +483,10 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     pair = F.struct(*PAIR)
     pairs = joined.groupBy("doc_id", "text_key", "item", "item_id").agg(F.collect_list(pair).alias("pairs")).join(sizes, "item")
     held = pairs.select("doc_id", "text_key", "item_id", "need", "pairs")
+    # Others cannot be accepted.
+    places = F.size(F.array_distinct(F.transform("pairs", lambda p: p["at"])))
+    whole = F.exists("pairs", lambda p: p["at"] == 0) & F.exists("pairs", lambda p: p["end"] == p["size"])
+    held = held.filter((places >= F.col("need")) | whole | F.exists("pairs", lambda p: p["slots"].isNull()))
     enough = held.mapInArrow(_judged, "doc_id long, text_key long, item_id long, windows long")
     best = enough.groupBy("doc_id", "text_key", "item_id").agg(F.max("windows").alias("windows"))
     return stored(best, "contaminated")
