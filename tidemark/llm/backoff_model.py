@@ -1,14 +1,15 @@
-"""LM scoring by a weighted backoff automaton.
+"""LM scoring with the scores of a weighted backoff automaton, which is not built.
 
 The n-grams of the training texts, smoothed with a Dirichlet prior, are the arcs of an
 automaton: a state is a context, a seen continuation has an arc with its log-probability, and
 a failure arc with the context's backoff weight leads to the state without its oldest word.
-A text is scored in one pass from left to right that carries the state.
+Instead of a pass from left to right that carries the state, all positions are scored at
+once, level by level, from the counts that the arcs would be made of; the scores are equal.
 
-No task holds the whole automaton. Texts are dealt into chunks. Each chunk asks for the
+No task holds the whole model. Texts are dealt into chunks. Each chunk asks for the
 n-grams it meets, once each, with its own training counts; requests are dealt by hash of the
 n-gram, summed over all chunks, and the sums go back to the chunks that asked. A chunk then
-compiles the part of the automaton that its texts can reach. Frequent n-grams cost one entry
+holds the counts that its texts can reach. Frequent n-grams cost one entry
 per chunk, and a hash range holds about as many entries as any other.
 """
 
