@@ -1,0 +1,199 @@
+"""Manifest, ranked search and embedding near-duplicates, on the tables and on awkward rows."""
+
+import random
+import re
+
+import duckdb
+import numpy as np
+import pandas as pd
+import pytest
+from comparison import TESTDATA, compare, duckdb_on, rows_of
+
+from pyspark.sql import functions as F
+from tidemark.llm import embedding_dedup, lexical_search, merkle
+from tidemark.llm.common import read
+from tidemark.llm.oracle import ORACLE
+from tidemark.llm.queries import QUERIES
+
+SF = f"{TESTDATA}/sf0.001"
+NEW = ["op11_merkle_manifest", "op12_lexical_search", "op13_embedding_dedup"]
+DOCUMENT = "doc_id long, source string, lang string, n_chars long, text string"
+
+
+@pytest.mark.parametrize("name", NEW)
+def test_query_matches_sql(spark, name):
+    assert compare(spark, duckdb_on(SF), QUERIES[name], ORACLE[name], SF) > 0
+
+
+def sql_rows(name, **views):
+    con = duckdb.connect()
+    for view, (schema, rows) in views.items():
+        columns = [column.split(" ") for column in schema.split(", ")]
+        con.register(f"given_{view}", pd.DataFrame(rows, columns=[c for c, _ in columns], dtype=object))
+        kinds = {"long": "BIGINT", "string": "VARCHAR"}
+        con.execute(f"CREATE VIEW {view} AS SELECT {', '.join(f'CAST({c} AS {kinds[t]}) AS {c}' for c, t in columns)} FROM given_{view}")
+    result = con.execute(ORACLE[name])
+    return rows_of([c[0] for c in result.description], result.fetchall())
+
+
+def odd_documents(count, langs):
+    dice = random.Random(count)
+    texts = [None, "", " ", "ABC def", "ÀÉ xyz", "x" * 4000, "The cat", "the cat"]
+    rows = [
+        (dice.randrange(10 * count), dice.choice(["web", None, "é"]), dice.choice(langs), dice.choice([None, 0, 7]), dice.choice(texts))
+        for _ in range(count)
+    ]
+    return [*rows, *rows[:9], (None, None, None, None, None), (None, "a", "en", 3, "B"), (-5, "-", "-", -1, "-")]
+
+
+@pytest.mark.parametrize("levels", [1, 2, 4])
+@pytest.mark.parametrize(("count", "langs"), [(0, ["en"]), (7, ["en", "de"]), (70, ["en"]), (700, ["en", None, "", "z", "é", "-", "="] + list("abcdef"))])
+def test_manifest_of_awkward_rows_matches_sql(spark, levels, count, langs):
+    rows = odd_documents(count, langs)
+    docs = spark.createDataFrame([(*row, "clash", 1) for row in rows], DOCUMENT + ", leaf string, tree int")
+    got = merkle.manifest(docs, F.crc32(F.col("doc_id").cast("string")) % 3 == 0, levels)
+    assert rows_of(got.columns, got.collect()) == sql_rows("op11_merkle_manifest", documents=(DOCUMENT, rows))
+
+
+def test_manifest_of_few_rows(spark):
+    def manifest(rows):
+        return merkle.manifest(spark.createDataFrame(rows, DOCUMENT))
+
+    assert manifest([]).count() == 0
+    one = manifest([(1, "s", "en", 2, "ab")]).first()
+    assert one.leaf == one.subroot == one.root == one.folded_root == merkle.digest("1:11:s2:en1:22:ab") and one.verified
+    assert one.proof_sha256 == merkle.digest("")
+    two = {r.doc_id: r for r in manifest([(2, "s", "en", 2, "ab"), (1, "s", "en", 2, "ab")]).collect()}
+    assert two[1].root == merkle.digest(two[1].leaf + two[2].leaf) and two[1].proof_sha256 == merkle.digest(two[2].leaf)
+    # A value that holds what separates values is told apart.
+    a, b = manifest([(1, "a1:b", None, None, None)]).first(), manifest([(1, "a", "b", None, None)]).first()
+    assert a.root != b.root
+
+
+ITEM = "item_id long, text string"
+TEXT = "doc_id long, text string"
+
+
+def odd_texts(dice, count, longest):
+    vocabulary = ["a", "b", "The", "the", "cat-sat", "é", "naïve", "x1", "MIT", " ", "zebra", "İ"] + [f"w{n}" for n in range(40)]
+    texts = [" ".join(dice.choices(vocabulary, weights=[1 / (n + 1) for n in range(len(vocabulary))], k=dice.randint(0, longest))) for _ in range(count)]
+    return [None, "", " --- ", "the", "THE the The", *texts, *texts[:5]]
+
+
+@pytest.mark.parametrize("dense", [8, 400, 1 << 21])
+def test_search_of_awkward_texts_matches_sql(spark, dense):
+    dice = random.Random(dense)
+    docs = list(enumerate(odd_texts(dice, 250, 60), -3)) + [(None, "zebra the"), (None, "zebra the"), (5, "the"), (6, "a " * 20000)]
+    items = list(enumerate(odd_texts(dice, 20, 12))) + [(None, "cat the zebra"), (0, "unheard-of")]
+    got = lexical_search.rank(
+        spark.createDataFrame([(*row, "clash", 1) for row in docs], TEXT + ", score string, place int").repartition(3),
+        spark.createDataFrame([(*row, 2) for row in items], ITEM + ", rank int"),
+        block_bytes=300,
+        dense=dense,
+    )
+    assert rows_of(got.columns, got.collect()) == sql_rows("op12_lexical_search", documents=(TEXT, docs), benchmark=(ITEM, items))
+
+
+def test_search_of_empty_tables(spark):
+    none, some = spark.createDataFrame([], TEXT), spark.createDataFrame([(1, "a b")], TEXT)
+    items = spark.createDataFrame([(1, "a")], ITEM)
+    assert lexical_search.rank(none, items).count() == lexical_search.rank(some, items.limit(0)).count() == 0
+    assert [tuple(r) for r in lexical_search.rank(some, items).select("item_id", "rank", "doc_id").collect()] == [(1, 1, 1)]
+
+
+def test_whole_numbers_beyond_doubles_stay_exact():
+    items = lexical_search.Items([(0, 0, "big " * 3), (1, 1, "big small")])
+    [group] = items.weigh(10**6, {0: 1, 1: 1}, 1 << 20)
+    assert group.kind is np.float64
+    assert lexical_search.Group([0], np.array([0]), np.array([[10**10]])).kind is np.int64
+
+
+def test_search_leaves_pairs_unscored():
+    dice = np.random.default_rng(3)
+    items = lexical_search.Items([(n, n, f"t{n} t{n} common") for n in range(64)])
+    groups = items.weigh(5000, {place: 2 if term != b"common" else 4000 for term, place in items.places.items()}, 1 << 21)
+    search = lexical_search.Search(groups, np.ones(64, np.int64), 3, 1 << 21)
+    topic = dice.integers(0, 64, 4000)
+    terms = np.stack([[items.places[f"t{t}".encode()] for t in topic], np.full(4000, items.places[b"common"])], axis=1)
+    for at in range(0, 4000, 1000):
+        chunk = np.sort(terms[at : at + 1000], axis=1).ravel()
+        search.add(np.arange(at, at + 1000), np.arange(0, 2001, 2), chunk, dice.integers(1, 1000, 2000))
+    assert all(len(s) == 3 for s in search.scores) and search.scored < 64 * 4000 / 4
+
+
+VECTOR = "vec_id long, embedding array<double>"
+
+
+def brute_links(rows, cosine=0.9):
+    width = max((len(v) for _, v in rows if v), default=0)
+    units = []
+    for _, v in rows:
+        good = v and all(x is not None and np.isfinite(x) for x in v) and any(v)
+        filled = np.array([*v, *[0.0] * (width - len(v))]) / max(map(abs, v)) if good else np.full(width, np.nan)
+        units.append(filled / np.linalg.norm(filled))
+    near = np.array(units) @ np.array(units).T >= cosine
+    np.fill_diagonal(near, False)
+    out = []
+    for at in range(len(rows)):
+        seen, front = {at}, [at]
+        while front:
+            new = set(np.flatnonzero(near[front.pop()]).tolist()) - seen
+            seen |= new
+            front += new
+        ids = [rows[s][0] for s in seen if rows[s][0] is not None]
+        out.append((rows[at][0], int(near[at].sum()), min(ids, default=None), rows[at][0] == min(ids, default=None)))
+    return sorted(map(repr, out)), int(near.sum())
+
+
+def test_links_of_awkward_vectors_match_brute_force(spark):
+    rows = [(0, None), (1, []), (2, [0.0, 0.0]), (3, [1.0, None]), (4, [float("nan"), 1.0]), (5, [float("inf"), 1.0]), (None, None)]
+    rows += [(6, [1.0, 2.0, 3.0]), (7, [2.0, 4.0, 6.0]), (8, [-1.0, -2.0, -3.0]), (9, [1e200, 2e200, 3e200]), (10, [1e-200, 2e-200, 3e-200])]
+    rows += [(11, [1.0]), (12, [5.0, 0.1]), (None, [1.0, 2.0, 3.1]), (13, [0.0, -0.0, 1.0]), (13, [0.0, 0.0, 1.0]), (6, [1.0, 2.0, 3.0])]
+    frame = spark.createDataFrame([(*row, "clash", 1) for row in rows], VECTOR + ", key string, n_links int")
+    got = embedding_dedup.deduplicate(frame)
+    assert sorted(repr(tuple(r)) for r in got.collect()) == brute_links(rows)[0]
+    assert embedding_dedup.deduplicate(frame.limit(0)).count() == 0
+    assert [tuple(r) for r in embedding_dedup.deduplicate(frame.limit(1)).collect()] == [(0, 0, 0, True)]
+
+
+@pytest.mark.parametrize(("cell_vectors", "cell_rows"), [(512, 4096), (16, 4096), (16, 40)])
+def test_hard_links_are_recalled_and_none_is_made_up(spark, cell_vectors, cell_rows):
+    """Groups whose members are as far from their centre as a link allows, besides loose vectors,
+    copies of one vector, and a tight crowd that crowds its cells."""
+    dice = np.random.default_rng(8)
+    loose = dice.normal(size=(600, 24))
+    centres = dice.normal(size=(40, 24))
+    centres /= np.linalg.norm(centres, axis=1, keepdims=True)
+    hard = np.concatenate([c * dice.uniform(0.9, 0.95) + 0.4 * (lambda d: d / np.linalg.norm(d))(dice.normal(size=24)) for c in centres for _ in range(4)])
+    crowd = loose[0] + 0.05 * dice.normal(size=(200, 24))
+    vectors = np.concatenate([loose, centres, hard.reshape(-1, 24), crowd, np.repeat(loose[1:2], 90, axis=0)])
+    rows = [(int(n), v.tolist()) for n, v in zip(dice.permutation(len(vectors)), vectors, strict=True)]
+    frame = spark.createDataFrame(rows, VECTOR).repartition(5)
+    got = {r.vec_id: r for r in embedding_dedup.deduplicate(frame, cell_vectors=cell_vectors, cell_rows=cell_rows).collect()}
+    units = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    exact = (units @ units.T >= 0.9).sum(axis=1) - 1
+    found = np.array([got[vec_id].n_links for vec_id, _ in rows])
+    assert (found <= exact).all() and found.sum() >= 0.95 * exact.sum()
+    # The links of groups alone, which are the hard ones.
+    group = slice(600, 800)
+    assert found[group].sum() >= 0.9 * exact[group].sum()
+
+
+def test_recall_on_the_table(spark):
+    rows = [(r.vec_id, [float(x) for x in r.embedding]) for r in read(spark, f"{TESTDATA}/check_s", "embeddings", "vec_id", "embedding").collect()]
+    units = np.array([v for _, v in rows])
+    units /= np.linalg.norm(units, axis=1, keepdims=True)
+    exact = {}
+    for at in range(0, len(rows), 1024):
+        counts = (units[at : at + 1024] @ units.T >= 0.9).sum(axis=1) - 1
+        exact.update({rows[at + n][0]: int(c) for n, c in enumerate(counts)})
+    got = {r.vec_id: r.n_links for r in QUERIES["op13_embedding_dedup"](spark, f"{TESTDATA}/check_s").collect()}
+    assert got.keys() == exact.keys() and all(got[v] <= exact[v] for v in got)
+    assert sum(got.values()) >= 0.95 * sum(exact.values()) > 0
+
+
+def test_terms_are_those_of_the_pattern():
+    pattern = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+    text = "".join(map(chr, range(0x180))) + " İstanbul wide Çok-iyi \U0001f600x"
+    lower = text.translate({c: c + 32 for c in range(65, 91)})
+    assert [t.decode() for t in lexical_search.terms_of(text)] == pattern.findall(lower)

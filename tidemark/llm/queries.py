@@ -1,12 +1,16 @@
 """The registered queries of this subpackage: each operator over its whole table."""
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tidemark.llm import (
     backoff_model,
     decontaminate,
+    embedding_dedup,
+    lexical_search,
     licenses,
+    merkle,
     mixing,
     pii,
     quality_rules,
@@ -60,6 +64,20 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", *merkle.FIELDS)
+    return merkle.manifest(docs, tampered=F.crc32(F.col("doc_id").cast("string")) % 3 == 0)
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    return lexical_search.rank(docs, read(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
+def op13_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.deduplicate(read(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
 QUERIES = {
     "op1_backoff_model": op1_backoff_model,
     "op2_quality_rules": op2_quality_rules,
@@ -71,5 +89,8 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_mixing": op9_mixing,
     "op10_license_scan": op10_license_scan,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_embedding_dedup": op13_embedding_dedup,
     "pipeline": corpus_pipeline.run,
 }
