@@ -191,12 +191,11 @@ def trace_rows(staged: DataFrame, log: DataFrame, *columns: str) -> DataFrame:
 
 
 def object_row_order(staged_with_files: DataFrame) -> DataFrame:
-    """Whether each staged object holds its rows in offset order.
+    """Whether each staged range holds its rows in offset order.
 
-    Needs the `file_path` and `row_index` a file scan offers. One window per file, which
-    is one range.
+    Needs the `file_path` and `row_index` a file scan offers. One window per range of a file.
     """
-    in_file = W.partitionBy("file_path").orderBy("row_index")
+    in_file = W.partitionBy("file_path", "topic", "part", "range_start").orderBy("row_index")
     in_order = F.col("kafka_offset") > F.lag("kafka_offset").over(in_file)
     name = object_name(F.col("topic"), F.col("part"), F.col("dt"), F.col("range_start"), F.col("range_end"))
     return (

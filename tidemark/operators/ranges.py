@@ -97,13 +97,16 @@ FRONTIER_ROWS = 200_000
 
 
 def positions(frontier: DataFrame) -> DataFrame:
-    """The frontier, sent to every task if it was counted and is as small as brokers make it.
+    """The frontier, sent to every task if it is as small as brokers make it.
 
-    A join that deals rows by (topic, partition) would put a hot partition into one task.
+    It is worked out once: up to `FRONTIER_ROWS` rows come back and go out again. A join that deals
+    rows by (topic, partition) would put a hot partition into one task.
     """
     position = frontier.select(*PARTITION_KEYS, "commit_offset")
-    few = position.limit(FRONTIER_ROWS + 1).count() <= FRONTIER_ROWS
-    return F.broadcast(position) if few else position
+    few = position.limit(FRONTIER_ROWS + 1).collect()
+    if len(few) > FRONTIER_ROWS:
+        return position
+    return F.broadcast(frontier.sparkSession.createDataFrame(few, position.schema))
 
 
 def replay_from_frontier(records: DataFrame, frontier: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import in_range
-from tidemark.operators import audit, ranges
+from tidemark.operators import audit, bitmaps, ranges
 from tidemark.operators.records import (
     envelope_defaults,
     malformed_by_reason,
@@ -251,6 +251,24 @@ def consumer_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranges.consumer_lag(log_records(spark, sf_dir), WIDTH)
 
 
+def bitmap_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bitmaps.missing_runs(bitmaps.offset_bitmaps(log_records(spark, sf_dir)))
+
+
+def bitmap_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bitmaps.repeated(bitmaps.offset_bitmaps(_damaged(spark, sf_dir), "dt", "range_start", "attempt"))
+
+
+def bitmap_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log, staged = log_records(spark, sf_dir), _damaged(spark, sf_dir)
+    return bitmaps.differences(bitmaps.offset_bitmaps(log), bitmaps.offset_bitmaps(staged))
+
+
+def bitmap_unsafe_commits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log, staged = log_records(spark, sf_dir), _damaged(spark, sf_dir)
+    return bitmaps.unsafe_commits(bitmaps.offset_bitmaps(log), bitmaps.offset_bitmaps(staged), _frontier(spark, sf_dir))
+
+
 QUERIES = {
     "wire_log": wire_log,
     "range_assign": range_assign,
@@ -287,4 +305,8 @@ QUERIES = {
     "staged_dedup": staged_dedup,
     "unsafe_commits": unsafe_commits,
     "consumer_lag": consumer_lag,
+    "bitmap_gaps": bitmap_gaps,
+    "bitmap_duplicates": bitmap_duplicates,
+    "bitmap_differences": bitmap_differences,
+    "bitmap_unsafe_commits": bitmap_unsafe_commits,
 }

@@ -298,3 +298,36 @@ broken AS (
     ),
     "trace_rows": _sql(f"SELECT {KEY}, event_id, src_event_id FROM parsed", JUDGED),
 }
+
+TILED = """
+tiled AS (
+  SELECT kafka_topic, kafka_partition, kafka_offset - kafka_offset % 80 AS rs, kafka_offset - kafka_offset % 80 + 79 AS re,
+    count(*) AS records, max(kafka_offset) AS last_offset FROM wire GROUP BY ALL)"""
+
+ORACLE |= {
+    "bitmap_gaps": ORACLE["offset_gaps"],
+    "bitmap_duplicates": ORACLE["duplicate_offsets"],
+    "bitmap_differences": ORACLE["log_vs_staging"],
+    "bitmap_unsafe_commits": ORACLE["unsafe_commits"],
+    "manifest_gaps": ORACLE["offset_gaps"],
+    "manifest_vs_log": _sql(
+        f"""SELECT {KEY}, CASE WHEN kafka_offset % 7 = 3 THEN 'log_only' ELSE 'staging_only' END AS side
+        FROM wire WHERE (kafka_offset % 7 = 3) <> (kafka_offset % 11 = 4)"""
+    ),
+    "fenced_writer": _sql(
+        """SELECT kafka_topic, kafka_partition, epoch_us(TIMESTAMP '2026-09-14 10:00:00') AS ingested_at,
+          count(*) AS records, commit_offset
+        FROM wire LEFT JOIN frontier USING (kafka_topic, kafka_partition) GROUP BY ALL""",
+        SUMMARY,
+    ),
+    "change_feed": _sql(STAGED_COUNTS, SUMMARY),
+    "retiled_area": _sql(
+        """SELECT concat(kafka_topic, '/dt=2026-09-14/', kafka_partition, '-', rs, '-', re, '.parquet') AS object_name,
+          records, records AS read_back, last_offset, CASE WHEN last_offset >= re THEN re + 1 END AS commit_offset,
+          CASE WHEN last_offset >= re THEN 'committed'
+               WHEN lead(rs) OVER (PARTITION BY kafka_topic, kafka_partition ORDER BY rs) IS NOT NULL THEN 'abandoned'
+               ELSE 'open' END AS outcome FROM tiled""",
+        TILED,
+    ),
+    "run_counters": ORACLE["ingest_stats"],
+}

@@ -6,46 +6,39 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import object_name
-from tidemark.operators import audit
+from tidemark.operators import audit, bitmaps
 from tidemark.plans.log_queries import OBJECT_DATE, WIDTH, contract_columns, log_records
 from tidemark.schema import IDLE_MS, PROVENANCE, RANGE_KEYS, WIRE
 from tidemark.session import scratch_dir
-from tidemark.sinks.area import ObjectArea, StagingArea
-from tidemark.sinks.ledger import frontier
+from tidemark.sinks import manifest, staging, versions
+from tidemark.sinks.area import ManifestArea, ObjectArea, file_stamps
+from tidemark.sinks.manifest import read_object, read_settled, read_staging, stage_batch, stage_log
 from tidemark.sinks.objects import publish_objects, read_objects
-from tidemark.sinks.settled import publish_settled
-from tidemark.sinks.staging import read_object, read_settled, read_staging, stage_batch, stage_log
+from tidemark.sources.changes import read_changes
 from tidemark.sources.event_log import broken_contract, event_log, events
 from tidemark.streaming.ingest import start
 
 NOW = datetime(2026, 9, 14, 10, tzinfo=timezone.utc)
 
-_staged: dict[tuple[str, str, int], StagingArea] = {}
+_staged: dict[tuple, ManifestArea] = {}
 
 
-def _content(spark: SparkSession, sf_dir: str) -> int:
-    """What changes when the files of the table do."""
-    file = [F.col(f"_metadata.{c}").alias(c) for c in ("file_path", "file_size", "file_modification_time")]
-    files = events(spark, sf_dir).select(*file).distinct()
-    return files.agg(F.bit_xor(F.xxhash64(*files.columns))).first()[0]
-
-
-def staged_log(spark: SparkSession, sf_dir: str) -> StagingArea:
+def staged_log(spark: SparkSession, sf_dir: str) -> ManifestArea:
     """The whole log, staged once per application and state of the table for the queries that
     only read it."""
-    key = (spark.sparkContext.applicationId, sf_dir, _content(spark, sf_dir))
+    key = (spark.sparkContext.applicationId, sf_dir, file_stamps(spark, events(spark, sf_dir).inputFiles()))
     if key not in _staged:
-        area = StagingArea(scratch_dir(spark, "staged"))
+        area = ManifestArea(scratch_dir(spark, "staged"))
         stage_log(event_log(spark, sf_dir), area, WIDTH, now=NOW)
         _staged[key] = area
     return _staged[key]
 
 
-def _new_area(spark: SparkSession, name: str) -> StagingArea:
-    return StagingArea(scratch_dir(spark, name))
+def _new_area(spark: SparkSession, name: str) -> ManifestArea:
+    return ManifestArea(scratch_dir(spark, name))
 
 
-def _range_counts(spark: SparkSession, area: StagingArea) -> DataFrame:
+def _range_counts(spark: SparkSession, area: ManifestArea) -> DataFrame:
     return read_staging(spark, area).groupBy(*RANGE_KEYS).agg(F.count(F.lit(1)).alias("records"))
 
 
@@ -130,13 +123,13 @@ def staged_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     area = ObjectArea(scratch_dir(spark, "object-area"))
     log = event_log(spark, sf_dir)
     for half in (0, 1):
-        stage_log(log.where(F.col("src_event_id") % 2 == half), area, WIDTH, now=NOW)
-    return contract_columns(read_staging(spark, area))
+        staging.stage_log(log.where(F.col("src_event_id") % 2 == half), area, WIDTH, now=NOW)
+    return contract_columns(staging.read_staging(spark, area))
 
 
 def staged_frontier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The committed offsets as the ledger of the staged log has them."""
-    return frontier(spark, staged_log(spark, sf_dir))
+    """The committed offsets as the manifest of the staged log has them."""
+    return versions.frontier(spark, staged_log(spark, sf_dir))
 
 
 def settled_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -148,7 +141,7 @@ def settled_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def settled_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per range in an area that receives settled ranges only."""
     published = _new_area(spark, "settled")
-    publish_settled(spark, staged_log(spark, sf_dir), published, WIDTH, NOW - timedelta(milliseconds=IDLE_MS))
+    manifest.publish_settled(spark, staged_log(spark, sf_dir), published, NOW - timedelta(milliseconds=IDLE_MS))
     return _range_counts(spark, published)
 
 
@@ -160,6 +153,86 @@ def dirty_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.dirty_ranges(log_records(spark, sf_dir), read_staging(spark, area), WIDTH)
 
 
+def fenced_writer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and committed offsets after a writer was replaced in mid batch and then tried to finish it.
+
+    The replaced one had written half of the log, stamped with the day before: none of it may show.
+    """
+    area = _new_area(spark, "fenced")
+    log = event_log(spark, sf_dir)
+    cut_off = versions.claim(spark, area, "first")
+    half = manifest.prepare_batch(log.where("src_event_id % 2 = 0"), 0, area, WIDTH, cut_off, NOW - timedelta(days=1))
+    stage_batch(log, 0, area, WIDTH, versions.claim(spark, area, "second"), NOW)
+    try:
+        if half:
+            manifest.commit_batch(spark, area, half)
+            raise AssertionError("a replaced writer finished its batch")
+    except versions.Fenced:
+        pass
+    rows = read_staging(spark, area).groupBy("kafka_topic", "kafka_partition", "ingested_at")
+    counted = rows.agg(F.count(F.lit(1)).alias("records")).withColumn("ingested_at", F.unix_micros("ingested_at"))
+    return counted.join(versions.frontier(spark, area), ["kafka_topic", "kafka_partition"], "left")
+
+
+def change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per range as a reader of increments has them, who looks in twice while the log is staged in
+    three deliveries that overlap."""
+    area, inbox, checkpoint = _new_area(spark, "fed"), scratch_dir(spark, "increments"), scratch_dir(spark, "checkpoint")
+    log = event_log(spark, sf_dir)
+
+    def look_in() -> None:
+        feed = read_changes(spark, area).writeStream.option("checkpointLocation", checkpoint)
+        query = feed.format("parquet").start(inbox)
+        query.processAllAvailable()
+        query.stop()
+
+    stage_log(log.where("src_event_id % 2 = 0"), area, WIDTH, now=NOW)
+    look_in()
+    stage_log(log.where("offset % 100 < 50"), area, WIDTH, now=NOW)
+    stage_log(log, area, WIDTH, now=NOW)
+    look_in()
+    return spark.read.parquet(inbox).groupBy(*RANGE_KEYS).agg(F.count(F.lit(1)).alias("records"))
+
+
+def retiled_area(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranges, names and commits of an area that was staged in one width and moved to another."""
+    area = _new_area(spark, "retiled")
+    stage_log(event_log(spark, sf_dir), area, WIDTH, now=NOW)
+    manifest.retile(spark, area, 80)
+    ranges = versions.state(spark, area)
+    rows = read_staging(spark, area).groupBy("topic", F.col("part").alias("partition"), "range_start")
+    counted = rows.agg(F.count(F.lit(1)).alias("read_back"))
+    name = object_name(F.col("topic"), F.col("partition"), F.col("dt"), F.col("range_start"), F.col("range_end"))
+    return ranges.join(counted, ["topic", "partition", "range_start"]).select(
+        name.alias("object_name"), "records", "read_back", "last_offset", "commit_offset", "outcome"
+    )
+
+
+def run_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counters that were published with each of three batches, one per topic, summed."""
+    area = _new_area(spark, "counted")
+    log, lease = event_log(spark, sf_dir), versions.claim(spark, area, "counted")
+    for batch_id, topic in enumerate(("ingestion-events", "ingestion-signals", "ingestion-logs")):
+        stage_batch(log.where(F.col("topic") == topic), batch_id, area, WIDTH, lease, NOW)
+    names = ["records", "malformed", "uploads", "commits", "partial_uploads"]
+    return versions.counters(spark, area).agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names])
+
+
+def manifest_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of missing offsets as the manifest's bitmaps have them: no row is read."""
+    area = staged_log(spark, sf_dir)
+    return bitmaps.missing_runs(bitmaps.entry_bitmaps(versions.live_entries(spark, area, versions.head(spark, area), "offsets")))
+
+
+def manifest_vs_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Offsets on one side only, of a log and of what the manifest says is staged, each short of some."""
+    area = _new_area(spark, "short")
+    stage_log(event_log(spark, sf_dir).where("offset % 7 <> 3"), area, WIDTH, now=NOW)
+    staged = bitmaps.entry_bitmaps(versions.live_entries(spark, area, versions.head(spark, area), "offsets"))
+    log = log_records(spark, sf_dir).where("kafka_offset % 11 <> 4")
+    return bitmaps.differences(bitmaps.offset_bitmaps(log), staged)
+
+
 QUERIES = {
     "staged_readback": staged_readback,
     "object_lookup": object_lookup,
@@ -170,6 +243,12 @@ QUERIES = {
     "overwrite_converges": overwrite_converges,
     "staged_stream": staged_stream,
     "dirty_ranges": dirty_ranges,
+    "fenced_writer": fenced_writer,
+    "change_feed": change_feed,
+    "retiled_area": retiled_area,
+    "run_counters": run_counters,
+    "manifest_gaps": manifest_gaps,
+    "manifest_vs_log": manifest_vs_log,
     "published_objects": published_objects,
     "staged_objects": staged_objects,
     "staged_frontier": staged_frontier,

@@ -124,7 +124,7 @@ def read_settled(spark: SparkSession, area: StagingArea, quiet_since: datetime)
     return read_ranges(spark, area, ranges)
 
 
-def _touched(wire: DataFrame, width: int) -> DataFrame:
+def touched_ranges(wire: DataFrame, width: int) -> DataFrame:
     """A row per range with what of it arrived."""
     return (
         records_of(wire)
@@ -161,7 +161,7 @@ def _restore(spark: SparkSession, area: StagingArea, name: str, width: int, publ
             continue
         carried = spark.read.schema(STAGED).parquet(path)
         if not carried.isEmpty():
-            publish(_merged(carried, None, width, carried.count()), area)
+            publish(merged(carried, None, width, carried.count()), area)
         delete(spark, path)
 
 
@@ -247,8 +247,10 @@ def _without_gain(wire: DataFrame, intent: DataFrame, carried: DataFrame, width:
     return staged.join(new, RANGE, "left_anti")
 
 
-def _merged(incoming: DataFrame, carried: DataFrame | None, width: int, arrived: int) -> DataFrame:
-    """One row per offset, carried rows first, in offset order within each range.
+def merged(
+    incoming: DataFrame, carried: DataFrame | None, width: int, arrived: int, *extra: str
+) -> DataFrame:
+    """One row per offset, carried rows first, in offset order within each range; `extra` columns pass through.
 
     One shuffle brings a range together; its sort serves the choice of rows, the order
     inside the file and the writer, which keeps one file open at a time. Coalescing by size
@@ -257,9 +259,10 @@ def _merged(incoming: DataFrame, carried: DataFrame | None, width: int, arrived:
     """
     tasks = int(incoming.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     tasks = max(tasks, -(-arrived // ROWS_PER_TASK))
-    rows = incoming.select(*STAGED.fieldNames(), F.lit(1).alias("__rank"))
+    columns = [*STAGED.fieldNames(), *extra]
+    rows = incoming.select(*columns, F.lit(1).alias("__rank"))
     if carried is not None:
-        rows = rows.unionByName(carried.select(*STAGED.fieldNames(), F.lit(0).alias("__rank")))
+        rows = rows.unionByName(carried.select(*columns, F.lit(0).alias("__rank")))
     rows = rows.withColumn("range_end", range_end(F.col("range_start"), width))
     # Of copies that arrive together the earliest stays; content decides between equal times.
     content = [c for c in STAGING.fieldNames() if c not in (*PROVENANCE, "kafka_timestamp", "ingested_at")]
@@ -268,7 +271,7 @@ def _merged(incoming: DataFrame, carried: DataFrame | None, width: int, arrived:
     # window's keys, and the shuffle would no longer match them.
     together = rows.repartition(tasks, *RANGE)
     chosen = together.withColumn("__nth", F.row_number().over(one_offset)).where("__nth = 1")
-    return chosen.select(*STAGED.fieldNames(), "range_end").sortWithinPartitions(*LAYOUT_COLUMNS, "kafka_offset")
+    return chosen.select(*columns, "range_end").sortWithinPartitions(*LAYOUT_COLUMNS, "kafka_offset")
 
 
 def _ledger_rows(intent: DataFrame, area: StagingArea, width: int, batch_id: int) -> DataFrame:
@@ -308,7 +311,7 @@ def stage_batch(
     ledger.check_same_width(spark, area, width)
     if keep:
         wire = wire.persist(StorageLevel.MEMORY_AND_DISK)
-    touched = _touched(wire, width).persist(StorageLevel.MEMORY_AND_DISK)
+    touched = touched_ranges(wire, width).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         with held(spark, area, writer):
             fingerprint = _fingerprint(touched)
@@ -334,7 +337,7 @@ def stage_batch(
                 if not idle.isEmpty():
                     incoming = incoming.join(idle, RANGE, "left_anti")
                     carried = carried.join(idle, RANGE, "left_anti")
-            publish(_merged(incoming, carried, width, batch["arrived"]), area)
+            publish(merged(incoming, carried, width, batch["arrived"]), area)
             ledger.record_batch(_ledger_rows(intent, area, width, batch_id), area, name)
             delete(spark, f"{area.carried}/{name}")
             ledger.compact_if_long(spark, area)

@@ -9,14 +9,14 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from tidemark.schema import IDLE_MS, RANGE_WIDTH
 from tidemark.session import configure
-from tidemark.sinks import ledger
-from tidemark.sinks.area import StagingArea
+from tidemark.sinks import ledger, manifest, versions
+from tidemark.sinks.area import ManifestArea, StagingArea
 from tidemark.sinks.staging import Publish, publish_ranges, stage_batch
 
 
 def start(
     wire: DataFrame,
-    area: StagingArea,
+    area: StagingArea | ManifestArea,
     checkpoint: str,
     width: int = RANGE_WIDTH,
     idle_ms: int = IDLE_MS,
@@ -31,13 +31,26 @@ def start(
     `idle_ms` and nothing is buffered at shutdown. There is no watermark and no lateness
     cut: a late message is filed under the date it is written. `on_batch` is told the
     `records` and `malformed` of each batch once it is in the ledger.
+
+    A `ManifestArea` is claimed when the stream starts. From then on no other stream that had it,
+    this one's former run included, can publish anything.
     """
     spark = configure(wire.sparkSession)
-    ledger.check_same_width(spark, area, width)
     # Batch ids start anew with each checkpoint, so the ledger tells checkpoints apart.
     writer = "stream" + hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
 
+    if isinstance(area, ManifestArea):
+        versions.check_width(versions.head(spark, area), area, width)
+        lease = versions.claim(spark, area, writer)
+    else:
+        ledger.check_same_width(spark, area, width)
+
     def stage(batch: DataFrame, batch_id: int) -> None:
+        if isinstance(area, ManifestArea):
+            version = manifest.stage_batch(batch, batch_id, area, width, lease, now=now, keep=True)
+            if version and on_batch is not None:
+                on_batch(batch_id, {"records": version.records, "malformed": version.malformed})
+            return
         counters = Observation(f"{writer}-{batch_id}")
         staged = stage_batch(
             batch, batch_id, area, width, writer=writer, now=now, publish=publish, keep=True, counters=counters
