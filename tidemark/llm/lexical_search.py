@@ -29,7 +29,7 @@ FANOUT = 4
 BLOCK_BYTES = 8 << 20
 # Entries of a dense matrix of items, or of documents, and terms.
 DENSE = 1 << 21
-# Documents whose scores give the first bounds.
+# Documents, about, whose scores give the first bounds.
 FIRST_DOCUMENTS = 8_192
 # Below this, a sum of whole numbers in double precision is exact.
 EXACT = 1 << 53
@@ -274,7 +274,8 @@ def _search_block(docs: DataFrame, items: Items, best: int, dense: int) -> DataF
         return hits.withColumn("rank", nth).where(F.col("rank") <= best)
 
     weakest = none.copy()
-    first = usable.orderBy(F.xxhash64("doc_id")).limit(FIRST_DOCUMENTS)
+    # Any documents do for bounds that hold; which ones these are does not show in the result.
+    first = usable.sample(min(1.0, FIRST_DOCUMENTS / max(documents, 1)), seed=0)
     for row in found(first, none).where(F.col("rank") == best).collect():
         weakest[row["place"]] = row["score"]
     names = spark.createDataFrame(
