@@ -1,12 +1,14 @@
 """Operators that SQL can express, on the tables and on awkward rows."""
 
 import random
+import time
 
 import duckdb
 import pytest
 from comparison import TESTDATA, compare, duckdb_on, rows_of
 
 from tidemark.llm import licenses, quality_rules, url_filters, warc
+from tidemark.llm.common import read
 from tidemark.llm.oracle import ORACLE
 from tidemark.llm.queries import QUERIES
 
@@ -40,7 +42,7 @@ def against_sql(frame, name, view, rows, columns):
     assert rows_of(frame.columns, frame.collect()) == theirs
 
 
-@pytest.mark.parametrize("name", sorted(ORACLE))
+@pytest.mark.parametrize("name", sorted(n for n in ORACLE if n.split("_")[0] not in ("op11", "op12", "op13")))
 def test_query_matches_sql(spark, con, name):
     assert compare(spark, con, QUERIES[name], ORACLE[name], SF) > 0
 
@@ -63,6 +65,49 @@ def test_awkward_texts_match_sql(spark, name, run):
     assert empty.count() == 0
 
 
+def planted(spark, template, offsets, filler="lorem"):
+    """By offset: what a scan for `template` finds in a copy of its text that begins there."""
+    texts = {offset: f"{filler} " * offset + template.text.upper() + f" {filler}" * 90 for offset in offsets}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    return {r.doc_id: (r.labels, r.score) for r in licenses.scan(docs, (template,)).collect()}
+
+
+@pytest.mark.parametrize("size", [1, 8, 40, 60, 100, 300])
+def test_copies_are_found_wherever_they_stand(spark, size):
+    words = [f"w{n}" for n in range(size)]
+    template = licenses.Template("own", " ".join(words + words[: size // 3]))
+    assert set(planted(spark, template, range(64)).values()) == {("own", 1.0)}
+
+
+def test_labels_that_share_most_words_are_told_apart(spark):
+    texts = [t.text for t in licenses.TEMPLATES]
+    docs = documents(spark, [f"a {text} b" for text in texts] * 2 + [" and ".join(texts)])
+    for row in licenses.scan(docs).collect():
+        if row.doc_id == 2 * len(texts):
+            assert row.labels == ",".join(sorted({t.label for t in licenses.TEMPLATES}))
+            continue
+        own, labels = licenses.TEMPLATES[row.doc_id % len(texts)].label, set(row.labels.split(","))
+        assert own in labels and labels - set(row.base_labels.split(",")) <= {own}
+
+
+def test_no_label_on_the_tables_lacks_the_words_that_tell_it(spark):
+    rows = QUERIES["op10_license_scan"](spark, f"{TESTDATA}/sf0.01").collect()
+    texts = {r.doc_id: r.text.lower() for r in read(spark, f"{TESTDATA}/sf0.01", "documents", "doc_id", "text").collect()}
+    words = {"lgpl": "lesser", "cc-by-sa": "sa", "cc-by-nc": "nc"}
+    for row in rows:
+        for label in row.labels.split(","):
+            assert label not in words or words[label] in texts[row.doc_id].replace("-", " ").split()
+
+
+def test_a_long_text_of_template_words_costs_in_proportion(spark):
+    cycle = " ".join(t.text for t in licenses.TEMPLATES).split()
+    docs = documents(spark, [" ".join((cycle * 2000)[:100_000])])
+    began = time.monotonic()
+    row = licenses.scan(docs).first()
+    assert row.n_words == 100_000 and row.labels.count(",") == len({t.label for t in licenses.TEMPLATES}) - 1
+    assert time.monotonic() - began < 60
+
+
 URLS = [
     None, "", "example.net/en/", "http://", "https://EXAMPLE.net/en/x?y#z", "http://example.net", "http://net/", "http://a.b.example.com/de/", "ftp://x.example.com/DE/",
     "http://org/fr/", "http://sub.org/fr", "http://notexample.com/de/", "http://example.com?/de/", "http://example.net/en", "a://b://c.net/", "http://é.NET/\n/x",

@@ -1,25 +1,32 @@
-"""License scans: an exact set-similarity join of text blocks with notice templates.
+"""License scans: an exact set-similarity join of texts, and of blocks in them, with notice templates.
 
 Texts are split into words once; what is kept of them are the places of template words, in a
 stored table. From it come the corpus-wide counts that order the words, the base phrases, and
-the join: a block and a template meet on a word of the template's prefix (its rarest words,
-as many as may be missing and one more), pass the length and positional filters, and are
-verified by their full intersection. Blocks are counted per row, so no hot word, source or
-text gathers in one task.
+the join: a text and a template meet on a word of the template's prefix (its rarest words, as many
+as may be missing and one more) and pass the length and positional filters on what the whole text
+holds. Then all blocks of such a text are verified: a block is any run of words of the template's
+length divided by the threshold, so a copy lies whole in a block wherever it stands, with some
+words put in between. The words of a block are bits of a mask that slides along the places, so the
+cost follows the number of places. Texts are compared by row, so no hot word or source gathers in
+one task.
+
+Where a copy of another license's template would meet a template too, the words that tell the two
+apart must be in the block.
 """
 
 from dataclasses import dataclass
 from math import ceil
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import LOWER, UPPER, lower_ascii, once, stored
 
-# A block holds BLOCK words and the next one begins STEP later, so that any BLOCK - STEP + 1
-# words in a row lie in one block.
-BLOCK, STEP = 64, 32
 CONTAINMENT = 0.8
+# Words per mask, and the width that places are stretched to, so that blocks of all templates are as wide.
+MASK_BITS = 62
+STRETCH = 1 << 32
 BETWEEN_WORDS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 # Base phrases with their labels, and notices that commonly announce a license.
@@ -56,6 +63,17 @@ def needed(template: Template, containment: float) -> int:
     return max(1, ceil(round(containment * len(template.words), 9)))
 
 
+def block_length(template: Template, containment: float) -> int:
+    return max(1, ceil(round(len(template.text.split()) / containment, 9)))
+
+
+def telling(template: Template, templates: tuple[Template, ...], containment: float) -> list[str]:
+    """Words that a block must hold because without them it may be a copy of another label's template."""
+    own = set(template.words)
+    alike = [set(t.words) for t in templates if t.label != template.label and len(own & set(t.words)) >= needed(template, containment)]
+    return sorted(set().union(*[own - other for other in alike]))
+
+
 def places(docs: DataFrame, vocabulary: list[str]) -> DataFrame:
     """`doc_id, n_words`, and the positions and lower-case forms of vocabulary words of each row."""
     words = F.array_remove(F.split(F.coalesce(F.col("text"), F.lit("")), BETWEEN_WORDS), "")
@@ -94,59 +112,61 @@ def _phrase_places() -> tuple[Column, Column]:
     return F.concat(*starts), F.array_compact(F.array(*labels))
 
 
-def _matches(table: DataFrame, templates: tuple[Template, ...], containment: float) -> DataFrame:
-    """`row, label, score` of every block that meets a template's threshold."""
+def _candidates(table: DataFrame, templates: tuple[Template, ...], containment: float) -> DataFrame:
+    """`row, template`: texts that hold as many of the template's words as a block must."""
     spark = table.sparkSession
     vocabulary = sorted({word for template in templates for word in template.words})
     # One count per template word: as many rows as the templates have words.
     counts = table.select(F.explode("word").alias("word")).groupBy("word").count().collect()
     frequency = dict.fromkeys(vocabulary, 0) | {row["word"]: row["count"] for row in counts if row["word"] in vocabulary}
     rank = {word: place for place, word in enumerate(sorted(vocabulary, key=lambda word: (frequency[word], word)))}
-    sets = []
-    for template in templates:
-        ordered = sorted(rank[word] for word in template.words)
-        sets.append((template.label, ordered, needed(template, containment)))
-    prefixes = [
-        (ordered[i], number, i, label, ordered, least)
-        for number, (label, ordered, least) in enumerate(sets)
-        for i in range(len(ordered) - least + 1)
-    ]
-    prefix = spark.createDataFrame(
-        prefixes, "token int, template int, i int, label string, tokens array<int>, least int"
-    )
-    rare = [word for word in vocabulary if any(row[0] == rank[word] for row in prefixes)]
-
-    probed = F.filter("at", lambda i, k: F.get("word", k).isin(rare))
-    near = table.withColumn("probed", probed).filter(F.size("probed") > 0)
-    blocks = F.array_distinct(
-        F.filter(
-            F.flatten(F.transform("probed", lambda i: F.array(F.floor(i / STEP), F.floor(i / STEP) - 1))),
-            lambda block: block >= 0,
-        )
-    )
+    prefixes = []
+    for number, template in enumerate(templates):
+        ordered, least = sorted(rank[word] for word in template.words), needed(template, containment)
+        prefixes += [(ordered[i], number, i, ordered, least) for i in range(len(ordered) - least + 1)]
+    prefix = spark.createDataFrame(prefixes, "token int, template int, i int, tokens array<int>, least int")
+    rare = sorted({row[0] for row in prefixes})
     ranks = F.create_map(*[F.lit(x) for pair in rank.items() for x in pair])
-    inside = lambda i: (i >= F.col("block") * STEP) & (i < F.col("block") * STEP + BLOCK)
-    held = F.transform(
-        F.filter(F.arrays_zip("at", "word"), lambda x: inside(x["at"]) & x["word"].isin(vocabulary)),
-        lambda x: F.element_at(ranks, x["word"]),
-    )
-    sized = once(
-        near.select("row", "n_words", "at", "word", F.explode(blocks).alias("block")),
-        held=F.sort_array(F.array_distinct(held)),
-    ).select("row", "block", "held", F.least(F.lit(BLOCK), F.col("n_words") - F.col("block") * STEP).alias("length"))
-    met = sized.select("*", F.posexplode("held").alias("j", "token")).join(prefix, "token")
+    # The distinct template words of a text in the global order: at most as many as the templates have.
+    known = F.array_compact(F.transform(F.array_distinct("word"), lambda word: F.try_element_at(ranks, word)))
+    held = once(table.select("row", "word"), held=F.sort_array(known)).select("row", "held")
+    probes = held.filter(F.arrays_overlap("held", F.array(*[F.lit(token) for token in rare])))
+    met = probes.select("*", F.posexplode("held").alias("j", "token")).join(prefix, "token")
     # The rarest shared word bounds the whole overlap by what stands after it on either side.
-    candidates = (
-        met.filter(F.col("length") >= F.col("least"))
-        .groupBy("row", "block", "template")
-        .agg(F.min_by(F.struct("i", "j", "label", "tokens", "least", "held"), "i").alias("c"))
-        .select("row", "block", "c.*")
-        .filter(1 + F.least(F.size("tokens") - F.col("i") - 1, F.size("held") - F.col("j") - 1) >= F.col("least"))
-    )
-    shared = F.size(F.array_intersect("held", "tokens"))
-    return candidates.filter(shared >= F.col("least")).select(
-        "row", "label", (shared / F.size("tokens")).cast("double").alias("score")
+    rarest = met.filter(F.size("held") >= F.col("least")).groupBy("row", "template")
+    nearest = rarest.agg(F.min_by(F.struct("i", "j", "tokens", "least", "held"), "i").alias("c")).select("row", "template", "c.*")
+    bounded = nearest.filter(1 + F.least(F.size("tokens") - F.col("i") - 1, F.size("held") - F.col("j") - 1) >= F.col("least"))
+    return bounded.filter(F.size(F.array_intersect("held", "tokens")) >= F.col("least")).select("row", "template")
+
+
+def _matches(table: DataFrame, templates: tuple[Template, ...], containment: float) -> DataFrame:
+    """`row, label, score` of texts with a block that meets a template's threshold, by the best block."""
+    spark = table.sparkSession
+    masks = range(max((ceil(len(t.words) / MASK_BITS) for t in templates), default=1))
+    bits, rules = [], []
+    for number, template in enumerate(templates):
+        words, must = template.words, telling(template, templates, containment)
+        # Stretched so that places less than a block apart, and no others, differ by at most STRETCH.
+        reach = block_length(template, containment) - 1
+        stretch = STRETCH // reach if reach else STRETCH + 1
+        place = {word: divmod(at, MASK_BITS) for at, word in enumerate(words)}
+        bits += [(number, word, stretch, *[1 << at if mask == m else 0 for m in masks]) for word, (mask, at) in place.items()]
+        musts = [sum(1 << place[word][1] for word in must if place[word][0] == m) for m in masks]
+        rules.append((number, template.label, len(words), needed(template, containment), *musts))
+    named = [f"mask{m}" for m in masks]
+    bit = spark.createDataFrame(bits, "template int, word string, stretch long, " + ", ".join(f"{m} long" for m in named))
+    rule = spark.createDataFrame(
+        rules, "template int, label string, words int, least int, " + ", ".join(f"must{m} long" for m in masks)
     )
+    chosen = table.select("row", "at", "word").join(_candidates(table, templates, containment), "row")
+    found = chosen.select("row", "template", F.inline(F.arrays_zip("at", "word"))).join(bit, ["template", "word"])
+    block = W.partitionBy("row", "template").orderBy(F.col("at") * F.col("stretch")).rangeBetween(0, STRETCH)
+    sliding = found.select("row", "template", *[F.bit_or(m).over(block).alias(m) for m in named])
+    judged = sliding.join(rule, "template").withColumn("shared", sum((F.bit_count(m) for m in named), F.lit(0)))
+    for m in masks:
+        judged = judged.filter(F.col(f"mask{m}").bitwiseAND(F.col(f"must{m}")) == F.col(f"must{m}"))
+    best = judged.filter("shared >= least").groupBy("row", "label")
+    return best.agg(F.max((F.col("shared") / F.col("words")).cast("double")).alias("score"))
 
 
 def scan(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES, containment: float = CONTAINMENT) -> DataFrame:

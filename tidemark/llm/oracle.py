@@ -1,6 +1,6 @@
 """DuckDB SQL for the queries of this subpackage that SQL can express."""
 
-from tidemark.llm.licenses import BLOCK, CONTAINMENT, PHRASES, STEP, TEMPLATES, needed
+from tidemark.llm.licenses import CONTAINMENT, PHRASES, TEMPLATES, block_length, needed, telling
 from tidemark.llm.quality_rules import MIN_WORDS, RULES, STOP_FORMS, SYMBOLS
 from tidemark.llm.url_filters import RULES as URL_RULES
 
@@ -65,7 +65,11 @@ fits AS (
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM fits WHERE place = 1
 """
 
-_TEMPLATE_ROWS = ", ".join(f"('{t.label}', [{_texts(t.words)}], {needed(t, CONTAINMENT)})" for t in TEMPLATES)
+_TEMPLATE_ROWS = ", ".join(
+    f"('{t.label}', [{_texts(t.words)}], {needed(t, CONTAINMENT)}, {block_length(t, CONTAINMENT)},"
+    f" [{_texts(telling(t, TEMPLATES, CONTAINMENT))}]::VARCHAR[])"
+    for t in TEMPLATES
+)
 _PHRASE_ROWS = ", ".join(f"([{_texts(phrase.split())}], '{label}')" for phrase, label in PHRASES.items())
 
 LICENSE_SCAN = f"""
@@ -74,18 +78,21 @@ WITH split AS (
     regexp_extract_all(translate(coalesce(text, ''), {LETTERS}), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words
   FROM documents),
 phrases(words, label) AS (VALUES {_PHRASE_ROWS}),
-templates(label, words, least) AS (VALUES {_TEMPLATE_ROWS}),
+templates(label, words, least, length, must) AS (VALUES {_TEMPLATE_ROWS}),
 starts AS (SELECT r, words, unnest(range(len(words))) AS i FROM split),
 base AS (
   SELECT r, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word, list(DISTINCT label) AS labels
   FROM starts JOIN phrases p ON starts.words[i + 1] = p.words[1] AND starts.words[i + 1 : i + len(p.words)] = p.words
   GROUP BY r),
+similar AS (
+  SELECT r, split.words AS text, label, t.words, least, length, must FROM split, templates t
+  WHERE len(list_intersect(split.words, t.words)) >= least),
 blocks AS (
-  SELECT r, words[b * {STEP} + 1 : b * {STEP} + {BLOCK}] AS words
-  FROM (SELECT r, words, unnest(range(greatest(1, (len(words) + {STEP} - 1) // {STEP}))) AS b FROM split)),
+  SELECT r, label, words, least, must, text[i + 1 : i + length] AS block
+  FROM (SELECT *, unnest(range(len(text))) AS i FROM similar)),
 met AS (
-  SELECT r, label, len(list_intersect(blocks.words, t.words)) AS shared, len(t.words) AS size, least
-  FROM blocks, templates t),
+  SELECT r, label, len(list_intersect(block, words)) AS shared, len(words) AS size, least FROM blocks
+  WHERE list_has_all(block, must)),
 found AS (
   SELECT r, list(DISTINCT label) AS labels, max(shared::DOUBLE / size) AS best FROM met WHERE shared >= least GROUP BY r)
 SELECT doc_id, len(words) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
