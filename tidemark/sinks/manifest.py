@@ -43,15 +43,13 @@ def _files(spark: SparkSession, paths: list[str]) -> DataFrame:
     return spark.read.schema(FILE).parquet(*paths) if paths else spark.createDataFrame([], FILE)
 
 
-def _current(rows: DataFrame, live: DataFrame) -> DataFrame:
-    """The rows whose file is the one the manifest has for their range.
+def _current(rows: DataFrame, live: DataFrame, ranges: int) -> DataFrame:
+    """The rows whose file is the one that `live`, of so many `ranges`, has for their range.
 
-    The live ranges are sent to every task if they were counted and are few; a join that deals rows by
-    range would shuffle all of them.
+    Few ranges are sent to every task; a join that deals rows by range would shuffle all of them.
     """
     at = live.select("topic", F.col("partition").alias("part"), "range_start", "folder")
-    few = at.limit(LIVE_RANGES + 1).count() <= LIVE_RANGES
-    return rows.join(F.broadcast(at) if few else at, at.columns, "left_semi")
+    return rows.join(F.broadcast(at) if ranges <= LIVE_RANGES else at, at.columns, "left_semi")
 
 
 def read_rows(spark: SparkSession, area: ManifestArea, seen: log.Head | None = None) -> DataFrame:
@@ -69,7 +67,8 @@ def read_rows(spark: SparkSession, area: ManifestArea, seen: log.Head | None = N
     partly = [f"{area.data}/{folder}" for folder, ranges in kept.items() if ranges != written[folder]]
     rows = _files(spark, whole)
     if partly:
-        rows = rows.unionByName(_current(_files(spark, partly), live)) if whole else _current(_files(spark, partly), live)
+        current = _current(_files(spark, partly), live, sum(kept.values()))
+        rows = rows.unionByName(current) if whole else current
     return rows.drop("folder")
 
 
@@ -78,17 +77,28 @@ def read_staging(spark: SparkSession, area: ManifestArea, seen: log.Head | None
     return read_rows(spark, area, seen).select(*STAGED.fieldNames())
 
 
+def _located(held: Column) -> list[Column]:
+    """Where the ranges are for which `held` is true. At most one element per file: a file holds many ranges."""
+    return [
+        F.collect_set(F.when(held, F.struct("folder", "file"))).alias("files"),
+        F.min(F.when(held, F.col("range_start"))).alias("first"),
+        F.max(F.when(held, F.col("range_end"))).alias("last"),
+        F.count_if(held).alias("ranges"),
+    ]
+
+
+def _rows_at(spark: SparkSession, area: ManifestArea, entries: DataFrame, at: Row) -> DataFrame:
+    rows = _files(spark, [f"{area.data}/{folder}/{file}" for folder, file in at["files"]])
+    if not at["files"]:
+        return rows.drop("folder")
+    near = rows.where(F.col("kafka_offset").between(at["first"], at["last"]))
+    return _current(near, entries, at["ranges"]).drop("folder")
+
+
 def read_ranges(spark: SparkSession, area: ManifestArea, entries: DataFrame) -> DataFrame:
     """Rows of the ranges of `entries`, from just the files that hold them. Nothing is listed."""
     configure(spark)
-    # At most a row per file and batch: a file holds many ranges.
-    files = entries.select("folder", "file").distinct().collect()
-    bounds = entries.agg(F.min("range_start").alias("first"), F.max("range_end").alias("last")).first()
-    rows = _files(spark, [f"{area.data}/{r['folder']}/{r['file']}" for r in files])
-    if not files:
-        return rows.drop("folder")
-    near = rows.where(F.col("kafka_offset").between(bounds["first"], bounds["last"]))
-    return _current(near, entries).drop("folder")
+    return _rows_at(spark, area, entries, entries.agg(*_located(F.lit(True))).first())
 
 
 def read_object(spark: SparkSession, area: ManifestArea, object_name: str, seen: log.Head | None = None) -> DataFrame:
@@ -185,6 +195,7 @@ def _total(plan: DataFrame) -> Row:
         F.coalesce(F.sum("arrived"), F.lit(0)).alias("arrived"),
         F.coalesce(F.max("was_staged"), F.lit(False)).alias("was_staged"),
         F.coalesce(F.max("may_repeat"), F.lit(False)).alias("may_repeat"),
+        *_located(F.col("was_staged")),
     ).first()
 
 
@@ -348,7 +359,7 @@ def _stage(
     known = plan.where("was_staged") if total["was_staged"] else None
     rows = staging_rows(parse_envelope(records_of(wire)), written_at)
     incoming = _placed(rows, known, width, write_date).withColumn("since", F.lit(version.number).cast("bigint"))
-    carried = read_ranges(spark, area, known) if known is not None else None
+    carried = _rows_at(spark, area, known, total) if known is not None else None
     if carried is not None and total["may_repeat"]:
         may = known.where("may_repeat")
         gaining = _gaining(wire, may, carried, width)
