@@ -84,12 +84,12 @@ base AS (
   SELECT r, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word, list(DISTINCT label) AS labels
   FROM starts JOIN phrases p ON starts.words[i + 1] = p.words[1] AND starts.words[i + 1 : i + len(p.words)] = p.words
   GROUP BY r),
-similar AS (
+alike AS (
   SELECT r, split.words AS text, label, t.words, least, length, must FROM split, templates t
   WHERE len(list_intersect(split.words, t.words)) >= least),
 blocks AS (
   SELECT r, label, words, least, must, text[i + 1 : i + length] AS block
-  FROM (SELECT *, unnest(range(len(text))) AS i FROM similar)),
+  FROM (SELECT *, unnest(range(len(text))) AS i FROM alike)),
 met AS (
   SELECT r, label, len(list_intersect(block, words)) AS shared, len(words) AS size, least FROM blocks
   WHERE list_has_all(block, must)),
