@@ -329,5 +329,6 @@ ORACLE |= {
                ELSE 'open' END AS outcome FROM tiled""",
         TILED,
     ),
+    "held_ranges": _sql(f"SELECT {RANGE}, records, is_complete FROM status", SUMMARY),
     "run_counters": ORACLE["ingest_stats"],
 }

@@ -1,9 +1,11 @@
 """Queries over a staging area written from the log."""
 
+import time
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.query import StreamingQuery
 
 from tidemark.functions import object_name
 from tidemark.operators import audit, bitmaps
@@ -16,6 +18,7 @@ from tidemark.sinks.manifest import read_object, read_settled, read_staging, sta
 from tidemark.sinks.objects import publish_objects, read_objects
 from tidemark.sources.changes import read_changes
 from tidemark.sources.event_log import broken_contract, event_log, events
+from tidemark.streaming.hold import RELEASED, hold_open_ranges
 from tidemark.streaming.ingest import start
 
 NOW = datetime(2026, 9, 14, 10, tzinfo=timezone.utc)
@@ -218,6 +221,40 @@ def run_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return versions.counters(spark, area).agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names])
 
 
+def held_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per range that a stream let go which holds open ranges in state, and whether a range was let go
+    as complete. The stream is stopped and started again between two deliveries."""
+    inbox, outbox, checkpoint = (scratch_dir(spark, name) for name in ("inbox", "outbox", "checkpoint"))
+    log = event_log(spark, sf_dir).select(*WIRE.fieldNames())
+    log.limit(0).write.parquet(inbox)
+    for half in (0, 1):
+        arrived = log.where(F.col("offset") % 100 >= 50) if half else log.where(F.col("offset") % 100 < 50)
+        arrived.write.mode("append").parquet(inbox)
+        held = hold_open_ranges(spark.readStream.schema(WIRE).parquet(inbox), WIDTH, idle_ms=3000)
+        query = held.writeStream.format("parquet").option("checkpointLocation", checkpoint)
+        query = query.trigger(processingTime="200 milliseconds").start(outbox)
+        _wait(spark, query, spark.read.schema(WIRE).parquet(inbox) if half else None, outbox)
+    released = spark.read.schema(RELEASED).parquet(outbox).withColumn("range_start", F.col("offset") - F.col("offset") % WIDTH)
+    return released.groupBy(
+        F.col("topic").alias("kafka_topic"), F.col("partition").alias("kafka_partition"), "range_start"
+    ).agg(F.count_distinct("offset").alias("records"), F.max(F.col("released") == "complete").alias("is_complete"))
+
+
+def _wait(spark: SparkSession, query: StreamingQuery, sent: DataFrame | None, outbox: str, seconds: int = 240) -> None:
+    """Stop the query once it has read something, or, with `sent`, once all of that came out."""
+    wanted = None if sent is None else sent.count()
+    deadline = time.monotonic() + seconds
+    while time.monotonic() < deadline and query.isActive:
+        time.sleep(0.3)
+        if wanted is None and any(p["numInputRows"] for p in query.recentProgress):
+            break
+        if wanted is not None and spark.read.schema(RELEASED).parquet(outbox).count() >= wanted:
+            break
+    query.stop()
+    if query.exception():
+        raise query.exception()
+
+
 def manifest_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs of missing offsets as the manifest's bitmaps have them: no row is read."""
     area = staged_log(spark, sf_dir)
@@ -247,6 +284,7 @@ QUERIES = {
     "change_feed": change_feed,
     "retiled_area": retiled_area,
     "run_counters": run_counters,
+    "held_ranges": held_ranges,
     "manifest_gaps": manifest_gaps,
     "manifest_vs_log": manifest_vs_log,
     "published_objects": published_objects,
