@@ -5,12 +5,12 @@ from collections import Counter
 from datetime import timedelta
 
 import pytest
-from frames import NOW, log, message, wire
+from frames import NOW, envelope, log, message, wire
 
 from pyspark.sql import functions as F
 from tidemark.schema import WIRE
 from tidemark.session import scratch_dir
-from tidemark.sinks import manifest, versions
+from tidemark.sinks import manifest, row_index, versions
 from tidemark.sinks.area import ManifestArea, children, put_if_absent, read_text
 from tidemark.sources.changes import read_changes
 from tidemark.streaming.ingest import start
@@ -248,3 +248,69 @@ def test_a_feed_brings_each_row_once_also_over_a_change_of_width(spark, area, tm
     manifest.stage_log(log(spark, [4, 30]), area, 5, NOW)
     assert look_in() == [1, 2, 3, 4, 9, 10, 30]
     assert look_in() == [1, 2, 3, 4, 9, 10, 30]
+
+
+def data_files(frame):
+    return [path for path in frame.inputFiles() if "/data/" in path]
+
+
+def ids(spark, *values):
+    return spark.createDataFrame([(v,) for v in values], "event_id string")
+
+
+def test_a_trace_opens_the_files_that_may_hold_the_ids(spark, area):
+    for n in range(5):
+        manifest.stage_log(log(spark, range(n * WIDTH, n * WIDTH + 7)), area, WIDTH, NOW)
+    manifest.stage_log(wire(spark, message(50, value="{"), message(51, value=None)), area, WIDTH, NOW)
+    assert len(row_index.build(spark, area)) == 6 and row_index.build(spark, area) == []
+    found = row_index.trace(spark, area, ids(spark, "item-9", "item-34", "item-34", "nobody", None))
+    assert offsets(found) == [9, 34] and len(data_files(found)) == 2
+    assert row_index.trace(spark, area, ids(spark, "nobody")).count() == 0
+    assert row_index.trace(spark, area, ids(spark).limit(0)).count() == 0
+    # A range that was written again is found where it is now, and files without an index are opened.
+    manifest.stage_log(log(spark, range(16, 24)), area, WIDTH, NOW)
+    again = row_index.trace(spark, area, ids(spark, "item-17", "item-0"))
+    assert offsets(again) == [0, 17] and len(data_files(again)) == 2
+    row_index.build(spark, area)
+    again = row_index.trace(spark, area, ids(spark, "item-0"))
+    assert offsets(again) == [0] and len(data_files(again)) == 1
+    manifest.retile(spark, area, 16)
+    assert offsets(row_index.trace(spark, area, ids(spark, "item-17"))) == [17]
+
+
+def test_no_id_is_missed_in_files_of_many_blocks(spark, area):
+    rows = spark.range(20_000).selectExpr(
+        "'ingestion-events' AS topic", "0 AS partition", "id AS offset", "timestamp_seconds(id) AS timestamp", "0 AS timestampType",
+        """CAST(concat('{"event_id":"e', id, '","gateway_id":"g","received_at":"x","payload":1}') AS BINARY) AS value""",
+    )
+    manifest.stage_log(rows, area, 5000, NOW)
+    row_index.build(spark, area)
+    every = spark.range(0, 20_000, 3).selectExpr("concat('e', id) AS event_id")
+    assert row_index.trace(spark, area, every).count() == every.count()
+    strangers = spark.range(20_000).selectExpr("concat('stranger', id) AS event_id")
+    files = log_entries(spark, area).select("file").distinct().count()
+    assert row_index.candidates(spark, area, strangers).count() < 0.03 * 20_000 * files
+
+
+def log_entries(spark, area):
+    return versions.live_entries(spark, area, versions.head(spark, area), "folder", "file")
+
+
+def test_a_path_of_a_shredded_payload_is_a_column_of_its_own(spark):
+    area, plain = (ManifestArea(scratch_dir(spark, "fields"), shredded=shredded) for shredded in (True, False))
+    payloads = [{"n": 1, "deep": {"x": "a"}}, {"n": 2}, {"n": "two"}, [1], None, {"n": 3, "deep": {"x": 5}}]
+    rows = wire(spark, *[message(o, envelope(o, payload=p)) for o, p in enumerate(payloads)], message(9, "{"))
+    for target in (area, plain):
+        manifest.stage_log(rows, target, WIDTH, NOW)
+        manifest.stage_log(log(spark, [6, 20]), target, WIDTH, NOW)
+    fields = {"n": ("$.n", "bigint"), "x": ("$.deep.x", "string")}
+    got = manifest.read_fields(spark, area, **fields)
+    theirs = manifest.read_fields(spark, plain, **fields)
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, theirs.collect()))
+    assert [r.n for r in got.orderBy("kafka_offset").collect()] == [1, 2, None, None, None, 3, 6, None, 20]
+    plan = got.select("n")._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan" in line and "fields#" in line]
+    assert scans and all("fields:struct<0:bigint>" in line and "payload" not in line for line in scans)
+    assert staged(spark, area) == staged(spark, plain)
+    with pytest.raises(ValueError, match="shredded"):
+        manifest.stage_log(rows, ManifestArea(area.root), WIDTH, NOW)

@@ -330,5 +330,7 @@ ORACLE |= {
         TILED,
     ),
     "held_ranges": _sql(f"SELECT {RANGE}, records, is_complete FROM status", SUMMARY),
+    "trace_keys": _sql(f"SELECT {KEY}, event_id FROM parsed WHERE src_event_id % 500 = 7 AND NOT malformed", JUDGED),
+    "shredded_projection": ORACLE["payload_projection"],
     "run_counters": ORACLE["ingest_stats"],
 }

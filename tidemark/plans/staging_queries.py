@@ -12,7 +12,7 @@ from tidemark.operators import audit, bitmaps
 from tidemark.plans.log_queries import OBJECT_DATE, WIDTH, contract_columns, log_records
 from tidemark.schema import IDLE_MS, PROVENANCE, RANGE_KEYS, WIRE
 from tidemark.session import scratch_dir
-from tidemark.sinks import manifest, staging, versions
+from tidemark.sinks import manifest, row_index, staging, versions
 from tidemark.sinks.area import ManifestArea, ObjectArea, file_stamps
 from tidemark.sinks.manifest import read_object, read_settled, read_staging, stage_batch, stage_log
 from tidemark.sinks.objects import publish_objects, read_objects
@@ -221,6 +221,24 @@ def run_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return versions.counters(spark, area).agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names])
 
 
+def trace_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The staged rows of some event ids, some of which no event has, found through the index."""
+    area = staged_log(spark, sf_dir)
+    row_index.build(spark, area)
+    wanted = log_records(spark, sf_dir).where("src_event_id % 500 = 7").select("src_event_id")
+    ids = wanted.select(F.concat(F.lit("rec-"), F.col("src_event_id")).alias("event_id"))
+    unknown = wanted.select(F.concat(F.lit("none-"), F.col("src_event_id")).alias("event_id"))
+    return row_index.trace(spark, area, ids.unionByName(unknown)).select(*PROVENANCE, "event_id")
+
+
+def shredded_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One field of the staged payloads, read from its own column."""
+    area = ManifestArea(scratch_dir(spark, "shredded"), shredded=True)
+    stage_log(event_log(spark, sf_dir), area, WIDTH, now=NOW)
+    fields = manifest.read_fields(spark, area, k=("$.k", "bigint"))
+    return fields.groupBy("kafka_topic").agg(F.sum("k").alias("sum_k"), F.count("k").alias("count_k"))
+
+
 def held_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per range that a stream let go which holds open ranges in state, and whether a range was let go
     as complete. The stream is stopped and started again between two deliveries."""
@@ -284,6 +302,8 @@ QUERIES = {
     "change_feed": change_feed,
     "retiled_area": retiled_area,
     "run_counters": run_counters,
+    "trace_keys": trace_keys,
+    "shredded_projection": shredded_projection,
     "held_ranges": held_ranges,
     "manifest_gaps": manifest_gaps,
     "manifest_vs_log": manifest_vs_log,

@@ -69,10 +69,14 @@ class ObjectArea(StagingArea):
 class ManifestArea:
     """An area whose files are never changed: which of them hold a range is in a versioned manifest.
 
-    `data` and `entries` have a folder per batch, `versions` a small file per version, and
-    `snapshots` the whole manifest every so many versions."""
+    `data` and `entries` have a folder per batch, `versions` a small file per version,
+    `snapshots` the whole manifest every so many versions, and `index` filters over event ids.
+
+    In a `shredded` area files also hold the payload as a variant, whose fields are columns of the file.
+    The first batch decides; opened the other way, the area is refused."""
 
     root: str
+    shredded: bool = False
 
     @property
     def data(self) -> str:
@@ -82,6 +86,10 @@ class ManifestArea:
     def entries(self) -> str:
         return f"{self.root}/entries"
 
+    @property
+    def index(self) -> str:
+        return f"{self.root}/index"
+
     @property
     def versions(self) -> str:
         return f"{self.root}/versions"

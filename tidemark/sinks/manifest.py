@@ -10,6 +10,7 @@ be read without comparing them.
 """
 
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, replace
 from datetime import datetime, timezone
 
@@ -22,7 +23,7 @@ from tidemark.functions import check_width, is_complete, range_end, range_start
 from tidemark.operators.bitmaps import block_of, position_of
 from tidemark.operators.ranges import with_outcome
 from tidemark.operators.records import now_utc, parse_envelope, records_of, staging_rows
-from tidemark.schema import LAYOUT_COLUMNS, STAGED
+from tidemark.schema import LAYOUT_COLUMNS, PROVENANCE, STAGED
 from tidemark.session import configure
 from tidemark.sinks import versions as log
 from tidemark.sinks.area import ManifestArea, delete
@@ -34,6 +35,8 @@ from tidemark.sinks.staging import merged, touched_ranges
 FILE = T.StructType(
     [*STAGED.fields, T.StructField("since", T.LongType()), T.StructField("folder", T.StringType())]
 )
+# In a shredded area, the payload once more. The writer finds its fields and gives each a column.
+SHREDDED = T.StructType([*FILE.fields, T.StructField("fields", T.VariantType())])
 KEYS = log.RANGE
 # Live ranges that are sent to every task, about 100 bytes each.
 LIVE_RANGES = 200_000
@@ -52,26 +55,49 @@ def _current(rows: DataFrame, live: DataFrame, ranges: int) -> DataFrame:
     return rows.join(F.broadcast(at) if ranges <= LIVE_RANGES else at, at.columns, "left_semi")
 
 
-def read_rows(spark: SparkSession, area: ManifestArea, seen: log.Head | None = None) -> DataFrame:
-    """All rows as of a version, with their layout columns and `since`.
-
-    Whole folders are read as they are; only where a range was written again are its older rows left out.
-    """
-    configure(spark)
-    seen = seen or log.head(spark, area)
+def _live_rows(spark: SparkSession, area: ManifestArea, seen: log.Head, read: Callable[[list[str]], DataFrame]) -> DataFrame:
+    """What `read` makes of the folders that hold live ranges, without the rows of ranges written again."""
     live = log.live_entries(spark, area, seen, "folder")
     # A row per batch, whatever the number of ranges.
     kept = {r["folder"]: r["count"] for r in live.groupBy("folder").count().collect()}
     written = dict(seen.sizes)
     whole = [f"{area.data}/{folder}" for folder, ranges in kept.items() if ranges == written[folder]]
     partly = [f"{area.data}/{folder}" for folder, ranges in kept.items() if ranges != written[folder]]
-    rows = _files(spark, whole)
+    rows = read(whole)
     if partly:
-        current = _current(_files(spark, partly), live, sum(kept.values()))
+        current = _current(read(partly), live, sum(kept.values()))
         rows = rows.unionByName(current) if whole else current
     return rows.drop("folder")
 
 
+def read_rows(spark: SparkSession, area: ManifestArea, seen: log.Head | None = None) -> DataFrame:
+    """All rows as of a version, with their layout columns and `since`.
+
+    Whole folders are read as they are; only where a range was written again are its older rows left out.
+    """
+    configure(spark)
+    return _live_rows(spark, area, seen or log.head(spark, area), lambda paths: _files(spark, paths))
+
+
+def read_fields(spark: SparkSession, area: ManifestArea, seen: log.Head | None = None, **fields: tuple[str, str]) -> DataFrame:
+    """Topic, partition and offset of all rows, and by name a path in the payload and its type.
+
+    Null where the path is absent or holds another type. Of a shredded area only the columns of these paths
+    are read; of another, the payload's text.
+    """
+    configure(spark)
+    seen = seen or log.head(spark, area)
+    log.check_width(seen, area, seen.width)
+    source = F.col("fields") if area.shredded else F.try_parse_json("payload")
+
+    def read(paths: list[str]) -> DataFrame:
+        rows = spark.read.schema(SHREDDED).parquet(*paths) if paths else spark.createDataFrame([], SHREDDED)
+        taken = [F.try_variant_get(source, path, kind).alias(name) for name, (path, kind) in fields.items()]
+        return rows.select(*PLACE, "folder", *PROVENANCE, *taken)
+
+    return _live_rows(spark, area, seen, read).select(*PROVENANCE, *fields)
+
+
 def read_staging(spark: SparkSession, area: ManifestArea, seen: log.Head | None = None) -> DataFrame:
     """Staged rows with their layout columns, as of a version."""
     return read_rows(spark, area, seen).select(*STAGED.fieldNames())
@@ -148,7 +174,9 @@ def publish_settled(
         count = fresh.agg(F.sum("records")).first()[0]
         if not count:
             return None
-        version = log.next_version(seen, lease, "batch", batch_id=seen.batch_id + 1, width=source.width)
+        version = log.next_version(
+            seen, lease, "batch", batch_id=seen.batch_id + 1, width=source.width, shredded=published.shredded
+        )
         version = replace(version, batch=batch_name(lease.writer, version.batch_id, f"{source.number:016x}"))
         new = read_ranges(spark, staged, fresh).withColumn("since", F.lit(version.number).cast("bigint"))
         held = read_ranges(spark, published, known.join(fresh.select(*KEYS), KEYS, "left_semi"))
@@ -231,7 +259,11 @@ def _new_folder(version: log.Version) -> str:
 
 
 def _write(rows: DataFrame, area: ManifestArea, folder: str) -> None:
-    rows.select(*FILE.fieldNames()).write.option("compression", "zstd").parquet(f"{area.data}/{folder}")
+    whole = rows.select(*FILE.fieldNames())
+    if area.shredded:
+        # After the sort, so that no shuffle carries it.
+        whole = whole.withColumn("fields", F.try_parse_json("payload"))
+    whole.write.option("compression", "zstd").parquet(f"{area.data}/{folder}")
 
 
 def _describe(spark: SparkSession, area: ManifestArea, folder: str, version: log.Version, width: int) -> log.Version:
@@ -316,7 +348,7 @@ def prepare_batch(
         name = batch_name(lease.writer, batch_id, f"{int(total['fingerprint']) % (1 << 64):016x}")
         if dict(seen.batches).get(lease.writer) == name:
             return None
-        version = log.next_version(seen, lease, "batch", batch=name, batch_id=batch_id, width=width)
+        version = log.next_version(seen, lease, "batch", batch=name, batch_id=batch_id, width=width, shredded=area.shredded)
         return Prepared(seen, _stage(wire, plan, total, area, version, width, now or now_utc()))
     finally:
         plan.unpersist()
@@ -416,4 +448,4 @@ def retile(spark: SparkSession, area: ManifestArea, width: int, lease: log.Lease
     return version
 
 
-__all__ = ["changes", "commit_batch", "prepare_batch", "publish_settled", "read_object", "read_ranges", "read_rows", "read_settled", "read_staging", "retile", "stage_batch", "stage_log"]
+__all__ = ["changes", "commit_batch", "prepare_batch", "publish_settled", "read_fields", "read_object", "read_ranges", "read_rows", "read_settled", "read_staging", "retile", "stage_batch", "stage_log"]
