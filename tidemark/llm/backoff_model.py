@@ -1,15 +1,15 @@
-"""LM scoring with the scores of a weighted backoff automaton, which is not built.
+"""LM scoring by a weighted backoff automaton.
 
 The n-grams of the training texts, smoothed with a Dirichlet prior, are the arcs of an
 automaton: a state is a context, a seen continuation has an arc with its log-probability, and
-a failure arc with the context's backoff weight leads to the state without its oldest word.
-Instead of a pass from left to right that carries the state, all positions are scored at
-once, level by level, from the counts that the arcs would be made of; the scores are equal.
+a failure arc with the context's backoff weight leads to the state without its oldest word. The
+root has an arc for every word. A text is scored in one pass from left to right that carries the
+state and adds up weights.
 
 No task holds the whole model. Texts are dealt into chunks. Each chunk asks for the
 n-grams it meets, once each, with its own training counts; requests are dealt by hash of the
 n-gram, summed over all chunks, and the sums go back to the chunks that asked. A chunk then
-holds the counts that its texts can reach. Frequent n-grams cost one entry
+builds the part of the automaton that its texts can reach. Frequent n-grams cost one entry
 per chunk, and a hash range holds about as many entries as any other.
 """
 
@@ -93,26 +93,81 @@ class Grams:
             total += np.bincount(places[chosen & (places >= 0)], minlength=len(total))
         return total
 
-    def score(self, counts: np.ndarray, n_tokens: int, n_types: int, prior: float) -> tuple[np.ndarray, ...]:
-        """Known tokens, base score and score of each text, from the corpus counts of its n-grams."""
+    def base(self, counts: np.ndarray, n_tokens: int, n_types: int) -> tuple[np.ndarray, np.ndarray]:
+        """Known tokens and base score of each text, from the corpus counts of its words."""
         here = np.flatnonzero(~self.is_begin)
-        text = self.text_of[here]
         count = counts[self.place[0][here]]
-        root = (count + 1) / (n_tokens + n_types + 1)
-        base = np.log10(root)
-        # The weight of the arc that each state on the way down would follow, from the root up.
-        weight = base
-        for k in range(1, len(self.place)):
-            gram = self.place[k][here]
-            inside = gram >= 0
-            state = np.where(inside, counts[self.place[k - 1][here - 1]], 0)
-            seen = np.where(inside, counts[gram], 0)
-            arc = np.log10((seen + prior * 10.0**weight) / (state + prior))
-            failure = np.log10(prior / (state + prior))
-            # A context that never trained is no state: its traversal starts lower down.
-            weight = np.where(state == 0, weight, np.where(seen > 0, arc, failure + weight))
-        total = lambda values: np.bincount(text, values, minlength=len(self.sizes))
-        return total(count > 0).astype(np.int64), total(base), total(weight)
+        total = lambda values: np.bincount(self.text_of[here], values, minlength=len(self.sizes))
+        return total(count > 0).astype(np.int64), total(np.log10((count + 1) / (n_tokens + n_types + 1)))
+
+
+class Automaton:
+    """The states, arcs and failure arcs that the texts of a chunk can reach.
+
+    State 0 is the root; an n-gram that trained and can be a context is the state of its number, plus
+    one. `arc` finds the arc of a state and a word; arcs have a weight and the state they lead to,
+    states a failure weight and the state they fail to.
+    """
+
+    def __init__(self, grams: Grams, counts: np.ndarray, n_tokens: int, n_types: int, prior: float):
+        order, self.words = len(grams.place), int(grams.tokens.max(initial=0)) + 1
+        n = len(grams.distinct)
+        state_of = np.where(counts > 0, np.arange(n) + 1, 0)
+        self.failure, failure_weight = np.zeros(n + 1, np.int64), np.zeros(n + 1)
+        weight = np.zeros(n)
+        keys, weights, targets = [], [], []
+        for k, places in enumerate(grams.place):
+            # One position of each n-gram of this length tells its last word, its context and its suffix.
+            here = np.flatnonzero(places >= 0)
+            gram, first = np.unique(places[here], return_index=True)
+            at = here[first]
+            suffix = grams.place[k - 1][at] if k else np.full(len(at), -1)
+            context = grams.place[k - 1][at - 1] if k else suffix
+            if k == 0:
+                arcs = np.ones(len(gram), bool)
+                weight[gram] = np.log10((counts[gram] + 1) / (n_tokens + n_types + 1))
+                source = np.zeros(len(gram), np.int64)
+            else:
+                arcs = counts[gram] > 0
+                held = np.where(arcs, counts[context], 1)
+                weight[gram] = np.log10((counts[gram] + prior * 10.0 ** weight[suffix]) / (held + prior))
+                source = state_of[context]
+            if k + 1 < order:
+                target = state_of[gram]
+                trained = target > 0
+                self.failure[target[trained]] = state_of[suffix[trained]] if k else 0
+                failure_weight[target[trained]] = np.log10(prior / (counts[gram[trained]] + prior))
+            else:
+                target = state_of[suffix] if k else np.zeros(len(gram), np.int64)
+            keys.append((source * self.words + grams.tokens[at])[arcs])
+            weights.append(weight[gram][arcs])
+            targets.append(target[arcs])
+        found = np.concatenate(keys).tolist()
+        self.arc = dict(zip(found, range(len(found)), strict=True))
+        self.weight, self.target = np.concatenate(weights).tolist(), np.concatenate(targets).tolist()
+        self.failure, self.failure_weight = self.failure.tolist(), failure_weight.tolist()
+        begins = np.flatnonzero(grams.is_begin)
+        self.start = int(state_of[grams.place[0][begins[0]]]) if order > 1 and len(begins) else 0
+
+    def scores(self, grams: Grams) -> np.ndarray:
+        """The log10 probability of each text: one pass over its words and its end."""
+        find, weight, target = self.arc.get, self.weight, self.target
+        failure, failure_weight, words = self.failure, self.failure_weight, self.words
+        out = np.zeros(len(grams.sizes))
+        begin = 0
+        for text, size in enumerate(grams.sizes.tolist()):
+            state, total = self.start, 0.0
+            for word in grams.tokens[begin + 1 : begin + 1 + size].tolist():
+                arc = find(state * words + word)
+                while arc is None:
+                    total += failure_weight[state]
+                    state = failure[state]
+                    arc = find(state * words + word)
+                total += weight[arc]
+                state = target[arc]
+            out[text] = total
+            begin += size + 1
+        return out
 
 
 def packed_hashes(ordered: np.ndarray) -> bytes:
@@ -178,7 +233,8 @@ def _scores(order: int, prior: float, n_tokens: int, n_types: int):
         grams = Grams(texts.column("text").to_pylist(), order)
         by_shard = sorted(zip(answers.column("shard").to_pylist(), answers.column("counts").to_pylist(), strict=True))
         counts = np.concatenate([unpacked_counts(value) for _, value in by_shard])
-        known, base, score = grams.score(counts, n_tokens, n_types, prior)
+        known, base = grams.base(counts, n_tokens, n_types)
+        score = Automaton(grams, counts, n_tokens, n_types, prior).scores(grams)
         return pa.table(
             {
                 "doc_id": texts.column("doc_id"),
