@@ -385,3 +385,49 @@ def docs_flag():
     from pyspark.sql import functions as F
 
     return F.lit("clash")
+
+
+def windows_of(texts, benchmark):
+    """Window rows of texts and of items, as the tasks make them."""
+    import pyarrow as pa
+
+    numbers = list(range(len(benchmark)))
+    items = pa.RecordBatch.from_pydict({"item": numbers, "item_id": numbers, "text": benchmark})
+    templates = [row for batch in decontaminate._benchmark_windows([items]) for row in batch.to_pylist()]
+    widths, passages = (sorted({r["width"] for r in templates if (r["item_slots"] is None) == p}) for p in (False, True))
+    known = np.sort(np.unique(np.array([r["window"] for r in templates], np.int64)).view(np.uint64))
+    reach = 2 * max(r["size"] for r in templates) + decontaminate.WINDOW
+    docs = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text_key": [0] * len(texts), "text": texts})
+    made = decontaminate._document_windows(widths, passages, known, reach)([docs])
+    return [row for batch in made for row in batch.to_pylist()], templates
+
+
+def held(texts, benchmark):
+    """Pairs that are collected, and the largest consistent alignment by document and item."""
+    windows, templates = windows_of(texts, benchmark)
+    by_window, groups = defaultdict(list), defaultdict(list)
+    for row in templates:
+        by_window[row["window"]].append(row)
+    for row in windows:
+        for item in by_window[row["window"]]:
+            groups[row["doc_id"], item["item"]].append({name: (row if name in row else item)[name] for name in decontaminate.PAIR})
+    found = {key: decontaminate.held_windows(pairs, 4) for key, pairs in groups.items()}
+    return sum(map(len, groups.values())), {key: windows for key, windows in found.items() if windows}
+
+
+def test_a_text_that_repeats_itself_gives_few_pairs():
+    pairs, found = held(["ha " * 100_000], ["ha " * 40])
+    assert pairs < 10_000 and found == {(0, 0): 33}
+    assert held(["Ann has 3 big red dogs now. " * 20_000], ["Ann has 3 big red dogs now. " * 5])[0] < 10_000
+
+
+def test_windows_left_out_change_no_alignment(monkeypatch):
+    dice = random.Random(4)
+    items = ["ha " * 14, QUESTION, "Ann has 3 big red dogs now. Bob has 4 big red cats now.", "the cat sat on the mat and " * 3]
+    pieces = [*items, "ha " * 30, "Eve has 5 big red dogs now. Joe has 6 big red cats now.", "x y z", "ha ha", "7", "the cat sat on the mat and"]
+    pieces += ["Eve has 5 big red dogs now. Eve has 6 big red cats now."]
+    texts = [" ".join([dice.choice(pieces) for _ in range(dice.randint(1, 4))] * dice.choice([1, 1, 12])) for _ in range(120)]
+    pairs, found = held(texts, items)
+    monkeypatch.setattr(decontaminate.Template, "first_of_kind", lambda self, places, *_: np.arange(len(places)))
+    more, whole = held(texts, items)
+    assert found == whole and len(found) > 100 and pairs < more / 2

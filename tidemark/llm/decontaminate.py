@@ -134,6 +134,12 @@ def _finished(sums: np.ndarray, width: int, seed: np.uint64 = np.uint64(0)) -> n
     return mixed ^ (mixed >> np.uint64(31))
 
 
+def _of_text(text: np.ndarray, hashed: np.ndarray) -> np.ndarray:
+    """Hashes that tell texts apart too."""
+    mixed = (hashed ^ (hashed >> np.uint64(32))) * PLACEHOLDERS[UNIT] + (text.astype(np.uint64) + np.uint64(1)) * BASE
+    return mixed ^ (mixed >> np.uint64(29))
+
+
 class Template:
     """The template tokens of one text after another, in flat arrays."""
 
@@ -272,6 +278,34 @@ class Template:
         places = np.flatnonzero(self.word_text[:n] == self.word_text[width - 1 :])
         return _finished(_rolled(self.word, width), width, VERBATIM)[places], places
 
+    def first_of_kind(self, places: np.ndarray, ends: np.ndarray, hashed: np.ndarray, reads: np.ndarray, reach: int) -> np.ndarray:
+        """Of some windows, those at places whose surroundings up to `reach` tokens away, as far as the
+        windows cover them, stand nowhere earlier in the text.
+
+        What an alignment of up to `reach` tokens holds, its first occurrence holds too, at places that
+        are all kept: an earlier place like one of them would begin an earlier occurrence. So a text that
+        repeats itself has no more windows than its distinct parts.
+        """
+        if not len(places):
+            return places
+        covered = np.zeros(len(self.code) + 1, np.int64)
+        np.add.at(covered, places, 1)
+        np.add.at(covered, np.minimum(ends, len(self.code)), -1)
+        seen = np.cumsum(covered[:-1]) > 0
+        token = self.spelled * PLACEHOLDERS[UNIT] + self.either * PLACEHOLDERS[NUM] + (self.takes > 0) * PLACEHOLDERS[NAME]
+        marks = np.where(seen, token, np.uint64(0))
+        own = (hashed ^ (reads.astype(np.uint64) << np.uint64(33))) * PLACEHOLDERS[NUM]
+        np.add.at(marks, places, own ^ (own >> np.uint64(29)))
+        powers = np.cumprod(np.full(len(marks) + 1, BASE, np.uint64))
+        sums = np.concatenate(([np.uint64(0)], np.cumsum(marks * powers[:-1], dtype=np.uint64)))
+        at = np.unique(places)
+        begin, stop = self.start[self.text_of[at]], self.stop[at]
+        around = sums[np.minimum(at + reach + 1, stop)] - sums[np.maximum(at - reach, begin)]
+        # Moved to one place, so that equal surroundings are equal sums.
+        backwards = np.cumprod(np.full(len(marks) + 1, np.uint64(pow(int(BASE), -1, 1 << 64)), np.uint64))
+        _, first = np.unique(_of_text(self.text_of[at], around * backwards[at]), return_index=True)
+        return np.flatnonzero(np.isin(places, at[first]))
+
     def slots(self, place: int, width: int, read: int) -> list[str]:
         """`offset=value` of each placeholder in a window."""
         slots = []
@@ -331,7 +365,7 @@ def _folds(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
             yield batch.slice(begin, end - begin)
 
 
-def _document_windows(widths: list[int], passages: list[int], known: np.ndarray | None):
+def _document_windows(widths: list[int], passages: list[int], known: np.ndarray | None, reach: int):
     # Most windows are told apart by their last bits.
     seen = np.zeros(1 << 20, bool)
     if known is not None:
@@ -366,25 +400,33 @@ def _document_windows(widths: list[int], passages: list[int], known: np.ndarray
                 ]
                 return pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_key", *WINDOW_NAMES])
 
+            found = []
             for width in widths:
-                for hashed, places, _, reads in template.windows(width):
+                for hashed, places, ends, reads in template.windows(width):
                     chosen = met(hashed)
-                    for begin in range(0, len(chosen), FOLD_WINDOWS):
-                        some = chosen[begin : begin + FOLD_WINDOWS]
-                        where, read = places[some], reads[some]
-                        texts = template.text_of[where]
-                        start = template.start[texts]
-                        after = where + 1 + template.takes[where] * (read & 1)
-                        slots = [template.slots(place, width, names) for place, names in zip(where, read, strict=True)]
-                        yield rows(texts, hashed[some], where - start, after - start, read == 0, slots)
+                    found.append((hashed[chosen], places[chosen], ends[chosen], reads[chosen], np.full(len(chosen), width)))
+            if found:
+                hashed, places, ends, reads, width_of = map(np.concatenate, zip(*found, strict=True))
+                kept = template.first_of_kind(places, ends, hashed, reads, reach)
+                for begin in range(0, len(kept), FOLD_WINDOWS):
+                    some = kept[begin : begin + FOLD_WINDOWS]
+                    where, read = places[some], reads[some]
+                    texts = template.text_of[where]
+                    start = template.start[texts]
+                    after = where + 1 + template.takes[where] * (read & 1)
+                    slots = [template.slots(*window) for window in zip(where, width_of[some], read, strict=True)]
+                    yield rows(texts, hashed[some], where - start, after - start, read == 0, slots)
             for width in passages:
                 hashed, places = template.passages(width)
                 chosen = met(hashed)
+                texts = template.word_text[places[chosen]]
+                # Where in the text a passage stands does not matter: the first place of each will do.
+                _, first = np.unique(_of_text(texts, hashed[chosen]), return_index=True)
+                chosen, texts = chosen[first], texts[first]
                 for begin in range(0, len(chosen), FOLD_WINDOWS):
-                    some = chosen[begin : begin + FOLD_WINDOWS]
-                    texts = template.word_text[places[some]]
-                    position = places[some] - template.word_start[texts]
-                    yield rows(texts, hashed[some], position, position + 1, position >= 0, [None] * len(some))
+                    some, text = chosen[begin : begin + FOLD_WINDOWS], texts[begin : begin + FOLD_WINDOWS]
+                    position = places[some] - template.word_start[text]
+                    yield rows(text, hashed[some], position, position + 1, position >= 0, [None] * len(some))
 
     return run
 
@@ -469,9 +511,11 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     if hashes.count() <= FILTER_WINDOWS:
         # The same cast as in the window rows; sorted as unsigned for the search.
         known = np.sort(np.array([row["window"] for row in hashes.collect()], np.int64).view(np.uint64))
+    # An alignment is no longer than its item, where each token may take in another.
+    reach = 2 * (templates.agg(F.max("size")).first()[0] or 0) + WINDOW
     # Rows equal in id and text are one, and a text is searched once per id.
     texts = docs.select("doc_id", text_key(F.col("text")).alias("text_key"), "text")
-    found = texts.mapInArrow(_document_windows(widths, passages, known), f"doc_id long, text_key long, {WINDOWS}")
+    found = texts.mapInArrow(_document_windows(widths, passages, known, reach), f"doc_id long, text_key long, {WINDOWS}")
     joined = found.distinct().join(templates, "window")
     sizes = templates.groupBy("item").agg(
         F.count_distinct(F.when(F.col("dense"), F.col("at"))).alias("all"),
