@@ -314,6 +314,122 @@ def test_found_identifiers_support_other_contexts(spark):
     assert rows[180] == "phone:5:16" and rows[181] == "phone:5:18" and rows[182] == ""
 
 
+def test_base_columns_on_the_table_are_those_of_the_patterns(spark):
+    import hashlib
+
+    texts = {r.doc_id: r.text or "" for r in read(spark, f"{TESTDATA}/sf0.01", "documents", "doc_id", "text").collect()}
+    rows = QUERIES["op8_pii"](spark, f"{TESTDATA}/sf0.01").collect()
+    assert len(rows) == len(texts) and sum(r.n_email + r.n_ip + r.n_card + r.n_phone for r in rows) > 20
+    for row in rows:
+        base = brute_spans(texts[row.doc_id])
+        assert [row.n_email, row.n_ip, row.n_card, row.n_phone] == [sum(k == kind for k, _, _ in base) for kind in range(4)]
+        listed = [f"{pii.KINDS[kind]}:{start}:{end}" for kind, start, end in base]
+        assert row.base_sha256 == hashlib.sha256(",".join(listed).encode()).hexdigest()
+        assert set(filter(None, listed)) <= set(row.spans.split(","))
+
+
+def test_secrets_of_the_table_are_found_and_others_beside_them(spark):
+    """All that `token` is set to in the table, and copies of some of it that no word announces."""
+    rows = read(spark, f"{TESTDATA}/sf0.1", "documents", "doc_id", "text").filter("text LIKE '%token = \"%'").collect()
+    texts = [r.text for r in rows]
+    hidden = [re.sub('token = "([0-9a-f]{40})"', r'carry "\1" over', text) for text in texts[: len(texts) // 4]]
+    found = {r.doc_id: r.spans for r in pii.find(frame(spark, texts + hidden)).collect()}
+    for n, text in enumerate(texts + hidden):
+        wanted = {f"secret:{m.start(1)}:{m.end(1)}" for m in re.finditer('"([0-9a-f]{40})"', text)}
+        assert wanted and wanted <= set(found[n].split(","))
+    clean = ["carry nothing over", 'a "quoted" word and "1234567890123" or "abcdefghijklmnop"', "token = none", "token: 12"]
+    rows = {r.doc_id: r.spans for r in pii.find(frame(spark, texts + clean)).collect()}
+    assert all(rows[len(texts) + n] == "" for n in range(len(clean)))
+
+
+def test_a_planted_share_of_identifiers_is_recalled(spark):
+    """Phone numbers without a plus and spelled-out addresses, in contexts that the base patterns have too."""
+    dice = random.Random(9)
+    leads = ["ring us on", "dial", "write to", "contact"]
+    texts, hidden = [], 0
+    for n in range(600):
+        lead = leads[n % 4]
+        word = dice.choice(["later", "soon", "please"])
+        known = f"+1 (2{n % 90:02}) 555-{n:04}" if n % 4 < 2 else f"user{n}@mail{n % 7}.example.org"
+        unseen = f"02{n % 90:02} 7946 {n:04}" if n % 4 < 2 else f"user{n} at mail{n % 7} dot example dot org"
+        texts.append(f"{lead} {unseen if n % 5 == 0 else known} {word}")
+        hidden += n % 5 == 0
+    rows = pii.find(frame(spark, texts + [f"the {n} of {n * 7} parts" for n in range(200)])).collect()
+    found = sum(bool(r.spans) and r.n_email + r.n_phone == 0 for r in rows if r.doc_id < 600)
+    assert found >= 0.9 * hidden and not any(r.spans for r in rows if r.doc_id >= 600)
+
+
+def test_graph_against_brute_force(spark):
+    dice = random.Random(6)
+    edges = set()
+    for _ in range(900):
+        kind = dice.choice([None, None, 0, 3, 4])
+        shape = dice.choice(pii.SHAPES) if kind is None else None
+        edges.add((dice.choice("abcdefgh"), dice.randrange(90), kind, shape))
+    edges = sorted(edges, key=repr)
+    frame_ = spark.createDataFrame(edges, "pattern string, instance long, kind int, shape int")
+    got = {(r.shape, r.pattern, r.kind): r.score for r in pii.accepted_patterns(frame_, 3).collect()}
+
+    def fits(shape, kind):
+        if (shape == pii.MIXED) != (kind == pii.SECRET_KIND):
+            return False
+        return shape in (pii.TOKEN, pii.MIXED) or (shape == pii.ADDRESS) == (kind == 0)
+
+    shapes_of, members = defaultdict(set), set()
+    for pattern, instance, kind, shape in edges:
+        shapes_of[pattern, instance] |= {shape} - {None}
+        members |= {(one, pattern, instance) for one in (pii.SHAPES if kind is not None else [shape])}
+    sizes = Counter((shape, pattern) for shape, pattern, _ in members)
+    seeds = {(i, k) for _, i, k, _ in edges if k is not None}
+    trust, done, turn = {seed: (1.0, True) for seed in seeds}, None, 0
+    while True:
+        turn += 1
+        trusted, count = Counter(), Counter()
+        extra = Counter()
+        for (pattern, instance), shapes in shapes_of.items():
+            for (other, kind), (value, sure) in trust.items():
+                if other != instance:
+                    continue
+                for shape in pii.SHAPES if sure else shapes:
+                    trusted[shape, pattern, kind] += value
+                    count[shape, pattern, kind] += sure
+                    extra[shape, pattern, kind] += value if value < 1 and shape not in shapes else 0
+        scores = {
+            (shape, pattern, kind): (value / (sizes[shape, pattern] + 1 + extra[shape, pattern, kind]), count[shape, pattern, kind])
+            for (shape, pattern, kind), value in trusted.items()
+            if sizes[shape, pattern] and fits(shape, kind)
+        }
+        accepted = {key: score for key, (score, sure) in scores.items() if score >= pii.MIN_SCORE and sure >= pii.MIN_SEEDS}
+        if turn >= 3 and len(accepted) <= done:
+            break
+        done, found = len(accepted), {}
+        for pattern, instance, kind, shape in edges:
+            for (one, name, other), (score, _) in scores.items() if kind is None else ():
+                if (one, name) == (shape, pattern) and (instance, other) not in seeds:
+                    value, sure = found.get((instance, other), (0.0, False))
+                    found[instance, other] = max(value, score * pii.DAMPING), sure or (one, name, other) in accepted
+        trust = {**{seed: (1.0, True) for seed in seeds}, **found}
+    assert got == pytest.approx(accepted)
+
+
+def test_long_local_parts_are_taken_whole(spark):
+    texts = [f"mail me under a{n}@b.org soon" for n in range(9)] + ["mail me under " + "x" * 100 + " at example dot org soon"]
+    assert pii.redact(frame(spark, texts)).filter("doc_id = 9").first().text == "mail me under [EMAIL] soon"
+
+
+def test_columns_of_any_name_pass_through_stages(spark):
+    names = ["base", "spans", "mentions", "text_key", "_key", "key", "_root", "root", "row", "fingerprint", "component_id", "_row", "d", "a.b"]
+    rows = [(n, f"call a{n}@b.org now " + QUESTION * (n == 3), *names) for n in range(4)] * 2
+    docs = spark.createDataFrame(rows, ["doc_id", "text", *names])
+    benchmark = spark.createDataFrame([(1, QUESTION)], "item_id long, text string")
+    left = decontaminate.clean(docs, benchmark)
+    assert left.columns == docs.columns and sorted(r.doc_id for r in left.collect()) == [0, 0, 1, 1, 2, 2]
+    masked = pii.redact(docs).collect()
+    assert len(masked) == 8 and all("[EMAIL]" in r.text and list(r)[2:] == names for r in masked)
+    one = simhash.one_per_class(docs)
+    assert one.columns == docs.columns and all(list(r)[2:] == names for r in one.collect())
+
+
 def test_mixture_against_brute_force(spark):
     dice = random.Random(2)
     rows = [(n, " ".join(["w"] * dice.randint(0, 30)), dice.choice(["a"] * 40 + ["b"] * 8 + ["c", None])) for n in range(1500)]

@@ -536,10 +536,6 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return stored(best, "contaminated")
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("_key", text_key(F.col("text")))
-
-
 def judge(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """A row per document: `doc_id, contaminated, n_items, item_id, n_windows`.
 
@@ -552,8 +548,8 @@ def judge(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         F.max("windows").alias("n_windows"),
     )
     by_text = stored(by_text, "contaminated-texts")
-    rows = _keyed(docs.select("doc_id", "text")).select("doc_id", "_key").alias("d")
-    same = F.col("d.doc_id").eqNullSafe(F.col("m.doc_id")) & (F.col("_key") == F.col("text_key"))
+    rows = docs.select("doc_id", text_key(F.col("text")).alias("key")).alias("d")
+    same = F.col("d.doc_id").eqNullSafe(F.col("m.doc_id")) & (F.col("d.key") == F.col("m.text_key"))
     return rows.join(by_text.alias("m"), same, "left").select(
         "d.doc_id",
         F.col("n_items").isNotNull().alias("contaminated"),
@@ -564,7 +560,9 @@ def judge(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of `docs` that hold no benchmark passage."""
+    """The rows of `docs` that hold no benchmark passage, with all their columns, whatever their names."""
     found = stored(matches(docs, benchmark).select("doc_id", "text_key").distinct(), "contaminated-texts")
-    same = F.col("d.doc_id").eqNullSafe(F.col("m.doc_id")) & (F.col("_key") == F.col("text_key"))
-    return _keyed(docs).alias("d").join(found.alias("m"), same, "left_anti").select(*[F.col(f"d.`{c}`") for c in docs.columns])
+    # The rows travel as one column, so that no name of theirs meets one of this module.
+    rows = docs.select(F.struct("*").alias("row"), "doc_id", text_key(F.col("text")).alias("key"))
+    same = F.col("d.doc_id").eqNullSafe(F.col("m.doc_id")) & (F.col("d.key") == F.col("m.text_key"))
+    return rows.alias("d").join(found.alias("m"), same, "left_anti").select("row.*")

@@ -9,13 +9,16 @@ groups of digits over several tokens, and words shaped like addresses. Each of t
 weighed by itself against the seeds, so that many short numbers beside a pattern do not speak
 against the long ones there.
 
+Secrets are a kind of the method's own: what a word for one is set to is a seed, and long tokens of
+letters and digits in the contexts of such seeds are found with them.
+
 The base scan is linear in the text: runs are found whole instead of tried from each place.
 """
 
 import bisect
 import itertools
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 import pyarrow as pa
@@ -25,14 +28,16 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import stored
 
-KINDS = ("email", "ip", "card", "phone")
+BASE_KINDS = ("email", "ip", "card", "phone")
+KINDS = (*BASE_KINDS, "secret")
+SECRET_KIND = KINDS.index("secret")
 ROUNDS = 3
 DAMPING = 0.9
 MIN_SCORE = 0.8
 MIN_SEEDS = 3
 # Shapes of candidates: a token with MIN_DIGITS digits or more, one with fewer and no letters,
-# groups of digits over several tokens, and address-like words.
-SHAPES = TOKEN, SHORT, GROUPS, ADDRESS = range(4)
+# groups of digits over several tokens, address-like words, and long tokens of letters and digits.
+SHAPES = TOKEN, SHORT, GROUPS, ADDRESS, MIXED = range(5)
 MIN_DIGITS = 6
 # No base span has more.
 MAX_DIGITS = 19
@@ -50,9 +55,20 @@ AT = re.compile(r" ?[\[({] ?(?:at|AT|@) ?[\])}] ?| at | AT | @ ")
 SPELLED = re.compile(r"[A-Za-z0-9-]{1,63}(?:(?: ?[\[({] ?(?:dot|DOT|\.) ?[\])}] ?| dot | DOT |\.)[A-Za-z0-9-]{1,63})+")
 ADDRESS_LIKE = re.compile(r"(?<=[A-Za-z])[._](?=[A-Za-z])|@(?=[A-Za-z])")
 SPACES = " \t\n\x0b\x0c\r"
+# Words that a secret is set to.
+SECRET_WORDS = ("token", "secret", "password", "passwd", "api_key", "apikey", "api-key", "access_key", "private_key")
+# No longer than a key is: what is set may be a text. The run is taken whole or not at all.
+SECRET_CHARS = r"[A-Za-z0-9_+/=.-]"
+SECRET = re.compile(rf"(?:{'|'.join(SECRET_WORDS)})[\"']? ?[:=] ?[\"']?({SECRET_CHARS}+)", re.IGNORECASE)
+LONG_TOKEN = re.compile(r"[A-Za-z0-9_+/-]+")
+MIN_SECRET, MAX_SECRET = 12, 512
 
 # Address-like words are like e-mail addresses, numbers like the other kinds; a long token may be either.
-FITS = f"shape = {TOKEN} or (shape = {ADDRESS}) = (kind = {KINDS.index('email')})"
+# Mixed tokens are secrets, and secrets mixed tokens.
+FITS = (
+    f"(shape = {MIXED}) = (kind = {SECRET_KIND})"
+    f" and (shape in ({TOKEN}, {MIXED}) or (shape = {ADDRESS}) = (kind = {KINDS.index('email')}))"
+)
 
 SPAN = "struct<kind: int, start: int, end: int>"
 MENTION = "struct<kind: int, start: int, end: int, shape: int, instance: bigint, left: string, right: string>"
@@ -114,6 +130,27 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return [(kind, start, end) for kind, find in enumerate(finders) for start, end in find(text)]
 
 
+def _looks_random(value: str) -> bool:
+    """Whether a token of letters and digits is as long and as mixed as a key."""
+    digits = sum(c in "0123456789" for c in value)
+    return MIN_SECRET <= len(value) <= MAX_SECRET and digits >= 3 and sum(c.isalpha() for c in value) >= 3
+
+
+def secrets(text: str) -> Iterator[tuple[int, int]]:
+    for found in SECRET.finditer(text):
+        begin, end = found.span(1)
+        while end > begin and text[end - 1] in ".=-":
+            end -= 1
+        if _looks_random(text[begin:end]):
+            yield begin, end
+
+
+def _mixed(text: str) -> Iterator[tuple[int, int]]:
+    for run in LONG_TOKEN.finditer(text):
+        if len(run.group()) >= MIN_SECRET and _looks_random(run.group()):
+            yield run.span()
+
+
 def _context(text: str, start: int, end: int) -> tuple[str, str]:
     """The nearest words before and after a span, lower-cased, digits as zeros."""
     stop = start
@@ -155,7 +192,7 @@ def _address_like(text: str) -> Iterator[tuple[int, int]]:
     for sign in AT.finditer(text):
         domain = SPELLED.match(text, sign.end())
         begin = sign.start()
-        while begin > max(done, sign.start() - 64) and text[begin - 1] in LOCAL_CHARS:
+        while begin > done and text[begin - 1] in LOCAL_CHARS:
             begin -= 1
         if domain and begin < sign.start() and sign.start() >= done:
             yield begin, domain.end()
@@ -173,6 +210,7 @@ def candidates(text: str) -> Iterator[tuple[int, int, int]]:
     groups = list(_digit_groups(text))
     yield from ((GROUPS, *group) for group in groups)
     yield from ((ADDRESS, *words) for words in _address_like(text))
+    yield from ((MIXED, *token) for token in _mixed(text))
     done, place = 0, 0
     for run in DOTTED.finditer(text):
         if run.start() < done:
@@ -189,14 +227,20 @@ def candidates(text: str) -> Iterator[tuple[int, int, int]]:
             yield ADDRESS if any(c.isalpha() for c in value) else SHORT, begin, end
 
 
+def _free(taken: list[tuple[int, int]]) -> Callable[[int, int], bool]:
+    """Whether a span meets none of those taken, which are in order."""
+    starts, ends = [start for start, _ in taken], [0, *itertools.accumulate((end for _, end in taken), max)]
+    return lambda start, end: ends[bisect.bisect_left(starts, end)] <= start
+
+
 def mentions(text: str, spans: list[tuple[int, int, int]]) -> list[tuple]:
     """Seeds and candidates, which have no kind, with their contexts."""
     found, taken = [], sorted((start, end) for _, start, end in spans)
     for kind, start, end in spans:
         found.append((kind, start, end, None, _instance(text[start:end]), *_context(text, start, end)))
-    starts, ends = [start for start, _ in taken], [0, *itertools.accumulate((end for _, end in taken), max)]
+    free = _free(taken)
     for shape, start, end in dict.fromkeys(candidates(text)):
-        if ends[bisect.bisect_left(starts, end)] <= start:
+        if free(start, end):
             found.append((None, start, end, shape, _instance(text[start:end]), *_context(text, start, end)))
     return found
 
@@ -207,19 +251,23 @@ def _instance(value: str) -> int:
 
 
 def _scan(texts: pd.Series) -> pd.DataFrame:
-    spans, found = [], []
+    spans, secret, found = [], [], []
     for text in texts:
         text = text or ""
         here = base_spans(text)
         spans.append([{"kind": k, "start": a, "end": b} for k, a, b in here])
         names = ("kind", "start", "end", "shape", "instance", "left", "right")
-        found.append([dict(zip(names, mention, strict=True)) for mention in mentions(text, here)])
-    return pd.DataFrame({"base": spans, "mentions": found})
+        # A base span stays what it is.
+        free = _free(sorted((start, end) for _, start, end in here))
+        own = [(SECRET_KIND, *span) for span in secrets(text) if free(*span)]
+        secret.append([{"kind": k, "start": a, "end": b} for k, a, b in own])
+        found.append([dict(zip(names, mention, strict=True)) for mention in mentions(text, here + own)])
+    return pd.DataFrame({"base": spans, "secrets": secret, "mentions": found})
 
 
 def scanned(docs: DataFrame, name: str) -> DataFrame:
     """The columns of `docs`, a number for each row, its base spans and its mentions; stored."""
-    scan = F.pandas_udf(_scan, f"base array<{SPAN}>, mentions array<{MENTION}>")
+    scan = F.pandas_udf(_scan, f"base array<{SPAN}>, secrets array<{SPAN}>, mentions array<{MENTION}>")
     rows = docs.withColumn("_row", F.monotonically_increasing_id()).withColumn("_found", scan(F.col("text")))
     return stored(rows.select("*", "_found.*").drop("_found"), name)
 
@@ -235,7 +283,8 @@ def accepted_patterns(found: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     every = F.array(*[F.lit(shape) for shape in SHAPES])
     unseen = edges.filter("kind is null")
     of_seeds = edges.filter("kind is not null").withColumn("shape", F.explode(every))
-    sizes = of_seeds.union(unseen).groupBy("shape", "pattern").agg(F.count("*").alias("instances"))
+    members = of_seeds.union(unseen).select("shape", "pattern", "instance").distinct()
+    sizes = members.groupBy("shape", "pattern").agg(F.count("*").alias("instances"))
     # An instance that is a seed somewhere is one everywhere.
     nodes = stored(edges.groupBy("pattern", "instance").agg(F.collect_set("shape").alias("shapes")), "pii-nodes")
     seeds = edges.filter("kind is not null").select("instance", "kind").distinct()
@@ -277,7 +326,7 @@ def _outer(found: pd.Series) -> pd.Series:
 
 
 def with_spans(docs: DataFrame, name: str) -> DataFrame:
-    """`docs` with `base` and `spans`: all spans, by kind, then start."""
+    """`docs`, which has none of these columns, with `base` and `spans`: all spans, by kind, then start."""
     table = scanned(docs, name)
     mention = table.select("_row", F.explode("mentions").alias("m")).select("_row", "m.*")
     sides = F.array(
@@ -294,8 +343,8 @@ def with_spans(docs: DataFrame, name: str) -> DataFrame:
     added = stored(added.select("_row", outer("added").alias("added")), "pii-added")
     joined = table.drop("mentions").join(added, "_row", "left")
     none = F.array().cast(f"array<{SPAN}>")
-    spans = F.sort_array(F.concat("base", F.coalesce("added", none)))
-    return joined.withColumn("spans", spans).drop("_row", "added")
+    spans = F.sort_array(F.concat("base", "secrets", F.coalesce("added", none)))
+    return joined.withColumn("spans", spans).drop("_row", "added", "secrets")
 
 
 def digest(spans: str) -> Column:
@@ -307,14 +356,14 @@ def digest(spans: str) -> Column:
 
 
 def find(docs: DataFrame) -> DataFrame:
-    """A row per document: `doc_id`, base counts of each kind, `base_sha256`, `spans`.
+    """A row per document: `doc_id`, counts of each base kind, `base_sha256`, `spans`.
 
     Spans are `kind:start:end` in code points, end exclusive. A null text is empty. Repeated
     rows are searched one by one; other columns are ignored.
     """
     rows = with_spans(docs.select("doc_id", "text"), "pii-texts").drop("text")
     counts = [
-        F.size(_of_kind(number)).cast("long").alias(f"n_{kind}") for number, kind in enumerate(KINDS)
+        F.size(_of_kind(number)).cast("long").alias(f"n_{kind}") for number, kind in enumerate(BASE_KINDS)
     ]
     return rows.select("doc_id", *counts, F.sha2(digest("base"), 256).alias("base_sha256"), digest("spans").alias("spans"))
 
@@ -337,11 +386,22 @@ def _mask(text: pd.Series, spans: pd.Series) -> pd.Series:
 
 
 def redact(docs: DataFrame) -> DataFrame:
-    """`docs` with every span replaced by its kind in brackets, and `n_chars` to match."""
+    """`docs` with every span replaced by its kind in brackets, and `n_chars` to match.
+
+    Other columns, whatever their names, pass through. A null text stays null.
+    """
     mask = F.pandas_udf(_mask, "string")
-    rows = with_spans(docs, "pii-docs")
-    masked = rows.withColumn("text", F.when(F.size("spans") > 0, mask("text", "spans")).otherwise(F.col("text")))
-    if "n_chars" in docs.columns:
-        changed = F.when(F.size("spans") > 0, F.char_length("text").cast(docs.schema["n_chars"].dataType))
-        masked = masked.withColumn("n_chars", F.coalesce(changed, F.col("n_chars")))
-    return masked.select(*docs.columns)
+    # The rows travel as one column, so that no name of theirs meets one of this module.
+    rows = with_spans(docs.select(F.struct("*").alias("_doc"), "text"), "pii-docs")
+    found = F.size("spans") > 0
+    masked = rows.withColumn("text", F.when(found, mask("text", "spans")).otherwise(F.col("text")))
+    columns = []
+    for name in docs.columns:
+        column = F.col("_doc").getField(name)
+        if name == "text":
+            column = F.col("text")
+        elif name == "n_chars":
+            kind = docs.schema["n_chars"].dataType
+            column = F.when(found, F.coalesce(F.char_length("text").cast(kind), column)).otherwise(column)
+        columns.append(column.alias(name))
+    return masked.select(*columns)

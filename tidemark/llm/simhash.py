@@ -244,10 +244,16 @@ def deduplicate(docs: DataFrame, distance: int = DISTANCE, limit: int = ANCHOR_M
 
 
 def one_per_class(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
-    """The rows of `docs` with the smallest doc_id of their class, one row per class."""
-    marked = stored(docs.withColumn("_print", fingerprints(F.col("text"))), "simhash-docs")
-    prints = marked.select("doc_id", F.col("_print").alias("fingerprint"))
-    kept = classes(prints, distance).select(F.col("fingerprint").alias("_print"), "component_id", "root")
-    first = marked.alias("d").join(kept.alias("k"), "_print").filter(F.col("d.doc_id").eqNullSafe(F.col("k.component_id")))
+    """The rows of `docs` with the smallest doc_id of their class, one row per class, with all their columns.
+
+    Of rows that share it, that with the smallest fingerprint stays, then that with the smallest text; of rows
+    equal in both, any.
+    """
+    # The rows travel as one column, so that no name of theirs meets one of this module.
+    packed = docs.select(F.struct("*").alias("row"), fingerprints(F.col("text")).alias("fingerprint"))
+    marked = stored(packed, "simhash-docs")
+    kept = classes(marked.select(F.col("row.doc_id").alias("doc_id"), "fingerprint"), distance)
+    first = marked.join(kept, "fingerprint").filter(F.col("row.doc_id").eqNullSafe(F.col("component_id")))
     # Rows that repeat the smallest doc_id are few: combined before the shuffle, by class.
-    return first.select("d.*", F.col("k.root").alias("_root")).dropDuplicates(["_root"]).select(*docs.columns)
+    least = F.min_by("row", F.struct("fingerprint", F.col("row.text"))).alias("row")
+    return first.groupBy("root").agg(least).select("row.*")

@@ -225,7 +225,7 @@ def fit(docs: DataFrame, train_documents: int = TRAIN_DOCUMENTS) -> Classifier:
 
 
 def judge(docs: DataFrame, model: Classifier | None = None, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of `docs` with `quality` (probability of being good), `votes` and `kept`.
+    """The rows of `docs` with `quality` (probability of being good) and `kept`.
 
     Columns of these names are replaced. A null, empty or wordless text has quality zero and
     is rejected. Repeated rows are judged alike; an empty table gives no rows.
