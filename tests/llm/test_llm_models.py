@@ -78,6 +78,22 @@ def test_scores_are_those_of_the_smoothed_model(spark, order, monkeypatch):
     assert backoff_model.score_texts(frame(spark, [])).count() == 0
 
 
+def test_steps_together_and_alone_are_the_same(monkeypatch):
+    dice = random.Random(1)
+    texts = ODD + [" ".join(dice.choices("abcdefgh", k=dice.randint(0, 80))) for _ in range(90)]
+    for order in (1, 2, 3, 4):
+        grams = backoff_model.Grams(texts, order)
+        counts = grams.counts(np.arange(len(texts)) % 3 > 0)
+        model = backoff_model.Automaton(grams, counts, 900, 9, 3.0)
+        scores = []
+        for together in (1, 7, 10_000):
+            monkeypatch.setattr(backoff_model, "TOGETHER", together)
+            scores.append(model.scores(grams))
+        assert np.allclose(scores[0], scores[1]) and np.allclose(scores[0], scores[2])
+        empty = backoff_model.Grams([], order)
+        assert len(backoff_model.Automaton(empty, empty.counts(np.zeros(0, bool)), 0, 0, 1.0).scores(empty)) == 0
+
+
 def test_model_predicts_held_out_texts(spark):
     rows = QUERIES["op1_backoff_model"](spark, SF).filter("held_out").groupBy().sum("base_score", "score").first()
     assert rows[1] > rows[0] * 0.95

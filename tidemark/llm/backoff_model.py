@@ -29,6 +29,8 @@ PRIOR = 100.0
 HELD_OUT, FOLDS = 2, 7
 CHUNK_BYTES = 4_000_000
 SHARD_BYTES = 12_000_000
+# Texts that take a step together, at least.
+TOGETHER = 16
 # Neither can be a word: both hold white space.
 BEGIN, END = b" ", b"\n"
 MIXER, FINISHER = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
@@ -105,70 +107,94 @@ class Automaton:
     """The states, arcs and failure arcs that the texts of a chunk can reach.
 
     State 0 is the root; an n-gram that trained and can be a context is the state of its number, plus
-    one. `arc` finds the arc of a state and a word; arcs have a weight and the state they lead to,
-    states a failure weight and the state they fail to.
+    one. A state and a word make an n-gram, whose number is that of the arc: `weight` has its weight, or
+    nan if there is no such arc, and `target` the state it leads to. A state has a `depth`, the words of
+    its context, a failure weight and the state it fails to.
     """
 
     def __init__(self, grams: Grams, counts: np.ndarray, n_tokens: int, n_types: int, prior: float):
-        order, self.words = len(grams.place), int(grams.tokens.max(initial=0)) + 1
-        n = len(grams.distinct)
-        state_of = np.where(counts > 0, np.arange(n) + 1, 0)
-        self.failure, failure_weight = np.zeros(n + 1, np.int64), np.zeros(n + 1)
-        weight = np.zeros(n)
-        keys, weights, targets = [], [], []
+        order, n = len(grams.place), len(grams.distinct)
+        trained = counts > 0
+        state_of = np.where(trained, np.arange(n) + 1, 0)
+        weight, target = np.full(n, np.nan), np.zeros(n, np.int64)
+        depth, failure, failure_weight = np.zeros(n + 1, np.int64), np.zeros(n + 1, np.int64), np.zeros(n + 1)
+        position = np.zeros(n, np.int64)
         for k, places in enumerate(grams.place):
-            # One position of each n-gram of this length tells its last word, its context and its suffix.
+            # Any position of an n-gram of this length tells its context and its suffix.
             here = np.flatnonzero(places >= 0)
-            gram, first = np.unique(places[here], return_index=True)
-            at = here[first]
-            suffix = grams.place[k - 1][at] if k else np.full(len(at), -1)
-            context = grams.place[k - 1][at - 1] if k else suffix
+            position[places[here]] = here
+            gram = places[here] if k == 0 else places[here[trained[places[here]]]]
+            gram = np.flatnonzero(np.bincount(gram, minlength=n))
+            at = position[gram]
+            suffix = grams.place[k - 1][at] if k else None
             if k == 0:
-                arcs = np.ones(len(gram), bool)
                 weight[gram] = np.log10((counts[gram] + 1) / (n_tokens + n_types + 1))
-                source = np.zeros(len(gram), np.int64)
             else:
-                arcs = counts[gram] > 0
-                held = np.where(arcs, counts[context], 1)
+                held = counts[grams.place[k - 1][at - 1]]
                 weight[gram] = np.log10((counts[gram] + prior * 10.0 ** weight[suffix]) / (held + prior))
-                source = state_of[context]
             if k + 1 < order:
-                target = state_of[gram]
-                trained = target > 0
-                self.failure[target[trained]] = state_of[suffix[trained]] if k else 0
-                failure_weight[target[trained]] = np.log10(prior / (counts[gram[trained]] + prior))
-            else:
-                target = state_of[suffix] if k else np.zeros(len(gram), np.int64)
-            keys.append((source * self.words + grams.tokens[at])[arcs])
-            weights.append(weight[gram][arcs])
-            targets.append(target[arcs])
-        found = np.concatenate(keys).tolist()
-        self.arc = dict(zip(found, range(len(found)), strict=True))
-        self.weight, self.target = np.concatenate(weights).tolist(), np.concatenate(targets).tolist()
-        self.failure, self.failure_weight = self.failure.tolist(), failure_weight.tolist()
+                target[gram] = state_of[gram]
+                known = gram[trained[gram]]
+                depth[known + 1] = k + 1
+                failure[known + 1] = state_of[suffix[trained[gram]]] if k else 0
+                failure_weight[known + 1] = np.log10(prior / (counts[known] + prior))
+            elif k:
+                target[gram] = state_of[suffix]
+        self.weight, self.target = weight, target
+        self.depth, self.failure, self.failure_weight = depth, failure, failure_weight
         begins = np.flatnonzero(grams.is_begin)
         self.start = int(state_of[grams.place[0][begins[0]]]) if order > 1 and len(begins) else 0
 
     def scores(self, grams: Grams) -> np.ndarray:
-        """The log10 probability of each text: one pass over its words and its end."""
-        find, weight, target = self.arc.get, self.weight, self.target
-        failure, failure_weight, words = self.failure, self.failure_weight, self.words
-        out = np.zeros(len(grams.sizes))
-        begin = 0
-        for text, size in enumerate(grams.sizes.tolist()):
-            state, total = self.start, 0.0
-            for word in grams.tokens[begin + 1 : begin + 1 + size].tolist():
-                arc = find(state * words + word)
-                while arc is None:
-                    total += failure_weight[state]
-                    state = failure[state]
-                    arc = find(state * words + word)
-                total += weight[arc]
-                state = target[arc]
-            out[text] = total
-            begin += size + 1
+        """The log10 probability of each text, in one pass over its words and its end.
+
+        All texts of the chunk take a step at a time, the longest first; the last few go on by themselves.
+        """
+        begins = np.flatnonzero(grams.is_begin)
+        longest = np.argsort(-grams.sizes, kind="stable")
+        ends = np.searchsorted(-grams.sizes[longest], -np.arange(int(grams.sizes.max(initial=0))), side="left")
+        # By length, the n-grams that end with each word: one of them is the word in the state's context.
+        ending = np.stack(grams.place) if len(begins) else np.zeros((1, 0), np.int64)
+        state, total = np.full(len(longest), self.start), np.zeros(len(longest))
+        step = 0
+        while step < len(ends) and ends[step] >= TOGETHER:
+            going = slice(0, ends[step])
+            at, here = begins[longest[going]] + 1 + step, state[going]
+            gram = ending[self.depth[here], at]
+            weight = self.weight[gram]
+            stuck = np.flatnonzero(np.isnan(weight))
+            while len(stuck):
+                total[stuck] += self.failure_weight[here[stuck]]
+                here[stuck] = self.failure[here[stuck]]
+                gram[stuck] = ending[self.depth[here[stuck]], at[stuck]]
+                weight[stuck] = self.weight[gram[stuck]]
+                stuck = stuck[np.isnan(weight[stuck])]
+            total[going] += weight
+            state[going] = self.target[gram]
+            step += 1
+        for n in range(ends[step] if step < len(ends) else 0):
+            begin = begins[longest[n]]
+            rest = ending[:, begin + 1 + step : begin + 1 + grams.sizes[longest[n]]]
+            total[n] = self._alone(rest, int(state[n]), float(total[n]))
+        out = np.zeros(len(longest))
+        out[longest] = total
         return out
 
+    def _alone(self, ending: np.ndarray, state: int, total: float) -> float:
+        weight, target, depth = self.weight.item, self.target.item, self.depth.item
+        failure, failure_weight = self.failure.item, self.failure_weight.item
+        for grams in zip(*ending.tolist(), strict=True):
+            gram = grams[depth(state)]
+            arc = weight(gram)
+            while arc != arc:
+                total += failure_weight(state)
+                state = failure(state)
+                gram = grams[depth(state)]
+                arc = weight(gram)
+            total += arc
+            state = target(gram)
+        return total
+
 
 def packed_hashes(ordered: np.ndarray) -> bytes:
     """Steps between sorted hashes, byte by byte of all: the upper bytes are zeros and compress away."""
