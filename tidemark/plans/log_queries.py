@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import in_range
 from tidemark.operators import audit, bitmaps, ranges
+from tidemark.operators.long_records import parse_all
 from tidemark.operators.records import (
     envelope_defaults,
     malformed_by_reason,
@@ -154,6 +155,20 @@ def envelope_type_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_envelope(wire).groupBy("input", "malformed").agg(F.count(F.lit(1)).alias("records"))
 
 
+def long_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Envelopes of which every two-hundredth has a name in its payload that the parser cannot hold."""
+    named = F.concat(F.lit('{"'), F.repeat(F.lit("n"), 50_001), F.lit('":'), F.col("props"), F.lit("}"))
+    is_long = F.col("event_id") % 200 == 1
+    body = F.concat(
+        F.lit('{"event_id":"rec-'), F.col("event_id"), F.lit('","gateway_id":"g","received_at":"2024-01-01T00:00:00Z","payload":'),
+        F.when(is_long, named).otherwise(F.col("props")), F.lit("}"),
+    )
+    wire = events(spark, sf_dir).select("event_id", is_long.alias("is_long"), body.cast("binary").alias("value"))
+    parsed = parse_all(wire.withColumnRenamed("event_id", "src_event_id"))
+    size = F.when(F.col("is_long"), F.octet_length("payload")).cast("bigint")
+    return parsed.select("src_event_id", "event_id", "malformed", size.alias("long_payload"))
+
+
 def payload_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parsed_records(spark, sf_dir).select(*PROVENANCE, "payload", "event_header")
 
@@ -285,6 +300,7 @@ QUERIES = {
     "parse_envelope": parse_envelopes,
     "envelope_defaults": defaults,
     "envelope_type_errors": envelope_type_errors,
+    "long_envelopes": long_envelopes,
     "payload_text": payload_text,
     "payload_projection": payload_projection,
     "received_at_parse": received_at_parse,

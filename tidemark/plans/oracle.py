@@ -329,6 +329,9 @@ ORACLE |= {
                ELSE 'open' END AS outcome FROM tiled""",
         TILED,
     ),
+    "long_envelopes": """
+        SELECT event_id AS src_event_id, 'rec-' || event_id AS event_id, FALSE AS malformed,
+          CASE WHEN event_id % 200 = 1 THEN CAST(strlen(props) + 50001 + 5 AS BIGINT) END AS long_payload FROM events""",
     "held_ranges": _sql(f"SELECT {RANGE}, records, is_complete FROM status", SUMMARY),
     "trace_keys": _sql(f"SELECT {KEY}, event_id FROM parsed WHERE src_event_id % 500 = 7 AND NOT malformed", JUDGED),
     "shredded_projection": ORACLE["payload_projection"],
