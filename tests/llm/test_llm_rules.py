@@ -141,12 +141,48 @@ def test_archives_of_awkward_pages(spark, tmp_path, monkeypatch):
     assert warc.archive(pages.limit(0), str(tmp_path / "none")).count() == 0
 
 
+def test_neighbours_are_read_together(spark, tmp_path, monkeypatch):
+    import pyarrow as pa
+
+    rows = [(n, f"http://h{n % 7}.example.org/p?{n}", "<p>" + "z" * (n % 300)) for n in range(2000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(6)
+    index = warc.write(pages, str(tmp_path / "w"))
+    archives = len(list((tmp_path / "w" / "archives").iterdir()))
+    calls = {"open": 0, "read": 0}
+
+    class Counted:
+        def __init__(self, inner):
+            self.inner = inner
+
+        def __getattr__(self, name):
+            return getattr(self.inner, name)
+
+        def read_at(self, *where):
+            calls["read"] += 1
+            return self.inner.read_at(*where)
+
+        def open_input_file(self, path):
+            calls["open"] += path.endswith(".warc.gz")
+            return Counted(self.inner.open_input_file(path)) if path.endswith(".warc.gz") else self.inner.open_input_file(path)
+
+    plain = warc.file_system
+    monkeypatch.setattr(warc, "file_system", lambda root: (lambda fs, base: (Counted(fs), base))(*plain(root)))
+    wanted = sorted((warc.order_of(warc.capture_key(url), n), n) for n, url, _ in rows)
+    numbers = [max(0, warc.bisect_right(index.firsts, place) - 1) for place, _ in wanted]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(numbers, pa.int32()), pa.array([p[0] for p, _ in wanted]), pa.array([n for _, n in wanted], pa.int64())],
+        names=["file", "key", "page_id"],
+    )
+    found = [row["page_id"] for out in warc._look_up(index)([batch]) for row in out.to_pylist()]
+    assert found == [n for _, n in wanted] and calls["open"] == archives and calls["read"] <= 3 * archives
+
+
 def test_records_are_plain_warc(spark, tmp_path):
     import gzip
 
     html = "<p>" + "y" * 120
     pages = spark.createDataFrame([(1, "http://a.example/", html), (2, "http://b.example/", html)], "page_id long, url string, html string")
-    index = warc.write(pages.coalesce(1), str(tmp_path / "w"))
+    index = warc.write(pages, str(tmp_path / "w"))
     whole = b"".join(gzip.decompress(p.read_bytes()) for p in sorted((tmp_path / "w" / "archives").iterdir()) if p.stat().st_size)
     assert whole.count(b"WARC/1.1\r\n") == 2 and whole.count(html.encode()) == 1
     found = warc.look_up(pages.filter("page_id = 2"), index).collect()

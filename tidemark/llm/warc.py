@@ -1,13 +1,16 @@
 """WARC archives with a two-level capture index.
 
-Tasks write one gzip member per record into archives of their own. Captures are sorted by
-reversed-host key over range partitions and packed into compressed blocks; each index file
-ends with a sparse directory, one entry per block, and a footer that says where it is. A look-up
-finds the file by the files' first keys, the block by binary search in the directory, and
-the record by a range read of its archive.
+Captures are dealt and sorted by reversed-host key; a task writes one gzip member per record, in that
+order, into archives of its own, and packs the captures into compressed blocks of its index file. Each
+index file ends with a sparse directory, one entry per block, and a footer that says where it is. A
+look-up finds the file by the files' first keys, the block by binary search in the directory, and the
+record by a range read of its archive; records that are neighbours by key are neighbours there too, and
+are read together.
 
 Keys end in the page, so that a host or url that holds a third of the captures still spreads
-over many blocks and files. What the driver sees is one entry per index file.
+over many blocks and files. Which page a revisit refers to is settled among digests, and travels to
+the page's place as a small row ahead of it, so equal payloads never meet. What the driver sees is one
+entry per index file.
 """
 
 import gzip
@@ -17,10 +20,10 @@ import posixpath
 import struct
 import uuid
 from bisect import bisect_left, bisect_right
-from collections import OrderedDict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,12 +36,13 @@ FILE_ENTRIES = 1_000_000
 # One entry per index file is held by the driver and sent to tasks, 200 bytes or so each.
 INDEX_FILES = 100_000
 ARCHIVE_BYTES = 1 << 30
-OPEN_ARCHIVES = 32
+# What is read at a time where records follow on one another.
+READ_BYTES = 1 << 20
 DATE = "2026-01-01T00:00:00Z"
 FOOTER, FOOTER_BYTES = "<QQ", 16
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
-CAPTURES = "key string, page_id long, archive string, offset long, length long"
+FILES = "key string, page_id long, file string"
 RECORDS = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
 
 
@@ -111,73 +115,90 @@ def unpack(member: bytes) -> tuple[dict[str, str], bytes]:
     return headers, payload
 
 
-def _write_archives(root: str, date: str):
+class _Archives:
+    """The archives of a task, one after another, under names of their own for each attempt."""
+
+    def __init__(self, root: str):
+        self.target, self.base = file_system(root)
+        self.target.create_dir(self.base, recursive=True)
+        self.name, self.out, self.offset = "", None, 0
+
+    def add(self, member: bytes) -> tuple[str, int, int]:
+        if self.out is None or self.offset >= ARCHIVE_BYTES:
+            self.close()
+            self.name, self.offset = f"{uuid.uuid4().hex}.warc.gz", 0
+            self.out = self.target.open_output_stream(posixpath.join(self.base, self.name), compression=None)
+        self.out.write(member)
+        self.offset += len(member)
+        return self.name, self.offset - len(member), len(member)
+
+    def close(self) -> None:
+        if self.out is not None:
+            self.out.close()
+
+
+class _IndexFile:
+    """The index file of a task: blocks of captures, then the directory, then where that is."""
+
+    def __init__(self, root: str):
+        self.target, self.base = file_system(root)
+        self.target.create_dir(self.base, recursive=True)
+        self.name, self.out, self.offset = f"{uuid.uuid4().hex}.idx", None, 0
+        self.held, self.directory = [], []
+
+    def add(self, entry: tuple) -> None:
+        self.held.append(entry)
+        if len(self.held) == BLOCK_ENTRIES:
+            self._flush()
+
+    def _flush(self) -> None:
+        if self.out is None:
+            self.out = self.target.open_output_stream(posixpath.join(self.base, self.name), compression=None)
+        block = gzip.compress("\n".join(json.dumps(entry) for entry in self.held).encode(), 6, mtime=0)
+        self.directory.append([*self.held[0][:2], self.offset, len(block)])
+        self.out.write(block)
+        self.offset += len(block)
+        self.held = []
+
+    def close(self) -> list[tuple]:
+        """The first capture and the name of the file, if there are any."""
+        if self.held:
+            self._flush()
+        if self.out is None:
+            return []
+        block = gzip.compress(json.dumps(self.directory).encode(), 6, mtime=0)
+        self.out.write(block)
+        self.out.write(struct.pack(FOOTER, self.offset, len(block)))
+        self.out.close()
+        return [(*self.directory[0][:2], self.name)]
+
+
+def _write_captures(root: str, date: str):
+    """Reads captures by key, before each revisit what it refers to."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        target, base = file_system(root)
-        target.create_dir(base, recursive=True)
-        archive, out, offset = "", None, 0
+        archives, index = _Archives(f"{root}/archives"), _IndexFile(f"{root}/index")
+        told, refers_to = None, None
         for batch in batches:
-            rows = []
             for row in batch.to_pylist():
-                if out is None or offset >= ARCHIVE_BYTES:
-                    if out is not None:
-                        out.close()
-                    # A name of its own for each attempt: a repeated task never touches the first one's.
-                    archive, offset = f"{uuid.uuid4().hex}.warc.gz", 0
-                    out = target.open_output_stream(posixpath.join(base, archive), compression=None)
-                payload = row["payload"].encode("utf-8", "surrogatepass")
-                member = pack(row["page_id"], row["url"], payload, row["digest"], row["refers_to"], date)
-                out.write(member)
-                rows.append((capture_key(row["url"]), row["page_id"], archive, offset, len(member)))
-                offset += len(member)
-            if rows:
-                # Rows tell of finished bytes only.
-                out.flush()
-                types = (pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64())
-                arrays = [pa.array(column, kind) for column, kind in zip(zip(*rows, strict=True), types, strict=True)]
-                yield pa.RecordBatch.from_arrays(arrays, names=["key", "page_id", "archive", "offset", "length"])
-        if out is not None:
-            out.close()
+                place = row["key"], row["page_id"], row["digest"]
+                if row["is_page"]:
+                    payload = row["payload"].encode("utf-8", "surrogatepass")
+                    refers = refers_to if place == told else None
+                    member = pack(row["page_id"], row["url"], payload, row["digest"], refers, date)
+                    index.add((row["key"], row["page_id"], *archives.add(member)))
+                else:
+                    told, refers_to = place, row["refers_to"]
+        archives.close()
+        for key, page_id, file in index.close():
+            arrays = [pa.array([key], pa.string()), pa.array([page_id], pa.int64()), pa.array([file], pa.string())]
+            yield pa.RecordBatch.from_arrays(arrays, names=["key", "page_id", "file"])
 
     return run
 
 
-def _write_index(root: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        target, base = file_system(root)
-        target.create_dir(base, recursive=True)
-        name, out, offset, held, directory, first = "", None, 0, [], [], None
-
-        def flush() -> None:
-            nonlocal name, out, offset, held
-            if out is None:
-                name = f"{uuid.uuid4().hex}.idx"
-                out = target.open_output_stream(posixpath.join(base, name), compression=None)
-            block = gzip.compress("\n".join(json.dumps(entry) for entry in held).encode(), 6, mtime=0)
-            out.write(block)
-            directory.append([held[0][0], held[0][1], offset, len(block)])
-            offset += len(block)
-            held = []
-
-        for batch in batches:
-            for entry in zip(*[column.to_pylist() for column in batch.columns], strict=True):
-                first = first or entry[:2]
-                held.append(entry)
-                if len(held) == BLOCK_ENTRIES:
-                    flush()
-        if held:
-            flush()
-        if out is not None:
-            block = gzip.compress(json.dumps(directory).encode(), 6, mtime=0)
-            out.write(block)
-            out.write(struct.pack(FOOTER, offset, len(block)))
-            out.close()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([first[0]], pa.string()), pa.array([first[1]], pa.int64()), pa.array([name], pa.string())],
-                names=["key", "page_id", "file"],
-            )
-
-    return run
+def _keys(urls: pd.Series) -> pd.Series:
+    return pd.Series([capture_key(url) for url in urls], dtype=object)
 
 
 @dataclass(frozen=True)
@@ -199,19 +220,25 @@ def write(pages: DataFrame, root: str, date: str = DATE) -> CaptureIndex:
     """
     spark = pages.sparkSession
     payload = F.coalesce("html", F.lit(""))
-    hashed = pages.select("page_id", "url", payload.alias("payload"), F.sha2(payload.cast("binary"), 256).alias("digest"))
-    large = hashed.filter(F.octet_length("payload") >= MIN_PAYLOAD)
-    copies = large.groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).filter("n > 1")
-    typed = hashed.join(copies.drop("n"), "digest", "left").select(
-        "page_id", "url", "payload", "digest",
-        F.when(F.col("first").isNotNull() & ~F.col("first").eqNullSafe(F.col("page_id")), F.col("first")).alias("refers_to"),
-    )
-    captures = stored(typed.mapInArrow(_write_archives(f"{root}/archives", date), CAPTURES), "warc-captures")
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-captures.count() // FILE_ENTRIES))
+    digest = F.sha2(payload.cast("binary"), 256).alias("digest")
+    key = F.pandas_udf(_keys, "string")("url").alias("key")
+    digests = stored(pages.select("page_id", key, digest, F.octet_length(payload).alias("bytes")), "warc-digests")
+    copies = digests.filter(F.col("bytes") >= MIN_PAYLOAD).groupBy("digest")
+    first = copies.agg(F.min("page_id").alias("refers_to"), F.count("*").alias("n")).filter("n > 1 and refers_to is not null")
+    revisits = digests.join(first.drop("n"), "digest").filter(~F.col("refers_to").eqNullSafe(F.col("page_id")))
+    known = revisits.select(
+        "key", "page_id", "digest", F.lit(False).alias("is_page"), F.lit(None).cast("string").alias("url"),
+        F.lit(None).cast("string").alias("payload"), "refers_to",
+    ).distinct()
+    captures = pages.select(
+        key, "page_id", digest, F.lit(True).alias("is_page"), "url", payload.alias("payload"), F.lit(None).cast("long").alias("refers_to")
+    )
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-digests.count() // FILE_ENTRIES))
     if tasks > INDEX_FILES:
         raise ValueError("more index files than the driver may list; raise FILE_ENTRIES")
-    ordered = captures.repartitionByRange(tasks, "key", "page_id").sortWithinPartitions("key", "page_id")
-    listed = stored(ordered.mapInArrow(_write_index(f"{root}/index"), "key string, page_id long, file string"), "warc-files")
+    place = ["key", "page_id", "digest"]
+    ordered = captures.unionByName(known).repartitionByRange(tasks, *place).sortWithinPartitions(*place, "is_page")
+    listed = stored(ordered.mapInArrow(_write_captures(root, date), FILES), "warc-files")
     files = sorted((order_of(row["key"], row["page_id"]), row["file"]) for row in listed.collect())
     return CaptureIndex(f"{root}/archives", f"{root}/index", tuple(f for f, _ in files), tuple(f for _, f in files))
 
@@ -223,7 +250,7 @@ def _look_up(index: CaptureIndex):
         archives, archive_base = file_system(index.archives)
         indexes, index_base = file_system(index.files_root)
         file, source, starts, directory, block_number, block = None, None, [], [], None, []
-        handles: OrderedDict = OrderedDict()
+        opened, archive_file, buffer, buffer_at, last_end = None, None, b"", 0, -1
 
         def open_file(number: int) -> None:
             nonlocal file, source, starts, directory, block_number
@@ -244,12 +271,18 @@ def _look_up(index: CaptureIndex):
             block_number = number
 
         def read_record(archive: str, offset: int, length: int) -> bytes:
-            if archive not in handles:
-                if len(handles) >= OPEN_ARCHIVES:
-                    handles.popitem(last=False)[1].close()
-                handles[archive] = archives.open_input_file(posixpath.join(archive_base, archive))
-            handles.move_to_end(archive)
-            return handles[archive].read_at(length, offset)
+            nonlocal opened, archive_file, buffer, buffer_at, last_end
+            if archive != opened:
+                if archive_file is not None:
+                    archive_file.close()
+                archive_file = archives.open_input_file(posixpath.join(archive_base, archive))
+                opened, buffer, last_end = archive, b"", -1
+            if not buffer_at <= offset <= offset + length <= buffer_at + len(buffer):
+                # A neighbour of the last record is followed by others.
+                ahead = READ_BYTES if 0 <= offset - last_end < READ_BYTES and last_end >= 0 else 0
+                buffer, buffer_at = archive_file.read_at(max(length, ahead), offset), offset
+            last_end = offset + length
+            return buffer[offset - buffer_at : offset - buffer_at + length]
 
         def captures(wanted: tuple) -> Iterator[list]:
             # Equal captures may begin at the end of the block before.
@@ -285,8 +318,9 @@ def _look_up(index: CaptureIndex):
                 arrays = [pa.array(column, kind) for column, kind in zip(zip(*found, strict=True), types, strict=True)]
                 names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
                 yield pa.RecordBatch.from_arrays(arrays, names=names)
-        for handle in handles.values():
-            handle.close()
+        for handle in (source, archive_file):
+            if handle is not None:
+                handle.close()
 
     return run
 
@@ -310,7 +344,8 @@ def look_up(wanted: DataFrame, index: CaptureIndex) -> DataFrame:
             yield pa.RecordBatch.from_arrays(arrays, names=["file", "key", "page_id"])
 
     placed = wanted.select("page_id", "url").mapInArrow(place, "file int, key string, page_id long").distinct()
-    dealt = placed.repartition(len(index.files), "file").sortWithinPartitions("file", "key", "page_id")
+    # A task per index file: numbers are dealt as they are.
+    dealt = placed.repartitionById(len(index.files), F.col("file")).sortWithinPartitions("file", "key", "page_id")
     return dealt.mapInArrow(_look_up(index), RECORDS)
 
 
