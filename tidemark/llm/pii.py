@@ -57,11 +57,10 @@ ADDRESS_LIKE = re.compile(r"(?<=[A-Za-z])[._](?=[A-Za-z])|@(?=[A-Za-z])")
 SPACES = " \t\n\x0b\x0c\r"
 # Words that a secret is set to.
 SECRET_WORDS = ("token", "secret", "password", "passwd", "api_key", "apikey", "api-key", "access_key", "private_key")
-# No longer than a key is: what is set may be a text. The run is taken whole or not at all.
-SECRET_CHARS = r"[A-Za-z0-9_+/=.-]"
-SECRET = re.compile(rf"(?:{'|'.join(SECRET_WORDS)})[\"']? ?[:=] ?[\"']?({SECRET_CHARS}+)", re.IGNORECASE)
-LONG_TOKEN = re.compile(r"[A-Za-z0-9_+/-]+")
 MIN_SECRET, MAX_SECRET = 12, 512
+# What is set, from the sign on. A run longer than a key is may be a text: it is taken whole or not at all.
+SET = re.compile(rf"[:=] ?[\"']?([A-Za-z0-9_+/=.-]{{{MIN_SECRET},}}+)")
+LONG_TOKEN = re.compile(rf"[A-Za-z0-9_+/-]{{{MIN_SECRET},}}+")
 
 # Address-like words are like e-mail addresses, numbers like the other kinds; a long token may be either.
 # Mixed tokens are secrets, and secrets mixed tokens.
@@ -132,12 +131,17 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 def _looks_random(value: str) -> bool:
     """Whether a token of letters and digits is as long and as mixed as a key."""
+    if len(value) < MIN_SECRET or len(value) > MAX_SECRET or not DOTTED.search(value):
+        return False
     digits = sum(c in "0123456789" for c in value)
-    return MIN_SECRET <= len(value) <= MAX_SECRET and digits >= 3 and sum(c.isalpha() for c in value) >= 3
+    return digits >= 3 and sum(c.isalpha() for c in value) >= 3
 
 
 def secrets(text: str) -> Iterator[tuple[int, int]]:
-    for found in SECRET.finditer(text):
+    for found in SET.finditer(text):
+        before = text[max(0, found.start() - 16) : found.start()].rstrip(" ").rstrip("\"'").lower()
+        if not before.endswith(SECRET_WORDS):
+            continue
         begin, end = found.span(1)
         while end > begin and text[end - 1] in ".=-":
             end -= 1
@@ -147,7 +151,7 @@ def secrets(text: str) -> Iterator[tuple[int, int]]:
 
 def _mixed(text: str) -> Iterator[tuple[int, int]]:
     for run in LONG_TOKEN.finditer(text):
-        if len(run.group()) >= MIN_SECRET and _looks_random(run.group()):
+        if _looks_random(run.group()):
             yield run.span()
 
 
