@@ -90,14 +90,14 @@ def test_counts_over_parsed_rows(spark):
             wire(
                 spark,
                 message(0, value=envelope(0, received_at="?")),
-                message(1, value=envelope(1, event_header={"sub": "u"}, received_at="2026-09-13T23:59:59Z")),
+                message(1, value=envelope(1, event_header={"sub": "u"}, received_at="2031-05-20T23:59:59Z")),
                 message(2, value="x"),
             )
         )
     )
     assert [tuple(r) for r in audit.received_at_nulls(parsed).collect()] == [("ingestion-events", 1)]
     assert sorted((r.has_header, r.records) for r in audit.auth_mix(parsed).collect()) == [(False, 1), (True, 1)]
-    assert [tuple(r) for r in audit.lateness_by_write_date(parsed, f"{NOW:%Y-%m-%d}").collect()] == [("2026-09-13", 1)]
+    assert [tuple(r) for r in audit.lateness_by_write_date(parsed, f"{NOW:%Y-%m-%d}").collect()] == [("2031-05-20", 1)]
 
 
 def test_unsorted_object_is_reported(spark):

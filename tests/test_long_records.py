@@ -12,7 +12,7 @@ from tidemark.functions import long_json
 from tidemark.operators.long_records import parse_all
 from tidemark.operators.records import parse_envelope, records_of
 
-START = '{"event_id":"e","gateway_id":"g","received_at":"2026-09-14T10:00:00Z","payload":'
+START = '{"event_id":"e","gateway_id":"g","received_at":"2031-05-21T16:20:00Z","payload":'
 
 
 def strict(text):
@@ -92,7 +92,7 @@ def test_envelopes_beyond_the_limits_are_parsed(spark):
     assert [r.malformed_reason for r in got[: len(LONG)]] == [None] * len(LONG)
     for row, text in zip(got, LONG, strict=False):
         sent = json.loads(text) if "[[" not in text else None
-        assert (row.event_id, row.gateway_id, row.received_at.day, row.raw_value) == ("e", "g", 14, None)
+        assert (row.event_id, row.gateway_id, row.received_at.day, row.raw_value) == ("e", "g", 21, None)
         assert row.payload in text and (sent is None or json.loads(row.payload) == sent["payload"])
     assert (got[2].retry_count, got[2].stream_name, got[2].event_header) == (3, "s", '{"x" :  [1]}')
     assert (got[3].retry_count, got[3].stream_name, got[3].event_header) == (0, None, None)

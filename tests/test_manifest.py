@@ -42,7 +42,7 @@ def test_an_empty_area_and_an_empty_batch(spark, area):
     assert staged(spark, area) == [] and versions.state(spark, area).count() == 0
     assert manifest.stage_log(log(spark, []), area, WIDTH, NOW) is None
     assert staged(spark, area) == [] and manifest.changes(spark, area, 0).count() == 0
-    assert manifest.read_object(spark, area, "ingestion-events/dt=2026-09-14/0-0-7.parquet").count() == 0
+    assert manifest.read_object(spark, area, "ingestion-events/dt=2031-05-21/0-0-7.parquet").count() == 0
 
 
 def test_a_batch_that_was_not_published_shows_nothing(spark, area, monkeypatch):
@@ -107,11 +107,11 @@ def test_ranges_keep_their_first_date_and_rows_their_first_stamp(spark, area):
     manifest.stage_log(log(spark, [1, 2, 9]), area, WIDTH, NOW + timedelta(days=1))
     rows = manifest.read_staging(spark, area).withColumn("day", F.date_format("ingested_at", "dd"))
     assert offsets(rows, "dt", "day") == [
-        (0, "2026-09-14", "14"), (1, "2026-09-14", "14"), (2, "2026-09-14", "15"), (9, "2026-09-15", "15"),
+        (0, "2031-05-21", "21"), (1, "2031-05-21", "21"), (2, "2031-05-21", "22"), (9, "2031-05-22", "22"),
     ]
-    name = "ingestion-events/dt=2026-09-14/0-0-7.parquet"
+    name = "ingestion-events/dt=2031-05-21/0-0-7.parquet"
     assert offsets(manifest.read_object(spark, area, name)) == [0, 1, 2]
-    assert manifest.read_object(spark, area, name.replace("-14", "-15")).count() == 0
+    assert manifest.read_object(spark, area, name.replace("-21", "-22")).count() == 0
 
 
 def test_random_deliveries_lose_and_repeat_nothing(spark, area):
@@ -181,7 +181,7 @@ def test_another_width_is_refused_until_the_area_is_retiled(spark, area):
         assert offsets(manifest.read_staging(spark, area), "kafka_partition") == [(o, p) for o in range(1, 45, 2) for p in (0, 1)]
     assert manifest.retile(spark, area, 64) is None
     # The first date of what a range joins, and no row appears anew.
-    assert {r.dt for r in versions.state(spark, area).collect()} == {"2026-09-15"}
+    assert {r.dt for r in versions.state(spark, area).collect()} == {"2031-05-22"}
     assert manifest.changes(spark, area, before.number).count() == 0
     assert committed == {0: 40, 1: 40}
     manifest.stage_log(log(spark, range(50)), area, 64, NOW)
@@ -211,7 +211,7 @@ def test_only_files_with_the_ranges_are_opened(spark, area):
         manifest.stage_log(log(spark, range(n * WIDTH, (n + 1) * WIDTH)), area, WIDTH, NOW)
     entries = versions.live_entries(spark, area, versions.head(spark, area)).where("range_start = 16")
     rows = manifest.read_ranges(spark, area, entries)
-    named = manifest.read_object(spark, area, "ingestion-events/dt=2026-09-14/0-16-23.parquet")
+    named = manifest.read_object(spark, area, "ingestion-events/dt=2031-05-21/0-16-23.parquet")
     for found in (rows, named):
         assert len([path for path in found.inputFiles() if "/data/" in path]) == 1
         assert offsets(found) == list(range(16, 24))
@@ -298,12 +298,12 @@ def log_entries(spark, area):
 
 def test_a_path_of_a_shredded_payload_is_a_column_of_its_own(spark):
     area, plain = (ManifestArea(scratch_dir(spark, "fields"), shredded=shredded) for shredded in (True, False))
-    payloads = [{"n": 1, "deep": {"x": "a"}}, {"n": 2}, {"n": "two"}, [1], None, {"n": 3, "deep": {"x": 5}}]
+    payloads = [{"level": 1, "deep": {"x": "a"}}, {"level": 2}, {"level": "two"}, [1], None, {"level": 3, "deep": {"x": 5}}]
     rows = wire(spark, *[message(o, envelope(o, payload=p)) for o, p in enumerate(payloads)], message(9, "{"))
     for target in (area, plain):
         manifest.stage_log(rows, target, WIDTH, NOW)
         manifest.stage_log(log(spark, [6, 20]), target, WIDTH, NOW)
-    fields = {"n": ("$.n", "bigint"), "x": ("$.deep.x", "string")}
+    fields = {"n": ("$.level", "bigint"), "x": ("$.deep.x", "string")}
     got = manifest.read_fields(spark, area, **fields)
     theirs = manifest.read_fields(spark, plain, **fields)
     assert sorted(map(repr, got.collect())) == sorted(map(repr, theirs.collect()))

@@ -26,7 +26,7 @@ def test_names_types_and_overwrite(spark, area):
     root = f"{area.root}/objects"
     stage_log(log(spark, range(7)), area, 5, now=NOW)
     publish_objects(read_staging(spark, area), root, 5)
-    names = ["ingestion-events/dt=2026-09-14/0-0-4.parquet", "ingestion-events/dt=2026-09-14/0-5-9.parquet"]
+    names = ["ingestion-events/dt=2031-05-21/0-0-4.parquet", "ingestion-events/dt=2031-05-21/0-5-9.parquet"]
     assert objects(root) == names
     file = pq.ParquetFile(f"{root}/{names[0]}")
     assert file.schema_arrow.names == STAGING.fieldNames()
@@ -48,7 +48,7 @@ def test_rows_come_back(spark, area):
     publish_objects(read_staging(spark, area), root, 20)
     published = read_objects(spark, root)
     assert published.select("part", "range_start").distinct().count() == len(objects(root))
-    assert published.where("dt = '2026-09-15'").count() == 0
+    assert published.where("dt = '2031-05-22'").count() == 0
     back = published.select(*STAGING.fieldNames())
     assert back.exceptAll(staged).count() == staged.exceptAll(back).count() == 0
 

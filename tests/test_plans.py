@@ -70,7 +70,7 @@ def test_the_document_is_parsed_once(stored):
 
 def test_parsing_fits_compiled_methods(spark, stored):
     """The JVM compiles no method of more than 8000 bytes of code."""
-    plan = staging_rows(parse_envelope(stored), ranges.F.lit("2026-09-14 10:00:00"))._jdf.queryExecution()
+    plan = staging_rows(parse_envelope(stored), ranges.F.lit("2031-05-21 16:20:00"))._jdf.queryExecution()
     debug = getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package")
     sizes = re.findall(r"maxMethodCodeSize:(\d+)", debug.codegenString(plan.executedPlan()))
     assert sizes and max(map(int, sizes)) < 8000

@@ -59,9 +59,9 @@ def test_a_complete_range_is_one_object_and_commits(spark, area):
     stage_log(log(spark, range(4)), area, 4, now=NOW)
     assert len(files(area)) == 1
     if isinstance(area, ObjectArea):
-        assert files(area) == ["ingestion-events/dt=2026-09-14/0-0-3.parquet"]
+        assert files(area) == ["ingestion-events/dt=2031-05-21/0-0-3.parquet"]
     else:
-        assert files(area)[0].startswith("topic=ingestion-events/dt=2026-09-14/part=0/range_start=0/")
+        assert files(area)[0].startswith("topic=ingestion-events/dt=2031-05-21/part=0/range_start=0/")
     assert committed(spark, area) == [4]
 
 
@@ -84,7 +84,7 @@ def test_end_to_end_ranges(spark, area):
     stage_log(log(spark, range(10)), area, 5, now=NOW)
     assert state(spark, area) == [(0, 5, "committed", 5), (5, 5, "committed", 10)]
     assert committed(spark, area) == [10]
-    second = read_object(spark, area, "ingestion-events/dt=2026-09-14/0-5-9.parquet")
+    second = read_object(spark, area, "ingestion-events/dt=2031-05-21/0-5-9.parquet")
     assert [r.event_id for r in second.collect()] == [f"item-{n}" for n in range(5, 10)]
 
 
@@ -123,8 +123,8 @@ def test_many_copies_of_one_offset(spark, area):
 
 def test_one_day(spark, area):
     stage_log(log(spark, range(3)), area, 4, now=NOW)
-    assert read_day(spark, area, "ingestion-events", "2026-09-14").count() == 3
-    assert read_day(spark, area, "ingestion-events", "2026-09-15").count() == 0
+    assert read_day(spark, area, "ingestion-events", "2031-05-21").count() == 3
+    assert read_day(spark, area, "ingestion-events", "2031-05-22").count() == 0
 
 
 def test_nothing_new_writes_nothing(spark, area):
@@ -140,11 +140,11 @@ def test_nothing_new_writes_nothing(spark, area):
 
 
 def test_a_range_keeps_its_date_over_midnight(spark, area):
-    late = datetime(2026, 9, 14, 23, 59, tzinfo=timezone.utc)
+    late = datetime(2031, 5, 21, 23, 59, tzinfo=timezone.utc)
     stage_log(log(spark, [0, 1]), area, 4, now=late)
     stage_log(log(spark, [2, 3, 4]), area, 4, now=late + timedelta(minutes=2))
     dates = {(r.range_start, r.dt) for r in read_staging(spark, area).select("range_start", "dt").collect()}
-    assert dates == {(0, "2026-09-14"), (4, "2026-09-15")}
+    assert dates == {(0, "2031-05-21"), (4, "2031-05-22")}
     assert ledger.staged_ranges(spark, area).count() == 2
     assert audit.split_ranges(ledger.staged_ranges(spark, area)).count() == 0
     assert audit.overlapping_ranges(ledger.staged_ranges(spark, area)).count() == 0
@@ -152,7 +152,7 @@ def test_a_range_keeps_its_date_over_midnight(spark, area):
 
 
 def test_a_replay_after_midnight_writes_to_the_same_places(spark, area):
-    late = datetime(2026, 9, 14, 23, 59, tzinfo=timezone.utc)
+    late = datetime(2031, 5, 21, 23, 59, tzinfo=timezone.utc)
 
     def fail(rows, where):
         staging.publish_ranges(rows, where)
@@ -162,7 +162,7 @@ def test_a_replay_after_midnight_writes_to_the_same_places(spark, area):
         stage_batch(log(spark, [0, 1]), 0, area, 4, now=late, publish=fail)
     assert committed(spark, area) == [] and children(spark, area.batches) == []
     stage_batch(log(spark, [0, 1]), 0, area, 4, now=late + timedelta(minutes=2))
-    assert {r.dt for r in read_staging(spark, area).collect()} == {"2026-09-14"}
+    assert {r.dt for r in read_staging(spark, area).collect()} == {"2031-05-21"}
     assert offsets(spark, area) == [0, 1]
 
 
@@ -182,7 +182,7 @@ def test_rows_of_earlier_batches_survive_a_loss_in_mid_replacement(spark, area):
 
     def lose(rows, where):
         # What a driver lost between removing the old folder and renaming the new one leaves.
-        path = Path(where.range_path("ingestion-events", "2026-09-14", 0, 0, 4))
+        path = Path(where.range_path("ingestion-events", "2031-05-21", 0, 0, 4))
         path.unlink() if path.is_file() else shutil.rmtree(path)
         raise OSError("lost")
 
@@ -271,7 +271,7 @@ def test_counters_of_a_batch(spark, area):
 
 
 def test_waiting_for_an_object(spark, area):
-    name = "ingestion-events/dt=2026-09-14/0-0-3.parquet"
+    name = "ingestion-events/dt=2031-05-21/0-0-3.parquet"
     assert not wait_for_object(spark, area, name, 0)
     stage_log(log(spark, range(3)), area, 4, now=NOW)
     assert wait_for_object(spark, area, name, 0)
@@ -279,8 +279,8 @@ def test_waiting_for_an_object(spark, area):
 
 def test_an_unknown_object_is_empty(spark, area):
     stage_log(log(spark, range(3)), area, 4, now=NOW)
-    assert read_object(spark, area, "ingestion-events/dt=2026-09-14/0-0-3.parquet").count() == 3
-    assert read_object(spark, area, "ingestion-events/dt=2026-09-14/0-4-7.parquet").count() == 0
+    assert read_object(spark, area, "ingestion-events/dt=2031-05-21/0-0-3.parquet").count() == 3
+    assert read_object(spark, area, "ingestion-events/dt=2031-05-21/0-4-7.parquet").count() == 0
 
 
 def test_compaction_keeps_the_state(spark, area):

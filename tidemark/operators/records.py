@@ -6,7 +6,7 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions import malformed_reason_of, required, rfc3339, strict_document
+from tidemark.functions import malformed_reason_of, required, rfc3339, strict_document, truncate_reason
 from tidemark.functions.json_envelope import TYPED, UNTYPED, envelope_as
 from tidemark.schema import STAGING
 from tidemark.session import configure
@@ -80,7 +80,7 @@ def parse_envelope(records: DataFrame) -> DataFrame:
 def staging_rows(parsed: DataFrame, written_at: Column, *extra: str) -> DataFrame:
     """The 14 contract columns in contract order and type and `raw_value`, then `extra` columns.
 
-    `written_at` is one instant for the whole write.
+    `written_at` is one instant for the whole write. A reason of any parser is cut to the length of the contract.
     """
     epoch = F.timestamp_seconds(F.lit(0))
     sentinels: Mapping[str, Column] = {
@@ -94,6 +94,8 @@ def staging_rows(parsed: DataFrame, written_at: Column, *extra: str) -> DataFram
     columns = []
     for column in STAGING.fields:
         value = F.col(column.name).cast(column.dataType)
+        if column.name == "malformed_reason":
+            value = truncate_reason(value)
         if not column.nullable:
             value = required(value, column.name, sentinels[column.name])
         columns.append(value.alias(column.name))

@@ -4,8 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import in_range
-from tidemark.operators import audit, bitmaps, ranges
-from tidemark.operators.long_records import parse_all
+from tidemark.operators import audit, ranges
 from tidemark.operators.records import (
     envelope_defaults,
     malformed_by_reason,
@@ -22,8 +21,8 @@ from tidemark.sources.event_log import damaged_staging, event_log, events
 WIDTH = 50
 IDLE_MS = 6 * 3600 * 1000
 WRITE_DATE = "2024-01-16"
-OBJECT_DATE = "2026-09-14"
-WRITTEN_AT = "2026-09-14 10:00:00"
+OBJECT_DATE = "2031-05-21"
+WRITTEN_AT = "2031-05-21 16:20:00"
 
 
 def log_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,11 +37,11 @@ def _summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranges.range_summary(log_records(spark, sf_dir), WIDTH)
 
 
-def _frontier(spark: SparkSession, sf_dir: str) -> DataFrame:
+def frontier_of_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranges.commit_frontier(_summary(spark, sf_dir))
 
 
-def _damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
+def damaged_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return damaged_staging(log_records(spark, sf_dir))
 
 
@@ -88,7 +87,7 @@ def commit_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def commit_frontier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _frontier(spark, sf_dir)
+    return frontier_of_log(spark, sf_dir)
 
 
 def object_names(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,7 +95,7 @@ def object_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def replay_from_frontier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ranges.replay_from_frontier(log_records(spark, sf_dir), _frontier(spark, sf_dir)).select(*PROVENANCE)
+    return ranges.replay_from_frontier(log_records(spark, sf_dir), frontier_of_log(spark, sf_dir)).select(*PROVENANCE)
 
 
 def ingest_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -155,20 +154,6 @@ def envelope_type_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_envelope(wire).groupBy("input", "malformed").agg(F.count(F.lit(1)).alias("records"))
 
 
-def long_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Envelopes of which every two-hundredth has a name in its payload that the parser cannot hold."""
-    named = F.concat(F.lit('{"'), F.repeat(F.lit("n"), 50_001), F.lit('":'), F.col("props"), F.lit("}"))
-    is_long = F.col("event_id") % 200 == 1
-    body = F.concat(
-        F.lit('{"event_id":"rec-'), F.col("event_id"), F.lit('","gateway_id":"g","received_at":"2024-01-01T00:00:00Z","payload":'),
-        F.when(is_long, named).otherwise(F.col("props")), F.lit("}"),
-    )
-    wire = events(spark, sf_dir).select("event_id", is_long.alias("is_long"), body.cast("binary").alias("value"))
-    parsed = parse_all(wire.withColumnRenamed("event_id", "src_event_id"))
-    size = F.when(F.col("is_long"), F.octet_length("payload")).cast("bigint")
-    return parsed.select("src_event_id", "event_id", "malformed", size.alias("long_payload"))
-
-
 def payload_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parsed_records(spark, sf_dir).select(*PROVENANCE, "payload", "event_header")
 
@@ -239,51 +224,33 @@ def offset_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def duplicate_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audit.duplicate_offsets(_damaged(spark, sf_dir))
+    return audit.duplicate_offsets(damaged_log(spark, sf_dir))
 
 
 def split_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audit.split_ranges(_damaged(spark, sf_dir))
+    return audit.split_ranges(damaged_log(spark, sf_dir))
 
 
 def overlapping_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audit.overlapping_ranges(_damaged(spark, sf_dir))
+    return audit.overlapping_ranges(damaged_log(spark, sf_dir))
 
 
 def log_vs_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audit.log_vs_staging(log_records(spark, sf_dir), _damaged(spark, sf_dir))
+    return audit.log_vs_staging(log_records(spark, sf_dir), damaged_log(spark, sf_dir))
 
 
 def staged_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audit.latest_rows(_damaged(spark, sf_dir), "attempt").select(*PROVENANCE, "attempt")
+    return audit.latest_rows(damaged_log(spark, sf_dir), "attempt").select(*PROVENANCE, "attempt")
 
 
 def unsafe_commits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audit.unsafe_commits(log_records(spark, sf_dir), _damaged(spark, sf_dir), _frontier(spark, sf_dir))
+    return audit.unsafe_commits(log_records(spark, sf_dir), damaged_log(spark, sf_dir), frontier_of_log(spark, sf_dir))
 
 
 def consumer_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranges.consumer_lag(log_records(spark, sf_dir), WIDTH)
 
 
-def bitmap_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bitmaps.missing_runs(bitmaps.offset_bitmaps(log_records(spark, sf_dir)))
-
-
-def bitmap_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bitmaps.repeated(bitmaps.offset_bitmaps(_damaged(spark, sf_dir), "dt", "range_start", "attempt"))
-
-
-def bitmap_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log, staged = log_records(spark, sf_dir), _damaged(spark, sf_dir)
-    return bitmaps.differences(bitmaps.offset_bitmaps(log), bitmaps.offset_bitmaps(staged))
-
-
-def bitmap_unsafe_commits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log, staged = log_records(spark, sf_dir), _damaged(spark, sf_dir)
-    return bitmaps.unsafe_commits(bitmaps.offset_bitmaps(log), bitmaps.offset_bitmaps(staged), _frontier(spark, sf_dir))
-
-
 QUERIES = {
     "wire_log": wire_log,
     "range_assign": range_assign,
@@ -300,7 +267,6 @@ QUERIES = {
     "parse_envelope": parse_envelopes,
     "envelope_defaults": defaults,
     "envelope_type_errors": envelope_type_errors,
-    "long_envelopes": long_envelopes,
     "payload_text": payload_text,
     "payload_projection": payload_projection,
     "received_at_parse": received_at_parse,
@@ -321,8 +287,4 @@ QUERIES = {
     "staged_dedup": staged_dedup,
     "unsafe_commits": unsafe_commits,
     "consumer_lag": consumer_lag,
-    "bitmap_gaps": bitmap_gaps,
-    "bitmap_duplicates": bitmap_duplicates,
-    "bitmap_differences": bitmap_differences,
-    "bitmap_unsafe_commits": bitmap_unsafe_commits,
 }

@@ -69,13 +69,13 @@ frontier AS (
 
 DAMAGED = """
 damaged AS (
-  SELECT kafka_topic, kafka_partition, kafka_offset, '2026-09-13' AS dt, rs, re, 1 AS attempt
+  SELECT kafka_topic, kafka_partition, kafka_offset, '2031-05-20' AS dt, rs, re, 1 AS attempt
   FROM wire WHERE rs % 250 = 0 AND kafka_offset % 50 < 20
   UNION ALL
-  SELECT kafka_topic, kafka_partition, kafka_offset, '2026-09-14', rs, re, 2
+  SELECT kafka_topic, kafka_partition, kafka_offset, '2031-05-21', rs, re, 2
   FROM wire WHERE NOT (rs % 350 = 50 AND kafka_offset % 50 = 11)
   UNION ALL
-  SELECT kafka_topic, kafka_partition, kafka_offset, '2026-09-15',
+  SELECT kafka_topic, kafka_partition, kafka_offset, '2031-05-22',
     kafka_offset - kafka_offset % 80, kafka_offset - kafka_offset % 80 + 79, 3
   FROM wire WHERE kafka_partition = 5)"""
 
@@ -93,7 +93,7 @@ RANGE = "kafka_topic, kafka_partition, rs AS range_start"
 CONTRACT = f"""
 SELECT event_id, gateway_id, received_us AS received_at, retry_count, stream_name, event_header, payload, {KEY},
   epoch_us(kafka_timestamp) // 1000 * 1000 AS kafka_timestamp,
-  epoch_us(TIMESTAMP '2026-09-14 10:00:00') AS ingested_at, malformed, reason AS malformed_reason
+  epoch_us(TIMESTAMP '2031-05-21 16:20:00') AS ingested_at, malformed, reason AS malformed_reason
 FROM parsed"""
 
 STAGED_COUNTS = f"SELECT {RANGE}, records FROM summary"
@@ -135,7 +135,7 @@ ORACLE = {
         SUMMARY,
     ),
     "object_names": _sql(
-        f"""SELECT {RANGE}, concat(kafka_topic, '/dt=2026-09-14/', kafka_partition, '-', rs, '-', re, '.parquet')
+        f"""SELECT {RANGE}, concat(kafka_topic, '/dt=2031-05-21/', kafka_partition, '-', rs, '-', re, '.parquet')
         AS object_name FROM summary""",
         SUMMARY,
     ),
@@ -255,12 +255,12 @@ ORACLE = {
     "overwrite_converges": _sql(STAGED_COUNTS, SUMMARY),
     "staged_stream": _sql(STAGED_COUNTS, SUMMARY),
     "object_row_order": _sql(
-        """SELECT concat(kafka_topic, '/dt=2026-09-14/', kafka_partition, '-', rs, '-', re, '.parquet')
+        """SELECT concat(kafka_topic, '/dt=2031-05-21/', kafka_partition, '-', rs, '-', re, '.parquet')
         AS object_name, NOT (rs % 150 = 50 AND records > 1) AS is_sorted FROM summary""",
         SUMMARY,
     ),
     "published_objects": _sql(
-        """SELECT concat(kafka_topic, '/dt=2026-09-14/', kafka_partition, '-', rs, '-', re, '.parquet')
+        """SELECT concat(kafka_topic, '/dt=2031-05-21/', kafka_partition, '-', rs, '-', re, '.parquet')
         AS object_name, records FROM summary""",
         SUMMARY,
     ),
@@ -315,14 +315,14 @@ ORACLE |= {
         FROM wire WHERE (kafka_offset % 7 = 3) <> (kafka_offset % 11 = 4)"""
     ),
     "fenced_writer": _sql(
-        """SELECT kafka_topic, kafka_partition, epoch_us(TIMESTAMP '2026-09-14 10:00:00') AS ingested_at,
+        """SELECT kafka_topic, kafka_partition, epoch_us(TIMESTAMP '2031-05-21 16:20:00') AS ingested_at,
           count(*) AS records, commit_offset
         FROM wire LEFT JOIN frontier USING (kafka_topic, kafka_partition) GROUP BY ALL""",
         SUMMARY,
     ),
     "change_feed": _sql(STAGED_COUNTS, SUMMARY),
     "retiled_area": _sql(
-        """SELECT concat(kafka_topic, '/dt=2026-09-14/', kafka_partition, '-', rs, '-', re, '.parquet') AS object_name,
+        """SELECT concat(kafka_topic, '/dt=2031-05-21/', kafka_partition, '-', rs, '-', re, '.parquet') AS object_name,
           records, records AS read_back, last_offset, CASE WHEN last_offset >= re THEN re + 1 END AS commit_offset,
           CASE WHEN last_offset >= re THEN 'committed'
                WHEN lead(rs) OVER (PARTITION BY kafka_topic, kafka_partition ORDER BY rs) IS NOT NULL THEN 'abandoned'

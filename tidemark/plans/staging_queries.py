@@ -21,7 +21,7 @@ from tidemark.sources.event_log import broken_contract, event_log, events
 from tidemark.streaming.hold import RELEASED, hold_open_ranges
 from tidemark.streaming.ingest import start
 
-NOW = datetime(2026, 9, 14, 10, tzinfo=timezone.utc)
+NOW = datetime(2031, 5, 21, 16, 20, tzinfo=timezone.utc)
 
 _staged: dict[tuple, ManifestArea] = {}
 

@@ -108,9 +108,9 @@ def damaged_staging(log: DataFrame) -> DataFrame:
 
     attempts = ", ".join(
         [
-            attempt("kafka_offset % 250 < 20", "2026-09-13", 50, 1),
-            attempt("kafka_offset % 350 <> 61", "2026-09-14", 50, 2),
-            attempt("kafka_partition = 5", "2026-09-15", 80, 3),
+            attempt("kafka_offset % 250 < 20", "2031-05-20", 50, 1),
+            attempt("kafka_offset % 350 <> 61", "2031-05-21", 50, 2),
+            attempt("kafka_partition = 5", "2031-05-22", 80, 3),
         ]
     )
     return log.selectExpr(
