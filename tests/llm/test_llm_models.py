@@ -563,3 +563,76 @@ def test_windows_left_out_change_no_alignment(monkeypatch):
     monkeypatch.setattr(decontaminate.Template, "first_of_kind", lambda self, places, *_: np.arange(len(places)))
     more, whole = held(texts, items)
     assert found == whole and len(found) > 100 and pairs < more / 2
+
+
+def test_label_model_is_that_of_document_by_document_estimation():
+    """Expectation-maximisation in plain loops over documents instead of counted patterns."""
+    dice = random.Random(12)
+    rows = []
+    for _ in range(400):
+        good = dice.random() < 0.8
+        rows.append("".join(dice.choice("g" * (8 if good else 3) + "b" * (1 if good else 6) + "--") for _ in weak_labels.LABELLERS))
+    rounds = 7
+    start = {"bad": {"g": 0.6, "b": 0.4}, "good": {"g": 0.99, "b": 0.01}}
+    share, table = 0.85, [start] * len(weak_labels.LABELLERS)
+    kept = max(1.0, len(rows) * 0.002)
+
+    def posterior(row):
+        likely = {"bad": 1 - share, "good": share}
+        for votes, vote in zip(table, row, strict=True):
+            for cls in likely if vote != "-" else ():
+                likely[cls] *= votes[cls][vote]
+        return likely["good"] / (likely["good"] + likely["bad"])
+
+    for _ in range(rounds):
+        is_good = [posterior(row) for row in rows]
+        sums = [{cls: {v: start[cls][v] * kept for v in "gb"} for cls in start} for _ in table]
+        for row, chance in zip(rows, is_good, strict=True):
+            for place, vote in enumerate(row):
+                if vote != "-":
+                    sums[place]["good"][vote] += chance
+                    sums[place]["bad"][vote] += 1 - chance
+        share = (sum(is_good) + 0.85 * kept) / (len(rows) + kept)
+        table = [{cls: {v: one[cls][v] / sum(one[cls].values()) for v in "gb"} for cls in one} for one in sums]
+    model = weak_labels.estimate(Counter(rows), rounds)
+    assert model.good == pytest.approx(share)
+    for place, votes in enumerate(table):
+        expected = [[votes[cls][v] for v in "gb"] for cls in ("bad", "good")]
+        assert np.allclose(model.votes[place], expected)
+    for row in rows[:50]:
+        assert model.posterior(row) == pytest.approx(posterior(row))
+
+
+def test_scorer_is_that_of_plain_gradient_steps(monkeypatch):
+    monkeypatch.setattr(weak_labels, "STEPS", 25)
+    dice = random.Random(3)
+    rows = []
+    for _ in range(40):
+        buckets = [dice.randrange(weak_labels.BUCKETS) if dice.random() < 0.2 else dice.randrange(9) for _ in range(dice.randint(1, 8))]
+        rows.append((buckets, [dice.random() for _ in buckets], dice.random()))
+    weights = defaultdict(float)
+    for _ in range(25):
+        slope = defaultdict(float)
+        for buckets, values, good in rows:
+            guess = 1 / (1 + math.exp(-sum(weights[b] * v for b, v in zip(buckets, values, strict=True))))
+            for b, v in zip(buckets, values, strict=True):
+                slope[b] += (guess - good) / len(rows) * v
+        for b in set(weights) | set(slope):
+            weights[b] -= weak_labels.RATE * (slope[b] + weak_labels.RIDGE * weights[b])
+    got = weak_labels.train(rows)
+    assert np.count_nonzero(got) <= len(weights) and all(got[b] == pytest.approx(w, abs=1e-12) for b, w in weights.items())
+
+
+def test_quality_on_the_table_is_that_of_the_fitted_parts(spark):
+    """Each document by itself, with the model that the whole table gives."""
+    docs = read(spark, SF, "documents", "doc_id", "text")
+    model = weak_labels.fit(docs)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    patterns = Counter(weak_labels.votes(weak_labels.parse(text)) for text in texts.values())
+    again = weak_labels.estimate(patterns)
+    assert model.labels.good == pytest.approx(again.good) and np.allclose(model.labels.votes, again.votes)
+    for row in weak_labels.judge(docs, model).collect():
+        buckets, values = weak_labels.features(weak_labels.parse(texts[row.doc_id]))
+        total = sum(model.weights[b] * v for b, v in zip(buckets, values, strict=True))
+        expected = 1 / (1 + math.exp(-total)) if (texts[row.doc_id] or "").split() else 0.0
+        assert row.quality == pytest.approx(expected) and row.kept == (row.quality >= weak_labels.THRESHOLD)
