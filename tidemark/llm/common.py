@@ -1,7 +1,9 @@
 """Word expressions and stored intermediate tables that several operators share."""
 
+import ctypes
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,6 +53,15 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return scratch_dir(spark, f"{name}-{uuid.uuid4().hex[:8]}")
 
 
+def give_back() -> None:
+    """Hand what a finished task held back to the system. Python workers live on between stages, and what
+    they keep for themselves is missing elsewhere."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def share(frame: DataFrame, size: Column, per_task: int, least: int = 1) -> int:
     """How many tasks of `per_task` units the rows of `frame` make, by their summed sizes."""
     total = frame.agg(F.sum(size)).first()[0] or 0

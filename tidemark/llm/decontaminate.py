@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stored, text_key
+from tidemark.llm.common import give_back, stored, text_key
 
 WINDOW = 8
 # Windows that must match in one alignment; items with fewer must match in all.
@@ -381,6 +381,10 @@ def _document_windows(widths: list[int], passages: list[int], known: np.ndarray
         return near[known[np.minimum(np.searchsorted(known, some), len(known) - 1)] == some]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from windows(batches)
+        give_back()
+
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = Lexicon()
         for batch in itertools.chain.from_iterable(map(_folds, batches)):
             if len(lexicon) > 500_000:

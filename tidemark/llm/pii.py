@@ -395,16 +395,15 @@ def redact(docs: DataFrame) -> DataFrame:
     Other columns, whatever their names, pass through. A null text stays null.
     """
     mask = F.pandas_udf(_mask, "string")
-    # The rows travel as one column, so that no name of theirs meets one of this module.
-    rows = with_spans(docs.select(F.struct("*").alias("_doc"), "text"), "pii-docs")
+    # The other columns travel as one, so that no name of theirs meets one of this module.
+    rest = [F.col(f"`{name.replace('`', '``')}`") for name in docs.columns if name != "text"]
+    rows = with_spans(docs.select(F.struct(*rest, F.lit(0).alias("")).alias("_doc"), "text"), "pii-docs")
     found = F.size("spans") > 0
     masked = rows.withColumn("text", F.when(found, mask("text", "spans")).otherwise(F.col("text")))
     columns = []
     for name in docs.columns:
-        column = F.col("_doc").getField(name)
-        if name == "text":
-            column = F.col("text")
-        elif name == "n_chars":
+        column = F.col("text") if name == "text" else F.col("_doc").getField(name)
+        if name == "n_chars":
             kind = docs.schema["n_chars"].dataType
             column = F.when(found, F.coalesce(F.char_length("text").cast(kind), column)).otherwise(column)
         columns.append(column.alias(name))
