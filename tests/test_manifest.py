@@ -1,5 +1,6 @@
 """The manifest area: what fails, what is replaced, what readers see."""
 
+import pickle
 import random
 from collections import Counter
 from datetime import timedelta
@@ -12,7 +13,7 @@ from tidemark.schema import WIRE
 from tidemark.session import scratch_dir
 from tidemark.sinks import manifest, row_index, versions
 from tidemark.sinks.area import ManifestArea, children, put_if_absent, read_text
-from tidemark.sources.changes import read_changes
+from tidemark.sources.changes import ChangeReader, read_changes
 from tidemark.streaming.ingest import start
 
 WIDTH = 8
@@ -250,6 +251,38 @@ def test_a_feed_brings_each_row_once_also_over_a_change_of_width(spark, area, tm
     assert look_in() == [1, 2, 3, 4, 9, 10, 30]
 
 
+def test_what_a_feed_plans_does_not_grow_with_the_ranges(spark, area):
+    """The driver holds a line per file, whatever is in it."""
+
+    def planned():
+        reader = ChangeReader(area.root, 0)
+        return reader.partitions(reader.initialOffset(), reader.latestOffset())
+
+    manifest.stage_log(log(spark, range(0, 4_000, 40)), area, WIDTH, NOW)
+    manifest.stage_log(log(spark, range(1, 4_000, 80)), area, WIDTH, NOW)
+    files = planned()
+    assert len(files) == sum(name.endswith(".parquet") for f in children(spark, area.data) for name in children(spark, f"{area.data}/{f}"))
+    assert all(len(pickle.dumps(file)) < 600 for file in files)
+    seen = Counter(offset for file in files for batch in ChangeReader(area.root, 0).read(file) for offset in batch["kafka_offset"].to_pylist())
+    assert seen == Counter([*range(0, 4_000, 40), *range(1, 4_000, 80)])
+
+
+def test_ranges_written_again_are_joined_with_nothing(spark, area, monkeypatch):
+    """Rows held come from files that also hold older copies, and ranges the batch does not touch or add to."""
+    frames = []
+    write = manifest._write
+    monkeypatch.setattr(manifest, "LIVE_RANGES", 0)
+    monkeypatch.setattr(manifest, "_write", lambda rows, *where: (frames.append(rows), write(rows, *where)))
+    manifest.stage_log(log(spark, range(0, 64, 2)), area, WIDTH, NOW)
+    manifest.stage_log(log(spark, [1, 17, 41]), area, WIDTH, NOW + timedelta(days=1))
+    version = manifest.stage_log(log(spark, [1, 3, 8, 40, 43, 70]), area, WIDTH, NOW + timedelta(days=2))
+    assert "Join" not in frames[-1]._jdf.queryExecution().executedPlan().toString()
+    assert (version.records, version.uploads) == (5, 3)
+    assert staged(spark, area) == sorted([*range(0, 64, 2), 1, 17, 41, 3, 43, 70])
+    days = dict(offsets(manifest.read_staging(spark, area), "dt"))
+    assert {days.pop(70)} == {"2031-05-23"} and set(days.values()) == {"2031-05-21"}
+
+
 def data_files(frame):
     return [path for path in frame.inputFiles() if "/data/" in path]
 

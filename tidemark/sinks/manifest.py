@@ -29,7 +29,7 @@ from tidemark.sinks import versions as log
 from tidemark.sinks.area import ManifestArea, delete
 from tidemark.sinks.ledger import batch_name
 from tidemark.sinks.staging import RANGE as PLACE
-from tidemark.sinks.staging import merged, touched_ranges
+from tidemark.sinks.staging import merged, placed, touched_ranges
 
 # Besides the staged columns: the batch's folder, and the version a row first appeared in.
 FILE = T.StructType(
@@ -38,8 +38,8 @@ FILE = T.StructType(
 # In a shredded area, the payload once more. The writer finds its fields and gives each a column.
 SHREDDED = T.StructType([*FILE.fields, T.StructField("fields", T.VariantType())])
 KEYS = log.RANGE
-# Live ranges that are sent to every task, about 100 bytes each.
-LIVE_RANGES = 200_000
+# Live ranges that are sent to every task, about 100 bytes each. The driver holds them some times over.
+LIVE_RANGES = 20_000
 
 
 def _files(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -113,12 +113,15 @@ def _located(held: Column) -> list[Column]:
     ]
 
 
-def _rows_at(spark: SparkSession, area: ManifestArea, entries: DataFrame, at: Row) -> DataFrame:
+def _near(spark: SparkSession, area: ManifestArea, at: Row) -> DataFrame:
+    """The rows of the located files within the located offsets: also of other ranges, and older copies."""
     rows = _files(spark, [f"{area.data}/{folder}/{file}" for folder, file in at["files"]])
-    if not at["files"]:
-        return rows.drop("folder")
-    near = rows.where(F.col("kafka_offset").between(at["first"], at["last"]))
-    return _current(near, entries, at["ranges"]).drop("folder")
+    return rows.where(F.col("kafka_offset").between(at["first"], at["last"])) if at["files"] else rows
+
+
+def _rows_at(spark: SparkSession, area: ManifestArea, entries: DataFrame, at: Row) -> DataFrame:
+    rows = _near(spark, area, at)
+    return (_current(rows, entries, at["ranges"]) if at["files"] else rows).drop("folder")
 
 
 def read_ranges(spark: SparkSession, area: ManifestArea, entries: DataFrame) -> DataFrame:
@@ -203,16 +206,9 @@ def changes(spark: SparkSession, area: ManifestArea, after: int, through: int |
 
 def _plan(touched: DataFrame, area: ManifestArea, seen: log.Head, width: int) -> DataFrame:
     """The touched ranges, with what the manifest has of them."""
-    known = log.live_entries(touched.sparkSession, area, seen, "dt", "last_offset", "folder", "file")
-    known = known.withColumnRenamed("last_offset", "staged_through")
+    known = log.live_entries(touched.sparkSession, area, seen, "folder", "file")
     end = range_end(F.col("range_start"), width).alias("range_end")
-    return touched.join(known, KEYS, "left").select(
-        "*",
-        end,
-        F.col("folder").isNotNull().alias("was_staged"),
-        # Rows that all lie beyond what is staged are new without looking.
-        F.coalesce(F.col("first_offset") <= F.col("staged_through"), F.lit(False)).alias("may_repeat"),
-    )
+    return touched.join(known, KEYS, "left").select("*", end, F.col("folder").isNotNull().alias("was_staged"))
 
 
 def _total(plan: DataFrame) -> Row:
@@ -222,38 +218,10 @@ def _total(plan: DataFrame) -> Row:
         F.sum(named).alias("fingerprint"),
         F.coalesce(F.sum("arrived"), F.lit(0)).alias("arrived"),
         F.coalesce(F.max("was_staged"), F.lit(False)).alias("was_staged"),
-        F.coalesce(F.max("may_repeat"), F.lit(False)).alias("may_repeat"),
         *_located(F.col("was_staged")),
     ).first()
 
 
-def _placed(rows: DataFrame, known: DataFrame | None, width: int, write_date: str) -> DataFrame:
-    """Rows with their layout columns. A range staged before keeps its date."""
-    placed = rows.select(
-        "*",
-        F.col("kafka_topic").alias("topic"),
-        F.col("kafka_partition").alias("part"),
-        range_start(F.col("kafka_offset"), width).alias("range_start"),
-    )
-    if known is None:
-        return placed.withColumn("dt", F.lit(write_date))
-    pinned = known.select("topic", F.col("partition").alias("part"), "range_start", F.col("dt").alias("pinned"))
-    return placed.join(pinned, PLACE, "left").withColumn("dt", F.coalesce("pinned", F.lit(write_date))).drop("pinned")
-
-
-def _gaining(wire: DataFrame, known: DataFrame, held: DataFrame, width: int) -> DataFrame:
-    """Of the ranges that may get rows they hold, those that get others too. Reads keys, no values."""
-    arrived = records_of(wire).select(
-        F.col("kafka_topic").alias("topic"),
-        F.col("kafka_partition").alias("part"),
-        "kafka_offset",
-        range_start(F.col("kafka_offset"), width).alias("range_start"),
-    )
-    may = known.select("topic", F.col("partition").alias("part"), "range_start")
-    kept = held.select("topic", "part", "kafka_offset")
-    return arrived.join(may, PLACE, "left_semi").join(kept, kept.columns, "left_anti").select(*PLACE).distinct()
-
-
 def _new_folder(version: log.Version) -> str:
     return f"{version.number:020d}-{version.epoch}-{uuid.uuid4().hex}"
 
@@ -388,19 +356,18 @@ def _stage(
     spark = wire.sparkSession
     written_at = F.lit(now).cast("timestamp")
     write_date = now.astimezone(timezone.utc).strftime("%Y-%m-%d")
-    known = plan.where("was_staged") if total["was_staged"] else None
     rows = staging_rows(parse_envelope(records_of(wire)), written_at)
-    incoming = _placed(rows, known, width, write_date).withColumn("since", F.lit(version.number).cast("bigint"))
-    carried = _rows_at(spark, area, known, total) if known is not None else None
-    if carried is not None and total["may_repeat"]:
-        may = known.where("may_repeat")
-        gaining = _gaining(wire, may, carried, width)
-        idle = may.select("topic", F.col("partition").alias("part"), "range_start").join(gaining, PLACE, "left_anti")
-        incoming, carried = (side.join(idle, PLACE, "left_anti") for side in (incoming, carried))
+    incoming = placed(rows, width, write_date).withColumn("since", F.lit(version.number).cast("bigint"))
+    carried = None
+    if total["was_staged"]:
+        carried = _near(spark, area, total)
+        # Few ranges spare the shuffle what else is in their files. Of many, `merged` leaves it out.
+        if total["ranges"] <= LIVE_RANGES:
+            carried = _current(carried, plan.where("was_staged"), total["ranges"])
     folder = _new_folder(version)
     counted = Observation(f"rows-{folder}")
-    incoming = incoming.observe(counted, F.count(F.lit(1)).alias("records"), F.count_if("malformed").alias("malformed"))
-    whole = merged(incoming, carried, width, total["arrived"], "since").withColumn("folder", F.lit(folder))
+    whole = merged(incoming, carried, width, total["arrived"], "since", counted=counted)
+    whole = whole.withColumn("folder", F.lit(folder))
     _write(whole, area, folder)
     return _describe(spark, area, folder, replace(version, **counted.get), width)
 

@@ -187,8 +187,6 @@ def _intent(touched: DataFrame, area: StagingArea, name: str, width: int, now: d
                 range_end(F.col("range_start"), width).alias("range_end"),
                 "arrived",
                 F.col("dt").isNotNull().alias("was_staged"),
-                # Rows that all lie beyond what is staged are new without looking.
-                F.coalesce(F.col("first_offset") <= F.col("staged_through"), F.lit(False)).alias("may_repeat"),
                 utc_date(written_at).alias("write_date"),
                 written_at.alias("written_at"),
             )
@@ -203,7 +201,6 @@ def _totals(intent: DataFrame) -> Row:
     return intent.agg(
         F.sum("arrived").alias("arrived"),
         F.max("was_staged").alias("was_staged"),
-        F.max("may_repeat").alias("may_repeat"),
         F.max("write_date").alias("write_date"),
         F.max("written_at").alias("written_at"),
     ).first()
@@ -218,47 +215,38 @@ def _carried(intent: DataFrame, area: StagingArea, name: str) -> DataFrame:
     return spark.read.schema(STAGED).parquet(path)
 
 
-def _placed(rows: DataFrame, intent: DataFrame, carried: DataFrame | None, width: int, write_date: str) -> DataFrame:
-    """Rows with their layout columns. A range staged before keeps its date."""
-    placed = rows.select(
+def placed(rows: DataFrame, width: int, write_date: str) -> DataFrame:
+    """Rows with their layout columns, as of ranges that were not staged before."""
+    return rows.select(
         "*",
         F.col("kafka_topic").alias("topic"),
+        F.lit(write_date).alias("dt"),
         F.col("kafka_partition").alias("part"),
         range_start(F.col("kafka_offset"), width).alias("range_start"),
     )
-    if carried is None:
-        return placed.withColumn("dt", F.lit(write_date))
-    pinned = intent.where("was_staged").select(*RANGE, F.col("dt").alias("pinned"))
-    dated = placed.join(pinned, RANGE, "left").withColumn("dt", F.coalesce("pinned", F.lit(write_date)))
-    return dated.drop("pinned")
-
-
-def _without_gain(wire: DataFrame, intent: DataFrame, carried: DataFrame, width: int) -> DataFrame:
-    """Ranges staged before that only get rows they hold already. Reads keys, no values."""
-    staged = intent.where("may_repeat").select(*RANGE)
-    arrived = records_of(wire).select(
-        F.col("kafka_topic").alias("topic"),
-        F.col("kafka_partition").alias("part"),
-        "kafka_offset",
-        range_start(F.col("kafka_offset"), width).alias("range_start"),
-    )
-    held = carried.select("topic", "part", "kafka_offset")
-    new = arrived.join(staged, RANGE, "left_semi").join(held, held.columns, "left_anti")
-    return staged.join(new, RANGE, "left_anti")
 
 
 def merged(
-    incoming: DataFrame, carried: DataFrame | None, width: int, arrived: int, *extra: str
+    incoming: DataFrame,
+    carried: DataFrame | None,
+    width: int,
+    count: int,
+    *extra: str,
+    counted: Observation | None = None,
 ) -> DataFrame:
     """One row per offset, carried rows first, in offset order within each range; `extra` columns pass through.
 
-    One shuffle brings a range together; its sort serves the choice of rows, the order
-    inside the file and the writer, which keeps one file open at a time. Coalescing by size
-    would leave a batch of many small files to one task, so the number of tasks is given, by
-    the rows that `arrived`.
+    With carried rows, only ranges that get an offset they do not hold, under the date they have. Carried rows
+    may be there more than once, and of other ranges too. `counted` receives the `records` and `malformed` that
+    arrived for the ranges returned.
+
+    One shuffle brings a range together; its sort serves the choice of rows and, for new ranges, the order
+    inside the file and the writer, which keeps one file open at a time. No table of ranges or of keys is
+    joined, so none is sent to the tasks or collected. Coalescing by size would leave a batch of many
+    small files to one task, so the number of tasks is given, by the `count` of all rows.
     """
     tasks = int(incoming.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tasks = max(tasks, -(-arrived // ROWS_PER_TASK))
+    tasks = max(tasks, -(-count // ROWS_PER_TASK))
     columns = [*STAGED.fieldNames(), *extra]
     rows = incoming.select(*columns, F.lit(1).alias("__rank"))
     if carried is not None:
@@ -266,11 +254,26 @@ def merged(
     rows = rows.withColumn("range_end", range_end(F.col("range_start"), width))
     # Of copies that arrive together the earliest stays; content decides between equal times.
     content = [c for c in STAGING.fieldNames() if c not in (*PROVENANCE, "kafka_timestamp", "ingested_at")]
-    one_offset = W.partitionBy(*LAYOUT_COLUMNS, "kafka_offset").orderBy("__rank", "kafka_timestamp", *content)
     # Not by `dt`, which the range decides: as a constant it would be folded out of the
     # window's keys, and the shuffle would no longer match them.
     together = rows.repartition(tasks, *RANGE)
-    chosen = together.withColumn("__nth", F.row_number().over(one_offset)).where("__nth = 1")
+    keys = LAYOUT_COLUMNS if carried is None else RANGE
+    one_offset = W.partitionBy(*keys, "kafka_offset").orderBy("__rank", "kafka_timestamp", *content)
+    numbered = together.withColumn("__nth", F.row_number().over(one_offset))
+    arrived = F.col("__rank") == 1
+    if carried is not None:
+        one_range = W.partitionBy(*RANGE)
+        numbered = numbered.withColumns(
+            {
+                "__gains": F.max(arrived & (F.col("__nth") == 1)).over(one_range),
+                "__pinned": F.min(F.when(~arrived, F.col("dt"))).over(one_range),
+            }
+        ).where("__gains")
+        numbered = numbered.withColumn("dt", F.coalesce("__pinned", "dt"))
+    if counted is not None:
+        malformed = F.count_if(arrived & F.col("malformed"))
+        numbered = numbered.observe(counted, F.count_if(arrived).alias("records"), malformed.alias("malformed"))
+    chosen = numbered.where("__nth = 1")
     return chosen.select(*columns, "range_end").sortWithinPartitions(*LAYOUT_COLUMNS, "kafka_offset")
 
 
@@ -331,12 +334,7 @@ def stage_batch(
                 rows = rows.observe(
                     counters, F.count(F.lit(1)).alias("records"), F.count_if("malformed").alias("malformed")
                 )
-            incoming = _placed(rows, intent, carried, width, batch["write_date"])
-            if carried is not None and batch["may_repeat"]:
-                idle = _without_gain(wire, intent, carried, width)
-                if not idle.isEmpty():
-                    incoming = incoming.join(idle, RANGE, "left_anti")
-                    carried = carried.join(idle, RANGE, "left_anti")
+            incoming = placed(rows, width, batch["write_date"])
             publish(merged(incoming, carried, width, batch["arrived"]), area)
             ledger.record_batch(_ledger_rows(intent, area, width, batch_id), area, name)
             delete(spark, f"{area.carried}/{name}")

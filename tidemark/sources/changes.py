@@ -1,8 +1,10 @@
 """What changed in a `ManifestArea`, as a stream.
 
-The offsets of the stream are versions of the manifest. An increment reads the files that hold, as
-of its end, the ranges written since its beginning, and of those the rows that appeared since. So
-each staged row comes once, in whatever order ranges were written again.
+The offsets of the stream are versions of the manifest. An increment reads the files that were
+written since its beginning, and from each of them the rows that appeared with its version. So each
+staged row comes once, in whatever order ranges were written again, and nothing has to be known of the
+ranges. A change of width writes all rows again: files before it are left out, and from its own come the
+rows that appeared since the beginning.
 """
 
 import json
@@ -24,15 +26,13 @@ if TYPE_CHECKING:
 
 FORMAT = "tidemark_changes"
 SCHEMA = StructType([*STAGED.fields, StructType().add("since", "long")["since"]])
-RANGE = ["topic", "partition", "range_start"]
 
 
 @dataclass
 class ChangedFile(InputPartition):
-    """A file with changed ranges: those of which it holds the newest rows, unless it does for all."""
+    """A file, and the versions of which its rows are wanted."""
 
     path: str
-    ranges: list[tuple[str, int, int]] | None
     after: int
     through: int
 
@@ -64,57 +64,39 @@ class ChangeReader(DataSourceStreamReader):
         return {"version": max([self.first, *self._numbers()])}
 
     def partitions(self, start: dict, end: dict) -> list[ChangedFile]:
-        import pyarrow as pa
-        import pyarrow.dataset as ds
+        from pyarrow import fs
 
         after, through = start["version"], end["version"]
         store, base = _open(self.root)
         known = set(self._numbers())
-        folders, tiled_at = [], after + 1
+        # Each folder with the versions of which its rows are wanted.
+        folders: list[tuple[str, int, int]] = []
         for number in range(after + 1, through + 1):
             if number not in known:
                 raise ValueError(f"version {number} of {self.root} has expired: read the area anew")
             with store.open_input_stream(f"{base}/versions/{number:020d}.json") as stream:
                 version = json.loads(stream.read())
-            if version["kind"] == "retile":
-                folders, tiled_at = [], number
-            folders += [version["folder"]] if version["folder"] else []
-        if not folders:
-            return []
-        columns = [*RANGE, "version", "folder", "file"]
-        parts = [
-            ds.dataset(f"{base}/entries/{folder}", filesystem=store, format="parquet").to_table(columns=columns)
-            for folder in folders
-        ]
-        entries = pa.concat_tables(parts)
-        newest = entries.group_by(RANGE).aggregate([("version", "max")]).rename_columns([*RANGE, "version"])
-        live = entries.join(newest, [*RANGE, "version"], join_type="left semi")
-        written = entries.group_by(["folder", "file"]).aggregate([("version", "count")])
-        counts = {(r["folder"], r["file"]): r["version_count"] for r in written.to_pylist()}
-        ranges: dict[tuple[str, str], list[tuple[str, int, int]]] = {}
-        for row in live.to_pylist():
-            ranges.setdefault((row["folder"], row["file"]), []).append(tuple(row[c] for c in RANGE))
+            retiled = version["kind"] == "retile"
+            if retiled:
+                folders = []
+            if version["folder"]:
+                folders.append((version["folder"], after if retiled else number - 1, number))
         return [
-            ChangedFile(f"{base}/data/{folder}/{file}", None if len(held) == counts[folder, file] else held, after, through)
-            for (folder, file), held in sorted(ranges.items())
+            ChangedFile(found.path, first, last)
+            for folder, first, last in folders
+            for found in sorted(store.get_file_info(fs.FileSelector(f"{base}/data/{folder}")), key=lambda f: f.base_name)
+            if found.base_name[:1] not in "._" and found.base_name.endswith(".parquet")
         ]
 
     def read(self, partition: ChangedFile) -> Iterator["pa.RecordBatch"]:
-        import pyarrow as pa
         import pyarrow.compute as pc
         import pyarrow.parquet as pq
 
         store, _ = _open(self.root)
         columns = SCHEMA.fieldNames()
-        wanted = None
-        if partition.ranges is not None:
-            wanted = pa.array([f"{part}/{start}/{topic}" for topic, part, start in partition.ranges])
         with store.open_input_file(partition.path) as source:
             for batch in pq.ParquetFile(source).iter_batches(columns=columns):
                 keep = pc.and_(pc.greater(batch["since"], partition.after), pc.less_equal(batch["since"], partition.through))
-                if wanted is not None:
-                    place = [pc.cast(batch[c], pa.string()) for c in ("part", "range_start", "topic")]
-                    keep = pc.and_(keep, pc.is_in(pc.binary_join_element_wise(*place, "/"), value_set=wanted))
                 found = batch.filter(keep).select(columns)
                 if found.num_rows:
                     yield found
