@@ -11,7 +11,7 @@ from frames import NOW, envelope, log, message, wire
 from pyspark.sql import functions as F
 from tidemark.schema import WIRE
 from tidemark.session import scratch_dir
-from tidemark.sinks import manifest, row_index, versions
+from tidemark.sinks import manifest, row_index, staging, versions
 from tidemark.sinks.area import ManifestArea, children, put_if_absent, read_text
 from tidemark.sources.changes import ChangeReader, read_changes
 from tidemark.streaming.ingest import start
@@ -283,6 +283,17 @@ def test_ranges_written_again_are_joined_with_nothing(spark, area, monkeypatch):
     assert {days.pop(70)} == {"2031-05-23"} and set(days.values()) == {"2031-05-21"}
 
 
+def test_tasks_follow_the_rows_held_too(spark, area, monkeypatch):
+    frames = []
+    write = manifest._write
+    monkeypatch.setattr(staging, "ROWS_PER_TASK", 4)
+    monkeypatch.setattr(manifest, "_write", lambda rows, *where: (frames.append(rows), write(rows, *where)))
+    manifest.stage_log(log(spark, range(0, 120, 2)), area, WIDTH, NOW)
+    manifest.stage_log(log(spark, range(1, 120, 8)), area, WIDTH, NOW)
+    assert [frame.rdd.getNumPartitions() for frame in frames] == [15, 19]
+    assert staged(spark, area) == sorted([*range(0, 120, 2), *range(1, 120, 8)])
+
+
 def data_files(frame):
     return [path for path in frame.inputFiles() if "/data/" in path]
 

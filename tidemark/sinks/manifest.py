@@ -206,7 +206,7 @@ def changes(spark: SparkSession, area: ManifestArea, after: int, through: int |
 
 def _plan(touched: DataFrame, area: ManifestArea, seen: log.Head, width: int) -> DataFrame:
     """The touched ranges, with what the manifest has of them."""
-    known = log.live_entries(touched.sparkSession, area, seen, "folder", "file")
+    known = log.live_entries(touched.sparkSession, area, seen, "records", "folder", "file")
     end = range_end(F.col("range_start"), width).alias("range_end")
     return touched.join(known, KEYS, "left").select("*", end, F.col("folder").isNotNull().alias("was_staged"))
 
@@ -218,6 +218,7 @@ def _total(plan: DataFrame) -> Row:
         F.sum(named).alias("fingerprint"),
         F.coalesce(F.sum("arrived"), F.lit(0)).alias("arrived"),
         F.coalesce(F.max("was_staged"), F.lit(False)).alias("was_staged"),
+        F.coalesce(F.sum("records"), F.lit(0)).alias("held"),
         *_located(F.col("was_staged")),
     ).first()
 
@@ -366,7 +367,7 @@ def _stage(
             carried = _current(carried, plan.where("was_staged"), total["ranges"])
     folder = _new_folder(version)
     counted = Observation(f"rows-{folder}")
-    whole = merged(incoming, carried, width, total["arrived"], "since", counted=counted)
+    whole = merged(incoming, carried, width, total["arrived"] + total["held"], "since", counted=counted)
     whole = whole.withColumn("folder", F.lit(folder))
     _write(whole, area, folder)
     return _describe(spark, area, folder, replace(version, **counted.get), width)

@@ -37,8 +37,8 @@ from tidemark.sinks.area import ObjectArea, StagingArea, children, delete, exist
 from tidemark.sinks.objects import put_objects, read_objects
 from tidemark.sinks.ownership import held
 
-# Rows one task merges and writes, besides the tasks the session asks for anyway.
-ROWS_PER_TASK = 2_000_000
+# Rows, those held before included, that one task merges and writes. The session may ask for more tasks.
+ROWS_PER_TASK = 250_000
 
 RANGE = ["topic", "part", "range_start"]
 
@@ -335,7 +335,8 @@ def stage_batch(
                     counters, F.count(F.lit(1)).alias("records"), F.count_if("malformed").alias("malformed")
                 )
             incoming = placed(rows, width, batch["write_date"])
-            publish(merged(incoming, carried, width, batch["arrived"]), area)
+            count = batch["arrived"] + (carried.count() if carried is not None else 0)
+            publish(merged(incoming, carried, width, count), area)
             ledger.record_batch(_ledger_rows(intent, area, width, batch_id), area, name)
             delete(spark, f"{area.carried}/{name}")
             ledger.compact_if_long(spark, area)
