@@ -5,10 +5,10 @@ from frames import NOW, log, message, wire
 
 from tidemark.schema import STAGING
 from tidemark.session import scratch_dir
-from tidemark.sinks.area import StagingArea
+from tidemark.sinks.area import ObjectArea, StagingArea
 from tidemark.sinks import objects as sinks_objects
 from tidemark.sinks.objects import publish_objects, read_objects
-from tidemark.sinks.staging import read_staging, stage_log
+from tidemark.sinks.staging import read_ranges, read_staging, stage_log
 
 
 @pytest.fixture
@@ -68,3 +68,19 @@ def test_an_object_larger_than_a_row_group(spark, area, monkeypatch):
     groups = [file.metadata.row_group(n).num_rows for n in range(file.metadata.num_row_groups)]
     assert sum(groups) == 30_000 and len(groups) > 2
     assert file.read(["kafka_offset"]).column(0).to_pylist() == list(range(30_000))
+
+
+def test_objects_of_ranges_are_opened_by_their_names(spark):
+    """What a batch reads back costs no listing and no set-up of Spark's reader per object."""
+    area = ObjectArea(scratch_dir(spark, "named"))
+    rows = wire(spark, *[message(n, partition=n % 3) for n in range(90)], message(90, value="x", stamp=None))
+    stage_log(rows, area, 20, now=NOW)
+    ranges = read_staging(spark, area).where("part < 2").selectExpr("topic", "dt", "part", "range_start", "range_start + 19 range_end")
+    gone = ranges.limit(1).selectExpr("topic", "dt", "part", "range_start + 2000 range_start", "range_end + 2000 range_end")
+    found = read_ranges(spark, area, ranges.unionByName(gone))
+    wanted = read_staging(spark, area).where("part < 2")
+    assert "FileScan" not in read_ranges(spark, area, spark.createDataFrame(ranges.collect(), ranges.schema))._jdf.queryExecution().executedPlan().toString()
+    assert found.columns == wanted.columns and found.count() == wanted.count() > 50
+    assert found.exceptAll(wanted).count() == wanted.exceptAll(found).count() == 0
+    few = read_ranges(spark, area, ranges, "part", "kafka_offset")
+    assert sorted(map(tuple, few.collect())) == sorted(map(tuple, wanted.select("kafka_offset", "part").collect()))

@@ -16,7 +16,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, StructField, StructType
 
 from tidemark.functions import object_name, range_end
 from tidemark.schema import LAYOUT, LAYOUT_COLUMNS, STAGED, STAGING
@@ -29,17 +29,33 @@ FORMAT = "tidemark_objects"
 ZSTD_LEVEL = 3
 # Uncompressed Arrow bytes after which a row group is written.
 ROW_GROUP_BYTES = 64 << 20
+# Objects that one task opens by their names, besides the tasks the session asks for anyway, and the rows it passes on at once.
+OBJECTS_PER_TASK, ROWS_AT_ONCE = 2_000, 10_000
+
+
+def arrow_type(kind: DataType, unit: str = "us") -> "pa.DataType":
+    import pyarrow as pa
+
+    if kind.typeName() == "timestamp":
+        return pa.timestamp(unit, "UTC")
+    return {"string": pa.string(), "integer": pa.int32(), "long": pa.int64(), "boolean": pa.bool_(), "binary": pa.binary()}[kind.typeName()]
 
 
 def contract_schema() -> "pa.Schema":
     import pyarrow as pa
 
-    def arrow_type(name: str, kind: str) -> "pa.DataType":
-        if kind == "timestamp":
-            return pa.timestamp("ms" if name == "kafka_timestamp" else "us", "UTC")
-        return {"string": pa.string(), "integer": pa.int32(), "long": pa.int64(), "boolean": pa.bool_(), "binary": pa.binary()}[kind]
+    return pa.schema(
+        [pa.field(f.name, arrow_type(f.dataType, "ms" if f.name == "kafka_timestamp" else "us"), f.nullable) for f in STAGING.fields]
+    )
+
 
-    return pa.schema([pa.field(f.name, arrow_type(f.name, f.dataType.typeName()), f.nullable) for f in STAGING.fields])
+def _store(root: str):
+    from pyarrow import fs
+
+    if "://" in root or root.startswith("file:"):
+        # Arrow knows Hadoop's `s3a` as `s3`.
+        return fs.FileSystem.from_uri(root.replace("s3a://", "s3://", 1))
+    return fs.LocalFileSystem(), root
 
 
 class ObjectWriter(DataSourceArrowWriter):
@@ -52,13 +68,8 @@ class ObjectWriter(DataSourceArrowWriter):
     def write(self, iterator: Iterator["pa.RecordBatch"]) -> WriterCommitMessage:
         import pyarrow as pa
         import pyarrow.compute as pc
-        from pyarrow import fs
 
-        if "://" in self.root or self.root.startswith("file:"):
-            # Arrow knows Hadoop's `s3a` as `s3`.
-            target, base = fs.FileSystem.from_uri(self.root.replace("s3a://", "s3://", 1))
-        else:
-            target, base = fs.LocalFileSystem(), self.root
+        target, base = _store(self.root)
         current = None
         for batch in iterator:
             runs = pc.run_end_encode(batch.column("object_name"))
@@ -170,3 +181,45 @@ def read_objects(spark: SparkSession, root: str, *paths: str) -> DataFrame:
             )
         )
     return rows
+
+
+def read_named(ranges: DataFrame, root: str, columns: list[str], count: int) -> DataFrame:
+    """These staged columns of the `count` objects of `ranges` (layout columns and `range_end`), those that are there.
+
+    Names follow from the keys, so nothing is listed: each task opens its objects one after another. A small object
+    costs Spark's reader far more to set up than to read.
+    """
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    schema = StructType([StructField(f.name, f.dataType) for f in STAGED.fields if f.name in columns])
+    stored = [f.name for f in schema.fields if f.name not in LAYOUT_COLUMNS]
+
+    def rows(batches: Iterator["pa.RecordBatch"]) -> Iterator["pa.RecordBatch"]:
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+
+        store, base = _store(root)
+        target = pa.schema([(f.name, arrow_type(f.dataType)) for f in schema.fields])
+        held, size = [], 0
+        for batch in batches:
+            for row in batch.to_pylist():
+                try:
+                    source = store.open_input_file(posixpath.join(base, row["object_name"]))
+                except FileNotFoundError:
+                    continue
+                with source:
+                    file = pq.ParquetFile(source)
+                    for group in range(file.num_row_groups):
+                        table = file.read_row_group(group, columns=stored, use_threads=False)
+                        place = {c: pa.repeat(pa.scalar(row[c], target.field(c).type), table.num_rows) for c in LAYOUT_COLUMNS if c in columns}
+                        held.append(pa.Table.from_arrays([place[c] if c in place else table.column(c) for c in target.names], target.names))
+                        size += table.num_rows
+                        if size >= ROWS_AT_ONCE:
+                            yield from pa.concat_tables(held).cast(target).combine_chunks().to_batches()
+                            held, size = [], 0
+        if held:
+            yield from pa.concat_tables(held).cast(target).combine_chunks().to_batches()
+
+    name = object_name(F.col("topic"), F.col("part"), F.col("dt"), F.col("range_start"), F.col("range_end"))
+    named = ranges.select(*LAYOUT_COLUMNS, name.alias("object_name")).distinct()
+    tasks = int(ranges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return named.repartition(max(tasks, -(-count // OBJECTS_PER_TASK)), "object_name").mapInArrow(rows, schema)

@@ -34,7 +34,7 @@ from tidemark.schema import LAYOUT_COLUMNS, PROVENANCE, STAGED, STAGING
 from tidemark.session import configure
 from tidemark.sinks import ledger
 from tidemark.sinks.area import ObjectArea, StagingArea, children, delete, exists, is_written
-from tidemark.sinks.objects import put_objects, read_objects
+from tidemark.sinks.objects import put_objects, read_named, read_objects
 from tidemark.sinks.ownership import held
 
 # Rows, those held before included, that one task merges and writes. The session may ask for more tasks.
@@ -96,21 +96,23 @@ def wait_for_object(spark: SparkSession, area: StagingArea, object_name: str, se
     return True
 
 
-def read_ranges(spark: SparkSession, area: StagingArea, ranges: DataFrame) -> DataFrame:
-    """Staged rows of the given ranges (layout columns and `range_end`), listing only their
-    topics and dates.
+def read_ranges(spark: SparkSession, area: StagingArea, ranges: DataFrame, *columns: str) -> DataFrame:
+    """Staged rows of the given ranges (layout columns and `range_end`), all their columns or those named.
 
-    The ranges are joined on the layout columns. Where Spark may broadcast them it prunes the
-    folders of a `StagingArea` by them before it reads; the filter marks them as selective.
-    Objects are skipped by the offsets in their footers.
+    Objects are opened by their names. For a `StagingArea` the topics and dates of the ranges are listed, and the
+    ranges joined on the layout columns. Where Spark may broadcast them it prunes the folders by them before it
+    reads; the filter marks them as selective.
     """
+    if isinstance(area, ObjectArea):
+        return read_named(ranges, area.data, list(columns or STAGED.fieldNames()), ranges.count())
     bounds = F.min("range_start").alias("first"), F.max("range_end").alias("last")
     days = ranges.groupBy("topic", "dt").agg(*bounds).collect()
     if not days:
         return spark.createDataFrame([], STAGED)
     rows = read_staging(spark, area, *[area.day_path(row["topic"], row["dt"]) for row in days])
     near = rows.where(F.col("kafka_offset").between(min(r["first"] for r in days), max(r["last"] for r in days)))
-    return near.join(ranges.select(*LAYOUT_COLUMNS).where("range_start >= 0"), LAYOUT_COLUMNS, "left_semi")
+    found = near.join(ranges.select(*LAYOUT_COLUMNS).where("range_start >= 0"), LAYOUT_COLUMNS, "left_semi")
+    return found.select(*columns) if columns else found
 
 
 def read_settled(spark: SparkSession, area: StagingArea, quiet_since: datetime) -> DataFrame:
@@ -278,7 +280,7 @@ def merged(
 
 
 def _ledger_rows(intent: DataFrame, area: StagingArea, width: int, batch_id: int) -> DataFrame:
-    staged = read_ranges(intent.sparkSession, area, intent)
+    staged = read_ranges(intent.sparkSession, area, intent, *LAYOUT_COLUMNS, "kafka_offset", "malformed", "ingested_at")
     held = staged.groupBy("topic", F.col("part").alias("partition"), "range_start", "dt").agg(
         F.count(F.lit(1)).alias("records"),
         F.max("kafka_offset").alias("last_offset"),
