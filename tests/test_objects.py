@@ -8,7 +8,7 @@ from tidemark.session import scratch_dir
 from tidemark.sinks.area import ObjectArea, StagingArea
 from tidemark.sinks import objects as sinks_objects
 from tidemark.sinks.objects import publish_objects, read_objects
-from tidemark.sinks.staging import read_ranges, read_staging, stage_log
+from tidemark.sinks.staging import read_batch, read_staging, stage_log
 
 
 @pytest.fixture
@@ -77,10 +77,10 @@ def test_objects_of_ranges_are_opened_by_their_names(spark):
     stage_log(rows, area, 20, now=NOW)
     ranges = read_staging(spark, area).where("part < 2").selectExpr("topic", "dt", "part", "range_start", "range_start + 19 range_end")
     gone = ranges.limit(1).selectExpr("topic", "dt", "part", "range_start + 2000 range_start", "range_end + 2000 range_end")
-    found = read_ranges(spark, area, ranges.unionByName(gone))
+    found = read_batch(spark, area, ranges.unionByName(gone))
     wanted = read_staging(spark, area).where("part < 2")
-    assert "FileScan" not in read_ranges(spark, area, spark.createDataFrame(ranges.collect(), ranges.schema))._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan" not in read_batch(spark, area, spark.createDataFrame(ranges.collect(), ranges.schema))._jdf.queryExecution().executedPlan().toString()
     assert found.columns == wanted.columns and found.count() == wanted.count() > 50
     assert found.exceptAll(wanted).count() == wanted.exceptAll(found).count() == 0
-    few = read_ranges(spark, area, ranges, "part", "kafka_offset")
+    few = read_batch(spark, area, ranges, "part", "kafka_offset")
     assert sorted(map(tuple, few.collect())) == sorted(map(tuple, wanted.select("kafka_offset", "part").collect()))

@@ -96,22 +96,28 @@ def wait_for_object(spark: SparkSession, area: StagingArea, object_name: str, se
     return True
 
 
-def read_ranges(spark: SparkSession, area: StagingArea, ranges: DataFrame, *columns: str) -> DataFrame:
-    """Staged rows of the given ranges (layout columns and `range_end`), all their columns or those named.
+def read_ranges(spark: SparkSession, area: StagingArea, ranges: DataFrame) -> DataFrame:
+    """Staged rows of the given ranges (layout columns and `range_end`), listing only their
+    topics and dates.
 
-    Objects are opened by their names. For a `StagingArea` the topics and dates of the ranges are listed, and the
-    ranges joined on the layout columns. Where Spark may broadcast them it prunes the folders by them before it
-    reads; the filter marks them as selective.
+    The ranges are joined on the layout columns. Where Spark may broadcast them it prunes the
+    folders of a `StagingArea` by them before it reads; the filter marks them as selective.
+    Objects are skipped by the offsets in their footers.
     """
-    if isinstance(area, ObjectArea):
-        return read_named(ranges, area.data, list(columns or STAGED.fieldNames()), ranges.count())
     bounds = F.min("range_start").alias("first"), F.max("range_end").alias("last")
     days = ranges.groupBy("topic", "dt").agg(*bounds).collect()
     if not days:
         return spark.createDataFrame([], STAGED)
     rows = read_staging(spark, area, *[area.day_path(row["topic"], row["dt"]) for row in days])
     near = rows.where(F.col("kafka_offset").between(min(r["first"] for r in days), max(r["last"] for r in days)))
-    found = near.join(ranges.select(*LAYOUT_COLUMNS).where("range_start >= 0"), LAYOUT_COLUMNS, "left_semi")
+    return near.join(ranges.select(*LAYOUT_COLUMNS).where("range_start >= 0"), LAYOUT_COLUMNS, "left_semi")
+
+
+def read_batch(spark: SparkSession, area: StagingArea, ranges: DataFrame, *columns: str) -> DataFrame:
+    """`read_ranges` for the many ranges of a batch, all columns or those named: objects are opened by their names."""
+    if isinstance(area, ObjectArea):
+        return read_named(ranges, area.data, list(columns or STAGED.fieldNames()), ranges.count())
+    found = read_ranges(spark, area, ranges)
     return found.select(*columns) if columns else found
 
 
@@ -213,7 +219,7 @@ def _carried(intent: DataFrame, area: StagingArea, name: str) -> DataFrame:
     spark = intent.sparkSession
     path = f"{area.carried}/{name}"
     if not is_written(spark, path):
-        read_ranges(spark, area, intent.where("was_staged")).write.mode("overwrite").parquet(path)
+        read_batch(spark, area, intent.where("was_staged")).write.mode("overwrite").parquet(path)
     return spark.read.schema(STAGED).parquet(path)
 
 
@@ -280,7 +286,7 @@ def merged(
 
 
 def _ledger_rows(intent: DataFrame, area: StagingArea, width: int, batch_id: int) -> DataFrame:
-    staged = read_ranges(intent.sparkSession, area, intent, *LAYOUT_COLUMNS, "kafka_offset", "malformed", "ingested_at")
+    staged = read_batch(intent.sparkSession, area, intent, *LAYOUT_COLUMNS, "kafka_offset", "malformed", "ingested_at")
     held = staged.groupBy("topic", F.col("part").alias("partition"), "range_start", "dt").agg(
         F.count(F.lit(1)).alias("records"),
         F.max("kafka_offset").alias("last_offset"),
